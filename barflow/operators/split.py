@@ -20,7 +20,7 @@ def with_position(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str =
     """Ensure ``_idx``/``_n`` (contiguous per key) exist for the rows of ``df``."""
     if halo.BLK in df.columns and halo.IDX in df.columns:
         return halo.reindex(df, keys)
-    return halo.index_rows(df, keys, order).drop("_s", "_e")
+    return halo.index_rows(df, keys, order).drop("_s", "_e").withColumnRenamed(halo.HOME, halo.BLK)
 
 
 def chrono_split(df: DataFrame, frac: float = 0.8, keys: Sequence[str] = ("symbol",), order: str = "date",
