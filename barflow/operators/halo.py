@@ -1,31 +1,34 @@
-"""Skew-proof ordered windows: bucket-blocked row frames with halos.
+"""Skew-proof ordered windows: indexed, halo-blocked row frames.
 
 ``Window.partitionBy("symbol")`` sends every bar of a symbol to one task; one hot
 symbol then decides the job. Every bounded row-frame operator in this package
 (moving averages, RSI, lags, leads, look-back sequences, lag products) instead
 runs on this layout:
 
-1. Each row gets a home block ``_home`` = its order value cut into fixed
-   buckets (``block`` days for dates, seconds for timestamps, units for
-   numbers). Bars are unique per ``(keys, order)``, so a block holds at most
-   ``block / bar interval`` rows of a key however large the key is.
-2. A small per-(key, block) summary (count, start and end position) gives every
-   row a contiguous per-key position ``_idx`` = block start + rank in block,
-   and the key's length ``_n``. The summary has one row per key-block.
-3. ``preceding`` halo: the last ``preceding`` rows before a block's first row
-   are copied into it (they may come from several earlier blocks when blocks
-   are sparse); ``following`` halo likewise copies the next rows backwards.
-4. Windows run over ``block_window(keys)`` = ``partitionBy(_blk, keys)
+1. ``index_rows`` gives each row a contiguous 0-based position ``_idx`` within
+   its key and the key's length ``_n``. Rows are first grouped by a fixed time
+   bucket of the order column (bars are unique per key and time, so a bucket
+   holds a bounded number of rows however large the key is); a small
+   per-(key, bucket) count table gives each bucket's start position, and
+   ``row_number`` inside the bucket gives the rest.
+2. ``with_halo`` cuts positions into blocks of ``block_rows`` rows
+   (``_home = _idx div block_rows``). A row among the last ``preceding`` rows
+   of its block is also copied into the next block, one among the first
+   ``following`` rows into the previous block. The rule is local to the row:
+   no join, one ``explode``, and every window partition is bounded by
+   ``block_rows + preceding + following`` rows.
+3. Windows run over ``block_window(keys)`` = ``partitionBy(_blk, keys)
    orderBy(_idx)``; ``core`` keeps each row once, in its home block.
 
-Frames computed this way equal the per-key global frames as long as no frame
+Frames computed this way equal the per-key global frames whenever no frame
 reaches further than the halo. Everything is a deterministic function of the
-data (no sampling, no partition ids), so re-executed or recovered tasks produce
-the same positions. ``order`` must be unique within ``keys``, as any ROWS frame
-requires for a deterministic answer.
+data (no sampling, no partition ids), so re-executed or recovered tasks
+produce the same positions. ``order`` must be unique within ``keys``, as any
+ROWS frame requires for a deterministic answer.
 
-``reindex`` turns the positions of a filtered subset back into a contiguous
-per-key index and count, reusing the block partitioning.
+An ``_idx`` column is only ever contiguous (a frame keeps it when it drops
+nothing or only a prefix/suffix of each key); operators that filter arbitrary
+rows drop it, and ``reindex`` rebuilds it from the block layout.
 """
 
 from __future__ import annotations
@@ -40,13 +43,13 @@ BLK = "_blk"
 HOME = "_home"
 IDX = "_idx"
 CNT = "_n"
-GPOS = IDX  # position column used for ordering inside a block
+GPOS = IDX
 DEFAULT_BLOCK_DAYS = 1024
 DEFAULT_BLOCK_SECONDS = 7 * 86400
 DEFAULT_BLOCK_UNITS = 1024
-DEFAULT_BLOCK_ROWS = None  # kept for call compatibility: blocks are buckets of the order value
+DEFAULT_BLOCK_ROWS = 4096
 
-_HELPERS = (BLK, HOME, IDX, CNT, "_s", "_e", "_bc", "_lrn", "_t")
+_HELPERS = (BLK, HOME, IDX, CNT, "_s", "_tb", "_bc", "_lrn")
 
 
 def _keys(keys: Sequence[str] | str) -> list[str]:
@@ -62,8 +65,7 @@ def bucket(df: DataFrame, order: str, block: float | None = None) -> Column:
         return F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / F.lit(width)).cast("long")
     if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
         width = block or DEFAULT_BLOCK_SECONDS
-        secs = F.unix_seconds(c.cast("timestamp"))
-        return F.floor(secs / F.lit(width)).cast("long")
+        return F.floor(F.unix_seconds(c.cast("timestamp")) / F.lit(width)).cast("long")
     width = block or DEFAULT_BLOCK_UNITS
     return F.floor(c.cast("double") / F.lit(float(width))).cast("long")
 
@@ -73,71 +75,42 @@ def index_rows(
     keys: Sequence[str] | str = ("symbol",),
     order: str = "date",
     block: float | None = None,
-    preceding: int = 0,
-    following: int = 0,
 ) -> DataFrame:
-    """Add ``_home``, ``_idx`` (0-based position within key), ``_n`` (key length).
-
-    Also carries the block start/end (``_s``/``_e``) and, when halos are
-    requested, the reachable neighbour blocks ``_nx``/``_pv`` used by
-    ``with_halo`` (one element in the usual case).
-    """
+    """Add ``_idx`` (0-based contiguous position within key) and ``_n`` (key length)."""
     keys = _keys(keys)
-    homed = df.withColumn(HOME, bucket(df, order, block))
-    summ = homed.groupBy(*keys, HOME).agg(F.count(F.lit(1)).alias("_bc"))
-    wk = Window.partitionBy(*keys).orderBy(HOME)
+    homed = df.withColumn("_tb", bucket(df, order, block))
+    summ = homed.groupBy(*keys, "_tb").agg(F.count(F.lit(1)).alias("_bc"))
+    wk = Window.partitionBy(*keys).orderBy("_tb")  # one row per key and bucket
     summ = summ.select(
         *keys,
-        HOME,
-        "_bc",
+        "_tb",
         F.coalesce(F.sum("_bc").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("bigint")).alias(
             "_s"
         ),
         F.sum("_bc").over(Window.partitionBy(*keys)).alias(CNT),
-    ).withColumn("_e", F.col("_s") + F.col("_bc") - 1)
-    extra = []
-    if preceding:
-        nx = F.collect_list(F.struct(F.col(HOME).alias("b"), F.col("_s").alias("p"))).over(
-            wk.rowsBetween(1, preceding)
-        )
-        summ = summ.withColumn("_nx", nx).withColumn(
-            "_nx", F.filter("_nx", lambda x: x["p"] <= F.col("_e") + F.lit(preceding))
-        )
-        extra.append("_nx")
-    if following:
-        pv = F.collect_list(F.struct(F.col(HOME).alias("b"), F.col("_e").alias("p"))).over(
-            wk.rowsBetween(-following, -1)
-        )
-        summ = summ.withColumn("_pv", pv).withColumn(
-            "_pv", F.filter("_pv", lambda x: x["p"] >= F.col("_s") - F.lit(following))
-        )
-        extra.append("_pv")
-    summ = summ.drop("_bc")
-    local = homed.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, HOME).orderBy(order)) - 1)
-    out = local.join(summ, [*keys, HOME])
-    return out.withColumn(IDX, F.col("_s") + F.col("_lrn")).drop("_lrn")
-
-
-def with_halo(indexed: DataFrame, preceding: int, following: int = 0) -> DataFrame:
-    """Core rows (``_blk = _home``) plus halo copies (``_blk`` = neighbour block)."""
-    cols = [c for c in indexed.columns if c not in ("_nx", "_pv")]
-    parts = [indexed.select(*cols, F.col(HOME).alias(BLK))]
+    )
+    local = homed.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, "_tb").orderBy(order)) - 1)
+    out = local.join(summ, [*keys, "_tb"])
+    return out.withColumn(IDX, F.col("_s") + F.col("_lrn")).drop("_tb", "_s", "_lrn")
+
+
+def with_halo(indexed: DataFrame, preceding: int, following: int = 0,
+              block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """Add ``_home`` (the row's block) and ``_blk`` (home, or a neighbour for halo copies)."""
+    if preceding > block_rows or following > block_rows:
+        raise ValueError("halo larger than a block; raise block_rows")
+    b = F.lit(int(block_rows))
+    home = F.floor(F.col(IDX) / b).cast("long")
+    pos = F.col(IDX) - F.col(HOME) * b
+    targets = [F.col(HOME)]
     if preceding:
-        tail = indexed.where(F.col(IDX) > F.col("_e") - F.lit(preceding))
-        tail = tail.select(*cols, F.explode("_nx").alias("_t")).where(
-            F.col(IDX) >= F.col("_t.p") - F.lit(preceding)
-        )
-        parts.append(tail.select(*cols, F.col("_t.b").alias(BLK)))
+        targets.append(F.when(pos >= F.lit(block_rows - preceding), F.col(HOME) + 1))
     if following:
-        head = indexed.where(F.col(IDX) < F.col("_s") + F.lit(following))
-        head = head.select(*cols, F.explode("_pv").alias("_t")).where(
-            F.col(IDX) <= F.col("_t.p") + F.lit(following)
-        )
-        parts.append(head.select(*cols, F.col("_t.b").alias(BLK)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        targets.append(F.when(pos < F.lit(following), F.col(HOME) - 1))
+    out = indexed.drop(*[c for c in (BLK, HOME) if c in indexed.columns]).withColumn(HOME, home)
+    if len(targets) == 1:
+        return out.withColumn(BLK, F.col(HOME))
+    return out.withColumn(BLK, F.explode(F.filter(F.array(*targets), lambda t: t.isNotNull())))
 
 
 def blocked(
@@ -147,12 +120,11 @@ def blocked(
     preceding: int = 0,
     following: int = 0,
     block: float | None = None,
-    block_rows=None,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
 ) -> DataFrame:
-    """``index_rows`` + ``with_halo`` in one call."""
-    if block is None and block_rows is not None:
-        block = block_rows
-    return with_halo(index_rows(df, keys, order, block, preceding, following), preceding, following)
+    """Index (unless ``df`` already carries a contiguous ``_idx``/``_n``) and add halos."""
+    base = df if (IDX in df.columns and CNT in df.columns) else index_rows(df, keys, order, block)
+    return with_halo(base, preceding, following, block_rows)
 
 
 def block_window(keys: Sequence[str] | str = ("symbol",)):
@@ -165,14 +137,15 @@ def core(df: DataFrame) -> DataFrame:
     return df.where(F.col(BLK) == F.col(HOME)).drop(HOME)
 
 
-def reindex(df: DataFrame, keys: Sequence[str] | str = ("symbol",)) -> DataFrame:
-    """Contiguous 0-based ``_idx`` and per-key count ``_n`` for the rows left in ``df``.
+def reindex(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str = "date") -> DataFrame:
+    """Contiguous ``_idx`` and per-key count ``_n`` for the rows left in ``df``.
 
-    ``df`` holds core rows with ``_blk``/``_idx`` (possibly filtered). Block
-    counts are a small aggregate; the local rank reuses the block partitioning.
+    ``df`` holds core rows with ``_blk`` (possibly filtered anywhere). Block
+    counts are a small aggregate; the local rank reuses the ``(_blk, keys)``
+    partitioning of the window pass that produced ``df``.
     """
     keys = _keys(keys)
-    base = df.drop(*[c for c in (CNT, "_s", "_e") if c in df.columns])
+    base = df.drop(*[c for c in (IDX, CNT, "_s") if c in df.columns])
     per_block = base.groupBy(*keys, BLK).agg(F.count(F.lit(1)).alias("_bc"))
     wk = Window.partitionBy(*keys).orderBy(BLK)
     offs = per_block.select(
@@ -183,7 +156,7 @@ def reindex(df: DataFrame, keys: Sequence[str] | str = ("symbol",)) -> DataFrame
         ),
         F.sum("_bc").over(Window.partitionBy(*keys)).alias(CNT),
     )
-    local = base.withColumn("_lrn", F.row_number().over(block_window(keys)) - 1)
+    local = base.withColumn("_lrn", F.row_number().over(Window.partitionBy(BLK, *keys).orderBy(order)) - 1)
     out = local.join(offs, [*keys, BLK])
     return out.withColumn(IDX, F.col("_s") + F.col("_lrn")).drop("_s", "_lrn")
 

@@ -122,11 +122,12 @@ def technical_features(
 
     With ``with_target`` the next bar's close is added as ``target`` (the last
     bar of each symbol has none and is dropped with the NULL rows).
-    Output keeps ``_idx``/``_blk`` so later steps can ``halo.reindex``.
+    Output keeps ``_blk`` so later steps can ``halo.reindex`` the surviving rows.
     """
     keys = list(keys)
     df = use_adjusted_close(bars) if adjusted and "adj_close" in bars.columns else bars
-    df = df.select(*keys, order, *[c for c in ("open", "high", "low", "close", "volume") if c in df.columns])
+    carry = [c for c in (halo.IDX, halo.CNT) if c in df.columns]  # reuse a contiguous index if present
+    df = df.select(*keys, order, *[c for c in ("open", "high", "low", "close", "volume") if c in df.columns], *carry)
     h = halo.blocked(df, keys, order, preceding=49, following=1 if with_target else 0, block=block)
     s = _Spec(keys)
     h = price_range_change(h)
@@ -151,9 +152,10 @@ def technical_features(
     h = halo.core(h.withColumns(cols))
     out_cols = [*keys, order, *[c for c in ("open", "high", "low", "close", "volume") if c in df.columns]]
     out_cols += FEATURE_OUT + (["target"] if with_target else [])
-    out = h.select(*out_cols, halo.IDX, halo.BLK)
+    out = h.select(*out_cols, halo.IDX, halo.CNT, halo.BLK)
     if drop_nulls:
-        out = out.na.drop("any", subset=out_cols)
+        # NULL rows can sit anywhere: positions are no longer contiguous, keep only the block
+        out = out.na.drop("any", subset=out_cols).drop(halo.IDX, halo.CNT)
     return out
 
 

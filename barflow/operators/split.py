@@ -16,11 +16,18 @@ from pyspark.sql import functions as F
 from barflow.operators import halo
 
 
-def with_position(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str = "date") -> DataFrame:
-    """Ensure ``_idx``/``_n`` (contiguous per key) exist for the rows of ``df``."""
-    if halo.BLK in df.columns and halo.IDX in df.columns:
-        return halo.reindex(df, keys)
-    return halo.index_rows(df, keys, order).drop("_s", "_e").withColumnRenamed(halo.HOME, halo.BLK)
+def with_position(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str = "date",
+                  fresh: bool = False) -> DataFrame:
+    """Ensure ``_idx``/``_n`` (contiguous per key, counting the rows of ``df``) exist.
+
+    Reuses them when present (``fresh=False``); a subset of rows (e.g. the
+    training rows) is renumbered from its block layout, or indexed anew.
+    """
+    if not fresh and halo.IDX in df.columns and halo.CNT in df.columns:
+        return df
+    if halo.BLK in df.columns:
+        return halo.reindex(df, keys, order)
+    return halo.index_rows(df.drop(*[c for c in (halo.IDX, halo.CNT) if c in df.columns]), keys, order)
 
 
 def chrono_split(df: DataFrame, frac: float = 0.8, keys: Sequence[str] = ("symbol",), order: str = "date",
@@ -48,5 +55,5 @@ def subtract_split(df: DataFrame, train: DataFrame) -> DataFrame:
 
 def time_folds(df: DataFrame, k: int = 3, keys=("symbol",), order: str = "date", col: str = "fold") -> DataFrame:
     """Contiguous time blocks per key: ``fold = floor(_idx * k / _n)`` (int)."""
-    p = with_position(df, keys, order)
+    p = with_position(df, keys, order, fresh=True)
     return p.withColumn(col, F.floor(F.col(halo.IDX) * F.lit(k) / F.col(halo.CNT)).cast("int"))

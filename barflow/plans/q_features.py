@@ -158,7 +158,7 @@ def q_next_close_target(spark, sf):
 def q_technical_features_lin(spark, sf):
     from barflow.operators.sequences import derive_open
 
-    b = derive_open(src.lin_bars(spark, sf))
+    b = derive_open(src.lin_bars(spark, sf), keep_index=True)
     return rounded(halo.drop_helpers(ind.technical_features(b, adjusted=False)))
 
 
@@ -171,7 +171,7 @@ FROM b""",
 )
 def q_halo_sma_50(spark, sf):
     b = ind.use_adjusted_close(src.ord_bars(spark, sf))
-    h = halo.blocked(b, ["symbol"], "date", preceding=49, block=40)
+    h = halo.blocked(b, ["symbol"], "date", preceding=49, block=40, block_rows=64)
     w = halo.block_window(["symbol"])
     h = h.withColumns(
         {"ma_50": F.avg("close").over(w.rowsBetween(-49, 0)), "diff_1": F.col("close") - F.lag("close", 1).over(w)}

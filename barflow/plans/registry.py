@@ -39,14 +39,24 @@ def register(name: str, sql: str | None = None, ops: str = ""):
 
 
 def round4(c) -> "F.Column":
-    """``floor(x * 1e4 + 0.501) / 1e4`` in IEEE doubles; the oracle SQL uses the same formula.
-
-    Prices with two decimals averaged over 8, 16, 24 ... rows land exactly on a
-    5th-decimal tie, where the two engines' last-bit differences would round
-    apart. Moving the boundary to ...4990 keeps such exact ties away from it.
+    """Output rounding shared with the oracle SQL (``r4``), in plain IEEE doubles.
+
+    * ``|x| < 1e6``: ``floor(x * 1e4 + 0.501) / 1e4``. Prices with two decimals
+      averaged over 8, 16, 24 ... rows land exactly on a 5th-decimal tie, where
+      last-bit differences between engines would round apart; the boundary is
+      moved to ...4990, away from such exact ties.
+    * larger values: 10 significant digits (summation order moves the 4th
+      decimal of a 1e10 sum), scaled by exact powers of ten.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.when(F.isnan(c), c).otherwise(F.floor(c * F.lit(10000.0) + F.lit(0.501)).cast("double") / F.lit(10000.0))
+    small = F.floor(c * F.lit(10000.0) + F.lit(0.501)).cast("double") / F.lit(10000.0)
+    k = F.lit(9) - F.floor(F.log10(F.abs(c)))
+    up = F.pow(F.lit(10.0), k.cast("double"))
+    down = F.pow(F.lit(10.0), (-k).cast("double"))
+    big = F.when(k >= 0, F.floor(c * up + F.lit(0.501)).cast("double") / up).otherwise(
+        F.floor(c / down + F.lit(0.501)).cast("double") * down
+    )
+    return F.when(F.isnan(c) | c.isNull(), c).when(F.abs(c) < F.lit(1e6), small).otherwise(big)
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
@@ -70,4 +80,11 @@ def frame(n: int, symbol_cols: str = "symbol", order: str = "date") -> str:
 
 
 def r4(expr: str, alias: str) -> str:
-    return f"floor(({expr}) * 10000.0 + 0.501) / 10000.0 AS {alias}"
+    """SQL twin of ``round4``."""
+    x = f"({expr})"
+    k = f"(9 - floor(log10(abs({x}))))"
+    big = (
+        f"CASE WHEN {k} >= 0 THEN floor({x} * pow(10.0, {k}) + 0.501) / pow(10.0, {k}) "
+        f"ELSE floor({x} / pow(10.0, -{k}) + 0.501) * pow(10.0, -{k}) END"
+    )
+    return f"CASE WHEN abs({x}) < 1e6 THEN floor({x} * 10000.0 + 0.501) / 10000.0 ELSE {big} END AS {alias}"
