@@ -6,9 +6,21 @@ from pyspark.sql import functions as F
 
 from barflow.operators import halo, indicators as ind
 from barflow.plans.registry import frame, part, r4, register, rounded
+from barflow.session import materialize
 from barflow.sources import bars as src
 
 ORD = f"bars AS ({src.ORD_BARS_SQL})"
+
+
+def ord_adj(spark, sf):
+    """F-ORD bars with the adjusted close, ingested once as a table."""
+    return materialize(ind.use_adjusted_close(src.ord_bars(spark, sf)), "ord-adj")
+
+
+def lin(spark, sf):
+    """F-LIN bars ingested once as a table."""
+    return materialize(src.lin_bars(spark, sf), "lin-bars")
+
 ADJ = "b AS (SELECT symbol, date, open, high, low, adj_close AS close, volume FROM bars)"
 LIN = f"b AS ({src.LIN_BARS_SQL})"
 
@@ -53,7 +65,7 @@ SELECT symbol, date, {r4(f"avg(close) {frame(10)}", "ma_10")}, {r4(f"avg(close)
     ops="W1 W2",
 )
 def q_sma_10_50(spark, sf):
-    out = ind.moving_averages(src.lin_bars(spark, sf), (10, 50))
+    out = ind.moving_averages(lin(spark, sf), (10, 50))
     return rounded(out.select("symbol", "date", "ma_10", "ma_50"))
 
 
@@ -67,8 +79,7 @@ SELECT symbol, date, {r4("100 - 100 / (1 + ag / nullif(al, 0))", "rsi")} FROM g"
 
 @register("rsi_14", sql=_RSI_SQL, ops="W3 W4 W5 W6")
 def q_rsi_14(spark, sf):
-    b = ind.use_adjusted_close(src.ord_bars(spark, sf))
-    return rounded(ind.rsi(b, 14).select("symbol", "date", "rsi"))
+    return rounded(ind.rsi(ord_adj(spark, sf), 14).select("symbol", "date", "rsi"))
 
 
 @register(
@@ -80,7 +91,7 @@ SELECT symbol, date, {r4("m", "ma_20")}, {r4("sd", "std_20")}, {r4("m + 2 * sd",
     ops="W7",
 )
 def q_bollinger_20(spark, sf):
-    out = ind.bollinger(src.lin_bars(spark, sf), 20, 2.0)
+    out = ind.bollinger(lin(spark, sf), 20, 2.0)
     return rounded(out.select("symbol", "date", "ma_20", "std_20", "upper_bb", "lower_bb"))
 
 
@@ -93,14 +104,12 @@ SELECT symbol, date, {r4("ll", "lowest_low")}, {r4("hh", "highest_high")},
 
 @register("stoch_mean_14", sql=_stoch_sql("avg", "avg"), ops="W8 (mean, parity)")
 def q_stoch_mean_14(spark, sf):
-    b = ind.use_adjusted_close(src.ord_bars(spark, sf))
-    return rounded(ind.stochastic(b, 14, "mean").select("symbol", "date", "lowest_low", "highest_high", "stoch_osc"))
+    return rounded(ind.stochastic(ord_adj(spark, sf), 14, "mean").select("symbol", "date", "lowest_low", "highest_high", "stoch_osc"))
 
 
 @register("stoch_minmax_14", sql=_stoch_sql("min", "max"), ops="W8 (min/max, textbook)")
 def q_stoch_minmax_14(spark, sf):
-    b = ind.use_adjusted_close(src.ord_bars(spark, sf))
-    return rounded(ind.stochastic(b, 14, "minmax").select("symbol", "date", "lowest_low", "highest_high", "stoch_osc"))
+    return rounded(ind.stochastic(ord_adj(spark, sf), 14, "minmax").select("symbol", "date", "lowest_low", "highest_high", "stoch_osc"))
 
 
 def features_sql(with_target: bool = False, bars_cte: str = ORD, adj_cte: str = ADJ) -> str:
@@ -136,7 +145,7 @@ FEATURE_SELECT = ", ".join(
 
 @register("technical_features", sql=f"WITH {features_sql()} SELECT {FEATURE_SELECT} FROM feat", ops="W14 W13 P8 W1-W8")
 def q_technical_features(spark, sf):
-    return rounded(halo.drop_helpers(ind.technical_features(src.ord_bars(spark, sf))))
+    return rounded(halo.drop_helpers(ind.technical_features(ord_adj(spark, sf))))
 
 
 @register(
@@ -145,7 +154,7 @@ def q_technical_features(spark, sf):
     ops="W9",
 )
 def q_next_close_target(spark, sf):
-    return rounded(halo.drop_helpers(ind.technical_features(src.ord_bars(spark, sf), with_target=True)))
+    return rounded(halo.drop_helpers(ind.technical_features(ord_adj(spark, sf), with_target=True)))
 
 
 @register(
@@ -158,7 +167,7 @@ def q_next_close_target(spark, sf):
 def q_technical_features_lin(spark, sf):
     from barflow.operators.sequences import derive_open
 
-    b = derive_open(src.lin_bars(spark, sf), keep_index=True)
+    b = derive_open(lin(spark, sf), keep_index=True)
     return rounded(halo.drop_helpers(ind.technical_features(b, adjusted=False)))
 
 
@@ -170,7 +179,7 @@ FROM b""",
     ops="halo-blocked window with small blocks (every series crosses many block edges)",
 )
 def q_halo_sma_50(spark, sf):
-    b = ind.use_adjusted_close(src.ord_bars(spark, sf))
+    b = ord_adj(spark, sf)
     h = halo.blocked(b, ["symbol"], "date", preceding=49, block=40, block_rows=64)
     w = halo.block_window(["symbol"])
     h = h.withColumns(

@@ -9,7 +9,8 @@ from barflow.operators import ensemble as en, metrics as mt, regress as rg, sequ
 from barflow.operators import indicators as ind
 from barflow.plans.q_model import model_table
 from barflow.plans.registry import register, rounded
-from barflow.session import ensure_checkpoint_dir, scratch_path
+from barflow.plans.q_features import ord_adj
+from barflow.session import materialize, scratch_path
 from barflow.sources import bars as src
 from barflow.sources.schema import FEATURE_COLS
 
@@ -21,11 +22,10 @@ def ml_table(spark, sf):
 
     Spark ML makes many passes (scaler fit, solver iterations, one fit per grid
     map and fold, evaluations); without the cut each pass would rerun the
-    windowed feature build. ``checkpoint`` writes reliably to
-    ``spark.checkpoint.dir`` and survives executor loss.
+    windowed feature build. The table is written once under
+    ``spark.checkpoint.dir`` (shared storage) and survives executor loss.
     """
-    ensure_checkpoint_dir(spark)
-    return model_table(spark, sf).checkpoint(eager=True)
+    return materialize(model_table(spark, sf), "model-table")
 
 
 def _train_test(spark, sf):
@@ -72,10 +72,9 @@ def q_grid_search_fit(spark, sf):
 
 
 def _seq_sets(spark, sf):
-    b = ind.use_adjusted_close(src.ord_bars(spark, sf))
+    b = ord_adj(spark, sf)
     seqs = sq.lookback_sequences(b, "close", SEQ_LOOK_BACK)
-    ensure_checkpoint_dir(spark)
-    s = sp.chrono_split(seqs).checkpoint(eager=True)
+    s = materialize(sp.chrono_split(seqs), "seq-table")
     return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barflow.functions.dates import future_dates
 from barflow.operators import halo, indicators as ind, metrics as mt, scale as sc, sequences as sq, split as sp
-from barflow.plans.q_features import ADJ, LIN, ORD, features_sql
+from barflow.plans.q_features import ADJ, LIN, ORD, features_sql, lin, ord_adj
 from barflow.plans.registry import frame, part, r4, register, rounded
 from barflow.sources import bars as src
 
@@ -21,7 +21,7 @@ sp AS (SELECT *, CASE WHEN idx < floor(0.8 * n) THEN 'train' ELSE 'test' END AS
 
 def model_table(spark, sf):
     """Features + target for F-ORD, chronologically split per symbol."""
-    return sp.chrono_split(ind.technical_features(src.ord_bars(spark, sf), with_target=True))
+    return sp.chrono_split(ind.technical_features(ord_adj(spark, sf), with_target=True))
 
 
 @register("chrono_split", sql=f"WITH {SPLIT_CTE} SELECT symbol, date, split FROM sp", ops="U3 U4")
@@ -75,7 +75,7 @@ def q_time_folds(spark, sf):
     ops="W10",
 )
 def q_first_difference(spark, sf):
-    d = sq.difference(ind.use_adjusted_close(src.ord_bars(spark, sf)), "close", 1)
+    d = sq.difference(ord_adj(spark, sf), "close", 1)
     return rounded(d.select("symbol", "date", "diff_1"))
 
 
@@ -87,7 +87,7 @@ def q_first_difference(spark, sf):
     ops="W10 (order d)",
 )
 def q_second_difference(spark, sf):
-    d = sq.difference(ind.use_adjusted_close(src.ord_bars(spark, sf)), "close", 2)
+    d = sq.difference(ord_adj(spark, sf), "close", 2)
     return rounded(d.select("symbol", "date", "diff_2"))
 
 
@@ -102,13 +102,13 @@ SELECT symbol, date, {", ".join(f"x_{i + 1}" for i in range(LOOK_BACK))}, y FROM
 
 @register("lookback_sequences", sql=_lookback_sql(False), ops="W11 J4")
 def q_lookback_sequences(spark, sf):
-    s = sq.lookback_sequences(src.lin_bars(spark, sf), "close", LOOK_BACK)
+    s = sq.lookback_sequences(lin(spark, sf), "close", LOOK_BACK)
     return rounded(sq.sequences_to_columns(s, LOOK_BACK))
 
 
 @register("lookback_drop_last", sql=_lookback_sql(True), ops="W12")
 def q_lookback_drop_last(spark, sf):
-    s = sq.lookback_sequences(src.lin_bars(spark, sf), "close", LOOK_BACK, drop_last=True)
+    s = sq.lookback_sequences(lin(spark, sf), "close", LOOK_BACK, drop_last=True)
     return rounded(sq.sequences_to_columns(s, LOOK_BACK))
 
 

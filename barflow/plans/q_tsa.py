@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from barflow.operators import indicators as ind, tsa
-from barflow.plans.q_features import ADJ, LIN, ORD
+from barflow.plans.q_features import ADJ, LIN, ORD, lin, ord_adj
 from barflow.plans.registry import part, r4, register, rounded
 from barflow.sources import bars as src
 
@@ -31,7 +31,7 @@ SELECT symbol, CAST(lag AS INTEGER) AS lag, {r4("acf", "acf")},
 
 
 def _acf_df(spark, sf):
-    return tsa.acf(src.lin_bars(spark, sf), "close", NLAGS, d=1)
+    return tsa.acf(lin(spark, sf), "close", NLAGS, d=1)
 
 
 @register("acf_40", sql=_acf_sql(), ops="A13 (differenced series, Bartlett band)")
@@ -65,37 +65,37 @@ SELECT symbol, n, {r4("adf_stat", "adf_stat")}, {r4(_crit_sql("1%"), "crit_1")},
     ops="A15 (no augmentation lags)",
 )
 def q_adf_lag0(spark, sf):
-    return rounded(tsa.adf_lag0(ind.use_adjusted_close(src.ord_bars(spark, sf))))
+    return rounded(tsa.adf_lag0(ord_adj(spark, sf)))
 
 
 @register("adf_auto", ops="A15 (AIC lag choice, Schwert max lag)")
 def q_adf_auto(spark, sf):
-    return rounded(tsa.adf(ind.use_adjusted_close(src.ord_bars(spark, sf))))
+    return rounded(tsa.adf(ord_adj(spark, sf)))
 
 
 @register("adf_auto_diff", ops="A15 on the first difference (W10 -> A15)")
 def q_adf_auto_diff(spark, sf):
     from barflow.operators.sequences import difference
 
-    d = difference(ind.use_adjusted_close(src.ord_bars(spark, sf)), "close", 1, out="close_diff")
+    d = difference(ord_adj(spark, sf), "close", 1, out="close_diff")
     return rounded(tsa.adf(d, "close_diff"))
 
 
 @register("arma_fit", ops="M9 (Hannan-Rissanen, order 6,1,6)")
 def q_arma_fit(spark, sf):
-    return rounded(tsa.arma_fit(ind.use_adjusted_close(src.ord_bars(spark, sf)), "close", (6, 1, 6)))
+    return rounded(tsa.arma_fit(ord_adj(spark, sf), "close", (6, 1, 6)))
 
 
 @register("arma_order_grid", ops="A16 (p, q in 1..6, d = 0, AIC)")
 def q_arma_order_grid(spark, sf):
-    return rounded(tsa.arma_order_grid(ind.use_adjusted_close(src.ord_bars(spark, sf)), "close"))
+    return rounded(tsa.arma_order_grid(ord_adj(spark, sf), "close"))
 
 
 @register("arma_insample", ops="M10")
 def q_arma_insample(spark, sf):
-    return rounded(tsa.arma_predict(ind.use_adjusted_close(src.ord_bars(spark, sf)), "close", (6, 1, 6)))
+    return rounded(tsa.arma_predict(ord_adj(spark, sf), "close", (6, 1, 6)))
 
 
 @register("arma_forecast_30", ops="M11 F12 F9")
 def q_arma_forecast_30(spark, sf):
-    return rounded(tsa.arma_forecast(ind.use_adjusted_close(src.ord_bars(spark, sf)), "close", (6, 1, 6), 30))
+    return rounded(tsa.arma_forecast(ord_adj(spark, sf), "close", (6, 1, 6), 30))

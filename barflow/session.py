@@ -62,3 +62,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    Used where a derived table (e.g. bars aggregated from ticks) feeds several
+    passes: the index's count pass and its main pass, or Spark ML's many
+    passes. One computation, lineage cut, and the files survive executor loss.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
