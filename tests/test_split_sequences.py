@@ -69,3 +69,17 @@ def test_inverse_scale_roundtrip(spark):
 def test_time_folds_are_contiguous(spark):
     f = sp.time_folds(_series(spark, {"a": 9}), 3).toPandas().sort_values("date")
     assert f["fold"].tolist() == [0, 0, 0, 1, 1, 1, 2, 2, 2]
+
+
+def test_scale_and_save_writes_three_tables(spark):
+    from barflow.session import scratch_path
+
+    df = _series(spark, {"a": 20, "b": 10})
+    s = sp.chrono_split(df)
+    out = scratch_path(spark, "t-scale")
+    tr, te, stats = sc.scale_and_save(spark, s.where(F.col("split") == "train"), s.where(F.col("split") == "test"),
+                                      ["close"], out)
+    assert spark.read.parquet(f"{out}/scaler").count() == 2
+    assert spark.read.parquet(f"{out}/train").count() + spark.read.parquet(f"{out}/test").count() == 30
+    vals = spark.read.parquet(f"{out}/train").toPandas()["close_scaled"]
+    assert vals.between(0, 1).all()
