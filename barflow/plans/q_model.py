@@ -170,7 +170,7 @@ def q_regression_metrics(spark, sf):
 
 _OLS_CTE = f"""{SPLIT_CTE},
 o AS (SELECT symbol, regr_slope(target, close) AS slope, regr_intercept(target, close) AS intercept,
-        regr_r2(target, close) AS r2, regr_count(target, close) AS n FROM sp WHERE split = 'train' GROUP BY symbol)"""
+        regr_r2(target, close) AS r2, CAST(regr_count(target, close) AS BIGINT) AS n FROM sp WHERE split = 'train' GROUP BY symbol)"""
 
 
 @register(
