@@ -65,31 +65,36 @@ def param_grid(lr: LinearRegression, reg=REG_PARAMS, enet=ELASTIC_NET_PARAMS, it
 def cross_validate(train: DataFrame, features: Sequence[str] = FEATURE_COLS, label: str = "target",
                    fold_col: str | None = "fold", num_folds: int = 3, seed: int = 42, parallelism: int = 4,
                    metric: str = "rmse", dedupe: bool = False):
-    """k-fold CV over the regression grid; returns the fitted ``CrossValidatorModel``.
+    """k-fold CV of the regression over the grid; returns ``(model, grid, lr)``.
 
-    With ``fold_col`` (int fold ids, e.g. from ``split.time_folds``) the folds are
-    the given time blocks; otherwise random folds with an explicit seed.
+    As in the reference, the assembler and min-max scaler are fitted once on the
+    training rows and only the regression is cross-validated; ``model`` is a
+    ``PipelineModel`` (assembler, scaler, best regression refitted on all rows).
+    With ``fold_col`` (int fold ids, e.g. from ``split.time_folds``) the folds
+    are those time blocks; otherwise random folds with an explicit seed.
     """
-    pipe, lr = lr_pipeline(features, label)
+    prep = Pipeline(stages=lr_pipeline(features, label)[0].getStages()[:-1]).fit(train)
+    lr = LinearRegression(featuresCol="scaled_features", labelCol=label, predictionCol="prediction")
     grid = param_grid(lr, dedupe=dedupe)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, evaluator=ev, parallelism=parallelism,
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, parallelism=parallelism,
                         collectSubModels=False, seed=seed)
-    if fold_col:
-        cv = cv.setFoldCol(fold_col)
-    else:
-        cv = cv.setNumFolds(num_folds)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cv = cv.setFoldCol(fold_col) if fold_col else cv.setNumFolds(num_folds)
+    cols = ["scaled_features", label] + ([fold_col] if fold_col else [])
+    cached = prep.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = cv.fit(cached)
+        cv_model = cv.fit(cached)
     finally:
         cached.unpersist()
+    model = PipelineModel(stages=[*prep.stages, cv_model.bestModel])
+    model.avgMetrics = list(cv_model.avgMetrics)  # kept for best_params
+    model.isLargerBetter = ev.isLargerBetter()
     return model, grid, lr
 
 
 def best_params(cv_model, grid, lr: LinearRegression) -> dict:
     metrics = list(cv_model.avgMetrics)
-    larger = cv_model.getEvaluator().isLargerBetter()
+    larger = cv_model.isLargerBetter
     best = max(range(len(metrics)), key=lambda i: metrics[i]) if larger else min(range(len(metrics)), key=lambda i: metrics[i])
     m = grid[best]
     return {
@@ -102,8 +107,10 @@ def best_params(cv_model, grid, lr: LinearRegression) -> dict:
 
 def grid_search(train: DataFrame, valid: DataFrame, test: DataFrame, features: Sequence[str] = FEATURE_COLS,
                 label: str = "target", metric: str = "rmse"):
-    """Fit every grid map on ``train``, pick by ``valid`` (honouring larger-is-better),
-    report train/test metrics of the chosen model. Returns ``(model, params, metrics)``."""
+    """Fit every grid map on ``train``, pick by ``valid`` (honouring larger-is-better).
+
+    Returns ``(model, params)``; callers score train/test with ``predictions``.
+    """
     pipe, lr = lr_pipeline(features, label)
     grid = param_grid(lr)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)

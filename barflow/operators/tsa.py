@@ -67,19 +67,27 @@ def acf(df: DataFrame, col: str = "close", nlags: int = 40, d: int = 0, keys: Se
 
     ``acf_k = sum_t (v_t - m)(v_{t-k} - m) / sum_t (v_t - m)^2`` over the (d-times
     differenced) series v; ``conf_band`` is z times Bartlett's standard error.
+    The mean comes from a narrow aggregate of the input (for d = 1 the
+    differences telescope to ``(last - first) / (n - 1)``), so the lag window
+    runs once.
     """
     keys = list(keys)
     s = _series(df, col, keys, order)
-    h = halo.blocked(s, keys, order, preceding=nlags + d, block=block)
+    if d == 0:
+        mean = s.groupBy(*keys).agg(F.avg(col).alias("_m"), F.count(F.lit(1)).alias("n"))
+    elif d == 1:
+        cnt = F.count(F.lit(1)) - 1
+        mean = s.groupBy(*keys).agg(
+            F.try_divide(F.max_by(col, order) - F.min_by(col, order), cnt).alias("_m"), cnt.alias("n")
+        )
+    else:
+        raise ValueError("d must be 0 or 1")
+    h = halo.blocked(s.join(mean, keys), keys, order, preceding=nlags + d, block=block)
     w = halo.block_window(keys)
-    h = h.withColumns({f"_v{k}": _vlag(col, k, d, w) for k in range(nlags + 1)})
-    v = halo.core(h)
-    mean = v.groupBy(*keys).agg(F.avg("_v0").alias("_m"), F.count("_v0").alias("n"))
-    j = v.join(mean, keys)
-    zc = F.col("_v0") - F.col("_m")
-    sums = j.groupBy(*keys).agg(
-        F.max("n").alias("n"),
-        *[F.sum(zc * (F.col(f"_v{k}") - F.col("_m"))).alias(f"_s{k}") for k in range(nlags + 1)],
+    zc = _vlag(col, 0, d, w) - F.col("_m")
+    h = h.withColumns({f"_p{k}": zc * (_vlag(col, k, d, w) - F.col("_m")) for k in range(nlags + 1)})
+    sums = halo.core(h).groupBy(*keys).agg(
+        F.max("n").alias("n"), *[F.sum(f"_p{k}").alias(f"_s{k}") for k in range(nlags + 1)]
     )
     parts = ", ".join(f"{k}, _s{k} / _s0" for k in range(nlags + 1))
     long = sums.selectExpr(*keys, "n", f"stack({nlags + 1}, {parts}) AS (lag, acf)")
@@ -183,10 +191,13 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
         maxlag: int | None = None, autolag: str | None = "AIC", block=None) -> DataFrame:
     """Augmented Dickey-Fuller test per key (constant, no trend).
 
-    Lag length by AIC over 0..maxlag on a common sample, then a refit with the
-    chosen lag on all rows it allows. ``maxlag`` defaults to Schwert's rule on
-    each key's length. Output: ``keys, adf_stat, used_lag, n_obs, crit_1,
-    crit_5, crit_10, stationary_5, ic_best``.
+    Lag length by AIC (or BIC) over 0..maxlag on the common sample, then a
+    refit with the chosen lag on every row it allows. ``maxlag`` defaults to
+    Schwert's rule on each key's length. One lag window and one Gram pass: the
+    Gram sums are kept per "sample-start segment" (each of a key's first
+    ``cap`` rows alone, the rest together), so every sample the search and the
+    refit need is a suffix sum of segments. Output: ``keys, adf_stat, used_lag,
+    n_obs, crit_1, crit_5, crit_10, stationary_5, ic_best``.
     """
     keys = list(keys)
     s = _series(df, col, keys, order)
@@ -200,73 +211,66 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
     cols = {"_ylag": F.lag(col, 1).over(w), "_dy0": _vlag(col, 0, 1, w)}
     cols.update({f"_dy{j}": _vlag(col, j, 1, w) for j in range(1, kmax + 1)})
     v = halo.core(h.withColumns(cols))
-    # per-key lag cap (Schwert on the key's own length) unless maxlag is fixed
     n_key = F.col(halo.CNT)
     if maxlag is None:
-        cap = F.least(
-            F.floor(n_key / 2) - 2,
-            F.ceil(F.lit(12.0) * F.pow(n_key.cast("double") / 100.0, 0.25)),
-        ).cast("int")
+        cap = F.least(F.floor(n_key / 2) - 2, F.ceil(F.lit(12.0) * F.pow(n_key.cast("double") / 100.0, 0.25)))
     else:
-        cap = F.lit(kmax)
-    v = v.withColumn("_cap", F.greatest(cap, F.lit(0)))
-    one = F.lit(1.0)
-    masked = [F.when(F.lit(j) <= F.col("_cap"), F.col(f"_dy{j}")).otherwise(F.lit(0.0)) for j in range(1, kmax + 1)]
-    xs = [one, F.col("_ylag"), *masked]
-    names = ["const", "ylag", *[f"dy{j}" for j in range(1, kmax + 1)]]
-    # common sample: the key's first `cap + 1` rows cannot carry every lag
-    g1 = gm.gram(v, [*keys, "_cap"], xs, F.col("_dy0"), where=F.col(halo.IDX) >= F.col("_cap") + 1)
-    k = len(names)
-
-    pick_schema = ", ".join(f"{c} {v.schema[c].dataType.simpleString()}" for c in keys) + ", _lag int, ic_best double"
+        cap = F.least(F.lit(kmax), F.floor(n_key / 2) - 2)
+    v = v.withColumn("_cap", F.greatest(cap, F.lit(0)).cast("int"))
+    v = v.withColumn("_seg", F.least(F.col(halo.IDX), F.col("_cap") + 1).cast("int"))
+    lags = [
+        F.when(F.lit(j) <= F.col("_cap"), F.coalesce(F.col(f"_dy{j}"), F.lit(0.0))).otherwise(F.lit(0.0))
+        for j in range(1, kmax + 1)
+    ]
+    g = gm.gram(v, [*keys, "_cap", "_seg"], [F.lit(1.0), F.col("_ylag"), *lags], F.col("_dy0"),
+                where=F.col(halo.IDX) >= 1)
+    packed = g.groupBy(*keys, "_cap").agg(F.collect_list(F.struct("_seg", "g", "n")).alias("_segs"))  # <= cap + 2
+    k = kmax + 2
+    out_schema = ", ".join(f"{c} {v.schema[c].dataType.simpleString()}" for c in keys)
+    out_schema += ", adf_stat double, used_lag int, n_obs long, ic_best double"
+    crit = (autolag or "").upper()
 
-    def pick(batches):
+    def run(batches):
         for pdf in batches:
             rows = []
             for _, r in pdf.iterrows():
-                xtx, xty, yty = gm.unpack(r["g"], k)
-                n = int(r["n"])
-                best = None
-                if autolag is None:
-                    best = (float("nan"), int(r["_cap"]))
-                else:
-                    for p in range(0, int(r["_cap"]) + 1):
+                capv = int(r["_cap"])
+                segs = {}
+                for e in r["_segs"]:
+                    xtx, xty, yty = gm.unpack(e["g"], k)
+                    segs[int(e["_seg"])] = (xtx, xty, yty, int(e["n"]))
+
+                def suffix(start):
+                    parts = [segs[t] for t in segs if t >= start]
+                    return (sum(p_[0] for p_ in parts), sum(p_[1] for p_ in parts), sum(p_[2] for p_ in parts),
+                            sum(p_[3] for p_ in parts))
+
+                best = (float("nan"), capv)
+                if crit in ("AIC", "BIC"):
+                    cxtx, cxty, cyty, cn = suffix(capv + 1)
+                    best = None
+                    for p in range(0, capv + 1):
                         idx = list(range(2 + p))
-                        _, _, ssr = gm.ols_from_gram(xtx, xty, yty, n, idx)
-                        ic = gm.aic_ls(ssr, n, len(idx))
-                        if autolag.upper() == "BIC":
-                            ic = ic - 2 * len(idx) + math.log(n) * len(idx)
+                        _, _, ssr = gm.ols_from_gram(cxtx, cxty, cyty, cn, idx)
+                        ic = gm.aic_ls(ssr, cn, len(idx))
+                        if crit == "BIC":
+                            ic = ic - 2 * len(idx) + math.log(cn) * len(idx)
                         if best is None or ic < best[0]:
                             best = (ic, p)
-                rows.append({**{c: r[c] for c in keys}, "_lag": best[1], "ic_best": best[0]})
-            yield pd.DataFrame(rows, columns=[*keys, "_lag", "ic_best"])
-
-    chosen = g1.mapInPandas(pick, pick_schema)
-    v2 = v.join(chosen, keys)
-    masked2 = [F.when(F.lit(j) <= F.col("_lag"), F.col(f"_dy{j}")).otherwise(F.lit(0.0)) for j in range(1, kmax + 1)]
-    g2 = gm.gram(v2, [*keys, "_lag", "ic_best"], [one, F.col("_ylag"), *masked2], F.col("_dy0"),
-                 where=F.col(halo.IDX) >= F.col("_lag") + 1)
-    out_schema = ", ".join(f"{c} {v.schema[c].dataType.simpleString()}" for c in keys)
-    out_schema += ", adf_stat double, used_lag int, n_obs long, ic_best double"
-
-    def final(batches):
-        for pdf in batches:
-            rows = []
-            for _, r in pdf.iterrows():
-                xtx, xty, yty = gm.unpack(r["g"], k)
-                p = int(r["_lag"])
-                idx = list(range(2 + p))
-                beta, se, _ = gm.ols_from_gram(xtx, xty, yty, int(r["n"]), idx)
-                rows.append({**{c: r[c] for c in keys}, "adf_stat": float(beta[1] / se[1]) if se[1] > 0 else float("nan"),
-                             "used_lag": p, "n_obs": int(r["n"]), "ic_best": float(r["ic_best"])})
+                p = best[1]
+                xtx, xty, yty, n = suffix(p + 1)
+                beta, se, _ = gm.ols_from_gram(xtx, xty, yty, n, list(range(2 + p)))
+                stat = float(beta[1] / se[1]) if se[1] > 0 else float("nan")
+                rows.append({**{c: r[c] for c in keys}, "adf_stat": stat, "used_lag": p, "n_obs": n,
+                             "ic_best": float(best[0])})
             yield pd.DataFrame(rows, columns=[*keys, "adf_stat", "used_lag", "n_obs", "ic_best"])
 
-    res = g2.mapInPandas(final, out_schema)
-    crit = adf_critical(F.col("n_obs"))
+    res = packed.mapInPandas(run, out_schema)
+    crit_v = adf_critical(F.col("n_obs"))
     return res.select(
         *keys, "adf_stat", "used_lag", "n_obs",
-        crit["1%"].alias("crit_1"), crit["5%"].alias("crit_5"), crit["10%"].alias("crit_10"),
-        (F.col("adf_stat") < crit["5%"]).alias("stationary_5"), "ic_best",
+        crit_v["1%"].alias("crit_1"), crit_v["5%"].alias("crit_5"), crit_v["10%"].alias("crit_10"),
+        (F.col("adf_stat") < crit_v["5%"]).alias("stationary_5"), "ic_best",
     )
 
 

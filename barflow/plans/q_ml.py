@@ -52,7 +52,7 @@ def _cv(spark, sf):
 def q_lr_cv_best(spark, sf):
     cv_model, grid, lr, _, test = _cv(spark, sf)
     best = rg.best_params(cv_model, grid, lr)
-    pred = rg.predictions(cv_model.bestModel, test, "target", "lr_cv", "test")
+    pred = rg.predictions(cv_model, test, "target", "lr_cv", "test")
     m = mt.regression_metrics(pred, group=["model", "split"])
     return rounded(m.withColumns({k: F.lit(v) for k, v in best.items()}))
 

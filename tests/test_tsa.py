@@ -93,3 +93,43 @@ def test_order_grid_has_one_best_per_symbol(spark, sims):
     g = tsa.arma_order_grid(sims, "close", range(1, 3), range(1, 3)).toPandas()
     assert len(g) == 8
     assert g.groupby("symbol")["best"].sum().tolist() == [1, 1]
+
+
+def _adf_bruteforce(x: np.ndarray):
+    """Textbook ADF with constant: AIC over 0..maxlag on a common sample, refit on all usable rows."""
+    n = len(x)
+    maxlag = min(n // 2 - 2, int(np.ceil(12.0 * (n / 100.0) ** 0.25)))
+    dx = np.diff(x)
+
+    def design(p, start):
+        rows = range(start, len(dx))
+        X = np.array([[1.0, x[t]] + [dx[t - j] for j in range(1, p + 1)] for t in rows])
+        y = np.array([dx[t] for t in rows])
+        return X, y
+
+    best = None
+    for p in range(maxlag + 1):
+        X, y = design(p, maxlag)
+        beta, *_ = np.linalg.lstsq(X, y, rcond=None)
+        ssr = float(np.sum((y - X @ beta) ** 2))
+        m = len(y)
+        aic = m * (np.log(2 * np.pi) + np.log(ssr / m) + 1) + 2 * X.shape[1]
+        if best is None or aic < best[0]:
+            best = (aic, p)
+    p = best[1]
+    X, y = design(p, p)
+    beta, *_ = np.linalg.lstsq(X, y, rcond=None)
+    resid = y - X @ beta
+    s2 = resid @ resid / (len(y) - X.shape[1])
+    se = np.sqrt(s2 * np.linalg.inv(X.T @ X)[1, 1])
+    return beta[1] / se, p, len(y)
+
+
+def test_adf_matches_bruteforce(spark, sims):
+    r = tsa.adf(sims, "close").toPandas().set_index("symbol")
+    for s in ("ar1", "walk"):
+        x = sims.where(F.col("symbol") == s).orderBy("date").toPandas()["close"].to_numpy()
+        stat, lag, nobs = _adf_bruteforce(x)
+        assert int(r.loc[s, "used_lag"]) == lag
+        assert int(r.loc[s, "n_obs"]) == nobs
+        assert r.loc[s, "adf_stat"] == pytest.approx(stat, rel=1e-6)
