@@ -84,10 +84,16 @@ def acf(df: DataFrame, col: str = "close", nlags: int = 40, d: int = 0, keys: Se
         raise ValueError("d must be 0 or 1")
     h = halo.blocked(s.join(mean, keys), keys, order, preceding=nlags + d, block=block)
     w = halo.block_window(keys)
-    zc = _vlag(col, 0, d, w) - F.col("_m")
-    h = h.withColumns({f"_p{k}": zc * (_vlag(col, k, d, w) - F.col("_m")) for k in range(nlags + 1)})
-    sums = halo.core(h).groupBy(*keys).agg(
-        F.max("n").alias("n"), *[F.sum(f"_p{k}").alias(f"_s{k}") for k in range(nlags + 1)]
+    lagged = [F.lag(col, k).over(w) for k in range(1, nlags + d + 1)]  # one window node, plain lags
+    h = halo.core(h.select(*keys, "_m", "n", F.col(col).alias("_x0"),
+                           *[c.alias(f"_x{k}") for k, c in enumerate(lagged, 1)], halo.BLK, halo.HOME))
+
+    def vk(k):  # lag k of the (differenced) series, centred
+        v = F.col(f"_x{k}") if d == 0 else F.col(f"_x{k}") - F.col(f"_x{k + 1}")
+        return v - F.col("_m")
+
+    sums = h.groupBy(*keys).agg(
+        F.max("n").alias("n"), *[F.sum(vk(0) * vk(k)).alias(f"_s{k}") for k in range(nlags + 1)]
     )
     parts = ", ".join(f"{k}, _s{k} / _s0" for k in range(nlags + 1))
     long = sums.selectExpr(*keys, "n", f"stack({nlags + 1}, {parts}) AS (lag, acf)")

@@ -197,3 +197,18 @@ SELECT symbol, date, {r4("close", "close")} FROM r WHERE rn <= 5""",
 def q_first_rows(spark, sf):
     b = ind.use_adjusted_close(src.ord_bars(spark, sf)).select("symbol", "date", "close")
     return rounded(ex.first_rows(b, 5))
+
+
+@register("kpi_report", ops="F11 A5 A6 (formatted dashboard KPIs)")
+def q_kpi_report(spark, sf):
+    from barflow.functions.formatting import money, percent, thousands
+
+    k = ex.price_summary(ind.use_adjusted_close(src.ord_bars(spark, sf)), KPI_START, KPI_END)
+    return k.select(
+        "symbol",
+        money("mean_close").alias("mean_close"),
+        money("max_high").alias("max_high"),
+        money("min_low").alias("min_low"),
+        thousands("n_bars").alias("n_bars"),
+        percent("change_pct").alias("change_pct"),
+    )

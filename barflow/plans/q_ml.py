@@ -25,7 +25,7 @@ def ml_table(spark, sf):
     windowed feature build. The table is written once under
     ``spark.checkpoint.dir`` (shared storage) and survives executor loss.
     """
-    return materialize(model_table(spark, sf), "model-table")
+    return model_table(spark, sf)
 
 
 def _train_test(spark, sf):

@@ -8,6 +8,7 @@ from barflow.functions.dates import future_dates
 from barflow.operators import halo, indicators as ind, metrics as mt, scale as sc, sequences as sq, split as sp
 from barflow.plans.q_features import ADJ, LIN, ORD, features_sql, lin, ord_adj
 from barflow.plans.registry import frame, part, r4, register, rounded
+from barflow.session import materialize
 from barflow.sources import bars as src
 
 SCALE_COLS = ["open", "high", "low", "close", "volume"]
@@ -20,8 +21,15 @@ sp AS (SELECT *, CASE WHEN idx < floor(0.8 * n) THEN 'train' ELSE 'test' END AS
 
 
 def model_table(spark, sf):
-    """Features + target for F-ORD, chronologically split per symbol."""
-    return sp.chrono_split(ind.technical_features(ord_adj(spark, sf), with_target=True))
+    """Features + target for F-ORD, chronologically split per symbol.
+
+    Both the feature table and the split model table are written once (shared
+    checkpoint folder): the split's count pass, and every consumer of the model
+    table (stats, predictions, joins, ML passes), then read files instead of
+    re-running the windowed feature build.
+    """
+    feats = materialize(ind.technical_features(ord_adj(spark, sf), with_target=True), "features")
+    return materialize(sp.chrono_split(feats), "model-table")
 
 
 @register("chrono_split", sql=f"WITH {SPLIT_CTE} SELECT symbol, date, split FROM sp", ops="U3 U4")
