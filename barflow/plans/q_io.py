@@ -10,7 +10,7 @@ from barflow.plans.registry import r4, register, rounded
 from barflow.session import scratch_path
 from barflow.sources import bars as src
 from barflow.sources import io
-from barflow.sources.schema import profile_schema
+from barflow.sources.schema import BAR_SCHEMA, profile_schema
 
 _BAR_SELECT = ", ".join(
     ["symbol", "date", *[r4(c, c) for c in ("open", "high", "low", "close", "adj_close")], "volume"]
@@ -31,8 +31,8 @@ def q_csv_roundtrip(spark, sf):
 )
 def q_export_range_csv(spark, sf):
     path = scratch_path(spark, "export")
-    io.export_range(src.ord_bars(spark, sf), path, KPI_START, KPI_END, fmt="parquet")
-    return rounded(spark.read.parquet(path))
+    io.export_range(src.ord_bars(spark, sf), path, KPI_START, KPI_END, fmt="csv")
+    return rounded(spark.read.schema(BAR_SCHEMA).option("header", True).csv(path))
 
 
 @register("schema_report", ops="S4 (column, type, nullable of the bar table)")

@@ -237,3 +237,18 @@ SELECT symbol, CAST(step AS INTEGER) AS step, CAST(last_date + CAST(step AS INTE
 )
 def q_future_dates(spark, sf):
     return future_dates(src.ord_bars(spark, sf), 30)
+
+
+@register(
+    "inverse_scale_global",
+    sql=f"""WITH {LIN}, mm AS (SELECT min(close) AS mn, max(close) AS mx FROM b),
+s AS (SELECT symbol, date, close, (close - mn) / (mx - mn) AS scaled, mn, mx FROM b, mm)
+SELECT symbol, date, {r4("scaled", "scaled")}, {r4("mn + scaled * (mx - mn)", "close_restored")} FROM s""",
+    ops="A8 M3 (global min/max in one aggregate, inverse scaling)",
+)
+def q_inverse_scale_global(spark, sf):
+    b = lin(spark, sf)
+    mn, mx = b.agg(F.min("close"), F.max("close")).first()  # two scalars from one aggregate job
+    scaled = b.select("symbol", "date", ((F.col("close") - F.lit(mn)) / F.lit(mx - mn)).alias("scaled"))
+    return rounded(mt.inverse_scale_close(scaled, b, "close", "scaled").select("symbol", "date", "scaled",
+                                                                                 "close_restored"))
