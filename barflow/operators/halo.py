@@ -56,6 +56,16 @@ def _keys(keys: Sequence[str] | str) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def _join_ns(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Equi-join on ``on`` with NULL-safe equality (a NULL key or order value keeps its rows)."""
+    r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
+    cond = None
+    for c in on:
+        e = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = e if cond is None else cond & e
+    return left.join(r, cond).drop(*[f"_r_{c}" for c in on])
+
+
 def bucket(df: DataFrame, order: str, block: float | None = None) -> Column:
     """Fixed-width bucket of the order column (long)."""
     dt = df.schema[order].dataType
@@ -90,7 +100,7 @@ def index_rows(
         F.sum("_bc").over(Window.partitionBy(*keys)).alias(CNT),
     )
     local = homed.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, "_tb").orderBy(order)) - 1)
-    out = local.join(summ, [*keys, "_tb"])
+    out = _join_ns(local, summ, [*keys, "_tb"])
     return out.withColumn(IDX, F.col("_s") + F.col("_lrn")).drop("_tb", "_s", "_lrn")
 
 
@@ -157,7 +167,7 @@ def reindex(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str =
         F.sum("_bc").over(Window.partitionBy(*keys)).alias(CNT),
     )
     local = base.withColumn("_lrn", F.row_number().over(Window.partitionBy(BLK, *keys).orderBy(order)) - 1)
-    out = local.join(offs, [*keys, BLK])
+    out = _join_ns(local, offs, [*keys, BLK])
     return out.withColumn(IDX, F.col("_s") + F.col("_lrn")).drop("_s", "_lrn")
 
 
