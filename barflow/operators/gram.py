@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barflow import ensure_importable
+
 
 def gram(df: DataFrame, group: Sequence[str], xs: Sequence[Column], y: Column, where: Column | None = None) -> DataFrame:
     """``group..., g: array<double>, n`` with g = upper triangle of [X y]'[X y] (row-major).
@@ -53,6 +55,7 @@ def gram(df: DataFrame, group: Sequence[str], xs: Sequence[Column], y: Column, w
             res["g"] = out_g
             yield res
 
+    ensure_importable(base.sparkSession)
     parts = base.mapInPandas(partial, f"{gschema}, g array<double>")
     cells = parts.select(*group, F.posexplode("g").alias("_pos", "_val"))
     summed = cells.groupBy(*group, "_pos").agg(F.sum("_val").alias("_val"))
@@ -117,4 +120,5 @@ def solve_rows(g: DataFrame, group: Sequence[str], k: int, names: Sequence[str])
                                 "ssr": ssr, "n": int(r["n"])})
             yield pd.DataFrame(out, columns=[*group, "term", "coef", "se", "ssr", "n"])
 
+    ensure_importable(g.sparkSession)
     return g.mapInPandas(run, schema)

@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow import ensure_importable
 from barflow.operators import gram as gm
 from barflow.operators import halo
 
@@ -150,6 +151,7 @@ def pacf(acf_long: DataFrame, keys: Sequence[str] = ("symbol",), z: float = 1.96
             out[k] = pdf[k].iloc[0]
         return out[[*keys, "lag", "pacf", "conf_band", "n"]]
 
+    ensure_importable(acf_long.sparkSession)
     return acf_long.groupBy(*keys).applyInPandas(run, schema)
 
 
@@ -271,6 +273,7 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
                              "ic_best": float(best[0])})
             yield pd.DataFrame(rows, columns=[*keys, "adf_stat", "used_lag", "n_obs", "ic_best"])
 
+    ensure_importable(packed.sparkSession)
     res = packed.mapInPandas(run, out_schema)
     crit_v = adf_critical(F.col("n_obs"))
     return res.select(
@@ -311,6 +314,7 @@ def _wide_coefs(g: DataFrame, keys, k: int, names: Sequence[str], prefix: str) -
                 rows.append(row)
             yield pd.DataFrame(rows, columns=[*keys, *[f"{prefix}{n}" for n in names], "_sigma2", "_nfit"])
 
+    ensure_importable(g.sparkSession)
     return g.mapInPandas(run, schema)
 
 
@@ -396,6 +400,7 @@ def arma_order_grid(df: DataFrame, col: str = "close", p_values=range(1, 7), q_v
                                     "aic": gm.aic_ls(ssr, n, len(idx) + 1), "sigma2": s2, "n": n})
             yield pd.DataFrame(out, columns=[*keys, "p", "d", "q", "aic", "sigma2", "n"])
 
+    ensure_importable(g.sparkSession)
     res = g.mapInPandas(run, schema)
     wk = Window.partitionBy(*keys).orderBy("aic", "p", "q")  # |grid| rows per key
     return res.withColumn("best", F.row_number().over(wk) == 1)
@@ -479,4 +484,5 @@ def arma_forecast(df: DataFrame, col: str = "close", order=(6, 1, 6), horizon: i
                     out.append({**{k: rr[k] for k in keys}, "step": h, date: day.date(), "forecast": float(level)})
             yield pd.DataFrame(out, columns=[*keys, "step", date, "forecast"])
 
+    ensure_importable(j.sparkSession)
     return j.mapInPandas(run, schema)

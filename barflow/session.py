@@ -37,6 +37,9 @@ def build_session(master: str = "local[8]", app: str = "barflow", **conf: str) -
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    from barflow import ensure_importable
+
+    ensure_importable(spark)
     return spark
 
 

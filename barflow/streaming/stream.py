@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from barflow import ensure_importable
 from barflow.session import scratch_path
 
 
@@ -108,6 +109,7 @@ def live_indicators(bars: DataFrame, depth: int = 50, timeout: str = GroupStateT
         if rows:
             yield pd.DataFrame(rows, columns=cols)
 
+    ensure_importable(bars.sparkSession)
     return bars.select("symbol", "date", F.col("close").cast("double")).groupBy("symbol").applyInPandasWithState(
         step, INDICATOR_SCHEMA, _STATE_SCHEMA, "append", timeout
     )
