@@ -136,3 +136,33 @@ def q_model_comparison(spark, sf):
         .unionByName(rg.predictions(lr, test, "target", "lr", "test"))
     )
     return rounded(en.compare_models(long, group=["model", "split"]))
+
+
+# The reference's hybrid weights (linear regression, sequence model).
+HYBRID_WEIGHTS = (0.7, 0.3)
+
+
+@register("hybrid_blend", ops="M14 J2 M16 (0.7 x linear regression + 0.3 x sequence model, joined on key)")
+def q_hybrid_blend(spark, sf):
+    train, test = _train_test(spark, sf)
+    pipe, _ = rg.lr_pipeline(FEATURE_COLS, "target", regParam=0.01, elasticNetParam=0.0)
+    lr = rg.predictions(pipe.fit(train), test, "target", "lr", "test")
+    # sequence model on the model table's next-close target: x = last SEQ_LOOK_BACK closes up to today
+    seqs = sq.lookback_sequences(ord_adj(spark, sf), "close", SEQ_LOOK_BACK - 1)
+    seq_all = seqs.select("symbol", "date", F.concat("x", F.array("y")).alias("x"))
+    feats = ml_table(spark, sf).select("symbol", "date", "split", F.col("target").alias("y"))
+    seq = seq_all.join(feats, ["symbol", "date"])
+    model = rg.sequence_regressor(seq.where(F.col("split") == "train"), "lr")
+    sp_ = rg.sequence_predict(model, seq.where(F.col("split") == "test"), model_name="seq_lr")
+    a, b = HYBRID_WEIGHTS
+    both = en.blend(lr.select("symbol", "date", "label", F.col("prediction").alias("p_lr")),
+                    sp_.select("symbol", "date", F.col("prediction").alias("p_seq")), "p_lr", "p_seq", a, b,
+                    out="p_hybrid")
+    long = (
+        both.select("symbol", "date", "label", F.col("p_lr").alias("prediction"), F.lit("lr").alias("model"))
+        .unionByName(both.select("symbol", "date", "label", F.col("p_seq").alias("prediction"),
+                                 F.lit("seq_lr").alias("model")))
+        .unionByName(both.select("symbol", "date", "label", F.col("p_hybrid").alias("prediction"),
+                                 F.lit("hybrid").alias("model")))
+    )
+    return rounded(en.compare_models(long, group=["model"]))

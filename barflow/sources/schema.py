@@ -41,7 +41,8 @@ CSV_RENAMES = {
     "Volume": "volume",
 }
 
-# Feature list used by the regression stage (close is the label side).
+# The regression feature list of the reference notebook, in its
+# order (snake_case names; close is the label side).
 FEATURE_COLS = [
     "open",
     "high",
