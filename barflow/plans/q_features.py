@@ -112,19 +112,24 @@ def q_stoch_minmax_14(spark, sf):
     return rounded(ind.stochastic(ord_adj(spark, sf), 14, "minmax").select("symbol", "date", "lowest_low", "highest_high", "stoch_osc"))
 
 
-def features_sql(with_target: bool = False, bars_cte: str = ORD, adj_cte: str = ADJ) -> str:
+def features_sql(with_target: bool = False, bars_cte: str = ORD, adj_cte: str = ADJ, order: str = "date") -> str:
     """SQL twin of ``technical_features`` (unrounded CTE chain ending in ``feat``)."""
-    target = f", lead(close) OVER ({part()}) AS target" if with_target else ""
+
+    def fr(n):
+        return frame(n, order=order)
+
+    p = part(order=order)
+    target = f", lead(close) OVER ({p}) AS target" if with_target else ""
     tcond = " AND target IS NOT NULL" if with_target else ""
     return f"""{bars_cte}, {adj_cte},
 f1 AS (SELECT *, high - low AS price_range, close - open AS daily_change,
-         avg(close) {frame(10)} AS ma_10, avg(close) {frame(50)} AS ma_50,
-         close - lag(close) OVER ({part()}) AS diff,
-         avg(close) {frame(20)} AS ma_20, stddev_samp(close) {frame(20)} AS sd_20,
-         avg(low) {frame(14)} AS ll, avg(high) {frame(14)} AS hh{target} FROM b),
-f2 AS (SELECT *, avg(CASE WHEN diff > 0 THEN diff ELSE 0 END) {frame(14)} AS ag,
-         avg(CASE WHEN diff < 0 THEN -diff ELSE 0 END) {frame(14)} AS al FROM f1),
-f3 AS (SELECT symbol, date, open, high, low, close, volume, price_range, daily_change, ma_10, ma_50,
+         avg(close) {fr(10)} AS ma_10, avg(close) {fr(50)} AS ma_50,
+         close - lag(close) OVER ({p}) AS diff,
+         avg(close) {fr(20)} AS ma_20, stddev_samp(close) {fr(20)} AS sd_20,
+         avg(low) {fr(14)} AS ll, avg(high) {fr(14)} AS hh{target} FROM b),
+f2 AS (SELECT *, avg(CASE WHEN diff > 0 THEN diff ELSE 0 END) {fr(14)} AS ag,
+         avg(CASE WHEN diff < 0 THEN -diff ELSE 0 END) {fr(14)} AS al FROM f1),
+f3 AS (SELECT symbol, {order}, open, high, low, close, volume, price_range, daily_change, ma_10, ma_50,
          100 - 100 / (1 + ag / nullif(al, 0)) AS rsi, ma_20 + 2 * sd_20 AS upper_bb, ma_20 - 2 * sd_20 AS lower_bb,
          100 * (close - ll) / nullif(hh - ll, 0) AS stoch_osc{", target" if with_target else ""} FROM f2),
 feat AS (SELECT * FROM f3 WHERE open IS NOT NULL AND high IS NOT NULL AND low IS NOT NULL AND close IS NOT NULL
@@ -186,3 +191,18 @@ def q_halo_sma_50(spark, sf):
         {"ma_50": F.avg("close").over(w.rowsBetween(-49, 0)), "diff_1": F.col("close") - F.lag("close", 1).over(w)}
     )
     return rounded(halo.core(h).select("symbol", "date", "ma_50", "diff_1"))
+
+
+EVT = f"bars AS ({src.EVT_BARS_SQL})"
+EVT_B = "b AS (SELECT symbol, bar_ts, open, high, low, close, volume FROM bars)"
+
+
+@register(
+    "technical_features_hourly",
+    sql=f"""WITH {features_sql(False, EVT, EVT_B, order="bar_ts")}
+SELECT {FEATURE_SELECT.replace("symbol, date,", "symbol, bar_ts,")} FROM feat""",
+    ops="W14 on hourly bars (timestamp order column, F-EVT)",
+)
+def q_technical_features_hourly(spark, sf):
+    b = materialize(src.evt_bars(spark, sf), "evt-bars")
+    return rounded(halo.drop_helpers(ind.technical_features(b, order="bar_ts", adjusted=False)))

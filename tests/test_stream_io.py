@@ -30,3 +30,28 @@ def test_csv_roundtrip_keeps_types(spark):
     assert back.schema["date"].dataType.simpleString() == "date"
     assert back.schema["volume"].dataType.simpleString() == "bigint"
     assert back.count() == b.count()
+
+
+def test_live_indicators_carry_state_across_micro_batches(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from barflow.operators import indicators as ind
+    from barflow.sources import bars as src
+
+    bars = ind.use_adjusted_close(src.ord_bars(spark, SF_SMALL)).select("symbol", "date", "close")
+    feed = scratch_path(spark, "t-feed")
+    cut = "1995-06-30"
+    # two files written in time order -> two micro-batches with maxFilesPerTrigger=1
+    bars.where(F.col("date") <= cut).coalesce(1).write.mode("append").parquet(feed)
+    bars.where(F.col("date") > cut).coalesce(1).write.mode("append").parquet(feed)
+    stream = st.bar_stream(spark, feed, bars.schema, max_files_per_trigger=1)
+    got = st.run_to_table(spark, st.live_indicators(stream), "t-live").toPandas()
+    ref = ind.rsi(ind.moving_averages(bars, (10, 50)), 14).toPandas()
+    m = ref.merge(got, on=["symbol", "date"], suffixes=("_r", "_g"))
+    assert len(m) == len(ref) == len(got)
+    for c in ("ma_10", "ma_50"):
+        assert np.allclose(m[f"{c}_r"], m[f"{c}_g"], atol=1e-6)
+    both = m["rsi_r"].notna() & m["rsi_g"].notna()
+    assert (m["rsi_r"].isna() == m["rsi_g"].isna()).all()
+    assert np.allclose(m.loc[both, "rsi_r"], m.loc[both, "rsi_g"], atol=1e-6)
