@@ -63,7 +63,7 @@ def param_grid(lr: LinearRegression, reg=REG_PARAMS, enet=ELASTIC_NET_PARAMS, it
 
 
 def cross_validate(train: DataFrame, features: Sequence[str] = FEATURE_COLS, label: str = "target",
-                   fold_col: str | None = "fold", num_folds: int = 3, seed: int = 42, parallelism: int = 4,
+                   fold_col: str | None = "fold", num_folds: int = 3, seed: int = 42, parallelism: int | None = None,
                    metric: str = "rmse", dedupe: bool = False):
     """k-fold CV of the regression over the grid; returns ``(model, grid, lr)``.
 
@@ -76,6 +76,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] = FEATURE_COLS, lab
     prep = Pipeline(stages=lr_pipeline(features, label)[0].getStages()[:-1]).fit(train)
     lr = LinearRegression(featuresCol="scaled_features", labelCol=label, predictionCol="prediction")
     grid = param_grid(lr, dedupe=dedupe)
+    if parallelism is None:  # fits are many small jobs: keep the scheduler busy
+        parallelism = max(1, min(len(grid), 2 * train.sparkSession.sparkContext.defaultParallelism))
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
     cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, parallelism=parallelism,
                         collectSubModels=False, seed=seed)

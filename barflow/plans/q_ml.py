@@ -44,7 +44,7 @@ def q_lr_predict(spark, sf):
 def _cv(spark, sf):
     train, test = _train_test(spark, sf)
     folds = sp.time_folds(train, 3).drop("_idx", "_n", "_blk")
-    cv_model, grid, lr = rg.cross_validate(folds, FEATURE_COLS, "target", fold_col="fold", parallelism=8)
+    cv_model, grid, lr = rg.cross_validate(folds, FEATURE_COLS, "target", fold_col="fold")
     return cv_model, grid, lr, train, test
 
 
