@@ -46,7 +46,8 @@ def gram(df: DataFrame, group: Sequence[str], xs: Sequence[Column], y: Column, w
                 continue
             z = pdf[zcols].to_numpy(dtype=float)
             out_keys, out_g = [], []
-            for key, idx in pdf.groupby(group, sort=False).indices.items():
+            groups = pdf.groupby(group, sort=False).indices.items() if group else [((), np.arange(len(pdf)))]
+            for key, idx in groups:
                 zg = z[idx]
                 m = zg.T @ zg
                 out_keys.append(key if isinstance(key, tuple) else (key,))
@@ -56,7 +57,7 @@ def gram(df: DataFrame, group: Sequence[str], xs: Sequence[Column], y: Column, w
             yield res
 
     ensure_importable(base.sparkSession)
-    parts = base.mapInPandas(partial, f"{gschema}, g array<double>")
+    parts = base.mapInPandas(partial, f"{gschema}, g array<double>" if group else "g array<double>")
     cells = parts.select(*group, F.posexplode("g").alias("_pos", "_val"))
     summed = cells.groupBy(*group, "_pos").agg(F.sum("_val").alias("_val"))
     packed = summed.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("_pos", "_val"))).alias("_l"))

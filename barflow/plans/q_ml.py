@@ -166,3 +166,25 @@ def q_hybrid_blend(spark, sf):
                                  F.lit("hybrid").alias("model")))
     )
     return rounded(en.compare_models(long, group=["model"]))
+
+
+@register("lr_cv_gram", ops="M6 M7 (same grid, one data pass: per-fold Gram matrices, exact elastic-net solves)")
+def q_lr_cv_gram(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    train, test = _train_test(spark, sf)
+    folds = sp.time_folds(train, 3).drop("_idx", "_n", "_blk")
+    prep = Pipeline(stages=rg.lr_pipeline(FEATURE_COLS, "target")[0].getStages()[:-1]).fit(folds)
+    names = [f"f{i}" for i in range(len(FEATURE_COLS))]
+
+    def expand(df):
+        arr = vector_to_array(F.col("scaled_features"))
+        return prep.transform(df).select("*", *[arr[i].alias(n) for i, n in enumerate(names)])
+
+    _, best = rg.cross_validate_gram(expand(folds), names, "target", "fold")
+    pred = rg.predict_linear(expand(test), names, best["intercept"], best["coefficients"])
+    pred = pred.select("symbol", "date", F.col("target").alias("label"), "prediction", F.lit("lr_cv_gram").alias("model"),
+                       F.lit("test").alias("split"))
+    m = mt.regression_metrics(pred, group=["model", "split"])
+    return rounded(m.withColumns({k: F.lit(float(best[k])) for k in ("reg_param", "elastic_net_param", "cv_metric")}))
