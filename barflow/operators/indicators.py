@@ -117,9 +117,13 @@ def technical_features(
     with_target: bool = False,
     drop_nulls: bool = True,
     block: float | None = None,
+    open_from_close: bool = False,
 ) -> DataFrame:
     """Bars + price_range, daily_change, MA10/50, RSI14, Bollinger(20,2), stochastic(14).
 
+    ``open_from_close`` derives ``open = coalesce(previous close, close)`` inside
+    the same window pass, for bar tables that have no open.
+
     With ``with_target`` the next bar's close is added as ``target`` (the last
     bar of each symbol has none and is dropped with the NULL rows).
     Output keeps ``_blk`` so later steps can ``halo.reindex`` the surviving rows.
@@ -130,6 +134,8 @@ def technical_features(
     df = df.select(*keys, order, *[c for c in ("open", "high", "low", "close", "volume") if c in df.columns], *carry)
     h = halo.blocked(df, keys, order, preceding=49, following=1 if with_target else 0, block=block)
     s = _Spec(keys)
+    if open_from_close:
+        h = h.withColumn("open", F.coalesce(s.lag("close", 1), F.col("close")))
     h = price_range_change(h)
     h = h.withColumns({"ma_10": s.sma("close", 10), "ma_50": s.sma("close", 50)})
     h = _rsi_parts(h, s, "close", 14)
@@ -150,7 +156,8 @@ def technical_features(
     if with_target:
         cols["target"] = s.lead("close", 1)
     h = halo.core(h.withColumns(cols))
-    out_cols = [*keys, order, *[c for c in ("open", "high", "low", "close", "volume") if c in df.columns]]
+    base_cols = [c for c in ("open", "high", "low", "close", "volume") if c in df.columns or c == "open" and open_from_close]
+    out_cols = [*keys, order, *base_cols]
     out_cols += FEATURE_OUT + (["target"] if with_target else [])
     out = h.select(*out_cols, halo.IDX, halo.CNT, halo.BLK)
     if drop_nulls:

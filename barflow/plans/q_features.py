@@ -170,10 +170,7 @@ def q_next_close_target(spark, sf):
     ops="W14 on the wide panel",
 )
 def q_technical_features_lin(spark, sf):
-    from barflow.operators.sequences import derive_open
-
-    b = derive_open(lin(spark, sf), keep_index=True)
-    return rounded(halo.drop_helpers(ind.technical_features(b, adjusted=False)))
+    return rounded(halo.drop_helpers(ind.technical_features(lin(spark, sf), adjusted=False, open_from_close=True)))
 
 
 @register(
