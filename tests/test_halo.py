@@ -124,3 +124,18 @@ def test_null_order_and_key_rows_are_kept(spark):
     assert len(ix) == 5
     a = ix[ix.symbol == "a"].sort_values("_idx")
     assert a["close"].tolist() == [9.0, 1.0, 2.0]  # NULL date first, as in an ascending SQL window
+
+
+def test_hot_symbol_is_spread_over_blocks(spark):
+    """A symbol holding most rows must not land in one window partition."""
+    rows = [("HOT", dt.date(1990, 1, 1) + dt.timedelta(days=i), float(i % 13)) for i in range(20000)]
+    rows += [("cold", dt.date(1990, 1, 1) + dt.timedelta(days=i), 1.0) for i in range(50)]
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["symbol", "date", "close"]))
+    h = halo.blocked(df, ["symbol"], "date", preceding=49)
+    sizes = h.groupBy("symbol", halo.BLK).count().toPandas()
+    hot = sizes[sizes.symbol == "HOT"]
+    assert len(hot) >= 5  # 20,000 rows / 4,096-row blocks
+    assert sizes["count"].max() <= halo.DEFAULT_BLOCK_ROWS + 49
+    # bucket groups of the index are bounded too (1,024-day buckets of daily bars)
+    tb = df.withColumn("_tb", halo.bucket(df, "date")).groupBy("symbol", "_tb").count().toPandas()
+    assert tb["count"].max() <= halo.DEFAULT_BLOCK_DAYS
