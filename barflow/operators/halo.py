@@ -43,7 +43,6 @@ BLK = "_blk"
 HOME = "_home"
 IDX = "_idx"
 CNT = "_n"
-GPOS = IDX
 DEFAULT_BLOCK_DAYS = 1024
 DEFAULT_BLOCK_SECONDS = 7 * 86400
 DEFAULT_BLOCK_UNITS = 1024
@@ -173,9 +172,3 @@ def reindex(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str =
 
 def drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in _HELPERS if c in df.columns])
-
-
-def lag_k(col: str | Column, k: int, keys: Sequence[str] | str = ("symbol",)) -> Column:
-    """``lag`` on the block window (use on a ``with_halo`` frame with preceding >= k)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.lag(c, k).over(block_window(keys))

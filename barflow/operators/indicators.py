@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from barflow.operators import halo
 
-BASE_COLS = ["symbol", "date", "open", "high", "low", "close", "volume"]
 FEATURE_OUT = ["price_range", "daily_change", "ma_10", "ma_50", "rsi", "upper_bb", "lower_bb", "stoch_osc"]
 
 
@@ -55,10 +54,6 @@ def _frame(w, n: int):
     return w.rowsBetween(-(n - 1), 0)
 
 
-def sma(col: str, n: int, w) -> Column:
-    return F.avg(col).over(_frame(w, n))
-
-
 class _Spec:
     """Column builders bound to one block window."""
 

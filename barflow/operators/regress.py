@@ -107,7 +107,7 @@ def best_params(cv_model, grid, lr: LinearRegression) -> dict:
     }
 
 
-def grid_search(train: DataFrame, valid: DataFrame, test: DataFrame, features: Sequence[str] = FEATURE_COLS,
+def grid_search(train: DataFrame, valid: DataFrame, features: Sequence[str] = FEATURE_COLS,
                 label: str = "target", metric: str = "rmse"):
     """Fit every grid map on ``train``, pick by ``valid`` (honouring larger-is-better).
 

@@ -63,7 +63,7 @@ def q_grid_search_fit(spark, sf):
     inner = sp.chrono_split(train.drop("split", "_idx", "_n", "_blk"), 0.8, col="inner")
     fit_rows = inner.where(F.col("inner") == "train").drop("inner", "_idx", "_n", "_blk")
     valid = inner.where(F.col("inner") == "test").drop("inner", "_idx", "_n", "_blk")
-    model, params = rg.grid_search(fit_rows, valid, test, FEATURE_COLS, "target")
+    model, params = rg.grid_search(fit_rows, valid, FEATURE_COLS, "target")
     preds = rg.predictions(model, fit_rows, "target", "lr_grid", "train").unionByName(
         rg.predictions(model, test, "target", "lr_grid", "test")
     )
