@@ -108,27 +108,41 @@ def best_params(cv_model, grid, lr: LinearRegression) -> dict:
 
 
 def grid_search(train: DataFrame, valid: DataFrame, features: Sequence[str] = FEATURE_COLS,
-                label: str = "target", metric: str = "rmse"):
+                label: str = "target", metric: str = "rmse", parallelism: int | None = None):
     """Fit every grid map on ``train``, pick by ``valid`` (honouring larger-is-better).
 
-    Returns ``(model, params)``; callers score train/test with ``predictions``.
+    The assembler and scaler are fitted once; the 27 regressions and their
+    validation scores run concurrently (each is a Spark job set). Returns
+    ``(model, params)`` with ``model`` a ``PipelineModel``.
     """
-    pipe, lr = lr_pipeline(features, label)
+    from multiprocessing.pool import ThreadPool
+
+    prep = Pipeline(stages=lr_pipeline(features, label)[0].getStages()[:-1]).fit(train)
+    lr = LinearRegression(featuresCol="scaled_features", labelCol=label, predictionCol="prediction")
     grid = param_grid(lr)
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    if parallelism is None:
+        parallelism = max(1, min(len(grid), 2 * train.sparkSession.sparkContext.defaultParallelism))
+    cols = ["scaled_features", label]
+    fit_rows = prep.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    valid_rows = prep.transform(valid).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        models = [None] * len(grid)
-        for i, m in pipe.fitMultiple(cached, grid):
-            models[i] = m
+        fitter = lr.fitMultiple(fit_rows, grid)
+
+        def one(_):
+            i, m = next(fitter)  # thread-safe iterator, as CrossValidator uses it
+            return i, m, ev.evaluate(m.transform(valid_rows))
+
+        with ThreadPool(parallelism) as pool:
+            done = pool.map(one, range(len(grid)))
     finally:
-        cached.unpersist()
-    scores = [ev.evaluate(m.transform(valid)) for m in models]
+        fit_rows.unpersist()
+        valid_rows.unpersist()
     pick = max if ev.isLargerBetter() else min
-    best = pick(range(len(scores)), key=lambda i: scores[i])
-    params = {"reg_param": grid[best][lr.regParam], "elastic_net_param": grid[best][lr.elasticNetParam],
-              "max_iter": grid[best][lr.maxIter], "valid_metric": scores[best]}
-    return models[best], params
+    i, best_model, score = pick(done, key=lambda t: t[2])
+    params = {"reg_param": grid[i][lr.regParam], "elastic_net_param": grid[i][lr.elasticNetParam],
+              "max_iter": grid[i][lr.maxIter], "valid_metric": score}
+    return PipelineModel(stages=[*prep.stages, best_model]), params
 
 
 def predictions(model, df: DataFrame, label: str = "target", model_name: str = "lr", split: str = "test",
