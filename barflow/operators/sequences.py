@@ -46,11 +46,12 @@ def difference(df: DataFrame, col: str = "close", d: int = 1, keys: Sequence[str
 
 def lookback_sequences(df: DataFrame, col: str = "close", look_back: int = 1, keys: Sequence[str] = ("symbol",),
                        order: str = "date", drop_last: bool = False,
-                       block: float | None = None) -> DataFrame:
+                       block: float | None = None, dtype: str = "double") -> DataFrame:
     """Rows ``(keys, order, x, y)``: ``x`` = the previous ``look_back`` values, ``y`` = the current one.
 
     N - L rows per series (N - L - 1 with ``drop_last``, the notebook variant).
     NULL values are removed first, as a window collect would skip them.
+    ``dtype="float"`` gives float32 sequences (tensor-ready); default double.
     """
     keys = list(keys)
     base = df.where(F.col(col).isNotNull()).select(*keys, order, col)
@@ -59,14 +60,14 @@ def lookback_sequences(df: DataFrame, col: str = "close", look_back: int = 1, ke
     w = halo.block_window(keys)
     h = h.withColumns(
         {
-            "x": F.collect_list(F.col(col).cast("double")).over(w.rowsBetween(-look_back, -1)),
+            "x": F.collect_list(F.col(col).cast(dtype)).over(w.rowsBetween(-look_back, -1)),
             "_has_next": F.lead(order, 1).over(w).isNotNull(),
         }
     )
     h = halo.core(h).where(F.size("x") == look_back)
     if drop_last:
         h = h.where(F.col("_has_next"))
-    return h.select(*keys, order, "x", F.col(col).cast("double").alias("y"))
+    return h.select(*keys, order, "x", F.col(col).cast(dtype).alias("y"))
 
 
 def sequences_to_columns(seq: DataFrame, look_back: int, prefix: str = "x_") -> DataFrame:

@@ -436,9 +436,11 @@ def arma_predict(df: DataFrame, col: str = "close", order=(6, 1, 6), keys=("symb
 
 def arma_forecast(df: DataFrame, col: str = "close", order=(6, 1, 6), horizon: int = 30, keys=("symbol",),
                   date: str = "date", ar_long: int | None = None, skip_weekends: bool = False,
-                  block=None) -> DataFrame:
+                  block=None, round_digits: int | None = None) -> DataFrame:
     """h-step forecasts per key: ``keys, step, date, forecast`` (levels).
 
+    ``round_digits`` adds ``forecast_rounded`` (half-even, like Python's ``round``).
+
     Only the last ``max(p, q)`` rows of each key (a bounded set) leave the
     lag frame; the recursion runs per key in pandas.
     """
@@ -485,4 +487,7 @@ def arma_forecast(df: DataFrame, col: str = "close", order=(6, 1, 6), horizon: i
             yield pd.DataFrame(out, columns=[*keys, "step", date, "forecast"])
 
     ensure_importable(j.sparkSession)
-    return j.mapInPandas(run, schema)
+    out = j.mapInPandas(run, schema)
+    if round_digits is not None:
+        out = out.withColumn("forecast_rounded", F.bround("forecast", round_digits))
+    return out

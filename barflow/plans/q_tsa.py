@@ -98,4 +98,4 @@ def q_arma_insample(spark, sf):
 
 @register("arma_forecast_30", ops="M11 F12 F9")
 def q_arma_forecast_30(spark, sf):
-    return rounded(tsa.arma_forecast(ord_adj(spark, sf), "close", (6, 1, 6), 30))
+    return rounded(tsa.arma_forecast(ord_adj(spark, sf), "close", (6, 1, 6), 30, round_digits=0))

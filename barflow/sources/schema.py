@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -58,6 +60,13 @@ FEATURE_COLS = [
     "stoch_osc",
 ]
 
+def feature_columns(df: DataFrame, exclude: Sequence[str] = ("symbol", "date", "close"), numeric_only: bool = True) -> list[str]:
+    """Every column except keys and label (the dynamic feature selection variant)."""
+    num = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+    return [f.name for f in df.schema.fields
+            if f.name not in exclude and not f.name.startswith("_") and (not numeric_only or isinstance(f.dataType, num))]
+
+
 PREDICTION_SCHEMA = "symbol string, date date, label double, prediction double, model string, split string"
 SEQUENCE_SCHEMA = "symbol string, date date, x array<double>, y double"
 FORECAST_SCHEMA = "symbol string, step int, date date, forecast double"

@@ -47,3 +47,15 @@ def test_read_reference_layout_csv(spark):
     assert rows[0].date is None  # malformed date kept as NULL (PERMISSIVE), not an error
     assert rows[1].date == dt.date(2018, 2, 5) and rows[1].volume == 11896100
     assert rows[2].adj_close == pytest.approx(265.720001)
+
+
+def test_feature_columns_and_float_sequences(spark):
+    from barflow.operators import sequences as sq
+    from barflow.sources.schema import feature_columns
+
+    df = spark.createDataFrame(pd.DataFrame({"symbol": ["S"] * 4, "date": [dt.date(2020, 1, d) for d in range(1, 5)],
+                                             "close": [1.0, 2.0, 3.0, 4.0], "volume": [1, 2, 3, 4], "_idx": [0, 1, 2, 3]}))
+    assert feature_columns(df) == ["volume"]
+    s = sq.lookback_sequences(df, "close", 2, dtype="float")
+    assert s.schema["x"].dataType.simpleString() == "array<float>"
+    assert s.count() == 2
