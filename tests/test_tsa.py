@@ -133,3 +133,17 @@ def test_adf_matches_bruteforce(spark, sims):
         assert int(r.loc[s, "used_lag"]) == lag
         assert int(r.loc[s, "n_obs"]) == nobs
         assert r.loc[s, "adf_stat"] == pytest.approx(stat, rel=1e-6)
+
+
+def test_arma11_recovery(spark):
+    rng = np.random.default_rng(21)
+    n, phi, theta = 3000, 0.6, 0.3
+    e = rng.normal(size=n)
+    x = np.zeros(n)
+    for t in range(1, n):
+        x[t] = phi * x[t - 1] + e[t] + theta * e[t - 1]
+    df = _frame(spark, {"arma": x + 10})
+    c = tsa.arma_fit(df, "close", (1, 0, 1)).toPandas().set_index("term")
+    assert c.loc["ar.L1", "coef"] == pytest.approx(phi, abs=0.08)
+    assert c.loc["ma.L1", "coef"] == pytest.approx(theta, abs=0.08)
+    assert c.loc["const", "sigma2"] == pytest.approx(1.0, abs=0.1)
