@@ -212,3 +212,33 @@ def q_kpi_report(spark, sf):
         thousands("n_bars").alias("n_bars"),
         percent("change_pct").alias("change_pct"),
     )
+
+
+_BOX_LIN_CTE = f"""b AS ({src.LIN_BARS_SQL}),
+y AS (SELECT symbol, CAST(year(date) AS INTEGER) AS year, date, close FROM b),
+q AS (SELECT symbol, year, quantile_cont(close, 0.25) AS q1, quantile_cont(close, 0.5) AS median,
+        quantile_cont(close, 0.75) AS q3 FROM y GROUP BY symbol, year),
+j AS (SELECT y.*, q1, median, q3, q3 - q1 AS iqr,
+        close >= q1 - 1.5 * (q3 - q1) AND close <= q3 + 1.5 * (q3 - q1) AS inside FROM y JOIN q USING (symbol, year))"""
+
+
+@register(
+    "boxplot_by_year_lin",
+    sql=f"""WITH {_BOX_LIN_CTE}
+SELECT symbol, year, {r4("q1", "q1")}, {r4("median", "median")}, {r4("q3", "q3")}, {r4("iqr", "iqr")},
+       {r4("min(close) FILTER (WHERE inside)", "whisker_low")}, {r4("max(close) FILTER (WHERE inside)", "whisker_high")},
+       count(*) FILTER (WHERE NOT inside) AS n_outliers, count(*) AS n
+FROM j GROUP BY symbol, year, q1, median, q3, iqr""",
+    ops="A10 on the wide panel (1,000 series at sf0.1)",
+)
+def q_boxplot_by_year_lin(spark, sf):
+    return rounded(ex.box_stats(src.lin_bars(spark, sf)))
+
+
+@register(
+    "boxplot_outliers_lin",
+    sql=f"WITH {_BOX_LIN_CTE} SELECT symbol, date, year, {r4('close', 'close')} FROM j WHERE NOT inside",
+    ops="A10 outlier rows on the wide panel",
+)
+def q_boxplot_outliers_lin(spark, sf):
+    return rounded(ex.box_outliers(src.lin_bars(spark, sf)))
