@@ -6,12 +6,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barflow.operators import ensemble as en, metrics as mt, regress as rg, sequences as sq, split as sp
-from barflow.operators import indicators as ind
 from barflow.plans.q_model import model_table
 from barflow.plans.registry import register, rounded
 from barflow.plans.q_features import ord_adj
 from barflow.session import materialize, scratch_path
-from barflow.sources import bars as src
 from barflow.sources.schema import FEATURE_COLS
 
 SEQ_LOOK_BACK = 5

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barflow.functions.dates import future_dates
-from barflow.operators import halo, indicators as ind, metrics as mt, scale as sc, sequences as sq, split as sp
+from barflow.operators import indicators as ind, metrics as mt, scale as sc, sequences as sq, split as sp
 from barflow.plans.q_features import ADJ, LIN, ORD, features_sql, lin, ord_adj
-from barflow.plans.registry import frame, part, r4, register, rounded
+from barflow.plans.registry import part, r4, register, rounded
 from barflow.session import materialize
 from barflow.sources import bars as src
 
