@@ -46,14 +46,17 @@ def _adj_feed(spark, sf):
 @register(
     "stream_indicators",
     sql=f"""WITH {ORD}, {ADJ},
-l AS (SELECT symbol, date, close, lag(close) OVER ({part()}) AS prev FROM b),
-d AS (SELECT *, close - prev AS diff, avg(close) {frame(10)} AS ma_10, avg(close) {frame(50)} AS ma_50 FROM l),
+l AS (SELECT symbol, date, close, high, low, lag(close) OVER ({part()}) AS prev FROM b),
+d AS (SELECT *, close - prev AS diff, avg(close) {frame(10)} AS ma_10, avg(close) {frame(50)} AS ma_50,
+        avg(close) {frame(20)} AS ma_20, stddev_samp(close) {frame(20)} AS sd_20,
+        avg(low) {frame(14)} AS ll, avg(high) {frame(14)} AS hh FROM l),
 g AS (SELECT *, avg(CASE WHEN diff > 0 THEN diff ELSE 0 END) {frame(14)} AS ag,
         avg(CASE WHEN diff < 0 THEN -diff ELSE 0 END) {frame(14)} AS al FROM d)
 SELECT symbol, date, {r4("close", "close")}, {r4("prev", "prev_close")},
        {r4("(close - prev) / nullif(prev, 0) * 100.0", "change_pct")}, {r4("ma_10", "ma_10")}, {r4("ma_50", "ma_50")},
-       {r4("100 - 100 / (1 + ag / nullif(al, 0))", "rsi")} FROM g""",
-    ops="T3 (per-symbol state, applyInPandasWithState)",
+       {r4("100 - 100 / (1 + ag / nullif(al, 0))", "rsi")}, {r4("ma_20 + 2 * sd_20", "upper_bb")},
+       {r4("ma_20 - 2 * sd_20", "lower_bb")}, {r4("100 * (close - ll) / nullif(hh - ll, 0)", "stoch_osc")} FROM g""",
+    ops="T3 (W1-W8 on a stream: per-symbol state, applyInPandasWithState)",
 )
 def q_stream_indicators(spark, sf):
     return rounded(st.run_to_table(spark, st.live_indicators(_adj_feed(spark, sf)), "stream-ind", "append"))

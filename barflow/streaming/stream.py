@@ -4,8 +4,9 @@
   emits a bar once the watermark passes its end, so state holds only open
   windows.
 * ``live_indicators``: row-frame windows are not allowed on streams, so each
-  symbol keeps the last ``depth`` closes in ``applyInPandasWithState`` state and
-  emits moving averages, RSI and the change against the previous close for
+  symbol keeps bounded state (last 50 closes, 14 highs and lows) in
+  ``applyInPandasWithState`` and emits moving averages, RSI, Bollinger bands,
+  the stochastic oscillator and the change against the previous close for
   every new bar (bars at or before the last seen date are ignored).
 * ``price_alerts``: the same state, filtered to |change| >= threshold.
 * ``score_stream``: a fitted ``PipelineModel`` applied to a stream (stateless).
@@ -55,62 +56,73 @@ def tick_bars(ticks: DataFrame, symbol: str = "symbol", ts: str = "ts", price: s
 
 INDICATOR_SCHEMA = (
     "symbol string, date date, close double, prev_close double, change_pct double, "
-    "ma_10 double, ma_50 double, rsi double"
+    "ma_10 double, ma_50 double, rsi double, upper_bb double, lower_bb double, stoch_osc double"
 )
-_STATE_SCHEMA = "closes array<double>, seen long, last_date date"
+_STATE_SCHEMA = "closes array<double>, highs array<double>, lows array<double>, seen long, last_date date"
+_OUT_COLS = ["symbol", "date", "close", "prev_close", "change_pct", "ma_10", "ma_50", "rsi", "upper_bb", "lower_bb",
+             "stoch_osc"]
 
 
-def _indicator_rows(symbol, pdf: pd.DataFrame, closes: list[float], seen: int, last_date, depth: int):
-    """Advance one symbol's state over its new bars; returns rows and the new state."""
+def _indicator_rows(symbol, pdf: pd.DataFrame, state: tuple, depth: int = 50):
+    """Advance one symbol's state over its new bars; returns rows and the new state.
+
+    State: last ``depth`` closes, last 14 highs and lows, bars seen, last date.
+    Bars at or before the last date are ignored (replays, late duplicates).
+    """
+    closes, highs, lows, seen, last_date = state
+    closes, highs, lows = list(closes), list(highs), list(lows)
     pdf = pdf.sort_values("date")
     if last_date is not None:
         pdf = pdf[pdf["date"] > last_date]
     out = []
-    for d, c in zip(pdf["date"], pdf["close"]):
+    for d, c, hi, lo in zip(pdf["date"], pdf["close"], pdf["high"], pdf["low"]):
         prev = closes[-1] if closes else None
-        closes.append(float(c))
+        closes = (closes + [float(c)])[-depth:]
+        highs = (highs + [float(hi)])[-14:]
+        lows = (lows + [float(lo)])[-14:]
         seen += 1
-        if len(closes) > depth:
-            closes = closes[-depth:]
         arr = np.asarray(closes)
-        ma10 = float(arr[-10:].mean())
-        ma50 = float(arr[-50:].mean())
         # 14-row mean gain/loss; the series' first row contributes a zero change
-        tail = arr[-15:]
-        diffs = np.diff(tail)
+        diffs = np.diff(arr[-15:])
         if seen <= 14:
             diffs = np.concatenate([[0.0], diffs])
         diffs = diffs[-14:]
         gain = np.where(diffs > 0, diffs, 0.0).mean()
         loss = np.where(diffs < 0, -diffs, 0.0).mean()
         rsi = None if loss == 0 else float(100.0 - 100.0 / (1.0 + gain / loss))
+        w20 = arr[-20:]
+        sd = float(w20.std(ddof=1)) if len(w20) > 1 else None
+        ma20 = float(w20.mean())
+        ll, hh = float(np.mean(lows)), float(np.mean(highs))
+        stoch = None if hh == ll else float(100.0 * (c - ll) / (hh - ll))
         change = None if prev in (None, 0.0) else float((c - prev) / prev * 100.0)
-        out.append((symbol, d, float(c), prev, change, ma10, ma50, rsi))
+        out.append((symbol, d, float(c), prev, change, float(arr[-10:].mean()), float(arr[-50:].mean()), rsi,
+                    None if sd is None else ma20 + 2 * sd, None if sd is None else ma20 - 2 * sd, stoch))
         last_date = d
-    return out, closes, seen, last_date
+    return out, (closes, highs, lows, seen, last_date)
 
 
 def live_indicators(bars: DataFrame, depth: int = 50, timeout: str = GroupStateTimeout.NoTimeout) -> DataFrame:
-    """T3: streaming MA10/MA50/RSI14/change per symbol from bounded per-symbol state."""
-    cols = ["symbol", "date", "close", "prev_close", "change_pct", "ma_10", "ma_50", "rsi"]
+    """T3: streaming MA10/MA50, RSI14, Bollinger(20, 2), stochastic(14, mean form) and change per symbol.
+
+    Row-frame windows are not allowed on streams; each symbol keeps bounded
+    state (``depth`` closes, 14 highs and lows) in ``applyInPandasWithState``.
+    """
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            closes, seen, last_date = state.get
-            closes = list(closes)
-        else:
-            closes, seen, last_date = [], 0, None
+        prior = tuple(state.get) if state.exists else ([], [], [], 0, None)
         chunks = [p for p in pdfs if not p.empty]
         if not chunks:
             return
         pdf = pd.concat(chunks, ignore_index=True)  # every chunk of the micro-batch, sorted together
-        rows, closes, seen, last_date = _indicator_rows(key[0], pdf, closes, seen, last_date, depth)
-        state.update((closes, seen, last_date))
+        rows, new = _indicator_rows(key[0], pdf, prior, depth)
+        state.update(new)
         if rows:
-            yield pd.DataFrame(rows, columns=cols)
+            yield pd.DataFrame(rows, columns=_OUT_COLS)
 
     ensure_importable(bars.sparkSession)
-    return bars.select("symbol", "date", F.col("close").cast("double")).groupBy("symbol").applyInPandasWithState(
+    cols = [F.col(c).cast("double") for c in ("close", "high", "low")]
+    return bars.select("symbol", "date", *cols).groupBy("symbol").applyInPandasWithState(
         step, INDICATOR_SCHEMA, _STATE_SCHEMA, "append", timeout
     )
 

@@ -11,12 +11,12 @@ from tests.conftest import SF_SMALL
 
 
 def test_stream_state_ignores_replayed_bars(spark):
-    rows, closes, seen, last = st._indicator_rows(
-        "S", pd.DataFrame({"date": [dt.date(2020, 1, 2), dt.date(2020, 1, 1)], "close": [11.0, 10.0]}), [], 0, None, 50
-    )
+    first = pd.DataFrame({"date": [dt.date(2020, 1, 2), dt.date(2020, 1, 1)], "close": [11.0, 10.0],
+                          "high": [12.0, 11.0], "low": [10.0, 9.0]})
+    rows, state = st._indicator_rows("S", first, ([], [], [], 0, None), 50)
     assert [r[1] for r in rows] == [dt.date(2020, 1, 1), dt.date(2020, 1, 2)]
-    rows2, *_ = st._indicator_rows("S", pd.DataFrame({"date": [dt.date(2020, 1, 2)], "close": [99.0]}),
-                                   closes, seen, last, 50)
+    replay = pd.DataFrame({"date": [dt.date(2020, 1, 2)], "close": [99.0], "high": [99.0], "low": [99.0]})
+    rows2, _ = st._indicator_rows("S", replay, state, 50)
     assert rows2 == []
 
 
@@ -39,7 +39,7 @@ def test_live_indicators_carry_state_across_micro_batches(spark):
     from barflow.operators import indicators as ind
     from barflow.sources import bars as src
 
-    bars = ind.use_adjusted_close(src.ord_bars(spark, SF_SMALL)).select("symbol", "date", "close")
+    bars = ind.use_adjusted_close(src.ord_bars(spark, SF_SMALL)).select("symbol", "date", "close", "high", "low")
     feed = scratch_path(spark, "t-feed")
     cut = "1995-06-30"
     # two files written in time order -> two micro-batches with maxFilesPerTrigger=1
