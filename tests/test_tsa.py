@@ -147,3 +147,15 @@ def test_arma11_recovery(spark):
     assert c.loc["ar.L1", "coef"] == pytest.approx(phi, abs=0.08)
     assert c.loc["ma.L1", "coef"] == pytest.approx(theta, abs=0.08)
     assert c.loc["const", "sigma2"] == pytest.approx(1.0, abs=0.1)
+
+
+def test_pacf_matches_yule_walker_bruteforce(spark, sims):
+    a = tsa.acf(sims, "close", 12)
+    p = tsa.pacf(a).toPandas()
+    ap = a.toPandas()
+    r = ap[ap.symbol == "walk"].sort_values("lag")["acf"].to_numpy()
+    got = p[p.symbol == "walk"].sort_values("lag")["pacf"].to_numpy()
+    for k in range(1, 13):
+        toeplitz = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
+        phi = np.linalg.solve(toeplitz, r[1:k + 1])
+        assert got[k] == pytest.approx(phi[-1], abs=1e-8)
