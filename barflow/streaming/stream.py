@@ -40,7 +40,12 @@ def bar_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: in
 
 def tick_bars(ticks: DataFrame, symbol: str = "symbol", ts: str = "ts", price: str = "price",
               interval: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
-    """T5: OHLCV bars per symbol and event-time window, late ticks dropped."""
+    """T5: OHLCV bars per symbol and event-time window, late ticks dropped.
+
+    Append mode emits a bar once the watermark (max event time - ``delay``)
+    passes its end. Spark drops a tick older than the watermark in force at the
+    previous micro-batch; state holds only open windows.
+    """
     t = ticks.withColumn(ts, F.col(ts).cast("timestamp"))  # watermarks need TIMESTAMP, not NTZ
     t = t.withWatermark(ts, delay)
     bars = t.groupBy(F.col(symbol).alias("symbol"), F.window(ts, interval)).agg(

@@ -55,3 +55,25 @@ def test_live_indicators_carry_state_across_micro_batches(spark):
     both = m["rsi_r"].notna() & m["rsi_g"].notna()
     assert (m["rsi_r"].isna() == m["rsi_g"].isna()).all()
     assert np.allclose(m.loc[both, "rsi_r"], m.loc[both, "rsi_g"], atol=1e-6)
+
+
+def test_tick_bars_drop_late_ticks(spark):
+    feed = scratch_path(spark, "t-ticks")
+    schema = "symbol string, ts timestamp_ntz, price double"
+    t = dt.datetime
+    first = [("A", t(2024, 1, 1, 10, 5), 1.0), ("A", t(2024, 1, 1, 10, 20), 2.0), ("A", t(2024, 1, 1, 12, 30), 3.0)]
+    second = [("A", t(2024, 1, 1, 13, 40), 4.0)]
+    late = [("A", t(2024, 1, 1, 10, 10), 99.0)]
+    # one file per micro-batch, written in time order; Spark drops a row older than the watermark that was
+    # in force at the previous batch, so the late tick comes two batches after the 10:00 window closed
+    import time as _time
+
+    for rows in (first, second, late):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(feed)
+        _time.sleep(1.1)
+    ticks = st.bar_stream(spark, feed, schema, max_files_per_trigger=1)
+    bars = st.run_to_table(spark, st.tick_bars(ticks, "symbol", "ts", "price", "1 hour", "10 minutes"), "t-bars")
+    got = {r.bar_ts: r for r in bars.collect()}
+    ten = got[t(2024, 1, 1, 10, 0)]
+    assert ten.high == 2.0 and ten.volume == 2  # the late 10:10 tick was dropped
+    assert t(2024, 1, 1, 13, 0) not in got  # still open when the stream ended (append mode)
