@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow import ensure_importable
-from barflow.llm import pii, rules
+from barflow.llm import external_shuffle, phrase_index, pii, rules
 from barflow.llm import text as tx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document, by the positional index."""
+    found = phrase_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+@query("op2_external_shuffle")
+def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shuffled shards, by key."""
+    return external_shuffle.shard_report(table(spark, sf_dir, "documents"))
+
+
 @query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, the fixed base rule and the learned decision list."""
