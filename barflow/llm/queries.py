@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow import ensure_importable
-from barflow.llm import external_shuffle, phrase_index, pii, rules
+from barflow.llm import external_shuffle, phrase_index, pii, rules, secret_links
 from barflow.llm import text as tx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,6 +50,12 @@ def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return external_shuffle.shard_report(table(spark, sf_dir, "documents"))
 
 
+@query("op5_secret_links")
+def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, weak parts only where complementary parts meet."""
+    return secret_links.secret_report(table(spark, sf_dir, "documents"))
+
+
 @query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, the fixed base rule and the learned decision list."""
