@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow import ensure_importable
-from barflow.llm import external_shuffle, phrase_index, pii, rules, secret_links
+from barflow.llm import bpe_automaton, external_shuffle, phrase_index, pii, rules, secret_links
 from barflow.llm import text as tx
 
+#: Folder of the public tokenizers' files.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -56,6 +60,17 @@ def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_links.secret_report(table(spark, sf_dir, "documents"))
 
 
+@query("op6_bpe_automaton")
+def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text encoded by the tokenization automaton and decoded again."""
+    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    encoded = bpe_automaton.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
+    return bpe_automaton.decode(encoded, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query("op7_quality_rules")
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document, the fixed base rule and the learned decision list."""
