@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow import ensure_importable
-from barflow.llm import bpe_automaton, external_shuffle, phrase_index, pii, rules, secret_links
+from barflow.llm import bpe_automaton, external_shuffle, parity_join, phrase_index, pii, rules, secret_links
 from barflow.llm import text as tx
 
 #: Folder of the public tokenizers' files.
@@ -54,6 +54,12 @@ def op2_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return external_shuffle.shard_report(table(spark, sf_dir, "documents"))
 
 
+@query("op3_parity_join")
+def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by the parity-sketch join."""
+    return parity_join.linked_components(table(spark, sf_dir, "documents"))
+
+
 @query("op5_secret_links")
 def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, weak parts only where complementary parts meet."""
