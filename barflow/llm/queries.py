@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow import ensure_importable
-from barflow.llm import bpe_automaton, external_shuffle, parity_join, phrase_index, pii, rules, secret_links
+from barflow.llm import bpe_automaton, external_shuffle, parity_join, phrase_index, pii, rules, secret_links, suffix_dedup
 from barflow.llm import text as tx
 
 #: Folder of the public tokenizers' files.
@@ -60,6 +60,12 @@ def op3_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.linked_components(table(spark, sf_dir, "documents"))
 
 
+@query("op4_prefix_doubling")
+def op4_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of repeated 50-byte strings of all documents, by distributed prefix doubling."""
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), 50)[0]
+
+
 @query("op5_secret_links")
 def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, weak parts only where complementary parts meet."""
