@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow import ensure_importable
-from barflow.llm import bpe_automaton, external_shuffle, parity_join, phrase_index, pii, rules, secret_links, suffix_dedup
+from barflow.llm import bpe_automaton, external_shuffle, license_scan, parity_join, phrase_index, pii, rules, secret_links, suffix_dedup, token_counts
 from barflow.llm import text as tx
 
 #: Folder of the public tokenizers' files.
@@ -95,6 +95,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_trie_counts")
+def op8_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and unigram tokens of every whole text."""
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@query("op9_license_scan")
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every whole text."""
+    found = license_scan.license_matches(table(spark, sf_dir, "documents"))
+    names = F.array_join(F.sort_array(F.array_distinct(F.transform("matches", lambda x: x["license"]))), ",")
+    spans = F.transform("matches", lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"), x["end"].cast("string")))
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), names.alias("licenses"), F.array_join(spans, ",").alias("spans"))
+
+
 @query("op10_pii_anchors")
 def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document by anchor expansion."""
