@@ -175,7 +175,7 @@ def written(df, name: str, partition_by: tuple[str, ...] = ()):
     spark = df.sparkSession
     path = shared_path(spark, name)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path) if not partition_by else spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(df, name: str) -> str:
