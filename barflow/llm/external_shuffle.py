@@ -89,8 +89,10 @@ def with_slots(shards: DataFrame) -> DataFrame:
 
 def shard_report(df: DataFrame, shards: int = 24, seed: int = 20, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Where every record went: id, size, checksum, shard, slot, and its shard if there were one more."""
-    placed = with_slots(shuffle_into_shards(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shards, seed))
-    return placed.select(
-        "doc_id", record_size("text").alias("size"), F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"),
-        F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", shard_of("doc_id", shards + 1, seed).alias("grown_shard"),
+    placed = shuffle_into_shards(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shards, seed)
+    # digests of the texts first, so that only they meet the bucket offsets
+    digests = placed.select("doc_id", record_size("text").alias("size"), F.crc32(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("text_crc32"), "shard", "bucket", "place")
+    return with_slots(tx.written(digests, "shard-digests")).select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), F.col("shard").cast("int").alias("shard"), "slot",
+        shard_of("doc_id", shards + 1, seed).alias("grown_shard"),
     )
