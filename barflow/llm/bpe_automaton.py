@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -41,7 +42,9 @@ from pyspark.sql import types as T
 from barflow.llm import text as tx
 
 #: Distinct words whose tokens a worker keeps (then it starts anew; only speed depends on it).
-KEPT_WORDS = 300_000
+KEPT_WORDS = 250_000
+#: Entries of the table of arcs that a worker keeps (likewise).
+KEPT_ARCS = 250_000
 _FOREVER = 1 << 60
 
 
@@ -100,43 +103,51 @@ class TokenAutomaton:
             x, x_until = part
 
     def follows(self, state: int, token: int) -> bool:
-        """Whether arc ``token`` leaves the state after ``state`` (looked up once, then from the table)."""
+        """Whether arc ``token`` leaves the state after ``state`` (worked out once, then read from the table)."""
         key = state * self.wide + token
         known = self.known.get(key)
         if known is None:
+            if len(self.known) >= KEPT_ARCS:
+                self.known.clear()
             known = self.known[key] = not self._crosses(state, token)
-            if len(self.known) > 4_000_000:
-                self.known = {key: known}
         return known
 
-    def _step(self, word: str, path: list[tuple[int, tuple | None]], end: int, arcs: dict[str, int]) -> tuple[int, tuple | None]:
-        """The last token of ``word[:end]`` with the node it leaves; ``path[i]`` is that of ``word[:i + 1]``."""
-        get, follows = arcs.get, self.follows
-        for start in range(max(0, end - self.longest), end):
-            token = get(word[start:end])
-            if token is not None:
-                if start == 0:
-                    return token, None
-                before = path[start - 1]
-                if before is not None and follows(before[0], token):
-                    return token, before
-        raise ValueError(f"no token path for {word!r}")
-
     def encode_sorted(self, words: Iterable[str]) -> Iterator[list[int]]:
-        """Token ids of each of the sorted words (letters that stand for bytes)."""
+        """Token ids of each of the sorted words (letters that stand for bytes).
+
+        ``path[i]`` is the last token of ``word[:i + 1]`` with the node that its
+        arc leaves; the part of the path that the word before shares is kept.
+        """
         path: list[tuple[int, tuple | None]] = []
         last = ""
+        known, follows, wide, longest = self.known, self.follows, self.wide, self.longest
         for word in words:
             shared = 0
             for x, y in zip(last, word):
                 if x != y:
                     break
                 shared += 1
-            del path[min(shared, max(len(word) - 1, 0)) :]
-            while len(path) < len(word) - 1:
-                path.append(self._step(word, path, len(path) + 1, self.inner))
-            last = word
-            node = self._step(word, path, len(word), self.final) if word else None
+            n = len(word)
+            del path[min(shared, max(n - 1, 0)) :]
+            last, node = word, None
+            for end in range(len(path) + 1, n + 1):
+                get = (self.inner if end < n else self.final).get
+                token = get(word[:end]) if end <= longest else None
+                if token is not None:
+                    node = token, None
+                else:
+                    for start in range(max(1, end - longest), end):
+                        token = get(word[start:end])
+                        if token is not None:
+                            before = path[start - 1]
+                            ok = known.get(before[0] * wide + token)
+                            if ok or ok is None and follows(before[0], token):
+                                node = token, before
+                                break
+                    else:
+                        raise ValueError(f"no token path for {word!r}")
+                if end < n:
+                    path.append(node)
             ids = []
             while node is not None:
                 ids.append(node[0])
@@ -156,21 +167,17 @@ class Tokenizer:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = TokenAutomaton(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        size = max([*model["vocab"].values(), *self.special.values()]) + 1
-        self.labels = [""] * size
-        for label, i in [*model["vocab"].items(), *self.special.items()]:
-            self.labels[i] = label
         # the file's \s is Unicode white space; the regex module's also takes U+001C to U+001F
         self.split = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.letters = byte_letters()
-        self.kept: dict[str, int] = {}
-        self.kept_ids: list[np.ndarray] = []
         self._start_anew()
 
     def _start_anew(self) -> None:
-        self.kept = {f"\0{i}": k for k, i in enumerate(self.special.values())}  # no word holds the mark of a special token
-        self.kept_ids = [np.array([i], np.int32) for i in self.special.values()]
+        """Forget all words; no word holds the mark of a special token."""
+        self.kept = {f"\0{i}": k for k, i in enumerate(self.special.values())}
+        self.kept_ids = array("i", self.special.values())
+        self.kept_ends = array("q", range(1, len(self.kept) + 1))
 
     def words(self, text: str) -> list[str]:
         """Normalised, split words; a special token is a word of its own (marked)."""
@@ -191,21 +198,29 @@ class Tokenizer:
         kept = self.kept
         new = sorted({w.encode().decode("latin-1").translate(self.letters): w for own in split for w in set(own) if w not in kept}.items())
         for (_, word), ids in zip(new, self.automaton.encode_sorted(x for x, _ in new)):
-            kept[word] = len(self.kept_ids)
-            self.kept_ids.append(np.array(ids, np.int32))
+            kept[word] = len(self.kept_ends)
+            self.kept_ids.extend(ids)
+            self.kept_ends.append(len(self.kept_ids))
         places = np.fromiter((kept[w] for own in split for w in own), np.int64, sum(map(len, split)))
-        used, at = np.unique(places, return_inverse=True)
-        of_word = [self.kept_ids[i] for i in used]
-        lengths = np.array([len(x) for x in of_word], np.int64)
-        flat = np.concatenate(of_word) if of_word else np.empty(0, np.int32)
-        begins = np.cumsum(lengths) - lengths
-        n = lengths[at] if len(at) else np.empty(0, np.int64)
-        ends = np.cumsum(n)
-        ids = flat[np.repeat(begins[at] - (ends - n), n) + np.arange(ends[-1])] if len(at) else flat[:0]
         bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
+        if not len(places):
+            return np.empty(0, np.int32), bounds
+        stop = np.array(self.kept_ends, np.int64)
+        begin = np.concatenate([[0], stop[:-1]])[places]
+        n = stop[places] - begin
+        ends = np.cumsum(n)
+        ids = np.array(self.kept_ids, np.int32)[np.repeat(begin - (ends - n), n) + np.arange(ends[-1])]
         return ids, np.concatenate([[0], ends])[bounds]
 
 
+def labels_of(path: str) -> list[str]:
+    """The label of each id's arc."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    known = {**{i: t for t, i in spec["model"]["vocab"].items()}, **{t["id"]: t["content"] for t in spec["added_tokens"]}}
+    return [known.get(i, "") for i in range(max(known) + 1)]
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> Tokenizer:
     return Tokenizer(path)
@@ -235,7 +250,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     schema = T.StructType([*fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = pa.array(load(path).labels, pa.string())
+        labels = pa.array(labels_of(path), pa.string())
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
