@@ -7,12 +7,13 @@ that need a shared directory (streaming checkpoints, lineage cuts).
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+#: Where local runs (tests, bench) put their shared folder: one machine, so every task sees it.
+LOCAL_SHARED = "/tmp/barflow-shared"
+
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -27,11 +28,19 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "barflow", **conf: str) -> SparkSession:
-    """Local session for tests and the bench (cluster jobs pass their own)."""
+def build_session(master: str = "local[8]", app: str = "barflow", checkpoint_dir: str | None = None, **conf: str) -> SparkSession:
+    """Local session for tests and the bench (cluster jobs pass their own).
+
+    ``checkpoint_dir`` names the shared folder for written tables; a local run
+    may leave it out and gets one of its own below ``LOCAL_SHARED``.
+    """
     builder = SparkSession.builder.master(master).appName(app)
     merged = dict(DEFAULT_CONF)
     merged.update({k.replace("__", "."): v for k, v in conf.items()})
+    if master.startswith("local"):
+        checkpoint_dir = checkpoint_dir or f"{LOCAL_SHARED}/{app}-{uuid.uuid4().hex[:12]}"
+    if checkpoint_dir:
+        merged["spark.checkpoint.dir"] = checkpoint_dir
     for k, v in merged.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -44,10 +53,9 @@ def build_session(master: str = "local[8]", app: str = "barflow", **conf: str) -
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``; an error if it is not set.
 
-    On a cluster the setting names a shared file system; it is only filled in
-    here when unset (local tests), with a fresh scratch folder.
+    Every executor must see the folder, so it is never made up here.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,16 +63,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="barflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        raise ValueError("spark.checkpoint.dir is not set; name a folder that the driver and all executors share")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _written.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete the tables this process wrote below the shared folder (at the end of a run); returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n
 
 
 def materialize(df, name: str = "table"):

@@ -12,6 +12,9 @@ def spark():
 
     s = build_session(master="local[8]", app="barflow-tests", spark__sql__shuffle__partitions="8")
     yield s
+    from barflow.session import remove_scratch
+
+    remove_scratch(s)
     s.stop()
 
 
