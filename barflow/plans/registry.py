@@ -1,6 +1,7 @@
 """Named queries: a Spark builder plus (where SQL can say it) a DuckDB oracle.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame. Doubles are
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame (queries that
+write intermediate tables run those jobs while they are built). Doubles are
 rounded to 4 decimals on both sides so that summation order cannot decide a
 comparison; every computed column is aliased to the same name in both.
 """
@@ -39,24 +40,14 @@ def register(name: str, sql: str | None = None, ops: str = ""):
 
 
 def round4(c) -> "F.Column":
-    """Output rounding shared with the oracle SQL (``r4``), in plain IEEE doubles.
-
-    * ``|x| < 1e6``: ``floor(x * 1e4 + 0.501) / 1e4``. Prices with two decimals
-      averaged over 8, 16, 24 ... rows land exactly on a 5th-decimal tie, where
-      last-bit differences between engines would round apart; the boundary is
-      moved to ...4990, away from such exact ties.
-    * larger values: 10 significant digits (summation order moves the 4th
-      decimal of a 1e10 sum), scaled by exact powers of ten.
+    """Output rounding to 4 decimals, shared with the oracle SQL (``r4``); the operators return full precision.
+
+    Engines add up doubles in different orders, so a mean of prices that is a
+    decimal tie (1.23455) comes out a last bit above or below it. Both sides
+    therefore go through an exact decimal with 7 places, where the tie is a tie.
     """
     c = F.col(c) if isinstance(c, str) else c
-    small = F.floor(c * F.lit(10000.0) + F.lit(0.501)).cast("double") / F.lit(10000.0)
-    k = F.lit(9) - F.floor(F.log10(F.abs(c)))
-    up = F.pow(F.lit(10.0), k.cast("double"))
-    down = F.pow(F.lit(10.0), (-k).cast("double"))
-    big = F.when(k >= 0, F.floor(c * up + F.lit(0.501)).cast("double") / up).otherwise(
-        F.floor(c / down + F.lit(0.501)).cast("double") * down
-    )
-    return F.when(F.isnan(c) | c.isNull(), c).when(F.abs(c) < F.lit(1e6), small).otherwise(big)
+    return F.round(c.try_cast("decimal(38,7)"), 4).cast("double")
 
 
 def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
@@ -81,10 +72,4 @@ def frame(n: int, symbol_cols: str = "symbol", order: str = "date") -> str:
 
 def r4(expr: str, alias: str) -> str:
     """SQL twin of ``round4``."""
-    x = f"({expr})"
-    k = f"(9 - floor(log10(abs({x}))))"
-    big = (
-        f"CASE WHEN {k} >= 0 THEN floor({x} * pow(10.0, {k}) + 0.501) / pow(10.0, {k}) "
-        f"ELSE floor({x} / pow(10.0, -{k}) + 0.501) * pow(10.0, -{k}) END"
-    )
-    return f"CASE WHEN abs({x}) < 1e6 THEN floor({x} * 10000.0 + 0.501) / 10000.0 ELSE {big} END AS {alias}"
+    return f"CAST(round(CAST(CAST({expr} AS DOUBLE) AS DECIMAL(38,7)), 4) AS DOUBLE) AS {alias}"
