@@ -4,21 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barflow.operators import indicators as ind
+from barflow.operators import indicators as ind, regress as rg
 from barflow.plans.q_features import ADJ, ORD
+from barflow.plans.q_ml import _train_test
+from barflow.plans.q_model import SPLIT_CTE
 from barflow.plans.registry import frame, part, r4, register, rounded
 from barflow.session import scratch_path
 from barflow.sources import bars as src
+from barflow.sources.schema import FEATURE_COLS
 from barflow.streaming import stream as st
 
 WATERMARK = "10 minutes"
 ALERT_PCT = 50.0
 
 
+#: Files of a feed, each a micro-batch of its own.
+FEED_FILES = 4
+
+
 def _feed(spark, df, name: str) -> str:
-    """Write a batch-derived table as the file feed a stream reads (shared folder)."""
+    """Write a table as the file feed a stream reads (shared folder): rows in no order, dealt over the files by hash."""
     path = scratch_path(spark, f"{name}-feed")
-    df.write.mode("overwrite").parquet(path)
+    df.repartition(FEED_FILES, F.xxhash64(*df.columns)).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -31,7 +38,7 @@ FROM e, mx WHERE bar_ts + INTERVAL 1 HOUR <= max_ts - INTERVAL {WATERMARK}""",
 )
 def q_stream_bars(spark, sf):
     ev = spark.read.parquet(f"{sf}/events.parquet")
-    ticks = spark.readStream.schema(ev.schema).parquet(f"{sf}/events*.parquet")  # file source lists a folder
+    ticks = spark.readStream.schema(ev.schema).parquet(f"{sf}/events.parquet*")  # a glob, so that the file source lists the folder; no other name begins so
     bars = st.tick_bars(ticks.select(F.col("event_type").alias("symbol"), "ts", F.col("value").alias("price")),
                         "symbol", "ts", "price", "1 hour", WATERMARK)
     return rounded(st.run_to_table(spark, bars, "stream-bars", "append"))
@@ -40,7 +47,7 @@ def q_stream_bars(spark, sf):
 def _adj_feed(spark, sf):
     bars = ind.use_adjusted_close(src.ord_bars(spark, sf))
     path = _feed(spark, bars, "ord-bars")
-    return st.bar_stream(spark, path, bars.schema)
+    return st.bar_stream(spark, path, bars.schema, max_files_per_trigger=1)
 
 
 @register(
@@ -56,10 +63,10 @@ SELECT symbol, date, {r4("close", "close")}, {r4("prev", "prev_close")},
        {r4("(close - prev) / nullif(prev, 0) * 100.0", "change_pct")}, {r4("ma_10", "ma_10")}, {r4("ma_50", "ma_50")},
        {r4("100 - 100 / (1 + ag / nullif(al, 0))", "rsi")}, {r4("ma_20 + 2 * sd_20", "upper_bb")},
        {r4("ma_20 - 2 * sd_20", "lower_bb")}, {r4("100 * (close - ll) / nullif(hh - ll, 0)", "stoch_osc")} FROM g""",
-    ops="T3 (W1-W8 on a stream: per-symbol state, applyInPandasWithState)",
+    ops="T3 (W1-W8 on an unordered stream, one file per micro-batch)",
 )
 def q_stream_indicators(spark, sf):
-    return rounded(st.run_to_table(spark, st.live_indicators(_adj_feed(spark, sf)), "stream-ind", "append"))
+    return rounded(st.run_live(spark, _adj_feed(spark, sf), "stream-ind"))
 
 
 @register(
@@ -72,30 +79,31 @@ FROM c WHERE abs(change_pct) >= {ALERT_PCT}""",
     ops="T4",
 )
 def q_stream_alerts(spark, sf):
-    return rounded(st.run_to_table(spark, st.price_alerts(_adj_feed(spark, sf), ALERT_PCT), "stream-alerts", "append"))
+    return rounded(st.price_alerts(st.run_live(spark, _adj_feed(spark, sf), "stream-alerts", st.change_rows, depth=1), ALERT_PCT))
 
 
 @register(
     "stream_dedupe",
     sql=f"WITH t AS ({src.NUL_ROWS_SQL}) SELECT DISTINCT symbol, date FROM t",
-    ops="T6 (dropDuplicatesWithinWatermark on the bar key)",
+    ops="T6 (distinct bar keys of an unordered stream, one file per micro-batch)",
 )
 def q_stream_dedupe(spark, sf):
     rows = src.nul_rows(spark, sf)
-    s = st.bar_stream(spark, _feed(spark, rows, "nul-rows"), rows.schema)
-    d = st.dedupe_stream(s, ["symbol", "date"], "date", "1 day").select("symbol", "date")
-    return st.run_to_table(spark, d, "stream-dedupe", "append")
+    s = st.bar_stream(spark, _feed(spark, rows, "nul-rows"), rows.schema, max_files_per_trigger=1)
+    return st.run_distinct(spark, s, "stream-dedupe").select("symbol", "date")
 
 
-@register("stream_score", ops="T2 (fitted pipeline applied to a feature stream)")
+@register(
+    "stream_score",
+    sql=f"WITH {SPLIT_CTE} SELECT symbol, date, CAST(0 AS DOUBLE) AS difference FROM sp WHERE split = 'test'",
+    ops="T2 (fitted pipeline applied to a feature stream: the difference from batch scoring)",
+)
 def q_stream_score(spark, sf):
-    from barflow.operators import regress as rg
-    from barflow.plans.q_ml import _train_test
-    from barflow.sources.schema import FEATURE_COLS
-
     train, test = _train_test(spark, sf)
     pipe, _ = rg.lr_pipeline(FEATURE_COLS, "target", regParam=0.01, elasticNetParam=0.0)
     model = pipe.fit(train)
-    rows = test.select("symbol", "date", *FEATURE_COLS, "close", "target")
-    s = st.bar_stream(spark, _feed(spark, rows, "feature-rows"), rows.schema)
-    return rounded(st.run_to_table(spark, st.score_stream(model, s), "stream-score", "append"))
+    rows = test.select("symbol", "date", *FEATURE_COLS, "target")
+    s = st.bar_stream(spark, _feed(spark, rows, "feature-rows"), rows.schema, max_files_per_trigger=1)
+    scored = st.run_to_table(spark, st.score_stream(model, s), "stream-score", "append")
+    own = rg.predictions(model, test).select("symbol", "date", F.col("prediction").alias("own"))
+    return rounded(scored.join(own, ["symbol", "date"]).select("symbol", "date", F.abs(F.col("prediction") - F.col("own")).alias("difference")))

@@ -3,14 +3,13 @@
 * ``tick_bars``: event-time tumbling windows with a watermark; append mode
   emits a bar once the watermark passes its end, so state holds only open
   windows.
-* ``live_indicators``: row-frame windows are not allowed on streams, so each
-  symbol keeps bounded state (last 50 closes, 14 highs and lows) in
-  ``applyInPandasWithState`` and emits moving averages, RSI, Bollinger bands,
-  the stochastic oscillator and the change against the previous close for
-  every new bar (bars at or before the last seen date are ignored).
-* ``price_alerts``: the same state, filtered to |change| >= threshold.
+* ``run_live``: indicators (or any row-frame rows) of a bar stream by
+  ``foreachBatch`` over the blocked batch windows; late bars correct the rows
+  they change, so the result does not depend on the batching.
+* ``price_alerts``: rows filtered to |change| >= threshold.
 * ``score_stream``: a fitted ``PipelineModel`` applied to a stream (stateless).
-* ``dedupe_stream``: ``dropDuplicatesWithinWatermark`` on the bar key.
+* ``run_distinct``: distinct keys of any feed; ``dedupe_stream``: within a
+  watermark, for ordered feeds.
 
 ``run_to_table`` drives a query with ``availableNow`` into a Parquet sink in
 the shared checkpoint folder and returns the sink as a batch DataFrame.
@@ -18,15 +17,15 @@ the shared checkpoint folder and returns the sink as a batch DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from barflow import ensure_importable
+from barflow.operators import halo
+from barflow.operators import indicators as ind
 from barflow.session import scratch_path
 
 
@@ -59,85 +58,109 @@ def tick_bars(ticks: DataFrame, symbol: str = "symbol", ts: str = "ts", price: s
                        "open", "high", "low", "close", "volume")
 
 
-INDICATOR_SCHEMA = (
-    "symbol string, date date, close double, prev_close double, change_pct double, "
-    "ma_10 double, ma_50 double, rsi double, upper_bb double, lower_bb double, stoch_osc double"
-)
-_STATE_SCHEMA = "closes array<double>, highs array<double>, lows array<double>, seen long, last_date date"
-_OUT_COLS = ["symbol", "date", "close", "prev_close", "change_pct", "ma_10", "ma_50", "rsi", "upper_bb", "lower_bb",
-             "stoch_osc"]
+def indicator_rows(indexed: DataFrame) -> DataFrame:
+    """MA10/MA50, RSI14, Bollinger(20, 2), stochastic(14, mean form) and change, by the batch windows (NULLs as there)."""
+    keys = ["symbol"]
+    h = halo.blocked(indexed, keys, "date", preceding=49)
+    s = ind._Spec(keys)
+    h = h.withColumns({"prev_close": s.lag("close", 1), "ma_10": s.sma("close", 10), "ma_50": s.sma("close", 50),
+                       "_ma_20": s.sma("close", 20), "_std": s.std("close", 20), "_ll": s.sma("low", 14), "_hh": s.sma("high", 14)})
+    h = ind._rsi_parts(h, s, "close", 14)
+    h = h.withColumns({
+        "change_pct": F.try_divide(F.col("close") - F.col("prev_close"), F.col("prev_close")) * F.lit(100.0),
+        "rsi": ind.rsi_expr(), "stoch_osc": ind.stoch_expr("close", "_ll", "_hh"),
+        "upper_bb": F.col("_ma_20") + F.lit(2.0) * F.col("_std"), "lower_bb": F.col("_ma_20") - F.lit(2.0) * F.col("_std"),
+    })
+    return halo.core(h).select("symbol", "date", "close", "prev_close", "change_pct", "ma_10", "ma_50", "rsi", "upper_bb",
+                               "lower_bb", "stoch_osc", halo.IDX)
+
+
+def change_rows(indexed: DataFrame) -> DataFrame:
+    """The change against the previous close: all that an alert needs."""
+    h = halo.blocked(indexed, ["symbol"], "date", preceding=1)
+    h = h.withColumn("prev_close", ind._Spec(["symbol"]).lag("close", 1))
+    change = F.try_divide(F.col("close") - F.col("prev_close"), F.col("prev_close")) * F.lit(100.0)
+    return halo.core(h).select("symbol", "date", "close", "prev_close", change.alias("change_pct"), halo.IDX)
+
+
+def _newest(rows: DataFrame, keys: Sequence[str], *ties: str) -> DataFrame:
+    """The row of the latest batch for each key; within a batch the one with the largest ``ties``."""
+    w = Window.partitionBy(*keys).orderBy(F.col("batch").desc(), *[F.col(c).desc_nulls_last() for c in ties])
+    return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+
+
+def _apply_batch(batch: DataFrame, number: int, root: str, rows, depth: int, block: float | None) -> None:
+    """Store a micro-batch of bars and compute again every row whose frame it touches."""
+    spark = batch.sparkSession
+    bars = batch.select("symbol", "date", *[F.col(c).cast("double") for c in ("close", "high", "low")])
+    bars = bars.withColumn("_tb", halo.bucket(bars, "date", block))
+    bars.write.mode("overwrite").parquet(f"{root}/bars/batch={number}")  # the same batch again writes the same files
+    stored = spark.read.schema(bars.schema.add("batch", "long")).option("basePath", f"{root}/bars").parquet(f"{root}/bars").where(F.col("batch") <= number)
+    touched = stored.where(F.col("batch") == number).select("symbol", "_tb").distinct()
+    symbols = touched.select(F.col("symbol").alias("_sym")).distinct()
+    own = stored.join(symbols, F.col("symbol").eqNullSafe(F.col("_sym")), "left_semi")
+    latest = _newest(own, ["symbol", "date"], "close", "high", "low")
+    # rows of each symbol and time bucket: where a bucket's positions begin
+    counts = latest.groupBy("symbol", "_tb").agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy("symbol")
+    counts = counts.select("symbol", "_tb", "_c", (F.sum("_c").over(w.orderBy("_tb")) - F.col("_c")).alias("_from"), F.sum("_c").over(w).alias(halo.CNT))
+    spans = halo.join_null_safe(counts, touched, ["symbol", "_tb"]).select(F.col("symbol").alias("_sym"), F.col("_from").alias("_lo"), (F.col("_from") + F.col("_c") + depth).alias("_hi"))
+    near = F.col("symbol").eqNullSafe(F.col("_sym")) & (F.col("_from") < F.col("_hi")) & (F.col("_from") + F.col("_c") > F.col("_lo") - depth)
+    needed = counts.join(spans, near, "left_semi")
+    placed = halo.join_null_safe(latest, needed, ["symbol", "_tb"])
+    local = F.row_number().over(Window.partitionBy("symbol", "_tb").orderBy("date")) - 1
+    placed = placed.withColumn(halo.IDX, F.col("_from") + local).select("symbol", "date", "close", "high", "low", halo.IDX, halo.CNT)
+    inside = F.col("symbol").eqNullSafe(F.col("_sym")) & (F.col(halo.IDX) >= F.col("_lo")) & (F.col(halo.IDX) < F.col("_hi"))
+    rows(placed).join(spans, inside, "left_semi").drop(halo.IDX).write.mode("overwrite").parquet(f"{root}/rows/batch={number}")
+
+
+def run_live(spark: SparkSession, bars: DataFrame, name: str, rows=indicator_rows, depth: int = 49, block: float | None = None) -> DataFrame:
+    """T3: indicators of a bar stream, the same for any batching; the newest row of each (symbol, date).
+
+    Every micro-batch is appended to a bar table (``foreachBatch``, idempotent by
+    batch number). The time buckets it touches are then computed again by the
+    blocked batch windows, with ``depth`` rows before them and for ``depth`` rows
+    after them, so a late or corrected bar mends the rows that it changes. A
+    repeated bar counts once: the one of the latest batch, then the largest
+    close. No per-symbol state is kept, and a hot symbol is split by blocks.
+    """
+    root = scratch_path(spark, f"{name}-live")
+    ensure_importable(spark)
+    _finish(bars.writeStream.foreachBatch(lambda b, i: _apply_batch(b, i, root, rows, depth, block))
+            .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")).trigger(availableNow=True).start())
+    return _newest(spark.read.option("basePath", f"{root}/rows").parquet(f"{root}/rows"), ["symbol", "date"]).drop("batch")
 
 
-def _indicator_rows(symbol, pdf: pd.DataFrame, state: tuple, depth: int = 50):
-    """Advance one symbol's state over its new bars; returns rows and the new state.
+def price_alerts(changes: DataFrame, threshold_pct: float = 50.0) -> DataFrame:
+    """T4: bars whose close moved at least ``threshold_pct`` % against the previous close."""
+    return changes.where(F.abs(F.col("change_pct")) >= F.lit(threshold_pct)).select("symbol", "date", "close", "prev_close", "change_pct")
 
-    State: last ``depth`` closes, last 14 highs and lows, bars seen, last date.
-    Bars at or before the last date are ignored (replays, late duplicates).
-    """
-    closes, highs, lows, seen, last_date = state
-    closes, highs, lows = list(closes), list(highs), list(lows)
-    pdf = pdf.sort_values("date")
-    if last_date is not None:
-        pdf = pdf[pdf["date"] > last_date]
-    out = []
-    for d, c, hi, lo in zip(pdf["date"], pdf["close"], pdf["high"], pdf["low"]):
-        prev = closes[-1] if closes else None
-        closes = (closes + [float(c)])[-depth:]
-        highs = (highs + [float(hi)])[-14:]
-        lows = (lows + [float(lo)])[-14:]
-        seen += 1
-        arr = np.asarray(closes)
-        # 14-row mean gain/loss; the series' first row contributes a zero change
-        diffs = np.diff(arr[-15:])
-        if seen <= 14:
-            diffs = np.concatenate([[0.0], diffs])
-        diffs = diffs[-14:]
-        gain = np.where(diffs > 0, diffs, 0.0).mean()
-        loss = np.where(diffs < 0, -diffs, 0.0).mean()
-        rsi = None if loss == 0 else float(100.0 - 100.0 / (1.0 + gain / loss))
-        w20 = arr[-20:]
-        sd = float(w20.std(ddof=1)) if len(w20) > 1 else None
-        ma20 = float(w20.mean())
-        ll, hh = float(np.mean(lows)), float(np.mean(highs))
-        stoch = None if hh == ll else float(100.0 * (c - ll) / (hh - ll))
-        change = None if prev in (None, 0.0) else float((c - prev) / prev * 100.0)
-        out.append((symbol, d, float(c), prev, change, float(arr[-10:].mean()), float(arr[-50:].mean()), rsi,
-                    None if sd is None else ma20 + 2 * sd, None if sd is None else ma20 - 2 * sd, stoch))
-        last_date = d
-    return out, (closes, highs, lows, seen, last_date)
-
-
-def live_indicators(bars: DataFrame, depth: int = 50, timeout: str = GroupStateTimeout.NoTimeout) -> DataFrame:
-    """T3: streaming MA10/MA50, RSI14, Bollinger(20, 2), stochastic(14, mean form) and change per symbol.
-
-    Row-frame windows are not allowed on streams; each symbol keeps bounded
-    state (``depth`` closes, 14 highs and lows) in ``applyInPandasWithState``.
+
+def run_distinct(spark: SparkSession, rows: DataFrame, name: str, keys: Sequence[str] = ("symbol", "date"), order: str = "date") -> DataFrame:
+    """T6: the first row of every key over the whole stream, however it is cut into batches.
+
+    New keys of a batch are those not yet stored in its time buckets; the store
+    on disk is the state. Within a batch any one row of a key is kept.
     """
+    root, keys = scratch_path(spark, f"{name}-distinct"), list(keys)
 
-    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        prior = tuple(state.get) if state.exists else ([], [], [], 0, None)
-        chunks = [p for p in pdfs if not p.empty]
-        if not chunks:
-            return
-        pdf = pd.concat(chunks, ignore_index=True)  # every chunk of the micro-batch, sorted together
-        rows, new = _indicator_rows(key[0], pdf, prior, depth)
-        state.update(new)
-        if rows:
-            yield pd.DataFrame(rows, columns=_OUT_COLS)
-
-    ensure_importable(bars.sparkSession)
-    cols = [F.col(c).cast("double") for c in ("close", "high", "low")]
-    return bars.select("symbol", "date", *cols).groupBy("symbol").applyInPandasWithState(
-        step, INDICATOR_SCHEMA, _STATE_SCHEMA, "append", timeout
-    )
+    def step(batch: DataFrame, number: int) -> None:
+        new = batch.dropDuplicates(keys).withColumn("_tb", halo.bucket(batch, order))
+        if number:
+            kept = batch.sparkSession.read.schema(new.schema.add("batch", "long")).option("basePath", root).parquet(root).where(F.col("batch") < number)
+            kept = kept.select(*[F.col(c).alias(f"_k_{c}") for c in [*keys, "_tb"]])
+            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*keys, "_tb"]])
+            new = new.join(kept, same, "left_anti")
+        new.write.mode("overwrite").parquet(f"{root}/batch={number}")
 
+    _finish(rows.writeStream.foreachBatch(step).option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")).trigger(availableNow=True).start())
+    return spark.read.option("basePath", root).parquet(root).select(*rows.columns)
 
-def price_alerts(bars: DataFrame, threshold_pct: float = 50.0, depth: int = 50) -> DataFrame:
-    """T4: bars whose close moved at least ``threshold_pct`` % against the previous close."""
-    ind = live_indicators(bars, depth)
-    return ind.where(F.abs(F.col("change_pct")) >= F.lit(threshold_pct)).select(
-        "symbol", "date", "close", "prev_close", "change_pct"
-    )
+
+def _finish(query) -> None:
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
 
 
 def score_stream(model, rows: DataFrame, keys: Sequence[str] = ("symbol", "date"), label: str = "target") -> DataFrame:
@@ -147,7 +170,11 @@ def score_stream(model, rows: DataFrame, keys: Sequence[str] = ("symbol", "date"
 
 def dedupe_stream(rows: DataFrame, keys: Sequence[str] = ("symbol", "date"), event_time: str = "date",
                   delay: str = "1 day") -> DataFrame:
-    """T6: drop repeated keys that arrive within the watermark delay."""
+    """T6, for feeds ordered to within ``delay``: repeated keys go, and so do rows later than the watermark.
+
+    State holds the keys of the delay only. ``run_distinct`` keeps every row of
+    an unordered feed.
+    """
     t = rows.withColumn("_et", F.col(event_time).cast("timestamp")).withWatermark("_et", delay)
     return t.dropDuplicatesWithinWatermark(list(keys)).drop("_et")
 
@@ -164,7 +191,5 @@ def run_to_table(spark: SparkSession, stream_df: DataFrame, name: str, output_mo
         .trigger(availableNow=True)
         .start()
     )
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
+    _finish(q)
     return spark.read.schema(stream_df.schema).parquet(sink)

@@ -2,24 +2,12 @@
 
 import datetime as dt
 
-import pandas as pd
-
 from barflow.session import scratch_path
 from barflow.sources import io
 from barflow.streaming import stream as st
 from tests.conftest import SF_SMALL
 
 
-def test_stream_state_ignores_replayed_bars(spark):
-    first = pd.DataFrame({"date": [dt.date(2020, 1, 2), dt.date(2020, 1, 1)], "close": [11.0, 10.0],
-                          "high": [12.0, 11.0], "low": [10.0, 9.0]})
-    rows, state = st._indicator_rows("S", first, ([], [], [], 0, None), 50)
-    assert [r[1] for r in rows] == [dt.date(2020, 1, 1), dt.date(2020, 1, 2)]
-    replay = pd.DataFrame({"date": [dt.date(2020, 1, 2)], "close": [99.0], "high": [99.0], "low": [99.0]})
-    rows2, _ = st._indicator_rows("S", replay, state, 50)
-    assert rows2 == []
-
-
 def test_csv_roundtrip_keeps_types(spark):
     from barflow.sources import bars as src
 
@@ -32,29 +20,65 @@ def test_csv_roundtrip_keeps_types(spark):
     assert back.count() == b.count()
 
 
-def test_live_indicators_carry_state_across_micro_batches(spark):
-    import numpy as np
-    from pyspark.sql import functions as F
+def _bars(spark, rows):
+    return spark.createDataFrame(rows, "symbol string, date date, close double, high double, low double")
+
+
+def _feed(spark, batches, name):
+    """A file for each batch, in that order."""
+    import time
+
+    path = scratch_path(spark, name)
+    for rows in batches:
+        rows.coalesce(1).write.mode("append").parquet(path)
+        time.sleep(1.1)
+    return st.bar_stream(spark, path, batches[0].schema, max_files_per_trigger=1)
+
+
+def _same(live, batch):
+    cols = ["symbol", "date", "close", "prev_close", "ma_10", "ma_50", "rsi", "upper_bb", "stoch_osc"]
+    key = lambda r: (r[0] or "", r[1])
+    a, b = (sorted((tuple(r[c] for c in cols) for r in f.collect()), key=key) for f in (live, batch))
+    assert [x[:2] for x in a] == [x[:2] for x in b]
+    for x, y in zip(a, b):
+        for u, v in zip(x[2:], y[2:]):
+            assert (u is None) == (v is None) and (u is None or abs(u - v) < 1e-6), (x, y)
+
+
+def test_live_indicators_equal_batch_for_any_batching(spark):
+    import random
+
+    from barflow.operators import halo
+
+    rnd = random.Random(4)
+    day = dt.date(2020, 1, 1)
+    rows = [(s, day + dt.timedelta(days=i), c := 100 + rnd.random() * 20, c + 2, c - 3) for s, n in (("A", 150), ("B", 61), ("C", 1)) for i in range(n)]
+    rows[20] = (*rows[20][:2], None, None, None)  # a NULL bar
+    batch = st.indicator_rows(halo.index_rows(_bars(spark, rows)))
+    for seed in (1, 2):
+        mixed = rows + [rows[3], rows[70]]  # repeated bars
+        random.Random(seed).shuffle(mixed)  # late bars everywhere
+        parts = [_bars(spark, mixed[i::3]) for i in range(3)]
+        _same(st.run_live(spark, _feed(spark, parts, "t-live"), "t-live", block=16), batch)
+
+
+def test_late_and_corrected_bars_mend_their_rows(spark):
+    day = lambda i: dt.date(2020, 1, 1) + dt.timedelta(days=i)
+    one = _bars(spark, [("A", day(i), 10.0 + i, 11.0, 9.0) for i in (0, 1, 3)])
+    two = _bars(spark, [("A", day(2), 30.0, 31.0, 29.0), ("A", day(0), 20.0, 21.0, 19.0)])  # late, and a correction
+    got = {r.date: r for r in st.run_live(spark, _feed(spark, [one, two], "t-late"), "t-late", st.change_rows, depth=1).collect()}
+    assert [got[day(i)].close for i in range(4)] == [20.0, 11.0, 30.0, 13.0]
+    assert [got[day(i)].prev_close for i in range(4)] == [None, 20.0, 11.0, 30.0]
+    alerts = st.price_alerts(st.run_live(spark, _feed(spark, [one, two], "t-al"), "t-al", st.change_rows, depth=1), 50.0)
+    assert sorted(r.date for r in alerts.collect()) == [day(2), day(3)]
 
-    from barflow.operators import indicators as ind
-    from barflow.sources import bars as src
 
-    bars = ind.use_adjusted_close(src.ord_bars(spark, SF_SMALL)).select("symbol", "date", "close", "high", "low")
-    feed = scratch_path(spark, "t-feed")
-    cut = "1995-06-30"
-    # two files written in time order -> two micro-batches with maxFilesPerTrigger=1
-    bars.where(F.col("date") <= cut).coalesce(1).write.mode("append").parquet(feed)
-    bars.where(F.col("date") > cut).coalesce(1).write.mode("append").parquet(feed)
-    stream = st.bar_stream(spark, feed, bars.schema, max_files_per_trigger=1)
-    got = st.run_to_table(spark, st.live_indicators(stream), "t-live").toPandas()
-    ref = ind.rsi(ind.moving_averages(bars, (10, 50)), 14).toPandas()
-    m = ref.merge(got, on=["symbol", "date"], suffixes=("_r", "_g"))
-    assert len(m) == len(ref) == len(got)
-    for c in ("ma_10", "ma_50"):
-        assert np.allclose(m[f"{c}_r"], m[f"{c}_g"], atol=1e-6)
-    both = m["rsi_r"].notna() & m["rsi_g"].notna()
-    assert (m["rsi_r"].isna() == m["rsi_g"].isna()).all()
-    assert np.allclose(m.loc[both, "rsi_r"], m.loc[both, "rsi_g"], atol=1e-6)
+def test_distinct_keys_over_micro_batches(spark):
+    day = dt.date(2020, 1, 1)
+    rows = [(s, day + dt.timedelta(days=d % 40), 1.0, 1.0, 1.0) for s in ("A", None) for d in range(0, 400, 7)]
+    parts = [_bars(spark, rows[i::3]) for i in range(3)]
+    got = st.run_distinct(spark, _feed(spark, parts, "t-dis"), "t-dis").collect()
+    assert len(got) == len({(r.symbol, r.date) for r in got}) == len({(r[0], r[1]) for r in rows})
 
 
 def test_tick_bars_drop_late_ticks(spark):
