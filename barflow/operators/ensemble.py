@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barflow.operators import halo
 from barflow.operators.metrics import regression_metrics
 
 
@@ -23,51 +24,38 @@ def blend(a: DataFrame, b: DataFrame, col_a: str, col_b: str, w_a: float = 0.7,
     return j.withColumn(out, F.lit(w_a) * F.col(col_a) + F.lit(w_b) * F.col(col_b))
 
 
+# The reference's hybrid weights.
+HYBRID_LR, HYBRID_SEQUENCE = 0.3, 0.7
+
+
+def hybrid(lr: DataFrame, sequence: DataFrame, col_lr: str, col_sequence: str, keys: Sequence[str] = ("symbol", "date"),
+           out: str = "hybrid") -> DataFrame:
+    """``0.7 x sequence model + 0.3 x linear regression``, joined on keys."""
+    return blend(lr, sequence, col_lr, col_sequence, HYBRID_LR, HYBRID_SEQUENCE, keys, out)
+
+
 def stack_fit(oof: DataFrame, label: str, cols: Sequence[str], group: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Least squares ``label ~ 1 + a + b`` per group from sums (normal equations, 3x3).
+    """Least squares ``label ~ 1 + a + b`` per group from central moments (one grouped aggregate).
 
-    ``oof`` holds out-of-fold base predictions. Returns ``c0, c1, c2``.
+    ``oof`` holds out-of-fold base predictions. Returns ``c0, c1, c2``; all are
+    NULL where the two predictors are collinear or constant in a group.
     """
-    a, b = cols
-    x = {"1": F.lit(1.0), "a": F.col(a), "b": F.col(b)}
-    y = F.col(label)
-    aggs = []
-    names = ["1", "a", "b"]
-    for i, p in enumerate(names):
-        for q in names[i:]:
-            aggs.append(F.sum(x[p] * x[q]).alias(f"s_{p}{q}"))
-        aggs.append(F.sum(x[p] * y).alias(f"t_{p}"))
-    sums = oof.groupBy(*group).agg(*aggs)
-
-    # Cramer's rule on the symmetric 3x3 system
-    pos = {n: i for i, n in enumerate(names)}
-
-    def s(p, q):
-        p, q = sorted((p, q), key=pos.get)
-        return F.col(f"s_{p}{q}")
-
-    m = [[s(p, q) for q in names] for p in names]
-    t = [F.col(f"t_{p}") for p in names]
-
-    def det(mm):
-        return (
-            mm[0][0] * (mm[1][1] * mm[2][2] - mm[1][2] * mm[2][1])
-            - mm[0][1] * (mm[1][0] * mm[2][2] - mm[1][2] * mm[2][0])
-            + mm[0][2] * (mm[1][0] * mm[2][1] - mm[1][1] * mm[2][0])
-        )
-
-    d = det(m)
-    coefs = {}
-    for k in range(3):
-        mk = [[t[r] if c == k else m[r][c] for c in range(3)] for r in range(3)]
-        coefs[f"c{k}"] = F.try_divide(det(mk), d)
-    return sums.select(*group, *[v.alias(k) for k, v in coefs.items()])
+    a, b = (F.when(F.col(label).isNotNull() & F.col(cols[0]).isNotNull() & F.col(cols[1]).isNotNull(), F.col(c)) for c in cols)
+    y = F.when(a.isNotNull(), F.col(label))
+    m = oof.groupBy(*group).agg(
+        F.avg(y).alias("my"), F.avg(a).alias("ma"), F.avg(b).alias("mb"), F.var_pop(a).alias("aa"), F.var_pop(b).alias("bb"),
+        F.covar_pop(a, b).alias("ab"), F.covar_pop(a, y).alias("ay"), F.covar_pop(b, y).alias("by"),
+    )
+    det = F.expr("aa * bb - ab * ab")
+    det = F.when(det > F.expr("1e-12 * aa * bb"), det)
+    m = m.withColumns({"c1": F.try_divide(F.expr("ay * bb - by * ab"), det), "c2": F.try_divide(F.expr("by * aa - ay * ab"), det)})
+    return m.select(*group, F.expr("my - c1 * ma - c2 * mb").alias("c0"), "c1", "c2")
 
 
 def stack_predict(df: DataFrame, coefs: DataFrame, cols: Sequence[str], group: Sequence[str] = ("symbol",),
                   out: str = "stacked") -> DataFrame:
     a, b = cols
-    j = df.join(coefs, list(group))
+    j = halo.join_null_safe(df, coefs, list(group))
     return j.withColumn(out, F.col("c0") + F.col("c1") * F.col(a) + F.col("c2") * F.col(b)).drop("c0", "c1", "c2")
 
 

@@ -1,8 +1,8 @@
 """Spark ML regression: pipelines, cross-validation, grid search, sequence models.
 
-The estimator work is Spark ML's (distributed ``treeAggregate`` passes). The
-training set is persisted around cross-validation so 81 fits do not rescan
-the feature build. Folds are time blocks by default (a random fold over a time
+The estimator work is Spark ML's: with a dozen features ``LinearRegression``
+solves from one aggregate of the data. The training set is persisted around
+cross-validation so that fits do not rescan the feature build. Folds are time blocks by default (a random fold over a time
 series leaks the future into training).
 """
 
@@ -11,11 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark import StorageLevel
@@ -41,56 +40,86 @@ def lr_pipeline(features: Sequence[str] = FEATURE_COLS, label: str = "target", s
     return Pipeline(stages=stages), lr
 
 
-def param_grid(lr: LinearRegression, reg=REG_PARAMS, enet=ELASTIC_NET_PARAMS, iters=MAX_ITERS, dedupe: bool = False):
-    """The 27-map grid; ``dedupe`` drops maps that differ only in maxIter when
-    elasticNet is 0 (closed-form solve, maxIter unused)."""
-    grid = (
+def param_grid(lr: LinearRegression, reg=REG_PARAMS, enet=ELASTIC_NET_PARAMS, iters=MAX_ITERS):
+    """The 27-map grid."""
+    return (
         ParamGridBuilder()
         .addGrid(lr.regParam, list(reg))
         .addGrid(lr.elasticNetParam, list(enet))
         .addGrid(lr.maxIter, list(iters))
         .build()
     )
-    if not dedupe:
-        return grid
-    seen, out = set(), []
-    for m in grid:
-        key = (m[lr.regParam], m[lr.elasticNetParam], None if m[lr.elasticNetParam] == 0 else m[lr.maxIter])
-        if key not in seen:
-            seen.add(key)
-            out.append(m)
-    return out
+
+
+def _prepared(train: DataFrame, features, label):
+    """Assembler and scaler fitted once, and the regression on their output."""
+    prep = Pipeline(stages=lr_pipeline(features, label)[0].getStages()[:-1]).fit(train)
+    return prep, LinearRegression(featuresCol="scaled_features", labelCol=label, predictionCol="prediction")
+
+
+def _fit_key(lr: LinearRegression, m) -> tuple:
+    """Maps with one key give the same model: without an L1 part the solver is closed-form and maxIter unused."""
+    return m[lr.regParam], m[lr.elasticNetParam], None if m[lr.elasticNetParam] == 0 else m[lr.maxIter]
+
+
+def _fit_each(lr: LinearRegression, rows: DataFrame, grid) -> dict:
+    """One fitted model for each distinct key of the grid, one after another (each fit is a distributed job)."""
+    return {key: lr.copy(m).fit(rows) for key, m in {_fit_key(lr, m): m for m in grid}.items()}
+
+
+def _score_each(models: dict, rows: DataFrame, label: str, metric: str) -> dict:
+    """The metric of every model on ``rows``, all in one aggregate over the scaled features."""
+    x = vector_to_array("scaled_features")
+    y = F.col(label).cast("double")
+    aggs = [F.count(F.lit(1)).alias("n"), F.var_pop(y).alias("var")]
+    for i, model in enumerate(models.values()):
+        p = F.lit(float(model.intercept))
+        for j, c in enumerate(model.coefficients.toArray()):
+            p = p + F.lit(float(c)) * x[j]
+        aggs += [F.sum((y - p) * (y - p)).alias(f"sse{i}"), F.sum(F.abs(y - p)).alias(f"sae{i}")]
+    r = rows.agg(*aggs).first()
+    n, var = r["n"], r["var"]
+
+    def value(i):
+        if not n:
+            return float("nan")
+        mse = r[f"sse{i}"] / n
+        return {"rmse": mse**0.5, "mse": mse, "mae": r[f"sae{i}"] / n, "r2": 1 - mse / var if var else float("nan")}[metric]
+
+    return {key: value(i) for i, key in enumerate(models)}
 
 
 def cross_validate(train: DataFrame, features: Sequence[str] = FEATURE_COLS, label: str = "target",
-                   fold_col: str | None = "fold", num_folds: int = 3, seed: int = 42, parallelism: int | None = None,
-                   metric: str = "rmse", dedupe: bool = False):
+                   fold_col: str | None = "fold", num_folds: int = 3, seed: int = 42, metric: str = "rmse",
+                   grid=None):
     """k-fold CV of the regression over the grid; returns ``(model, grid, lr)``.
 
     As in the reference, the assembler and min-max scaler are fitted once on the
     training rows and only the regression is cross-validated; ``model`` is a
-    ``PipelineModel`` (assembler, scaler, best regression refitted on all rows).
-    With ``fold_col`` (int fold ids, e.g. from ``split.time_folds``) the folds
-    are those time blocks; otherwise random folds with an explicit seed.
+    ``PipelineModel`` (assembler, scaler, best regression refitted on all rows)
+    with the mean metric of every map in ``avgMetrics``. With ``fold_col`` (int
+    fold ids, e.g. from ``split.time_folds``) the folds are those time blocks;
+    otherwise they are dealt by a seeded hash of the row. Fits run one after
+    another: Spark spreads each over the cluster, and threads that share one
+    session's job properties race.
     """
-    prep = Pipeline(stages=lr_pipeline(features, label)[0].getStages()[:-1]).fit(train)
-    lr = LinearRegression(featuresCol="scaled_features", labelCol=label, predictionCol="prediction")
-    grid = param_grid(lr, dedupe=dedupe)
-    if parallelism is None:  # fits are many small jobs: keep the scheduler busy
-        parallelism = max(1, min(len(grid), 2 * train.sparkSession.sparkContext.defaultParallelism))
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=ev, parallelism=parallelism,
-                        collectSubModels=False, seed=seed)
-    cv = cv.setFoldCol(fold_col) if fold_col else cv.setNumFolds(num_folds)
-    cols = ["scaled_features", label] + ([fold_col] if fold_col else [])
-    cached = prep.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    prep, lr = _prepared(train, features, label)
+    grid = param_grid(lr) if grid is None else grid(lr)
+    fold = F.col(fold_col) if fold_col else F.pmod(F.xxhash64(F.lit(seed), *features, label), F.lit(num_folds))
+    cached = prep.transform(train).select("scaled_features", label, fold.alias("_fold")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        cv_model = cv.fit(cached)
+        folds = sorted(r[0] for r in cached.select("_fold").distinct().collect())  # k numbers
+        scores = []
+        for f in folds:
+            models = _fit_each(lr, cached.where(F.col("_fold") != f), grid)
+            scores.append(_score_each(models, cached.where(F.col("_fold") == f), label, metric))
+        mean = [sum(s[_fit_key(lr, m)] for s in scores) / len(scores) for m in grid]
+        larger = metric == "r2"
+        best = (max if larger else min)(range(len(grid)), key=mean.__getitem__)
+        model = PipelineModel(stages=[*prep.stages, lr.copy(grid[best]).fit(cached)])
     finally:
         cached.unpersist()
-    model = PipelineModel(stages=[*prep.stages, cv_model.bestModel])
-    model.avgMetrics = list(cv_model.avgMetrics)  # kept for best_params
-    model.isLargerBetter = ev.isLargerBetter()
+    model.avgMetrics, model.isLargerBetter = mean, larger  # kept for best_params
     return model, grid, lr
 
 
@@ -108,41 +137,25 @@ def best_params(cv_model, grid, lr: LinearRegression) -> dict:
 
 
 def grid_search(train: DataFrame, valid: DataFrame, features: Sequence[str] = FEATURE_COLS,
-                label: str = "target", metric: str = "rmse", parallelism: int | None = None):
+                label: str = "target", metric: str = "rmse"):
     """Fit every grid map on ``train``, pick by ``valid`` (honouring larger-is-better).
 
-    The assembler and scaler are fitted once; the 27 regressions and their
-    validation scores run concurrently (each is a Spark job set). Returns
-    ``(model, params)`` with ``model`` a ``PipelineModel``.
+    The assembler and scaler are fitted once, maps that give the same model are
+    fitted once, and one aggregate scores all models. Returns ``(model, params)``
+    with ``model`` a ``PipelineModel``.
     """
-    from multiprocessing.pool import ThreadPool
-
-    prep = Pipeline(stages=lr_pipeline(features, label)[0].getStages()[:-1]).fit(train)
-    lr = LinearRegression(featuresCol="scaled_features", labelCol=label, predictionCol="prediction")
+    prep, lr = _prepared(train, features, label)
     grid = param_grid(lr)
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
-    if parallelism is None:
-        parallelism = max(1, min(len(grid), 2 * train.sparkSession.sparkContext.defaultParallelism))
-    cols = ["scaled_features", label]
-    fit_rows = prep.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    valid_rows = prep.transform(valid).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_rows = prep.transform(train).select("scaled_features", label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitter = lr.fitMultiple(fit_rows, grid)
-
-        def one(_):
-            i, m = next(fitter)  # thread-safe iterator, as CrossValidator uses it
-            return i, m, ev.evaluate(m.transform(valid_rows))
-
-        with ThreadPool(parallelism) as pool:
-            done = pool.map(one, range(len(grid)))
+        models = _fit_each(lr, fit_rows, grid)
+        scores = _score_each(models, prep.transform(valid), label, metric)
     finally:
         fit_rows.unpersist()
-        valid_rows.unpersist()
-    pick = max if ev.isLargerBetter() else min
-    i, best_model, score = pick(done, key=lambda t: t[2])
-    params = {"reg_param": grid[i][lr.regParam], "elastic_net_param": grid[i][lr.elasticNetParam],
-              "max_iter": grid[i][lr.maxIter], "valid_metric": score}
-    return PipelineModel(stages=[*prep.stages, best_model]), params
+    best = (max if metric == "r2" else min)(grid, key=lambda m: scores[_fit_key(lr, m)])
+    params = {"reg_param": best[lr.regParam], "elastic_net_param": best[lr.elasticNetParam],
+              "max_iter": best[lr.maxIter], "valid_metric": scores[_fit_key(lr, best)]}
+    return PipelineModel(stages=[*prep.stages, models[_fit_key(lr, best)]]), params
 
 
 def predictions(model, df: DataFrame, label: str = "target", model_name: str = "lr", split: str = "test",
@@ -187,115 +200,3 @@ def coefficients(model, features: Sequence[str] = FEATURE_COLS) -> DataFrame:
     s = SparkSession.getActiveSession()
     rows = [(f, float(c)) for f, c in zip(features, lr.coefficients.toArray())] + [("intercept", float(lr.intercept))]
     return s.createDataFrame(rows, "feature string, coefficient double")
-
-
-# ----------------------------------------------------------------------------- one-pass CV from Gram sums
-
-
-def _enet_standardized(q, c, l1, l2, tol=1e-12, max_sweeps=5000):
-    """Coordinate descent for 1/2 w'Qw - c'w + l1 |w|_1 + l2/2 |w|^2 (Q: standardized covariance)."""
-    import numpy as np
-
-    p = len(c)
-    w = np.zeros(p)
-    for _ in range(max_sweeps):
-        delta = 0.0
-        for j in range(p):
-            if q[j, j] <= 0:
-                continue
-            rho = c[j] - q[j] @ w + q[j, j] * w[j]
-            new = np.sign(rho) * max(abs(rho) - l1, 0.0) / (q[j, j] + l2)
-            delta = max(delta, abs(new - w[j]))
-            w[j] = new
-        if delta < tol:
-            break
-    return w
-
-
-def _fit_from_gram(xtx, xty, yty, n, reg, enet):
-    """Elastic-net least squares with standardized features and label, as Spark ML's
-    ``LinearRegression(standardization=True, fitIntercept=True)`` defines it:
-    effective penalty ``reg / std(y)`` split ``enet`` (L1) : ``1 - enet`` (L2) on the
-    standardized coefficients. Returns (intercept, coefficients)."""
-    import numpy as np
-
-    p = len(xty)
-    mx = xtx[0, 1:] / n  # column 0 of the Gram system is the constant
-    my = xty[0] / n
-    cov = xtx[1:, 1:] / n - np.outer(mx, mx)
-    cxy = xty[1:] / n - mx * my
-    vy = yty / n - my * my
-    scale = n / (n - 1) if n > 1 else 1.0  # Spark standardizes with sample standard deviations
-    sx = np.sqrt(np.maximum(np.diag(cov) * scale, 0.0))
-    sy = np.sqrt(max(vy * scale, 0.0))
-    ok = sx > 0
-    q = np.zeros((p - 1, p - 1))
-    c = np.zeros(p - 1)
-    inv_s = np.where(ok, 1.0 / np.where(ok, sx, 1.0), 0.0)
-    q = cov * np.outer(inv_s, inv_s)
-    c = cxy * inv_s / (sy if sy > 0 else 1.0)
-    eff = reg / sy if sy > 0 else reg
-    w = _enet_standardized(q, c, enet * eff, (1.0 - enet) * eff)
-    beta = np.where(ok, w * (sy if sy > 0 else 1.0) * inv_s, 0.0)
-    return float(my - mx @ beta), beta
-
-
-def _sse_from_gram(xtx, xty, yty, b0, beta):
-    import numpy as np
-
-    full = np.concatenate([[b0], beta])
-    return float(yty - 2 * full @ xty + full @ xtx @ full)
-
-
-def cross_validate_gram(train: DataFrame, features: Sequence[str] = FEATURE_COLS, label: str = "target",
-                        fold_col: str = "fold", reg=REG_PARAMS, enet=ELASTIC_NET_PARAMS):
-    """Grid CV of elastic-net regression in ONE data pass.
-
-    Squared loss depends on the data only through ``[1 x y]'[1 x y]``, so one
-    grouped aggregate yields a Gram matrix per fold; every (regParam,
-    elasticNetParam) fit on k-1 folds and its validation RMSE on the held-out
-    fold are computed from those small matrices (solved to convergence, so the
-    ``maxIter`` axis of the Spark ML grid has no counterpart). Spark ML's
-    iterative solvers instead make one pass per iteration per fit.
-
-    Returns ``(scores, best)``: a list of ``(reg, enet, mean_rmse)`` and the best
-    ``{"reg_param", "elastic_net_param", "cv_metric", "intercept", "coefficients"}``
-    refitted on all folds. Features are min-max scaled beforehand by the caller.
-    """
-    import numpy as np
-
-    from barflow.operators import gram as gm
-
-    k = len(features) + 1
-    xs = [F.lit(1.0), *[F.col(f).cast("double") for f in features]]
-    g = gm.gram(train, [fold_col], xs, F.col(label).cast("double")).collect()  # one row per fold
-    folds = {r[fold_col]: (*gm.unpack(r["g"], k), int(r["n"])) for r in g}
-
-    def total(keys):
-        parts = [folds[f] for f in keys]
-        return (sum(p[0] for p in parts), sum(p[1] for p in parts), sum(p[2] for p in parts), sum(p[3] for p in parts))
-
-    scores = []
-    for rp in reg:
-        for en in enet:
-            rmses = []
-            for f in folds:
-                tr = total([o for o in folds if o != f])
-                b0, beta = _fit_from_gram(*tr, rp, en)
-                va = folds[f]
-                rmses.append(np.sqrt(max(_sse_from_gram(va[0], va[1], va[2], b0, beta), 0.0) / va[3]))
-            scores.append((rp, en, float(np.mean(rmses))))
-    rp, en, m = min(scores, key=lambda s: s[2])
-    b0, beta = _fit_from_gram(*total(list(folds)), rp, en)
-    best = {"reg_param": rp, "elastic_net_param": en, "cv_metric": m, "intercept": b0,
-            "coefficients": [float(b) for b in beta]}
-    return scores, best
-
-
-def predict_linear(df: DataFrame, features: Sequence[str], intercept: float, coefficients: Sequence[float],
-                   out: str = "prediction") -> DataFrame:
-    """``intercept + sum(coef * feature)`` as a JVM expression (no Python per row)."""
-    expr = F.lit(float(intercept))
-    for f, b in zip(features, coefficients):
-        expr = expr + F.lit(float(b)) * F.col(f).cast("double")
-    return df.withColumn(out, expr)

@@ -3,11 +3,13 @@ model persistence, stacking and model comparison (rows-only checks)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from barflow.operators import ensemble as en, metrics as mt, regress as rg, sequences as sq, split as sp
-from barflow.plans.q_model import model_table
-from barflow.plans.registry import register, rounded
+from barflow.plans.q_model import SPLIT_CTE, model_table
+from barflow.plans.registry import part, r4, register, rounded
 from barflow.plans.q_features import ord_adj
 from barflow.session import materialize, scratch_path
 from barflow.sources.schema import FEATURE_COLS
@@ -90,99 +92,142 @@ def q_seq_regress_gbt(spark, sf):
     return rounded(rg.sequence_predict(model, test, model_name="seq_gbt"))
 
 
-@register("model_roundtrip", ops="S8 M13 (save, load, batch scoring)")
+@register(
+    "model_roundtrip",
+    sql=f"WITH {SPLIT_CTE} SELECT symbol, date, CAST(0 AS DOUBLE) AS difference FROM sp WHERE split = 'test'",
+    ops="S8 M13 (save, load, batch scoring: the difference from the model in memory)",
+)
 def q_model_roundtrip(spark, sf):
     train, test = _train_test(spark, sf)
     pipe, _ = rg.lr_pipeline(FEATURE_COLS, "target", regParam=0.01, elasticNetParam=0.0)
-    path = scratch_path(spark, "lr-pipeline")
-    rg.save_model(pipe.fit(train), path)
-    loaded = rg.load_pipeline(path)
-    return rounded(rg.predictions(loaded, test, "target", "lr_loaded", "test"))
-
-
-def _stack(spark, sf):
-    m = ml_table(spark, sf)
-    base = m.select("symbol", "date", "split", F.col("target").alias("label"),
-                    F.col("close").alias("pred_naive"), F.col("ma_10").alias("pred_ma"))
+    path, model = scratch_path(spark, "lr-pipeline"), pipe.fit(train)
+    rg.save_model(model, path)
+    own = rg.predictions(model, test).select("symbol", "date", F.col("prediction").alias("own"))
+    loaded = rg.predictions(rg.load_pipeline(path), test).join(own, ["symbol", "date"])
+    return rounded(loaded.select("symbol", "date", F.abs(F.col("prediction") - F.col("own")).alias("difference")))
+
+
+_BASE_SQL = f"""WITH {SPLIT_CTE},
+base AS (SELECT symbol, date, split, target AS label, close AS pred_naive, ma_10 AS pred_ma FROM sp)"""
+
+
+def _base(m):
+    """Two predictors that SQL can define: the last close and the 10-bar mean."""
+    return m.select("symbol", "date", "split", F.col("target").alias("label"), F.col("close").alias("pred_naive"),
+                    F.col("ma_10").alias("pred_ma"))
+
+
+@register(
+    "stack_predictions",
+    sql=f"""{_BASE_SQL},
+m AS (SELECT symbol, avg(label) AS my, avg(pred_naive) AS ma, avg(pred_ma) AS mb, var_pop(pred_naive) AS aa,
+        var_pop(pred_ma) AS bb, covar_pop(pred_naive, pred_ma) AS ab, covar_pop(pred_naive, label) AS ay,
+        covar_pop(pred_ma, label) AS by_ FROM base WHERE split = 'train' GROUP BY symbol),
+c AS (SELECT symbol, my, ma, mb, (ay * bb - by_ * ab) / (aa * bb - ab * ab) AS c1,
+        (by_ * aa - ay * ab) / (aa * bb - ab * ab) AS c2 FROM m)
+SELECT symbol, date, {r4("label", "label")}, {r4("pred_naive", "pred_naive")}, {r4("pred_ma", "pred_ma")},
+       {r4("my - c1 * ma - c2 * mb + c1 * pred_naive + c2 * pred_ma", "stacked")}
+FROM base JOIN c USING (symbol) WHERE split = 'test'""",
+    ops="M15 (meta-regression over SQL-defined base predictors, fitted on train rows)",
+)
+def q_stack_predictions(spark, sf):
+    base = _base(ml_table(spark, sf))
     coefs = en.stack_fit(base.where(F.col("split") == "train"), "label", ["pred_naive", "pred_ma"])
-    return en.stack_predict(base, coefs, ["pred_naive", "pred_ma"]), base
+    stacked = en.stack_predict(base.where(F.col("split") == "test"), coefs, ["pred_naive", "pred_ma"])
+    return rounded(stacked.select("symbol", "date", "label", "pred_naive", "pred_ma", "stacked"))
+
+
+@register(
+    "hybrid_weights",
+    sql=f"""{_BASE_SQL}
+SELECT symbol, date, {r4("0.3 * pred_naive + 0.7 * pred_ma", "hybrid")} FROM base WHERE split = 'test'""",
+    ops="M14 (the weights, over SQL-defined predictors in the two models' places)",
+)
+def q_hybrid_weights(spark, sf):
+    test = _base(ml_table(spark, sf)).where(F.col("split") == "test")
+    both = en.hybrid(test.select("symbol", "date", "pred_naive"), test.select("symbol", "date", "pred_ma"), "pred_naive", "pred_ma")
+    return rounded(both.select("symbol", "date", "hybrid"))
+
+
+def _fitted(spark, sf):
+    """One model table with the look-back vector of each row (its last SEQ_LOOK_BACK closes) and a fold for train rows."""
+    bars = ord_adj(spark, sf)
+    m = model_table(spark, sf, bars)
+    seqs = sq.lookback_sequences(bars, "close", SEQ_LOOK_BACK - 1).select("symbol", "date", F.concat("x", F.array("y")).alias("x"))
+    folds = sp.time_folds(m.where(F.col("split") == "train").drop("_idx", "_n", "_blk"), 3).select("symbol", "date", "fold")
+    rows = m.drop("_idx", "_n", "_blk").join(seqs, ["symbol", "date"]).join(folds, ["symbol", "date"], "left")
+    return materialize(rows.withColumn("y", F.col("target")), "fitted-table")
+
+
+def _both_models(train, score):
+    """Linear regression and sequence model fitted on ``train``; their predictions side by side on ``score``."""
+    pipe, _ = rg.lr_pipeline(FEATURE_COLS, "target", regParam=0.01, elasticNetParam=0.0)
+    lr = rg.predictions(pipe.fit(train), score, "target", "lr", "x").select("symbol", "date", "label", F.col("prediction").alias("p_lr"))
+    seq = rg.sequence_predict(rg.sequence_regressor(train, "lr"), score).select("symbol", "date", F.col("prediction").alias("p_seq"))
+    return en.hybrid(lr, seq, "p_lr", "p_seq", out="p_hybrid")
 
 
-@register("stack_predictions", ops="M15 (meta-regression on base predictions, fitted on train rows)")
-def q_stack_predictions(spark, sf):
-    stacked, _ = _stack(spark, sf)
-    return rounded(stacked.where(F.col("split") == "test").select("symbol", "date", "label", "pred_naive", "pred_ma",
-                                                                   "stacked"))
+def _long(wide, models: dict[str, str], *more):
+    parts = [wide.select("symbol", "date", "label", F.col(c).cast("double").alias("prediction"), F.lit(name).alias("model"), *more) for name, c in models.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@register("model_comparison", ops="M16 A12 D1 (all models, one grouped pass)")
+@register("model_comparison", ops="M14-M16 A12 D1 (fitted LR, sequence model, hybrid, out-of-fold stack, naive, one grouped pass)")
 def q_model_comparison(spark, sf):
-    stacked, base = _stack(spark, sf)
-    train, test = _train_test(spark, sf)
-    pipe, _ = rg.lr_pipeline(FEATURE_COLS, "target", regParam=0.01, elasticNetParam=0.0)
-    lr = pipe.fit(train)
-    long = (
-        base.select("symbol", "date", "label", F.col("pred_naive").alias("prediction"), F.lit("naive").alias("model"), "split")
-        .unionByName(base.select("symbol", "date", "label", F.col("pred_ma").alias("prediction"),
-                                 F.lit("ma_10").alias("model"), "split"))
-        .unionByName(base.select("symbol", "date", "label",
-                                 (F.lit(0.7) * F.col("pred_naive") + F.lit(0.3) * F.col("pred_ma")).alias("prediction"),
-                                 F.lit("blend").alias("model"), "split"))
-        .unionByName(stacked.select("symbol", "date", "label", F.col("stacked").alias("prediction"),
-                                    F.lit("stack").alias("model"), "split"))
-        .unionByName(rg.predictions(lr, train, "target", "lr", "train"))
-        .unionByName(rg.predictions(lr, test, "target", "lr", "test"))
-    )
-    return rounded(en.compare_models(long, group=["model", "split"]))
-
+    t = _fitted(spark, sf)
+    train, test = t.where(F.col("split") == "train"), t.where(F.col("split") == "test")
+    scored = _both_models(train, t).join(t.select("symbol", "date", "split", "close", "ma_10"), ["symbol", "date"])
+    oof = reduce(lambda a, b: a.unionByName(b), [_both_models(train.where(F.col("fold") != f), train.where(F.col("fold") == f)) for f in range(3)])
+    coefs = en.stack_fit(oof, "label", ["p_lr", "p_seq"])
+    wide = en.stack_predict(scored, coefs, ["p_lr", "p_seq"])
+    names = {"lr": "p_lr", "seq_lr": "p_seq", "hybrid": "p_hybrid", "stack": "stacked", "naive": "close", "ma_10": "ma_10"}
+    return rounded(en.compare_models(_long(wide, names, "split"), group=["model", "split"]))
 
-# The reference's hybrid weights (linear regression, sequence model).
-HYBRID_WEIGHTS = (0.7, 0.3)
 
-
-@register("hybrid_blend", ops="M14 J2 M16 (0.7 x linear regression + 0.3 x sequence model, joined on key)")
+@register("hybrid_blend", ops="M14 J2 M16 (0.7 x sequence model + 0.3 x linear regression, joined on key)")
 def q_hybrid_blend(spark, sf):
-    train, test = _train_test(spark, sf)
-    pipe, _ = rg.lr_pipeline(FEATURE_COLS, "target", regParam=0.01, elasticNetParam=0.0)
-    lr = rg.predictions(pipe.fit(train), test, "target", "lr", "test")
-    # sequence model on the model table's next-close target: x = last SEQ_LOOK_BACK closes up to today
-    seqs = sq.lookback_sequences(ord_adj(spark, sf), "close", SEQ_LOOK_BACK - 1)
-    seq_all = seqs.select("symbol", "date", F.concat("x", F.array("y")).alias("x"))
-    feats = ml_table(spark, sf).select("symbol", "date", "split", F.col("target").alias("y"))
-    seq = seq_all.join(feats, ["symbol", "date"])
-    model = rg.sequence_regressor(seq.where(F.col("split") == "train"), "lr")
-    sp_ = rg.sequence_predict(model, seq.where(F.col("split") == "test"), model_name="seq_lr")
-    a, b = HYBRID_WEIGHTS
-    both = en.blend(lr.select("symbol", "date", "label", F.col("prediction").alias("p_lr")),
-                    sp_.select("symbol", "date", F.col("prediction").alias("p_seq")), "p_lr", "p_seq", a, b,
-                    out="p_hybrid")
-    long = (
-        both.select("symbol", "date", "label", F.col("p_lr").alias("prediction"), F.lit("lr").alias("model"))
-        .unionByName(both.select("symbol", "date", "label", F.col("p_seq").alias("prediction"),
-                                 F.lit("seq_lr").alias("model")))
-        .unionByName(both.select("symbol", "date", "label", F.col("p_hybrid").alias("prediction"),
-                                 F.lit("hybrid").alias("model")))
-    )
-    return rounded(en.compare_models(long, group=["model"]))
-
-
-@register("lr_cv_gram", ops="M6 M7 (same grid, one data pass: per-fold Gram matrices, exact elastic-net solves)")
-def q_lr_cv_gram(spark, sf):
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
-
-    train, test = _train_test(spark, sf)
+    t = _fitted(spark, sf)
+    both = _both_models(t.where(F.col("split") == "train"), t.where(F.col("split") == "test"))
+    return rounded(en.compare_models(_long(both, {"lr": "p_lr", "seq_lr": "p_seq", "hybrid": "p_hybrid"}), group=["model"]))
+
+
+_RIDGE = [0.01, 0.1, 1.0]
+_FOLD_SQL = f"""WITH {SPLIT_CTE},
+tr AS (SELECT symbol, date, close AS x, target AS y, row_number() OVER ({part()}) - 1 AS i,
+        count(*) OVER (PARTITION BY symbol) AS m FROM sp WHERE split = 'train'),
+f AS (SELECT x, y, CAST(floor(i * 3 / m) AS INTEGER) AS fold FROM tr)"""
+
+
+@register(
+    "ridge_cv",
+    sql=f"""{_FOLD_SQL},
+g AS (SELECT k.fold, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) / var_pop(x) AS slope, stddev_pop(y) AS sy
+      FROM (SELECT DISTINCT fold FROM f) k JOIN f ON f.fold <> k.fold GROUP BY k.fold),
+r AS (SELECT unnest([{", ".join(map(str, _RIDGE))}]) AS reg_param),
+fits AS (SELECT reg_param, fold, slope / (1 + reg_param / sy) AS beta, mx, my FROM g, r),
+e AS (SELECT reg_param, fold, sqrt(avg((y - my - beta * (x - mx)) ** 2)) AS rmse FROM fits JOIN f USING (fold) GROUP BY reg_param, fold)
+SELECT CAST(reg_param AS DOUBLE) AS reg_param, {r4("avg(rmse)", "cv_rmse")} FROM e GROUP BY reg_param""",
+    ops="M6 M7 (one-feature ridge grid over three time folds)",
+)
+def q_ridge_cv(spark, sf):
+    train, _ = _train_test(spark, sf)
     folds = sp.time_folds(train, 3).drop("_idx", "_n", "_blk")
-    prep = Pipeline(stages=rg.lr_pipeline(FEATURE_COLS, "target")[0].getStages()[:-1]).fit(folds)
-    names = [f"f{i}" for i in range(len(FEATURE_COLS))]
-
-    def expand(df):
-        arr = vector_to_array(F.col("scaled_features"))
-        return prep.transform(df).select("*", *[arr[i].alias(n) for i, n in enumerate(names)])
-
-    _, best = rg.cross_validate_gram(expand(folds), names, "target", "fold")
-    pred = rg.predict_linear(expand(test), names, best["intercept"], best["coefficients"])
-    pred = pred.select("symbol", "date", F.col("target").alias("label"), "prediction", F.lit("lr_cv_gram").alias("model"),
-                       F.lit("test").alias("split"))
-    m = mt.regression_metrics(pred, group=["model", "split"])
-    return rounded(m.withColumns({k: F.lit(float(best[k])) for k in ("reg_param", "elastic_net_param", "cv_metric")}))
+    grid_of = lambda lr: rg.param_grid(lr, _RIDGE, [0.0], [100])
+    model, grid, lr = rg.cross_validate(folds, ["close"], "target", grid=grid_of)
+    rows = [(float(m[lr.regParam]), float(v)) for m, v in zip(grid, model.avgMetrics)]
+    return rounded(spark.createDataFrame(rows, "reg_param double, cv_rmse double"))
+
+
+@register(
+    "ridge_coefficients",
+    sql=f"""WITH {SPLIT_CTE},
+m AS (SELECT min(close) AS lo, max(close) AS hi, avg(close) AS mx, avg(target) AS my,
+        covar_pop(close, target) / var_pop(close) / (1 + 0.1 / stddev_pop(target)) AS beta FROM sp WHERE split = 'train')
+SELECT 'close' AS feature, {r4("beta * (hi - lo)", "coefficient")} FROM m
+UNION ALL SELECT 'intercept', {r4("my - beta * (mx - lo)", "coefficient")} FROM m""",
+    ops="S8 M5 (coefficient table of a fitted pipeline)",
+)
+def q_ridge_coefficients(spark, sf):
+    train, _ = _train_test(spark, sf)
+    pipe, _ = rg.lr_pipeline(["close"], "target", regParam=0.1, elasticNetParam=0.0)
+    return rounded(rg.coefficients(pipe.fit(train), ["close"]))

@@ -20,7 +20,7 @@ pos AS (SELECT *, row_number() OVER ({part()}) - 1 AS idx, count(*) OVER (PARTIT
 sp AS (SELECT *, CASE WHEN idx < floor(0.8 * n) THEN 'train' ELSE 'test' END AS split FROM pos)"""
 
 
-def model_table(spark, sf):
+def model_table(spark, sf, bars=None):
     """Features + target for F-ORD, chronologically split per symbol.
 
     Both the feature table and the split model table are written once (shared
@@ -28,7 +28,7 @@ def model_table(spark, sf):
     table (stats, predictions, joins, ML passes), then read files instead of
     re-running the windowed feature build.
     """
-    feats = materialize(ind.technical_features(ord_adj(spark, sf), with_target=True), "features")
+    feats = materialize(ind.technical_features(ord_adj(spark, sf) if bars is None else bars, with_target=True), "features")
     return materialize(sp.chrono_split(feats), "model-table")
 
 
@@ -164,7 +164,7 @@ p AS (SELECT symbol, date, split, target AS label, close AS prediction FROM sp)"
 @register(
     "regression_metrics",
     sql=f"""WITH {_NAIVE_CTE}
-SELECT symbol, split, count(*) AS n, {r4("avg((label - prediction) * (label - prediction))", "mse")},
+SELECT symbol, split, count(*) AS n, round(avg((label - prediction) * (label - prediction)), 2) AS mse,
        {r4("avg(abs(label - prediction))", "mae")}, {r4("sqrt(avg((label - prediction) * (label - prediction)))", "rmse")},
        {r4("1 - sum((label - prediction) * (label - prediction)) / nullif(var_pop(label) * count(*), 0)", "r2")}
 FROM p GROUP BY symbol, split""",
@@ -173,7 +173,8 @@ FROM p GROUP BY symbol, split""",
 def q_regression_metrics(spark, sf):
     m = model_table(spark, sf).select("symbol", "date", "split", F.col("target").alias("label"),
                                       F.col("close").alias("prediction"))
-    return rounded(mt.regression_metrics(m, group=["symbol", "split"]))
+    m = mt.regression_metrics(m, group=["symbol", "split"])
+    return rounded(m.withColumn("mse", F.round("mse", 2)))  # 1e10 and more: a double has no fourth decimal there
 
 
 _OLS_CTE = f"""{SPLIT_CTE},
