@@ -6,25 +6,38 @@ downsampled on the cluster (``downsample``) before anything is collected.
 
 from __future__ import annotations
 
+import datetime as dt
 import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barflow.operators import halo
 
 
 def date_range(df: DataFrame, start=None, end=None, order: str = "date") -> DataFrame:
-    """Inclusive ``start <= order <= end``; either bound may be None (open)."""
-    c = F.col(order)
+    """Inclusive ``start <= order <= end``; either bound may be None (open).
+
+    A bound that is a calendar day (a date, or text without a time) takes the
+    whole day, also on a timestamp column; the filter still reaches the scan.
+    """
+    c, kind = F.col(order), df.schema[order].dataType
     if start is not None:
-        df = df.where(c >= F.lit(start).cast(df.schema[order].dataType))
+        df = df.where(c >= F.lit(start).cast(kind))
     if end is not None:
-        df = df.where(c <= F.lit(end).cast(df.schema[order].dataType))
+        if _is_day(end) and isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            df = df.where(c < F.date_add(F.lit(end).cast("date"), 1).cast(kind))
+        else:
+            df = df.where(c <= F.lit(end).cast(kind))
     return df
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
+def _is_day(bound) -> bool:
+    if isinstance(bound, str):
+        return len(bound.strip()) <= 10
+    return isinstance(bound, dt.date) and not isinstance(bound, dt.datetime)
 
 
 def date_bounds(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str = "date") -> DataFrame:
@@ -61,22 +74,38 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ("symb
     return wide.selectExpr(*keys, f"stack({len(pairs)}, {parts}) AS (col_a, col_b, corr)")
 
 
-def box_stats(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), order: str = "date",
-              by: str = "year") -> DataFrame:
-    """Box-plot numbers per key and period: quartiles (linear interpolation),
-    IQR, whiskers (furthest values within 1.5 IQR) and the outlier count.
+def _period(df: DataFrame, order: str, by: str) -> DataFrame:
+    return df.withColumn(by, F.year(order)) if by == "year" else df
+
+
+def quartiles(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), order: str = "date",
+              by: str = "year", accuracy: int | None = None) -> DataFrame:
+    """``q1, median, q3, iqr`` per key and period, in one aggregate.
 
-    Groups are (key, year) of bars, bounded by the number of bar periods in a
-    year, so the exact ``percentile`` aggregate holds a bounded value map.
+    Exact (linear interpolation) by default; its value map is bounded by the
+    bars of a period, which fits daily bars. For minute or tick bars pass
+    ``accuracy`` to use the approximate percentile (a sketch of bounded size;
+    the rank error is at most n / accuracy).
+    """
+    g, at = [*keys, by], F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    q = F.percentile(F.col(col), at) if accuracy is None else F.percentile_approx(F.col(col).cast("double"), at, accuracy)
+    out = _period(df, order, by).groupBy(*g).agg(q.alias("_q"))
+    out = out.select(*g, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    return out.withColumn("iqr", F.col("q3") - F.col("q1"))
+
+
+def _fences():
+    return F.col("q1") - F.lit(1.5) * F.col("iqr"), F.col("q3") + F.lit(1.5) * F.col("iqr")
+
+
+def box_stats(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), order: str = "date",
+              by: str = "year", accuracy: int | None = None) -> DataFrame:
+    """Box-plot numbers per key and period: quartiles, IQR, whiskers (furthest
+    values within 1.5 IQR) and the outlier count. ``accuracy`` as in ``quartiles``.
     """
     g = [*keys, by]
-    base = df.withColumn(by, F.year(order)) if by == "year" else df
-    q = base.groupBy(*g).agg(F.percentile(F.col(col), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    q = q.select(*g, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
-    hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
-    joined = base.select(*g, col).join(q, g)
+    joined = halo.join_null_safe(_period(df, order, by).select(*g, col), quartiles(df, col, keys, order, by, accuracy), g)
+    lo, hi = _fences()
     inside = (F.col(col) >= lo) & (F.col(col) <= hi)
     return joined.groupBy(*g, "q1", "median", "q3", "iqr").agg(
         F.min(F.when(inside, F.col(col))).alias("whisker_low"),
@@ -86,14 +115,14 @@ def box_stats(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol"
     )
 
 
-def box_outliers(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), order: str = "date") -> DataFrame:
-    """Rows outside their (key, year) whiskers."""
+def box_outliers(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), order: str = "date",
+                 accuracy: int | None = None) -> DataFrame:
+    """Rows outside their (key, year) fences: one percentile aggregate and one join."""
     g = [*keys, "year"]
-    stats = box_stats(df, col, keys, order).select(*g, "q1", "q3", "iqr")
-    base = df.withColumn("year", F.year(order))
-    lo = F.col("q1") - F.lit(1.5) * F.col("iqr")
-    hi = F.col("q3") + F.lit(1.5) * F.col("iqr")
-    return base.join(stats, g).where((F.col(col) < lo) | (F.col(col) > hi)).select(*keys, order, "year", col)
+    q = quartiles(df, col, keys, order, "year", accuracy).select(*g, "q1", "q3", "iqr")
+    lo, hi = _fences()
+    joined = halo.join_null_safe(_period(df, order, "year"), q, g)
+    return joined.where((F.col(col) < lo) | (F.col(col) > hi)).select(*keys, order, "year", col)
 
 
 def downsample(df: DataFrame, unit: str = "month", cols: Sequence[str] = ("close",), keys: Sequence[str] = ("symbol",),

@@ -46,7 +46,7 @@ def gram(df: DataFrame, group: Sequence[str], xs: Sequence[Column], y: Column, w
                 continue
             z = pdf[zcols].to_numpy(dtype=float)
             out_keys, out_g = [], []
-            groups = pdf.groupby(group, sort=False).indices.items() if group else [((), np.arange(len(pdf)))]
+            groups = pdf.groupby(group, sort=False, dropna=False).indices.items() if group else [((), np.arange(len(pdf)))]
             for key, idx in groups:
                 zg = z[idx]
                 m = zg.T @ zg
@@ -80,20 +80,32 @@ def unpack(g: Sequence[float], k: int) -> tuple[np.ndarray, np.ndarray, float]:
 
 
 def ols_from_gram(xtx: np.ndarray, xty: np.ndarray, yty: float, n: int, cols: Sequence[int] | None = None):
-    """Coefficients, standard errors, SSR for a subset of regressors (indices)."""
+    """Coefficients, standard errors, SSR for a subset of regressors (indices; the first is the constant).
+
+    The system is centred and scaled before it is solved; a system without full
+    rank (a constant or collinear regressor, too few rows) gives NaN throughout.
+    """
     idx = list(range(len(xty))) if cols is None else list(cols)
-    a = xtx[np.ix_(idx, idx)]
-    b = xty[idx]
-    try:
-        inv = np.linalg.inv(a)
-    except np.linalg.LinAlgError:
-        inv = np.linalg.pinv(a)
-    beta = inv @ b
-    ssr = float(max(yty - 2 * beta @ b + beta @ a @ beta, 0.0))
-    dof = n - len(idx)
-    s2 = ssr / dof if dof > 0 else float("nan")
-    se = np.sqrt(np.maximum(np.diag(inv) * s2, 0.0))
-    return beta, se, ssr
+    k = len(idx)
+    nan = np.full(k, np.nan), np.full(k, np.nan), float("nan")
+    if n <= k or xtx[idx[0], idx[0]] <= 0:
+        return nan
+    a, b = xtx[np.ix_(idx, idx)], xty[idx]
+    mean, y_mean = a[0, 1:] / n, b[0] / n
+    cov, cxy, cyy = a[1:, 1:] - n * np.outer(mean, mean), b[1:] - n * mean * y_mean, yty - n * y_mean * y_mean
+    level = np.diag(a)[1:]
+    spread = np.sqrt(np.maximum(np.diag(cov), 0.0))
+    if k > 1 and (np.diag(cov) <= 1e-12 * np.maximum(level, 1e-300)).any():
+        return nan
+    corr = cov / np.outer(spread, spread) if k > 1 else np.zeros((0, 0))
+    if k > 1 and np.linalg.eigvalsh(corr)[0] <= 1e-12:
+        return nan
+    inv = np.linalg.inv(corr) / np.outer(spread, spread) if k > 1 else corr
+    slopes = inv @ cxy
+    ssr = float(max(cyy - 2 * slopes @ cxy + slopes @ cov @ slopes, 0.0))
+    s2 = ssr / (n - k)
+    var = np.concatenate([[1.0 / n + mean @ inv @ mean], np.diag(inv)]) * s2
+    return np.concatenate([[y_mean - slopes @ mean], slopes]), np.sqrt(np.maximum(var, 0.0)), ssr
 
 
 def aic_ls(ssr: float, n: int, k: int) -> float:
@@ -101,25 +113,3 @@ def aic_ls(ssr: float, n: int, k: int) -> float:
     if n <= 0 or ssr <= 0:
         return float("nan")
     return float(n * (np.log(2 * np.pi) + np.log(ssr / n) + 1) + 2 * k)
-
-
-def solve_rows(g: DataFrame, group: Sequence[str], k: int, names: Sequence[str]) -> DataFrame:
-    """Solve each group's full system; long output ``group..., term, coef, se, ssr, n``."""
-    group = list(group)
-    schema = ", ".join([f"{c} {g.schema[c].dataType.simpleString()}" for c in group]) + (
-        ", term string, coef double, se double, ssr double, n long"
-    )
-
-    def run(batches):
-        for pdf in batches:
-            out = []
-            for _, r in pdf.iterrows():
-                xtx, xty, yty = unpack(r["g"], k)
-                beta, se, ssr = ols_from_gram(xtx, xty, yty, int(r["n"]))
-                for t, b, s in zip(names, beta, se):
-                    out.append({**{c: r[c] for c in group}, "term": t, "coef": float(b), "se": float(s),
-                                "ssr": ssr, "n": int(r["n"])})
-            yield pd.DataFrame(out, columns=[*group, "term", "coef", "se", "ssr", "n"])
-
-    ensure_importable(g.sparkSession)
-    return g.mapInPandas(run, schema)

@@ -55,7 +55,7 @@ def _keys(keys: Sequence[str] | str) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _join_ns(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Equi-join on ``on`` with NULL-safe equality (a NULL key or order value keeps its rows)."""
     r = right.select(*[F.col(c).alias(f"_r_{c}") for c in on], *[c for c in right.columns if c not in on])
     cond = None
@@ -99,15 +99,14 @@ def index_rows(
         F.sum("_bc").over(Window.partitionBy(*keys)).alias(CNT),
     )
     local = homed.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, "_tb").orderBy(order)) - 1)
-    out = _join_ns(local, summ, [*keys, "_tb"])
+    out = join_null_safe(local, summ, [*keys, "_tb"])
     return out.withColumn(IDX, F.col("_s") + F.col("_lrn")).drop("_tb", "_s", "_lrn")
 
 
 def with_halo(indexed: DataFrame, preceding: int, following: int = 0,
               block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Add ``_home`` (the row's block) and ``_blk`` (home, or a neighbour for halo copies)."""
-    if preceding > block_rows or following > block_rows:
-        raise ValueError("halo larger than a block; raise block_rows")
+    block_rows = max(block_rows, preceding, following)  # a halo copy comes from the neighbour block only
     b = F.lit(int(block_rows))
     home = F.floor(F.col(IDX) / b).cast("long")
     pos = F.col(IDX) - F.col(HOME) * b
@@ -166,7 +165,7 @@ def reindex(df: DataFrame, keys: Sequence[str] | str = ("symbol",), order: str =
         F.sum("_bc").over(Window.partitionBy(*keys)).alias(CNT),
     )
     local = base.withColumn("_lrn", F.row_number().over(Window.partitionBy(BLK, *keys).orderBy(order)) - 1)
-    out = _join_ns(local, offs, [*keys, BLK])
+    out = join_null_safe(local, offs, [*keys, BLK])
     return out.withColumn(IDX, F.col("_s") + F.col("_lrn")).drop("_s", "_lrn")
 
 

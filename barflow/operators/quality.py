@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from barflow.operators import halo
 from pyspark.sql import types as T
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -58,12 +60,6 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
 
 
-def null_counts_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    cols = list(cols) if cols else df.columns
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"{c}__nulls") for c in cols])
-    return _stack(wide, cols, ["nulls"])
-
-
 def drop_nulls(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Rows with no NULL in ``subset`` (all columns by default)."""
     return df.na.drop("any", subset=list(subset) if subset else None)
@@ -101,4 +97,4 @@ def quality_rules(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str =
     if "close" in cols:
         aggs.append(F.count_if(F.col("close") <= 0).alias("non_positive_close"))
     rules = df.groupBy(*keys).agg(*aggs)
-    return rules.join(dups, keys)
+    return halo.join_null_safe(rules, dups, keys)  # rows with a NULL key are reported too

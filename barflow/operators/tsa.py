@@ -40,7 +40,7 @@ def adf_critical(n):
         if isinstance(n, (int, float)):
             out[level] = c0 + c1 / n + c2 / n**2 + c3 / n**3
         else:
-            t = n.cast("double")
+            t = F.nullif(n.cast("double"), F.lit(0.0))
             out[level] = F.lit(c0) + F.lit(c1) / t + F.lit(c2) / (t * t) + F.lit(c3) / (t * t * t)
     return out
 
@@ -83,7 +83,7 @@ def acf(df: DataFrame, col: str = "close", nlags: int = 40, d: int = 0, keys: Se
         )
     else:
         raise ValueError("d must be 0 or 1")
-    h = halo.blocked(s.join(mean, keys), keys, order, preceding=nlags + d, block=block)
+    h = halo.blocked(halo.join_null_safe(s, mean, keys), keys, order, preceding=nlags + d, block=block)
     w = halo.block_window(keys)
     lagged = [F.lag(col, k).over(w) for k in range(1, nlags + d + 1)]  # one window node, plain lags
     h = halo.core(h.select(*keys, "_m", "n", F.col(col).alias("_x0"),
@@ -96,7 +96,7 @@ def acf(df: DataFrame, col: str = "close", nlags: int = 40, d: int = 0, keys: Se
     sums = h.groupBy(*keys).agg(
         F.max("n").alias("n"), *[F.sum(vk(0) * vk(k)).alias(f"_s{k}") for k in range(nlags + 1)]
     )
-    parts = ", ".join(f"{k}, _s{k} / _s0" for k in range(nlags + 1))
+    parts = ", ".join(f"{k}, try_divide(_s{k}, _s0)" for k in range(nlags + 1))
     long = sums.selectExpr(*keys, "n", f"stack({nlags + 1}, {parts}) AS (lag, acf)")
     wl = Window.partitionBy(*keys).orderBy("lag")  # nlags + 1 rows per key
     prev_sq = F.coalesce(
@@ -104,7 +104,7 @@ def acf(df: DataFrame, col: str = "close", nlags: int = 40, d: int = 0, keys: Se
         F.lit(0.0),
     )
     band = F.when(F.col("lag") == 0, F.lit(0.0)).otherwise(
-        F.lit(z) * F.sqrt((F.lit(1.0) + F.lit(2.0) * prev_sq) / F.col("n"))
+        F.lit(z) * F.sqrt(F.try_divide(F.lit(1.0) + F.lit(2.0) * prev_sq, F.col("n")))
     )
     return long.select(*keys, F.col("lag").cast("int"), "acf", band.alias("conf_band"), "n")
 
@@ -145,14 +145,16 @@ def pacf(acf_long: DataFrame, keys: Sequence[str] = ("symbol",), z: float = 1.96
         vals = _durbin_levinson(pdf["acf"].to_numpy(dtype=float))
         n = int(pdf["n"].iloc[0])
         out = pd.DataFrame({"lag": pdf["lag"].astype("int32").to_numpy(), "pacf": vals})
-        out["conf_band"] = np.where(out["lag"] == 0, 0.0, z / math.sqrt(n))
+        out["conf_band"] = np.where(out["lag"] == 0, 0.0, z / math.sqrt(n) if n > 0 else np.nan)
         out["n"] = n
         for k in keys:
             out[k] = pdf[k].iloc[0]
         return out[[*keys, "lag", "pacf", "conf_band", "n"]]
 
     ensure_importable(acf_long.sparkSession)
-    return acf_long.groupBy(*keys).applyInPandas(run, schema)
+    out = acf_long.groupBy(*keys).applyInPandas(run, schema)
+    clean = lambda c: F.when(~F.isnan(c), F.col(c)).alias(c)  # noqa: E731  constant and one-bar series have none
+    return out.select(*keys, "lag", clean("pacf"), clean("conf_band"), "n")
 
 
 # ----------------------------------------------------------------------------- ADF
@@ -176,8 +178,9 @@ def adf_lag0(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",
         F.regr_sxy("_dy", "_ylag").alias("_sxy"),
         F.regr_count("_dy", "_ylag").alias("n"),
     )
-    s2 = (F.col("_syy") - F.col("_sxy") * F.col("_sxy") / F.col("_sxx")) / (F.col("n") - 2)
-    stat = F.col("beta") / F.sqrt(s2 / F.col("_sxx"))
+    rest = F.col("_syy") - F.try_divide(F.col("_sxy") * F.col("_sxy"), F.col("_sxx"))
+    s2 = F.try_divide(rest, F.greatest(F.col("n") - 2, F.lit(0)))  # NULL for constant series and under three rows
+    stat = F.try_divide(F.col("beta"), F.sqrt(F.try_divide(s2, F.col("_sxx"))))
     crit = adf_critical(F.col("n"))
     return r.select(
         *keys,
@@ -249,7 +252,7 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
                     segs[int(e["_seg"])] = (xtx, xty, yty, int(e["n"]))
 
                 def suffix(start):
-                    parts = [segs[t] for t in segs if t >= start]
+                    parts = [segs[t] for t in segs if t >= start] or [(np.zeros((k, k)), np.zeros(k), 0.0, 0)]
                     return (sum(p_[0] for p_ in parts), sum(p_[1] for p_ in parts), sum(p_[2] for p_ in parts),
                             sum(p_[3] for p_ in parts))
 
@@ -262,8 +265,8 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
                         _, _, ssr = gm.ols_from_gram(cxtx, cxty, cyty, cn, idx)
                         ic = gm.aic_ls(ssr, cn, len(idx))
                         if crit == "BIC":
-                            ic = ic - 2 * len(idx) + math.log(cn) * len(idx)
-                        if best is None or ic < best[0]:
+                            ic = ic - 2 * len(idx) + math.log(max(cn, 1)) * len(idx)
+                        if best is None or ic < best[0] or math.isnan(best[0]):
                             best = (ic, p)
                 p = best[1]
                 xtx, xty, yty, n = suffix(p + 1)
@@ -277,9 +280,13 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
     res = packed.mapInPandas(run, out_schema)
     crit_v = adf_critical(F.col("n_obs"))
     return res.select(
-        *keys, "adf_stat", "used_lag", "n_obs",
+        *keys, F.when(~F.isnan("adf_stat"), F.col("adf_stat")).alias("adf_stat"), "used_lag", "n_obs",
         crit_v["1%"].alias("crit_1"), crit_v["5%"].alias("crit_5"), crit_v["10%"].alias("crit_10"),
-        (F.col("adf_stat") < crit_v["5%"]).alias("stationary_5"), "ic_best",
+        F.when(~F.isnan("adf_stat"), F.col("adf_stat") < crit_v["5%"]).alias("stationary_5"),
+        F.when(~F.isnan("ic_best"), F.col("ic_best")).alias("ic_best"),
+        F.when(F.col("adf_stat").isNull() | F.isnan("adf_stat"), F.lit(None)).when(F.col("adf_stat") < crit_v["1%"], F.lit("<1%"))
+        .when(F.col("adf_stat") < crit_v["5%"], F.lit("1-5%")).when(F.col("adf_stat") < crit_v["10%"], F.lit("5-10%"))
+        .otherwise(F.lit(">10%")).alias("p_bracket"),
     )
 
 
@@ -332,7 +339,7 @@ def _with_residual_lags(lagged: DataFrame, keys, m: int, q: int) -> DataFrame:
     names1 = ["c", *[f"a{i}" for i in range(1, m + 1)]]
     g1 = gm.gram(lagged, keys, [one, *[F.col(f"_v{i}") for i in range(1, m + 1)]], F.col("_v0"))
     a = _wide_coefs(g1, keys, m + 1, names1, "_s1_").drop("_sigma2", "_nfit")
-    j = lagged.join(a, keys)
+    j = halo.join_null_safe(lagged, a, keys)
     res = {}
     for lag in range(q + 1):
         e = F.col(f"_v{lag}") - F.col("_s1_c")
@@ -362,6 +369,7 @@ def arma_fit(df: DataFrame, col: str = "close", order: tuple[int, int, int] = (6
     k = len(names)
     aic = F.col("_nfit") * (F.lit(math.log(2 * math.pi)) + F.log("_sigma2") + F.lit(1.0)) + F.lit(2.0 * (k + 1))
     wide = wide.withColumn("aic", aic)
+    wide = wide.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if t == "double" and c not in keys else F.col(c) for c, t in wide.dtypes])
     stack = ", ".join(f"'{n.replace('_L', '.L')}', {n}" for n in names)
     coefs = wide.selectExpr(*keys, f"stack({k}, {stack}) AS (term, coef)", "_sigma2 AS sigma2", "aic", "_nfit AS n")
     return (coefs, rows, wide) if keep_rows else coefs
@@ -417,16 +425,16 @@ def arma_predict(df: DataFrame, col: str = "close", order=(6, 1, 6), keys=("symb
     p, d, q = order
     keys = list(keys)
     _, rows, wide = arma_fit(df, col, order, keys, date, ar_long, block, keep_rows=True)
-    j = rows.join(wide.drop("aic", "_sigma2", "_nfit"), keys)
+    j = halo.join_null_safe(rows, wide.drop("aic", "_sigma2", "_nfit"), keys)
     pred = F.col("const")
     for i in range(1, p + 1):
         pred = pred + F.col(f"ar_L{i}") * F.col(f"_v{i}")
     for jj in range(1, q + 1):
-        pred = pred + F.col(f"ma_L{jj}") * F.col(f"_e{jj}")
+        pred = pred + F.col(f"ma_L{jj}") * F.coalesce(f"_e{jj}", F.lit(0.0))  # no residual yet at a series' start
     if d == 1:
         pred = F.col("_y1") + pred
     out = j.select(*keys, date, F.col(col).alias("actual"), pred.alias("prediction"), F.col(halo.IDX).alias("_pos"))
-    out = out.where(F.col("prediction").isNotNull())
+    out = out.where(F.col("prediction").isNotNull() & ~F.isnan("prediction"))
     if start is not None:
         out = out.where(F.col("_pos") >= start)
     if end is not None:
@@ -447,7 +455,7 @@ def arma_forecast(df: DataFrame, col: str = "close", order=(6, 1, 6), horizon: i
     p, d, q = order
     keys = list(keys)
     _, rows, wide = arma_fit(df, col, order, keys, date, ar_long, block, keep_rows=True)
-    r = max(p, q, 1)
+    r = max(p, q, 2)  # two rows at least: their distance is the step of a timestamp series
     tail = rows.where(F.col(halo.IDX) >= F.col(halo.CNT) - r)
     packed = tail.groupBy(*keys).agg(
         F.sort_array(F.collect_list(F.struct(F.col(halo.IDX).alias("i"), F.col("_v0").alias("v"),
@@ -455,9 +463,10 @@ def arma_forecast(df: DataFrame, col: str = "close", order=(6, 1, 6), horizon: i
                                              F.col(date).alias("dt")))).alias("_tail")
     )
     names = _arma_names(p, q)
-    j = packed.join(wide.select(*keys, *names), keys)
+    j = halo.join_null_safe(packed, wide.select(*keys, *names), keys)
     schema = ", ".join(f"{c} {j.schema[c].dataType.simpleString()}" for c in keys)
-    schema += f", step int, {date} date, forecast double"
+    hourly = str(df.schema[date].dataType.simpleString()).startswith("timestamp")
+    schema += f", step int, {date} {df.schema[date].dataType.simpleString()}, forecast double"
 
     def run(batches):
         for pdf in batches:
@@ -474,16 +483,17 @@ def arma_forecast(df: DataFrame, col: str = "close", order=(6, 1, 6), horizon: i
                 hist_v = [x if x is not None else 0.0 for x in vs]
                 hist_e = es[:]
                 day = pd.Timestamp(last)
+                gap = day - pd.Timestamp(t[-2]["dt"]) if hourly and len(t) > 1 else pd.Timedelta(days=1)
                 for h in range(1, horizon + 1):
                     nv = c + sum(a * hist_v[-i] for i, a in enumerate(ar, 1) if i <= len(hist_v))
                     nv += sum(b * hist_e[-i] for i, b in enumerate(ma, 1) if i <= len(hist_e))
                     hist_v.append(nv)
                     hist_e.append(0.0)
                     level = level + nv if d == 1 else nv
-                    day = day + pd.Timedelta(days=1)
+                    day = day + gap
                     while skip_weekends and day.dayofweek >= 5:
                         day = day + pd.Timedelta(days=1)
-                    out.append({**{k: rr[k] for k in keys}, "step": h, date: day.date(), "forecast": float(level)})
+                    out.append({**{k: rr[k] for k in keys}, "step": h, date: day if hourly else day.date(), "forecast": float(level)})
             yield pd.DataFrame(out, columns=[*keys, "step", date, "forecast"])
 
     ensure_importable(j.sparkSession)

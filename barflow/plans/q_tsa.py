@@ -85,6 +85,49 @@ def q_arma_fit(spark, sf):
     return rounded(tsa.arma_fit(ord_adj(spark, sf), "close", (6, 1, 6)))
 
 
+_AR1 = f"""WITH {ORD}, {ADJ},
+v AS (SELECT symbol, date, close - lag(close) OVER ({part()}) AS v FROM b),
+l AS (SELECT symbol, v, lag(v) OVER ({part()}) AS v1 FROM v),
+r AS (SELECT symbol, regr_slope(v, v1) AS slope, regr_intercept(v, v1) AS icept, CAST(regr_count(v, v1) AS BIGINT) AS n FROM l GROUP BY symbol)"""
+
+
+@register(
+    "arma_110_fit",
+    sql=f"""{_AR1}
+SELECT symbol, 'const' AS term, {r4("icept", "coef")}, n FROM r
+UNION ALL SELECT symbol, 'ar.L1', {r4("slope", "coef")}, n FROM r""",
+    ops="M9 (order 1,1,0: closed form)",
+)
+def q_arma_110_fit(spark, sf):
+    return rounded(tsa.arma_fit(ord_adj(spark, sf), "close", (1, 1, 0)).select("symbol", "term", "coef", "n"))
+
+
+@register(
+    "arma_110_insample",
+    sql=f"""{_AR1},
+p AS (SELECT symbol, date, close, lag(close) OVER ({part()}) AS y1, lag(close, 2) OVER ({part()}) AS y2,
+        row_number() OVER ({part()}) - 1 AS pos FROM b)
+SELECT symbol, date, {r4("close", "actual")}, {r4("y1 + icept + slope * (y1 - y2)", "prediction")}
+FROM p JOIN r USING (symbol) WHERE y2 IS NOT NULL AND pos BETWEEN 10 AND 999""",
+    ops="M10 (order 1,1,0, positions 10 to 999)",
+)
+def q_arma_110_insample(spark, sf):
+    return rounded(tsa.arma_predict(ord_adj(spark, sf), "close", (1, 1, 0), start=10, end=999))
+
+
+@register(
+    "arma_110_forecast",
+    sql=f"""WITH RECURSIVE {_AR1.removeprefix("WITH ")},
+t AS (SELECT symbol, date, close, close - lag(close) OVER ({part()}) AS v, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS k FROM b),
+fc AS (SELECT t.symbol, 0 AS step, t.date, t.close AS y, t.v, r.slope, r.icept FROM t JOIN r USING (symbol) WHERE k = 1
+       UNION ALL SELECT symbol, step + 1, CAST(date + 1 AS DATE), y + icept + slope * v, icept + slope * v, slope, icept FROM fc WHERE step < 30)
+SELECT symbol, CAST(step AS INTEGER) AS step, date, {r4("y", "forecast")} FROM fc WHERE step > 0""",
+    ops="M11 F12 (order 1,1,0)",
+)
+def q_arma_110_forecast(spark, sf):
+    return rounded(tsa.arma_forecast(ord_adj(spark, sf), "close", (1, 1, 0), 30))
+
+
 @register("arma_order_grid", ops="A16 (p, q in 1..6, d = 0, AIC)")
 def q_arma_order_grid(spark, sf):
     return rounded(tsa.arma_order_grid(ord_adj(spark, sf), "close"))
