@@ -31,12 +31,6 @@ def use_adjusted_close(bars: DataFrame) -> DataFrame:
     return bars.drop("close").withColumnRenamed("adj_close", "close")
 
 
-def adjust_ohl(bars: DataFrame) -> DataFrame:
-    """Optional: scale open/high/low by ``adj_close / close`` before the swap."""
-    f = F.try_divide(F.col("adj_close"), F.col("close"))
-    return bars.withColumns({c: F.col(c) * f for c in ("open", "high", "low")})
-
-
 def adj_close_mismatch(bars: DataFrame, null_safe: bool = False) -> DataFrame:
     """Rows whose close differs from the adjusted close."""
     cond = ~F.col("close").eqNullSafe(F.col("adj_close")) if null_safe else F.col("close") != F.col("adj_close")

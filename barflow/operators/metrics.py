@@ -25,13 +25,6 @@ def regression_metrics(pred: DataFrame, label: str = "label", prediction: str =
     ).drop("_sse", "_sst")
 
 
-def metrics_long(metrics: DataFrame, group: Sequence[str]) -> DataFrame:
-    """``group..., metric, value`` rows."""
-    return metrics.selectExpr(
-        *group, "stack(4, 'mse', mse, 'rmse', rmse, 'mae', mae, 'r2', r2) AS (metric, value)"
-    )
-
-
 def ols_simple(df: DataFrame, y: str, x: str, group: Sequence[str] = ("symbol",)) -> DataFrame:
     """One-regressor least squares per group with the SQL ``regr_*`` aggregates."""
     return df.groupBy(*group).agg(

@@ -15,20 +15,6 @@ from pyspark.sql import functions as F
 from barflow.operators import halo
 
 
-def derive_open(bars: DataFrame, keys: Sequence[str] = ("symbol",), order: str = "date",
-                block: float | None = None, keep_index: bool = False) -> DataFrame:
-    """``open = coalesce(previous close, close)`` for bar tables without an open.
-
-    ``keep_index`` keeps the contiguous ``_idx``/``_n`` so a following windowed
-    operator does not index the rows again.
-    """
-    keys = list(keys)
-    h = halo.blocked(bars, keys, order, preceding=1, block=block)
-    prev = F.lag("close", 1).over(halo.block_window(keys))
-    h = halo.core(h.withColumn("open", F.coalesce(prev, F.col("close")))).drop(halo.BLK)
-    return h if keep_index else halo.drop_helpers(h)
-
-
 def difference(df: DataFrame, col: str = "close", d: int = 1, keys: Sequence[str] = ("symbol",),
                order: str = "date", out: str | None = None, dropna: bool = True,
                block: float | None = None) -> DataFrame:

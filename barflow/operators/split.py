@@ -38,11 +38,6 @@ def chrono_split(df: DataFrame, frac: float = 0.8, keys: Sequence[str] = ("symbo
     return p.withColumn(col, F.when(F.col(halo.IDX) < cut, F.lit("train")).otherwise(F.lit("test")))
 
 
-def split_frames(df: DataFrame, frac: float = 0.8, keys=("symbol",), order: str = "date") -> tuple[DataFrame, DataFrame]:
-    s = chrono_split(df, frac, keys, order)
-    return s.where(F.col("split") == "train"), s.where(F.col("split") == "test")
-
-
 def except_all_split(df: DataFrame, train: DataFrame) -> DataFrame:
     """Reference-parity test set: all rows EXCEPT ALL the training rows (keeps duplicates)."""
     return df.exceptAll(train)

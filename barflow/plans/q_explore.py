@@ -6,6 +6,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
+from barflow.functions import dates
 from barflow.operators import explore as ex, indicators as ind, quality as qa
 from barflow.plans.registry import r4, register, rounded
 from barflow.sources import bars as src
@@ -242,3 +243,52 @@ def q_boxplot_by_year_lin(spark, sf):
 )
 def q_boxplot_outliers_lin(spark, sf):
     return rounded(ex.box_outliers(src.lin_bars(spark, sf)))
+
+
+@register(
+    "parse_dates",
+    sql="""SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS iso, CAST(o_orderdate AS DATE) AS parsed,
+       CAST(NULL AS DATE) AS malformed FROM orders""",
+    ops="F1 F2 F3 (ISO text, parsing with a pattern, malformed text to NULL)",
+)
+def q_parse_dates(spark, sf):
+    o = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", dates.iso_date("o_orderdate").alias("iso"))
+    broken = dates.parse_date(F.concat(F.lit("x"), F.col("iso")))
+    return o.select("o_orderkey", "iso", dates.parse_date("iso", "yyyy-MM-dd").alias("parsed"), broken.alias("malformed"))
+
+
+@register(
+    "date_range_hours",
+    sql=f"""WITH e AS ({src.EVT_BARS_SQL})
+SELECT symbol, bar_ts, volume FROM e WHERE CAST(bar_ts AS DATE) BETWEEN DATE '2024-01-09' AND DATE '2024-01-10'""",
+    ops="P5 (calendar days on a timestamp series)",
+)
+def q_date_range_hours(spark, sf):
+    bars = src.evt_bars(spark, sf)
+    return ex.date_range(bars, "2024-01-09", "2024-01-10", "bar_ts").select("symbol", "bar_ts", "volume")
+
+
+@register(
+    "quality_null_keys",
+    sql=f"""WITH t AS (SELECT CASE WHEN seq % 50 = 0 THEN NULL ELSE symbol END AS symbol, date, close FROM ({src.NUL_ROWS_SQL})),
+k AS (SELECT symbol, date, count(*) AS c FROM t GROUP BY symbol, date),
+d AS (SELECT symbol, CAST(sum(c - 1) AS BIGINT) AS dup_key_rows, count(*) AS n_distinct_dates FROM k GROUP BY symbol),
+r AS (SELECT symbol, count(*) AS n_rows, count(*) FILTER (WHERE close IS NULL) AS null_close FROM t GROUP BY symbol)
+SELECT r.symbol, n_rows, null_close, dup_key_rows, n_distinct_dates FROM r JOIN d ON r.symbol IS NOT DISTINCT FROM d.symbol""",
+    ops="D2 (rows with a NULL key are reported)",
+)
+def q_quality_null_keys(spark, sf):
+    rows = src.nul_rows(spark, sf)
+    rows = rows.withColumn("symbol", F.when(F.col("seq") % 50 != 0, F.col("symbol")))
+    return qa.quality_rules(rows.select("symbol", "date", "close")).select("symbol", "n_rows", "null_close", "dup_key_rows", "n_distinct_dates")
+
+
+@register(
+    "sma_5000",
+    sql=f"""SELECT event_type AS symbol, ts, {r4("avg(value) OVER (PARTITION BY event_type ORDER BY ts ROWS BETWEEN 4999 PRECEDING AND CURRENT ROW)", "ma_5000")}
+FROM events""",
+    ops="W1 (a frame deeper than a block, at tick grain)",
+)
+def q_sma_5000(spark, sf):
+    ticks = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_type").alias("symbol"), "ts", "value")
+    return rounded(ind.moving_averages(ticks, (5000,), "value", order="ts").select("symbol", "ts", "ma_5000"))
