@@ -17,20 +17,21 @@ part in the band below its own too if a partner can be there. In small bands
 every shingle is a block. A document with D filled blocks or fewer (rare) also
 gets a mark that it shares with all such documents of its band.
 
-A dense sketch of 2 bits or more a shingle goes with every set: the Hamming
+A dense sketch of 8 bits or more a shingle goes with every set: the Hamming
 distance of two never exceeds the symmetric difference, which filters candidate
 pairs; larger sketches fold to smaller ones by XOR of their halves.
 
 Candidates. Equal sets are one class from the start. Block codes are scattered
-into memory-sized buckets as packed arrays. A code shared by classes yields a
-star (each class with the smallest), never all pairs. Star edges are verified on
-the exact sets and joined into components. Codes whose classes still lie in
-different components are looked at again: their classes are compared sketch
-against sketch in tiles of bounded size, and pairs of different components that
-pass are verified too. So no link between different texts is lost, and a large
-group of copies costs a star. A code that is frequent within one task travels
-in lists of its own, spread over the buckets, and only its smallest class is sent
-to the code's bucket.
+into memory-sized buckets as packed arrays. A code that two classes share gives
+that pair; one that more share gives a star, never all pairs: each class with the
+pivot, the class that meets most others over all codes (in a group of copies,
+their origin). Codes with the same classes count once. What the sketches allow is
+verified on the exact sets and joined into components. Codes whose classes still
+lie in different components are looked at again: their classes are compared
+sketch against sketch in tiles of bounded size, and pairs of different components
+that pass are verified too. So no link between different texts is lost, and a
+large group of copies costs a star. A code that is frequent within one task
+travels in lists of its own, spread over the buckets.
 
 Sets are known by a 64-bit hash (two different sets share one with probability
 2^-64). Defined results: NULL, empty and wordless texts have no shingles and
@@ -60,6 +61,7 @@ PACK_BYTES = 12 << 20
 HOT = 256
 #: Classes in a tile of sketch comparisons.
 TILE = 2048
+_LISTED = np.int64(-(1 << 63))  # in a bucket: the code also has a list elsewhere
 _SMALL = 64  # below, every shingle is a block of its own
 
 _C = [np.uint64(x) for x in (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89, 0x452821E638D01377)]
@@ -101,8 +103,8 @@ def set_hash(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sketch_bits(n: np.ndarray) -> np.ndarray:
-    """Bits of the dense sketch: the power of two from twice the set's size, 64 at least."""
-    return np.int64(1) << np.maximum(6, np.ceil(np.log2(np.maximum(2 * n, 2))).astype(np.int64))
+    """Bits of the dense sketch: the power of two from eight times the set's size, 64 at least."""
+    return np.int64(1) << np.maximum(6, np.ceil(np.log2(np.maximum(8 * n, 2))).astype(np.int64))
 
 
 def dense_sketches(h: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -199,7 +201,8 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
         first = np.zeros(len(codes), bool)
         first[head] = True
         sent = first | np.repeat(many < HOT, many)
-        codes, sets = codes[sent], sets[sent]
+        listed = codes[head[many >= HOT]]  # their buckets are told that there is a list
+        codes, sets = np.concatenate([codes[sent], listed]), np.concatenate([sets[sent], np.full(len(listed), _LISTED)])
         bucket = (codes % np.uint64(buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         codes, sets, bucket = codes[order], sets[order], bucket[order]
@@ -230,18 +233,18 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _meet(buckets: int):
-    """The classes that share a code: star edges ``a, b`` and, from three classes on, the members ``code, a``."""
+    """The classes that share a code: a pair ``a, b``, or from three classes on the members ``code, a``."""
 
     def run(group: pa.Table) -> pa.Table:
         number = group.column("bucket")[0].as_py()
-        edges: list[np.ndarray] = []
-        members: list[tuple[np.ndarray, np.ndarray]] = []
+        pairs, code, own = np.empty((2, 0), np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
         if number < 0:  # lists of hot codes
-            for code, own in zip(group.column("codes").to_pylist(), group.column("sets").to_pylist()):
-                code, own = np.frombuffer(code, np.uint64), np.frombuffer(own, np.int64)
-                code = (code % np.uint64(buckets)) << np.uint64(32) | (code // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
-                edges.append(np.stack([np.repeat(own[:1], len(own) - 1), own[1:]]))
-                members.append((np.repeat(code.view(np.int64), len(own)), own))
+            members = []
+            for c, x in zip(group.column("codes").to_pylist(), group.column("sets").to_pylist()):
+                c, x = np.frombuffer(c, np.uint64), np.frombuffer(x, np.int64)
+                c = (c % np.uint64(buckets)) << np.uint64(32) | (c // np.uint64(buckets)) & np.uint64(0xFFFFFFFF)
+                members.append((np.repeat(c.view(np.int64), len(x)), x))
+            code, own = map(np.concatenate, zip(*members))
         else:
             code = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in group.column("codes")])
             own = np.concatenate([np.frombuffer(x.as_buffer(), np.int64) for x in group.column("sets")])
@@ -257,28 +260,42 @@ def _meet(buckets: int):
             if len(code):
                 new = np.concatenate([[True], (code[1:] != code[:-1]) | (own[1:] != own[:-1])])
                 code, own = code[new], own[new]
-                head = np.concatenate([[True], code[1:] != code[:-1]])
-                at = np.flatnonzero(head)
+                at = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
                 many = np.diff(np.concatenate([at, [len(code)]]))
-                edges.append(np.stack([np.repeat(own[at], many), own])[:, ~head])
-                # a class that a hot list sent stands for that list, so pairs are kept as members as well
-                kept = np.repeat(many > 1, many)
-                members.append((np.int64(number) << np.int64(32) | code[kept].astype(np.int64), own[kept]))
-        pairs = np.unique(np.concatenate(edges, axis=1), axis=1) if edges else np.empty((2, 0), np.int64)
-        codes = np.concatenate([m[0] for m in members]) if members else np.empty(0, np.int64)
-        owns = np.concatenate([m[1] for m in members]) if members else np.empty(0, np.int64)
-        n, m = pairs.shape[1], len(codes)
+                listed = own[at] == _LISTED
+                two = at[(many == 2) & ~listed]
+                pairs = np.unique(np.stack([own[two], own[two + 1]]), axis=1)
+                kept = np.repeat((many > 2) | listed, many) & (own != _LISTED)
+                code, own = np.int64(number) << np.int64(32) | code[kept].astype(np.int64), own[kept]
+        n, m = pairs.shape[1], len(code)
         return pa.table(
             {
-                "code": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(codes)]),
-                "a": pa.array(np.concatenate([pairs[0], owns])),
-                "b": pa.concat_arrays([pa.array(pairs[1]), pa.nulls(m, pa.int64())]),
+                "code": pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(code, pa.int64())]),
+                "a": pa.array(np.concatenate([pairs[0], own]), pa.int64()),
+                "b": pa.concat_arrays([pa.array(pairs[1], pa.int64()), pa.nulls(m, pa.int64())]),
             }
         )
 
     return run
 
 
+def _groups(shared: DataFrame) -> DataFrame:
+    """``code, a`` of the codes that three or more classes share, written; of codes with the same classes one is kept."""
+    members = shared.where("b is null").select("code", "a").distinct()
+    known = members.groupBy("code").agg(F.count(F.lit(1)).alias("many"), F.sum(F.xxhash64("a").cast("decimal(20,0)")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "a")).alias("y"))
+    chosen = known.where("many > 1").groupBy("many", "x", "y").agg(F.min("code").alias("code")).select("code", "many")
+    return tx.written(members.join(chosen, "code"), "jaccard-groups")
+
+
+def _stars(groups: DataFrame) -> DataFrame:
+    """Each member of a code with the code's pivot: the class that meets most others (a copy's origin, in a group of copies)."""
+    meets = groups.groupBy("a").agg(F.sum("many").alias("meets"))
+    ranked = groups.join(meets, "a").select("code", "a", F.struct("meets", "a").alias("rank"))
+    pivot = ranked.groupBy("code").agg(F.max("rank")["a"].alias("p"))
+    pairs = groups.join(pivot, "code").where("a <> p")
+    return pairs.select(F.least("a", "p").alias("a"), F.greatest("a", "p").alias("b")).distinct()
+
+
 def _fold(sketch: np.ndarray) -> np.ndarray:
     half = sketch.shape[1] // 2
     return sketch[:, :half] ^ sketch[:, half:]
@@ -289,23 +306,28 @@ def _possible(na: np.ndarray, nb: np.ndarray, distance: np.ndarray) -> np.ndarra
     return (3 * np.maximum(na, nb) <= 4 * np.minimum(na, nb)) & (7 * distance <= na + nb)
 
 
+def _allowed(na: np.ndarray, nb: np.ndarray, sa: pa.Array, sb: pa.Array) -> np.ndarray:
+    """Which pairs of sets (sizes and dense sketches, side by side) may link."""
+    ok = 3 * np.maximum(na, nb) <= 4 * np.minimum(na, nb)
+    ma, mb = sketch_bits(na), sketch_bits(nb)
+    for x, y in {(int(p), int(q)) for p, q in zip(ma[ok], mb[ok])}:
+        at = np.flatnonzero(ok & (ma == x) & (mb == y))
+        for lo in range(0, len(at), 4096):
+            some = at[lo : lo + 4096]
+            a, b = (np.frombuffer(b"".join(s.take(pa.array(some)).to_pylist()), np.uint64).reshape(len(some), -1) for s in (sa, sb))
+            a, b = (_fold(a) if x > y else a), (_fold(b) if y > x else b)
+            ok[some] = _possible(na[some], nb[some], np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64))
+    return ok
+
+
 def _sketch_filter(pairs: DataFrame) -> DataFrame:
     """Pairs ``a, b`` (with ``n`` and ``sketch`` of both) that the sketches allow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             c = {f: batch.column(batch.schema.get_field_index(f)) for f in batch.schema.names}
-            na, nb = c["na"].to_numpy().astype(np.int64), c["nb"].to_numpy().astype(np.int64)
-            ma, mb = sketch_bits(na), sketch_bits(nb)
-            ok = np.zeros(len(na), bool)
-            for x, y in {(int(p), int(q)) for p, q in zip(ma, mb) if max(p, q) <= 2 * min(p, q)}:
-                at = np.flatnonzero((ma == x) & (mb == y))
-                for lo in range(0, len(at), 4096):
-                    some = at[lo : lo + 4096]
-                    sa, sb = (np.frombuffer(b"".join(c[s].take(pa.array(some)).to_pylist()), np.uint64).reshape(len(some), -1) for s in ("sa", "sb"))
-                    sa, sb = (_fold(sa) if x > y else sa), (_fold(sb) if y > x else sb)
-                    ok[some] = _possible(na[some], nb[some], np.bitwise_count(sa ^ sb).sum(axis=1, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([c["a"].filter(pa.array(ok)), c["b"].filter(pa.array(ok))], ["a", "b"])
+            ok = pa.array(_allowed(c["na"].to_numpy().astype(np.int64), c["nb"].to_numpy().astype(np.int64), c["sa"], c["sb"]))
+            yield pa.RecordBatch.from_arrays([c["a"].filter(ok), c["b"].filter(ok)], ["a", "b"])
 
     return pairs.mapInArrow(run, "a long, b long")
 
@@ -346,6 +368,64 @@ def _with_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "sa", "sb")
 
 
+def _near_in_group(ids, label, n, left, raw) -> np.ndarray:
+    """Pairs of one tile (``left`` None) or of two tiles against each other, by the matrix of their sketches."""
+    bits = sketch_bits(n)
+    by_bits = {}
+    for m in np.unique(bits):
+        at = np.flatnonzero(bits == m)
+        by_bits[int(m)] = at, np.frombuffer(b"".join(raw.take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1)
+    found = [np.empty((2, 0), np.int64)]
+    for m, (at, own) in by_bits.items():
+        for other in (m, 2 * m):  # sizes of linked sets differ by a third at most, their sketches by one doubling
+            if other not in by_bits:
+                continue
+            there, sketches = by_bits[other]
+            sketches = sketches if other == m else _fold(sketches)
+            for lo in range(0, len(at), 64):
+                i = at[lo : lo + 64]
+                distance = np.zeros((len(i), len(there)), np.int64)
+                for word in range(own.shape[1]):
+                    distance += np.bitwise_count(own[lo : lo + 64, word][:, None] ^ sketches[:, word][None, :])
+                ok = _possible(n[i][:, None], n[there][None, :], distance) & (label[i][:, None] != label[there][None, :])
+                if left is not None:
+                    ok &= left[i][:, None] != left[there][None, :]
+                x, y = np.nonzero(ok)
+                found.append(np.stack([ids[i[x]], ids[there[y]]]))
+    return np.concatenate(found, axis=1)
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """Pairs of different components that the sketches allow, in all tiles of one deal."""
+    table = table.sort_by([("code", "ascending"), ("lo", "ascending"), ("hi", "ascending")])
+    read = lambda c: table.column(c).to_numpy()
+    ids, label, n, code, lo, hi = read("a"), read("label"), read("n").astype(np.int64), read("code"), read("lo"), read("hi")
+    left = table.column("left").to_numpy()
+    raw = table.column("sketch").combine_chunks()
+    cut = np.flatnonzero(np.concatenate([[True], (code[1:] != code[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])]))
+    ends = np.concatenate([cut[1:], [len(code)]])
+    alone = lo[cut] == hi[cut]
+    small = alone & (ends - cut <= 64)
+    found = []
+    # small groups all at once: neighbours at growing distance within a group
+    group = np.repeat(np.where(small, np.arange(len(cut)), -1), ends - cut)
+    for d in range(1, int((ends - cut)[small].max(initial=0))):
+        i = np.flatnonzero((group[d:] == group[:-d]) & (group[d:] >= 0) & (label[d:] != label[:-d]))
+        if len(i):
+            a, b = np.minimum(ids[i], ids[i + d]), np.maximum(ids[i], ids[i + d])
+            order = np.lexsort((b, a))  # a pair that several codes share is compared once
+            once = order[np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])])]
+            a, b, i, j = a[once], b[once], i[once], i[once] + d
+            ok = _allowed(n[i], n[j], raw.take(pa.array(i)), raw.take(pa.array(j)))
+            found.append(np.stack([a, b])[:, ok])
+    for k in np.flatnonzero(~small):
+        own = slice(cut[k], ends[k])
+        found.append(_near_in_group(ids[own], label[own], n[own], None if alone[k] else left[own], raw.slice(cut[k], ends[k] - cut[k])))
+    pairs = np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64)
+    pairs = np.unique(np.sort(pairs, axis=0), axis=1)
+    return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+
 def _tiled(members: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of classes of one code, in different components, that the sketches allow; compared in tiles.
 
@@ -357,40 +437,12 @@ def _tiled(members: DataFrame, classes: DataFrame) -> DataFrame:
     tiles = F.greatest(F.lit(1), F.ceil(F.col("many") / TILE)).cast("int")
     dealt = members.join(sizes, "code").withColumn("tiles", tiles).withColumn("tile", F.pmod(F.xxhash64("a"), F.col("tiles")).cast("int"))
     meet = dealt.select("code", "a", "label", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    meet = meet.select("code", "a", "label", (F.col("tile") <= F.col("other")).alias("left"), F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"))
-    rows = meet.join(classes.select(F.col("cls").alias("a"), "n", "sketch"), "a")
-
-    def compare(group: pa.Table) -> pa.Table:
-        ids, label = group.column("a").to_numpy(), group.column("label").to_numpy()
-        n, left = group.column("n").to_numpy().astype(np.int64), group.column("left").to_numpy(zero_copy_only=False)
-        alone = group.column("lo")[0].as_py() == group.column("hi")[0].as_py()
-        bits = sketch_bits(n)
-        found: list[np.ndarray] = []
-        raw = group.column("sketch").combine_chunks()
-        by_bits = {}
-        for m in np.unique(bits):
-            at = np.flatnonzero(bits == m)
-            by_bits[int(m)] = at, np.frombuffer(b"".join(raw.take(pa.array(at)).to_pylist()), np.uint64).reshape(len(at), -1)
-        for m, (at, own) in by_bits.items():
-            for other, fold in ((m, False), (2 * m, True)):
-                if other not in by_bits or (fold and other == m):
-                    continue
-                there, sketches = by_bits[other]
-                sketches = _fold(sketches) if fold else sketches
-                for lo in range(0, len(at), 64):
-                    i = at[lo : lo + 64]
-                    distance = np.zeros((len(i), len(there)), np.int64)
-                    for word in range(own.shape[1]):
-                        distance += np.bitwise_count(own[lo : lo + 64, word][:, None] ^ sketches[:, word][None, :])
-                    ok = _possible(n[i][:, None], n[there][None, :], distance) & (label[i][:, None] != label[there][None, :])
-                    if not alone:
-                        ok &= left[i][:, None] != left[there][None, :]
-                    x, y = np.nonzero(ok)
-                    found.append(np.stack([np.minimum(ids[i[x]], ids[there[y]]), np.maximum(ids[i[x]], ids[there[y]])]))
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
-
-    return rows.groupBy("code", "lo", "hi").applyInArrow(compare, "a long, b long").distinct()
+    meet = meet.select("code", "a", "label", (F.col("tile") <= F.col("other")).cast("int").alias("left"), F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"))
+    meet = tx.written(meet, "jaccard-tiles")
+    deals = max(8, -(-meet.count() // (2 * TILE)))
+    deal = F.pmod(F.xxhash64("code", "lo", "hi"), F.lit(deals)).alias("deal")
+    rows = meet.join(classes.select(F.col("cls").alias("a"), "n", "sketch"), "a").select(deal, "code", "lo", "hi", "left", "a", "label", "n", "sketch")
+    return rows.groupBy("deal").applyInArrow(_compare, "a long, b long").distinct()
 
 
 def linked_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -401,16 +453,18 @@ def linked_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     shingles = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(32, -(-int(shingles) // (2 * BUCKET_CODES)))
     shared = tx.written(_packed(docs, buckets).groupBy("bucket").applyInArrow(_meet(buckets), "code long, a long, b long"), "jaccard-shared")
+    groups = _groups(shared)
+    tx.release()
 
-    stars = shared.where("b is not null").select("a", "b").distinct()
-    near = tx.written(_sketch_filter(_with_sketches(stars, classes)), "jaccard-near")
+    pairs = shared.where("b is not null").select("a", "b").unionByName(_stars(groups)).distinct()
+    near = tx.written(_sketch_filter(_with_sketches(pairs, classes)), "jaccard-near")
     links = _verified(near, sets, docs)
     found = tx.written(graph.components(links), "jaccard-labels")
+    tx.release()
 
-    label = F.coalesce("label", "a").alias("label")
-    members = shared.where("b is null").select("code", "a").distinct().join(found.withColumnRenamed("node", "a"), "a", "left").select("code", "a", label)
+    members = groups.join(found.withColumnRenamed("node", "a"), "a", "left").select("code", "a", F.coalesce("label", "a").alias("label"))
     members = tx.written(members, "jaccard-members")
-    mixed = members.groupBy("code").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("many")).where("lo != hi and many > 2").select("code")
+    mixed = members.groupBy("code").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("code")
     more = _tiled(members.join(mixed, "code"), classes)
     more = tx.written(more.join(near, ["a", "b"], "left_anti"), "jaccard-more")
     if not more.isEmpty():
