@@ -43,9 +43,11 @@ from barflow.llm import text as tx
 #: Anchors in a bucket, on average, in round one and in round two.
 BUCKET_ANCHORS, BUCKET_STRINGS = 1_500_000, 120_000
 #: Text bytes whose anchors a task packs together in round one and in round two.
-PACK_BYTES, PACK_STRINGS = 12 << 20, 3 << 20
+PACK_BYTES, PACK_STRINGS = 12 << 20, 2 << 20
 #: Texts with one name in one pack from which on the name counts as shared at once.
 HOT = 64
+#: Hits up to this many bytes are broadcast to the texts; beyond, the texts are shuffled.
+BROADCAST_BYTES = 16 << 20
 _LAST = (1 << 63) - 1
 _A, _B = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD6E8FEB86659FD93)
 
@@ -137,6 +139,36 @@ def _by_text(tid: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[byte
     return tid[cut], [x.tobytes() for x in np.split(values, cut[1:])] if len(cut) else []
 
 
+_RANGE = np.dtype([("start", "<i4"), ("end", "<i4")])
+
+
+def _ranges(doc: np.ndarray, tid: np.ndarray, start: np.ndarray, min_bytes: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """For each (document, text) the byte ranges that its hit strings cover, packed."""
+    if not len(doc):
+        return doc, tid, []
+    order = np.lexsort((start, tid, doc))
+    doc, tid, start = doc[order], tid[order], start[order]
+    other = (doc[1:] != doc[:-1]) | (tid[1:] != tid[:-1])
+    head = np.flatnonzero(np.concatenate([[True], other | (start[1:] > start[:-1] + min_bytes)]))
+    out = np.zeros(len(head), _RANGE)
+    out["start"] = start[head]
+    out["end"] = start[np.concatenate([head[1:] - 1, [len(start) - 1]])] + min_bytes
+    doc, tid = doc[head], tid[head]
+    cut = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (tid[1:] != tid[:-1])]))
+    return doc[cut], tid[cut], [x.tobytes() for x in np.split(out, cut[1:])]
+
+
+def merged_ranges(ranges: np.ndarray) -> np.ndarray:
+    """Union of byte ranges (touching ones become one)."""
+    ranges = np.sort(ranges, order="start")
+    reach = np.maximum.accumulate(ranges["end"])
+    head = np.flatnonzero(np.concatenate([[True], ranges["start"][1:] > reach[:-1]]))
+    out = np.zeros(len(head), _RANGE)
+    out["start"] = ranges["start"][head]
+    out["end"] = reach[np.concatenate([head[1:] - 1, [len(ranges) - 1]])]
+    return out
+
+
 def _batch(bucket, tids, counts, payload) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), pa.array(tids, pa.binary()), pa.array(counts, pa.binary()), pa.array(payload, pa.binary())], ["bucket", "tids", "counts", "names"])
 
@@ -253,9 +285,10 @@ def _scatter_strings(alive: DataFrame, min_bytes: int, round_one: int, buckets:
         own, a, b = _pairs(data, first, count, min_bytes)
         hit = _hits(a, b, docs[doc][own])
         p = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count) - bounds[:-1][doc[own]]
-        told_tids, told = _by_text(tids[doc[own[hit]]], p[hit].astype(np.int32))
-        if len(told_tids):
-            yield _batch(-1 - (told_tids.view(np.uint64) % np.uint64(buckets)).astype(np.int64), [t.tobytes() for t in told_tids], [b""] * len(told), told)
+        told_docs, told_tids, told = _ranges(docs[doc[own[hit]]], tids[doc[own[hit]]], p[hit], min_bytes)
+        if len(told):
+            whose = np.stack([told_docs, told_tids], axis=1)
+            yield _batch(-1 - (told_tids.view(np.uint64) % np.uint64(buckets)).astype(np.int64), [x.tobytes() for x in whose], [b""] * len(told), told)
         open_ = np.bincount(own[~hit], minlength=len(doc)) > 0
         doc, first, count, name = doc[open_], first[open_], count[open_], name[open_]
         info = np.zeros(len(doc), _ANCHOR)
@@ -273,7 +306,7 @@ def _scatter_strings(alive: DataFrame, min_bytes: int, round_one: int, buckets:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in tx.joined_blocks(batches, "text", PACK_STRINGS):
             kept = [np.concatenate([np.frombuffer(x, np.uint64) for x in own]) if own else np.empty(0, np.uint64) for own in part.column("names").to_pylist()]
-            docs = part.column("holder").fill_null(_LAST).to_numpy()
+            docs = part.column("doc").to_numpy()
             yield from pack(data, bounds, docs, part.column("tid").to_numpy(), kept)
 
     return alive.mapInArrow(run, _ROUND_ONE)
@@ -284,8 +317,8 @@ def _settle(min_bytes: int):
 
     def run(group: pa.Table) -> pa.Table:
         if group.column("bucket")[0].as_py() < 0:
-            tids = np.array([np.frombuffer(x, np.int64)[0] for x in group.column("tids").to_pylist()], np.int64)
-            return pa.table({"tid": pa.array(tids), "starts": group.column("names")})
+            whose = np.frombuffer(b"".join(group.column("tids").to_pylist()), np.int64).reshape(-1, 2)
+            return pa.table({"doc": pa.array(whose[:, 0]), "tid": pa.array(whose[:, 1]), "ranges": group.column("names")})
         info = np.concatenate([np.frombuffer(x.as_buffer(), _ANCHOR) for x in group.column("counts")])
         blob = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in group.column("names")])
         count = info["count"].astype(np.int64)
@@ -293,40 +326,43 @@ def _settle(min_bytes: int):
         own, a, b = _pairs(blob, np.cumsum(length) - length, count, min_bytes)
         hit = _hits(a, b, info["doc"][own])
         p = info["start"][own] + np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
-        tids, packed = _by_text(info["tid"][own[hit]], p[hit].astype(np.int32))
-        return pa.table({"tid": pa.array(tids, pa.int64()), "starts": pa.array(packed, pa.binary())})
+        docs, tids, packed = _ranges(info["doc"][own[hit]], info["tid"][own[hit]], p[hit], min_bytes)
+        return pa.table({"doc": pa.array(docs, pa.int64()), "tid": pa.array(tids, pa.int64()), "ranges": pa.array(packed, pa.binary())})
 
     return run
 
 
-def covered(n: int, starts: np.ndarray, min_bytes: int) -> np.ndarray:
-    """Mask of the bytes that a hit string covers."""
-    edge = np.zeros(n + 1, np.int32)
-    np.add.at(edge, starts, 1)
-    np.add.at(edge, np.minimum(starts + min_bytes, n), -1)
-    return np.cumsum(edge[:-1]) > 0
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One packed union of ranges for each row."""
+    for batch in batches:
+        packed = [merged_ranges(np.frombuffer(b"".join(x), _RANGE)).tobytes() for x in batch.column(batch.schema.get_field_index("ranges")).to_pylist()]
+        kept = [batch.column(batch.schema.get_field_index(c)) for c in ("doc", "tid")]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(packed, pa.binary())], ["doc", "tid", "ranges"])
 
 
-def _cut(min_bytes: int):
+def _cut(with_kept: bool):
+    """Remove the ranges: counts and digest of what is left, and the bytes themselves if asked for."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in tx.blocks(batches, "text"):
             removed, spans, sha, kept = [], [], [], []
-            for i, packed in enumerate(part.column(part.schema.get_field_index("starts")).to_pylist()):
-                own = data[bounds[i] : bounds[i + 1]]
-                gone = covered(len(own), np.concatenate([np.frombuffer(x, np.int32) for x in packed]), min_bytes)
-                rest = own[~gone].tobytes()
-                removed.append(int(gone.sum()))
-                spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+            for i, packed in enumerate(part.column(part.schema.get_field_index("ranges")).to_pylist()):
+                own, gone = data[bounds[i] : bounds[i + 1]], np.frombuffer(packed, _RANGE)
+                left = np.concatenate([[0], gone["end"]]), np.concatenate([gone["start"], [len(own)]])
+                rest = b"".join(own[a:b].tobytes() for a, b in zip(*left))
+                removed.append(int((gone["end"] - gone["start"]).sum()))
+                spans.append(len(gone))
                 sha.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest)
-            yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("tid")), pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], ["tid", "n_removed", "n_spans", "kept_sha256", "kept"])
+                kept.append(rest if with_kept else None)
+            ids = [part.column(part.schema.get_field_index(c)) for c in ("doc", "tid")]
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.binary())], ["doc", "tid", "n_removed", "n_spans", "kept_sha256", "kept"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, min_bytes: int = 50, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+def remove_repeats(docs: DataFrame, min_bytes: int = 50, doc_id: str = "doc_id", text: str = "text", with_kept: bool = False) -> tuple[DataFrame, DataFrame]:
     """Two tables: a report (``doc_id, n_bytes, n_removed, n_spans, kept_sha256``) with a row for each row of ``docs``,
-    and the remaining bytes (``tid, kept``) of the texts that lost some but not all by being a copy."""
+    and the texts that lost bytes without being a copy (``doc``, ``tid`` and, if ``with_kept``, the ``kept`` bytes)."""
     if min_bytes < 16:
         raise ValueError("min_bytes must be 16 or more")
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
@@ -336,21 +372,28 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, doc_id: str = "doc_id",
     shared = _scatter_anchors(docs, min_bytes, buckets).groupBy("bucket").applyInArrow(_shared_names(buckets), "tid long, names binary")
     shared = tx.written(shared, "repeat-names")
     strings = (shared.agg(F.sum(F.octet_length("names"))).first()[0] or 0) // 8
+    tx.release()
 
+    # the texts that still have shared names, each under its smallest id
     of_text = shared.groupBy("tid").agg(F.collect_list("names").alias("names"))
     holders = texts.groupBy("tid").agg(F.min("doc_id").alias("holder"))
-    wanted = of_text.join(holders, "tid").withColumnRenamed("tid", "want")
-    alive = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["holder"])).select("want", "holder", "names", "text")
-    alive = alive.where(F.conv(F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 8), 16, 10).cast("long") == F.shiftrightunsigned("want", 32))
-    alive = tx.written(alive.withColumnRenamed("want", "tid").dropDuplicates(["tid"]), "repeat-alive")
+    wanted = of_text.join(holders, "tid")
+    begin = F.conv(F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 8), 16, 10).cast("long")  # rows with one id may differ in text
+    alive = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["holder"])).where(begin == F.shiftrightunsigned("tid", 32))
+    alive = tx.written(alive.select(F.coalesce("holder", F.lit(_LAST)).alias("doc"), "tid", "names", "text"), "repeat-alive")
+    tx.release()
 
     deal = max(32, -(-int(strings) // BUCKET_STRINGS))
-    found = _scatter_strings(alive, min_bytes, buckets, deal).groupBy("bucket").applyInArrow(_settle(min_bytes), "tid long, starts binary")
-    hits = found.groupBy("tid").agg(F.collect_list("starts").alias("starts"))
-    cut = alive.select("tid", "text").join(hits, "tid").mapInArrow(_cut(min_bytes), "tid long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    cut = tx.written(cut, "repeat-cut")
-
-    rows = texts.join(holders, "tid").join(cut.drop("kept"), "tid", "left")
+    found = _scatter_strings(alive, min_bytes, buckets, deal).groupBy("bucket").applyInArrow(_settle(min_bytes), "doc long, tid long, ranges binary")
+    hits = found.groupBy("doc", "tid").agg(F.collect_list("ranges").alias("ranges")).mapInArrow(_merge, "doc long, tid long, ranges binary")
+    hits = tx.written(hits, "repeat-hits")
+    tx.release()
+    size = hits.agg(F.sum(F.octet_length("ranges") + 16)).first()[0] or 0
+    small = F.broadcast(hits) if size <= BROADCAST_BYTES else hits  # else the texts are shuffled to their hits
+    cut = alive.select("doc", "tid", "text").join(small, ["doc", "tid"]).mapInArrow(_cut(with_kept), "doc long, tid long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    cut = tx.written(cut.dropDuplicates(["doc", "tid"]) if with_kept else cut.drop("kept").distinct(), "repeat-cut")
+
+    rows = texts.join(holders, "tid").join(cut.drop("doc", "kept"), "tid", "left")
     copy = (F.coalesce("doc_id", F.lit(_LAST)) > F.coalesce("holder", F.lit(_LAST))) & (F.col("n_bytes") >= min_bytes)
     own = F.col("doc_id").eqNullSafe(F.col("holder")) & F.col("n_removed").isNotNull()
     report = rows.select(
@@ -359,4 +402,4 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, doc_id: str = "doc_id",
         F.when(copy, F.lit(1)).when(own, F.col("n_spans")).otherwise(F.lit(0)).cast("long").alias("n_spans"),
         F.when(copy, F.sha2(F.lit(""), 256)).when(own, F.col("kept_sha256")).otherwise(F.col("sha")).alias("kept_sha256"),
     )
-    return report, cut.select("tid", "kept")
+    return report, cut

@@ -8,14 +8,13 @@ documents; ``bounds`` gives where each begins and nothing found crosses them.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 
-from barflow.session import ensure_checkpoint_dir
+from barflow.session import scratch_path
 
 #: Bytes of text handled at once in a task (one longer text is handled alone).
 BLOCK_BYTES = 2 << 20
@@ -165,16 +164,11 @@ def task_number(counter: int) -> int:
     return (TaskContext.get().partitionId() << 32) | counter
 
 
-def shared_path(spark, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def written(df, name: str, partition_by: tuple[str, ...] = ()):
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back (cuts lineage, survives lost executors)."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -186,8 +180,12 @@ def fresh(df, name: str) -> str:
     return name
 
 
-def release() -> None:
-    """Let Spark drop the shuffle files of frames that went out of use: Python's garbage first, the JVM's follows on its own."""
+def release(spark=None) -> None:
+    """Let Spark's cleaner drop the shuffle files of frames that went out of use (it acts when the driver collects garbage)."""
     import gc
 
+    from pyspark.sql import SparkSession
+
     gc.collect()
+    if session := spark or SparkSession.getActiveSession():
+        session.sparkContext._jvm.System.gc()

@@ -106,15 +106,17 @@ def got_repeats(frame):
 
 @pytest.mark.parametrize("least", [16, 50, 77])
 def test_repeats_match_brute_force(make_docs, texts, least):
-    report, kept = suffix_dedup.remove_repeats(make_docs(texts), least)
+    report, kept = suffix_dedup.remove_repeats(make_docs(texts), least, with_kept=True)
     assert got_repeats(report) == brute_repeats(texts, least)
-    assert all(isinstance(r.kept, (bytes, bytearray)) for r in kept.collect())
+    sha = {r.doc_id: r.kept_sha256 for r in report.collect()}
+    assert all(hashlib.sha256(r.kept).hexdigest() == sha[r.doc] for r in kept.collect())
 
 
 def test_repeats_with_early_settling(make_docs, texts, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "HOT", 2)
     monkeypatch.setattr(suffix_dedup, "PACK_STRINGS", 4000)
     monkeypatch.setattr(suffix_dedup, "BUCKET_STRINGS", 50)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", 0)
     assert got_repeats(suffix_dedup.remove_repeats(make_docs(texts, 5))[0]) == brute_repeats(texts)
 
 
