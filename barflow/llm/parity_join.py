@@ -439,7 +439,7 @@ def _tiled(members: DataFrame, classes: DataFrame) -> DataFrame:
     meet = dealt.select("code", "a", "label", "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
     meet = meet.select("code", "a", "label", (F.col("tile") <= F.col("other")).cast("int").alias("left"), F.least("tile", "other").alias("lo"), F.greatest("tile", "other").alias("hi"))
     meet = tx.written(meet, "jaccard-tiles")
-    deals = max(8, -(-meet.count() // (2 * TILE)))
+    deals = max(8, -(-meet.count() // (16 * TILE)))  # a pair that several codes of a deal share is told once
     deal = F.pmod(F.xxhash64("code", "lo", "hi"), F.lit(deals)).alias("deal")
     rows = meet.join(classes.select(F.col("cls").alias("a"), "n", "sketch"), "a").select(deal, "code", "lo", "hi", "left", "a", "label", "n", "sketch")
     return rows.groupBy("deal").applyInArrow(_compare, "a long, b long").distinct()
