@@ -55,6 +55,24 @@ def byte_letters() -> dict[int, str]:
     return {**{b: chr(b) for b in plain}, **{b: chr(256 + i) for i, b in enumerate(rest)}}
 
 
+_SPACE, _LETTER, _ALONE, _OTHER = 0, 1, 2, 3
+_LAST_POINT = 0x10FFFF
+# The letters that an apostrophe of the split pattern takes along.
+_CONTRACTED_ONE, _CONTRACTED_TWO = ("s", "t", "m", "d"), ("re", "ve", "ll")
+# Fixed value: the split pattern that ``split_all`` follows.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+@lru_cache(maxsize=1)
+def code_point_kinds() -> np.ndarray:
+    """White space, letter, number (a word each) or other, for every code point."""
+    kinds = np.full(_LAST_POINT + 1, _OTHER, np.uint8)
+    points = "".join(map(chr, (*range(0xD800), *range(0xE000, _LAST_POINT + 1))))
+    for pattern, kind in ((r"\p{L}", _LETTER), (r"\p{N}", _ALONE), (r"\p{White_Space}", _SPACE)):
+        kinds[[ord(c) for c in regex.findall(pattern, points)]] = kind
+    return kinds
+
+
 class TokenAutomaton:
     """Deterministic automaton of correct token sequences for one merge list."""
 
@@ -167,6 +185,12 @@ class Tokenizer:
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         self.automaton = TokenAutomaton(model["vocab"], merges, model.get("end_of_word_suffix") or "")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        # a special token is replaced by a mark, a code point that stands for no character
+        self.marks = {t: chr(_LAST_POINT - i) for i, t in enumerate(self.special)}
+        self.kinds = code_point_kinds().copy()
+        self.kinds[[ord(m) for m in self.marks.values()]] = _ALONE
+        if split["pattern"]["Regex"] != SPLIT_PATTERN:
+            raise ValueError("the tokenizer file has another split pattern")
         # the file's \s is Unicode white space; the regex module's also takes U+001C to U+001F
         self.split = regex.compile(split["pattern"]["Regex"].replace(r"\s", r"\p{White_Space}"))
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
@@ -174,37 +198,86 @@ class Tokenizer:
         self._start_anew()
 
     def _start_anew(self) -> None:
-        """Forget all words; no word holds the mark of a special token."""
+        """Forget all words but the special tokens."""
         self.kept = {f"\0{i}": k for k, i in enumerate(self.special.values())}
         self.kept_ids = array("i", self.special.values())
         self.kept_ends = array("q", range(1, len(self.kept) + 1))
 
+    def normal(self, text: str) -> str:
+        """The text as the file normalises it (white space stays: it only separates)."""
+        return (text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")).lower()
+
     def words(self, text: str) -> list[str]:
-        """Normalised, split words; a special token is a word of its own (marked)."""
+        """Normalised, split words of one text; a special token is a word of its own (no other word has a NUL before digits)."""
         found: list[str] = []
-        for part in self.cut.split(text) if self.cut and any(s in text for s in self.special) else (text,):
+        for part in self.cut.split(text) if self.cut else (text,):
             if part in self.special:
                 found.append(f"\0{self.special[part]}")
             elif part:
-                normal = part if part.isascii() else unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                found += self.split.findall(normal.lower())
+                found += self.split.findall(self.normal(part))
         return found
 
+    def split_all(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """As ``words`` for many texts: a code for each word, the distinct words, and where each text's begin (n + 1).
+
+        The split pattern's classes are looked up for all code points at once:
+        runs of letters, single numbers, runs of other visible characters; an
+        apostrophe alone takes the letters of a contraction that follow it.
+        """
+        normal = []
+        for t in texts:
+            for token, mark in self.marks.items():
+                if token in t:
+                    t = t.replace(token, mark)
+            normal.append(self.normal(t))
+        joined = "".join(normal)
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in normal])]).astype(np.int64)
+        kind = self.kinds[points]
+        begin = bounds[:-1][bounds[:-1] < bounds[1:]]
+        goes_on = np.zeros(len(points) + 1, bool)  # with the code point before
+        goes_on[1:-1] = (kind[1:] == kind[:-1]) & ((kind[1:] == _LETTER) | (kind[1:] == _OTHER))
+        goes_on[begin] = False
+        seen = kind != _SPACE
+        starts, ends = np.flatnonzero(seen & ~goes_on[:-1]), np.flatnonzero(seen & ~goes_on[1:]) + 1
+        k = np.flatnonzero((ends[:-1] - starts[:-1] == 1) & (points[starts[:-1]] == ord("'")) & (starts[1:] == ends[:-1]) & (kind[starts[1:]] == _LETTER) & ~np.isin(starts[1:], begin))
+        if len(k):
+            first, size = points[starts[k + 1]], ends[k + 1] - starts[k + 1]
+            second = points[np.minimum(starts[k + 1] + 1, len(points) - 1)]
+            pair = np.zeros(len(k), bool)
+            for x, y in _CONTRACTED_TWO:
+                pair |= (first == ord(x)) & (second == ord(y)) & (size > 1)
+            takes = np.where(np.isin(first, [ord(x) for x in _CONTRACTED_ONE]), 1, np.where(pair, 2, 0))
+            ends[k] += takes
+            starts[k + 1] += takes
+            left = starts < ends
+            starts, ends = starts[left], ends[left]
+        width = 1 + (points >= 0x80).astype(np.int64) + (points >= 0x800) + (points >= 0x10000)
+        place = np.concatenate([[0], np.cumsum(width)])
+        code, distinct = tx.codes(np.frombuffer(joined.encode(), np.uint8), place[starts], place[ends])
+        named = {m: f"\0{self.special[t]}" for t, m in self.marks.items()}
+        return code, [named.get(w, w) for w in map(bytes.decode, distinct.to_pylist())], np.searchsorted(starts, bounds)
+
     def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each text's begin (n + 1)."""
-        split = [self.words(t) for t in texts]
+        if any(m in t for t in texts if not t.isascii() for m in self.marks.values()):  # a mark stands in a text itself
+            split = [self.words(t) for t in texts]
+            number: dict[str, int] = {}
+            code = np.fromiter((number.setdefault(w, len(number)) for own in split for w in own), np.int64, sum(map(len, split)))
+            distinct, bounds = list(number), np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
+        else:
+            code, distinct, bounds = self.split_all(texts)
         if len(self.kept) > KEPT_WORDS:
             self._start_anew()
         kept = self.kept
-        new = sorted({w.encode().decode("latin-1").translate(self.letters): w for own in split for w in set(own) if w not in kept}.items())
+        new = sorted((w.encode().decode("latin-1").translate(self.letters), w) for w in distinct if w not in kept)
         for (_, word), ids in zip(new, self.automaton.encode_sorted(x for x, _ in new)):
             kept[word] = len(self.kept_ends)
             self.kept_ids.extend(ids)
             self.kept_ends.append(len(self.kept_ids))
-        places = np.fromiter((kept[w] for own in split for w in own), np.int64, sum(map(len, split)))
-        bounds = np.concatenate([[0], np.cumsum([len(x) for x in split])]).astype(np.int64)
-        if not len(places):
+        if not len(code):
             return np.empty(0, np.int32), bounds
+        places = np.array([kept[w] for w in distinct], np.int64)[code]
         stop = np.array(self.kept_ends, np.int64)
         begin = np.concatenate([[0], stop[:-1]])[places]
         n = stop[places] - begin

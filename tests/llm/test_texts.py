@@ -174,7 +174,7 @@ def library():
     return out
 
 
-ODD = ["a", "b", "th", "in", "A", "Σ", "İ", "ß", "é", "\x1c", "\x85", " ", "​", "　", "\t", "\n", " ", "1", "²", "Ⅷ", "日", "😀", "!", "...", "'s", "'ll", "<|endoftext|>", "<|startoftext|>", "\x00", "ǅ", "ﬁ", "한", "﻿", "_", "٣"]
+ODD = ["\U0010ffff", "'", "'re", "'d", "'l", "s", "e", "r", "a", "b", "th", "in", "A", "Σ", "İ", "ß", "é", "\x1c", "\x85", " ", "​", "　", "\t", "\n", " ", "1", "²", "Ⅷ", "日", "😀", "!", "...", "'s", "'ll", "<|endoftext|>", "<|startoftext|>", "\x00", "ǅ", "ﬁ", "한", "﻿", "_", "٣"]
 
 
 def test_bpe_matches_library(make_docs, texts, library):
