@@ -217,8 +217,10 @@ def learn(labelled: DataFrame, label: str, bad: int = 0, prefix: str = "", min_p
     id, so the same rows each time) reach the driver, as numbers only.
     """
     rank = F.xxhash64(F.lit(17), "doc_id")
+    labelled = labelled.where(F.col(label).isNotNull())
+    share = min(1.0, 1.2 * max_rows / max(1, labelled.count()))  # a little more than the bound, before tasks send rows
     rows = (
-        labelled.where(F.col(label).isNotNull())
+        labelled.where(rank <= F.lit(min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))))
         .select(rank.alias("_rank"), (F.col(label) == bad).alias("_bad"), *[feature(f, prefix).alias(f) for f in FEATURES])
         .orderBy("_rank", "_bad", *FEATURES)
         .limit(max_rows)
