@@ -15,7 +15,10 @@ consumed and dropped):
 * ``card``    digits joined by single spaces or hyphens, 13 to 19 of them, Luhn-valid
 * ``phone``   ``\+[0-9][\x20().0-9-]+[0-9]`` with 9 to 15 digits
 * ``login``   a URL whose authority carries user information (added)
-* ``account`` an identifier of 6 or more digits right after a cue word (added)
+* ``account`` an identifier right after a cue word, in any ASCII case, and its
+  qualifier if there is one ("number", "no." ...): an IBAN that passes its length
+  and mod 97, or a value of 6 digits or more (added). What stands after "iban" in
+  the form of one must be valid
 
 Positions are code points, end exclusive. NULL and empty text have no spans;
 repeated rows give repeated results; other columns are left alone.
@@ -23,6 +26,8 @@ repeated rows give repeated results; other columns are left alone.
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -34,9 +39,21 @@ from pyspark.sql import types as T
 
 KINDS = ("email", "ip", "card", "phone", "login", "account")
 BASE_KINDS = KINDS[:4]
-# Anchor strings.
+# Anchor strings (cues in any ASCII case).
 SCHEMES = ("http://", "https://", "ftp://", "ssh://")
-CUES = ("iban", "IBAN", "ssn", "SSN", "account", "Account", "acct", "Acct", "passport", "Passport")
+CUES = ("iban", "ssn", "account", "acct", "passport")
+#: What may stand between a cue and its value: a plural, qualifiers, then signs and any run of blanks.
+AFTER_CUE = re.compile(r"s?(?:[\x20\t:#=._/-]*(?:numbers?|num|nos?|nr|id|code)(?![A-Za-z0-9]))*[\x20\t:#=.]+", re.ASCII | re.IGNORECASE)
+# Lengths of the IBANs of each country (the registry of ISO 13616).
+IBAN_LENGTHS = {
+    x[:2]: int(x[2:])
+    for x in (
+        "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 "
+        "GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 "
+        "MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 "
+        "UA29 VA22 VG24 XK20 YE30"
+    ).split()
+}
 
 _DIGITS = frozenset("0123456789")
 _ALNUM = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") | _DIGITS
@@ -49,10 +66,14 @@ SPAN_TYPE = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.S
 _SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
+def _in_any_case(words: tuple[str, ...]) -> list[str]:
+    return ["".join(x) for w in words for x in itertools.product(*((c, c.upper()) for c in w))]
+
+
 @lru_cache(maxsize=1)
 def _anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for text, kind in [("@", "@"), ("+", "+"), *((d, "0") for d in sorted(_DIGITS)), *((s, "scheme") for s in SCHEMES), *((c, "cue") for c in CUES)]:
+    for text, kind in [("@", "@"), ("+", "+"), *((d, "0") for d in sorted(_DIGITS)), *((s, "scheme") for s in SCHEMES), *((c, "cue") for c in _in_any_case(CUES))]:
         found.add_word(text, kind)
     found.make_automaton()
     return found
@@ -133,14 +154,45 @@ def _login(text: str, after: int) -> int:
     return end if after < sign < end - 1 else -1
 
 
+def _iban_form(text: str, at: int) -> bool:
+    return text[at : at + 2].isascii() and text[at : at + 2].isalpha() and len(text[at : at + 4]) == 4 and text[at + 2] in _DIGITS and text[at + 3] in _DIGITS
+
+
+def _iban(text: str, at: int) -> int:
+    """End of the valid IBAN that begins at ``at``, in one piece or in groups, or -1."""
+    length = IBAN_LENGTHS.get(text[at : at + 2].upper())
+    taken, end, best = "", at, -1
+    while end < len(text) and len(taken) < (length or 34):
+        if text[end] in _ALNUM:
+            taken += text[end].upper()
+            end += 1
+            ended = text[end : end + 1] not in _ALNUM  # also at the end of the text
+            if ended and (len(taken) == length or not length and len(taken) >= 15) and _mod97(taken) == 1:
+                best = end
+        elif text[end] in " -" and text[end + 1 : end + 2] in _ALNUM:
+            end += 1
+        else:
+            break
+    return best
+
+
+def _mod97(iban: str) -> int:
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
 def _account(text: str, after: int) -> tuple[int, int] | None:
-    """The identifier right after a cue word: at most four separators, then groups with 6 digits or more."""
-    at = after
-    while at < len(text) and at - after < 4 and text[at] in " :#=.":
-        at += 1
-    if at == after:
+    """The identifier right after a cue word, its qualifiers and separators: an IBAN, or groups with 6 digits or more."""
+    if not (between := AFTER_CUE.match(text, after)):
         return None
+    at = between.end()
+    if _iban_form(text, at):
+        if (end := _iban(text, at)) > 0:
+            return at, end
+        if text[after - 4 : after].lower() == "iban":
+            return None
     end = _run(text, at, _ALNUM)
+    if end == at:
+        return None
     while text[end : end + 1] in (" ", "-") and text[end : end + 1] and text[end + 1 : end + 2] in _DIGITS:
         end = _run(text, end + 1, _ALNUM)
     return (at, end) if sum(c in _DIGITS for c in text[at:end]) >= 6 else None

@@ -380,6 +380,25 @@ def test_pii_on_tables(make_docs):
     assert pii.pii_report(make_docs([])).count() == 0
 
 
+IBANS = ["GB29 NWBK 6016 1331 9268 19", "NL91 ABNA 0417 1643 00", "GB29NWBK60161331926819", "DE44 5001 0517 5407 3249 31", "FR14-2004-1010-0505-0001-3M02-606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]
+
+
+@pytest.mark.parametrize("value", [*IBANS, "12345678", "AB 1234567", "123-45-6789"])
+def test_pii_accounts_after_any_cue(value):
+    before = ["iban: ", "Iban ", "IBAN number: "] if value in IBANS else []
+    before += ["account number: ", "Account No: ", "passport no. ", "ACCOUNT = ", "PASSPORT #", "ACCT. No. ", "Ssn: ", "account:" + " " * 12, "acct\t\t", "accounts: ", "account_id=", "Passport Nr.: "]
+    for cue in before:
+        for tail in ("", ", then", " is mine.", "\n12"):
+            text = f"é İ {cue}{value}{tail}"
+            assert [s for s in pii.find_spans(text) if s[0] == "account"] == [("account", 4 + len(cue), 4 + len(cue) + len(value))], text
+
+
+def test_pii_accounts_are_checked():
+    wrong = ["GB29 NWBK 6016 1331 9268 18", "GB29 NWBK 6016 1331 9268 1", "GB29 NWBK 6016 1331 9268 199", "DE44 5001 0517 5407 3249 32"]
+    for text in [*(f"IBAN: {w}" for w in wrong), "accounting: 12345678", "account no: 12345", "account", "iban: GB29", "iban GB2", "passport no."]:
+        assert not [s for s in pii.find_spans(text) if s[0] == "account"], text
+
+
 # --- helpers ---
 
 
