@@ -1,6 +1,6 @@
 """License scans: MinHash bands over overlapping windows, exact containment after.
 
-Templates are license notices (a parameter; the list below by default). Words
+Templates are license notices (a parameter; the set of ``licenses`` by default). Words
 are lower-cased runs of digits, letters and non-ASCII characters, shingles three
 words. For a template of m words every m-word window of a text, at every
 position, has a MinHash signature, taken by sliding minima over the shingles'
@@ -9,8 +9,9 @@ Signatures are cut into bands; a window that agrees with a template in a band is
 a candidate. With BANDS bands of ROWS rows a window of Jaccard similarity s is
 found with probability ``1 - (1 - s**ROWS)**BANDS``: over 0.997 from s = 0.67 on
 and always for an exact copy. Candidates are verified by the exact share of the
-template's shingles in the window, and the best of overlapping windows is
-reported.
+template's shingles in the window; a template's numbers and names must be in their
+place, and a word like "Lesser" that it lacks must not be there. Of overlapping
+windows, of whatever templates, the one with the most shingles is reported.
 
 Defined results: NULL and empty texts, and those shorter than a template, match
 nothing; ties go to the leftmost window; repeated rows give repeated results;
@@ -21,12 +22,14 @@ parameter, and memory is one block of text.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barflow.llm import licenses
 from barflow.llm import text as tx
 
 BANDS, ROWS = 10, 2
@@ -34,19 +37,12 @@ SHINGLE = 3
 #: Share of a template's shingles that a window must hold.
 CONTAINED = 0.8
 
-# Public license notices.
-TEMPLATES: dict[str, str] = {
-    "all-rights-reserved": "All rights reserved.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License.",
-    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "mit": "Released under the MIT License.",
-    "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
-}
+#: Notices with a wording of their own; the default set (``licenses.templates()``) adds names, versions and SPDX tags.
+TEMPLATES: dict[str, str] = licenses.NOTICES
+# Words that tell licenses apart, besides numbers. The first must not stand in a window whose template lacks them.
+TELLING = ("affero", "lesser", "nc", "nd", "noncommercial", "noderivatives", "noderivs", "sa", "sharealike")
+NAMING = ("apache", "artistic", "attribution", "boost", "bsd", "cddl", "cecill", "eclipse", "eupl", "expat", "isc", "library", "mit", "mozilla", "zlib", "zope")
+TAG = ("spdx", "license", "identifier")
 
 
 def _units(data: np.ndarray, bounds: np.ndarray):
@@ -72,41 +68,104 @@ def _sliding_minima(values: np.ndarray, widths: list[int]) -> dict[int, np.ndarr
     return out
 
 
+def _word_hashes(words) -> np.ndarray:
+    data = np.frombuffer(" ".join(words).encode(), np.uint8)
+    return _units(data, np.array([0, len(data)]))[0]
+
+
 class Templates:
-    """Band keys and shingle sets of the templates, by window size."""
+    """Shingles, distinguishing words and (when first needed) band keys of the templates."""
 
     def __init__(self, texts: dict[str, str]):
         self.names = sorted(texts)
-        self.sizes: dict[int, list[int]] = {}
+        raw = [texts[n].encode() for n in self.names]
+        bounds = np.cumsum([0, *map(len, raw)])
+        units, starts, ends, first = _units(np.frombuffer(b"".join(raw), np.uint8), bounds)
+        whole = b"".join(raw).lower()
+        self.size = np.diff(first)
+        if len(raw) and self.size.min() < SHINGLE:
+            raise ValueError(f"template {self.names[int(self.size.argmin())]} has under {SHINGLE} words")
+        telling = _word_hashes(TELLING)
         self.shingles: list[np.ndarray] = []
-        self.keys: list[np.ndarray] = []
-        for k, name in enumerate(self.names):
-            data = np.frombuffer(texts[name].encode(), np.uint8)
-            units = _units(data, np.array([0, len(data)]))[0]
-            if len(units) < SHINGLE:
-                raise ValueError(f"template {name} has under {SHINGLE} words")
-            shingles = tx.window_hashes(units, SHINGLE)
+        self.needed: list[list[np.ndarray]] = []
+        self.barred: list[np.ndarray] = []
+        for k in range(len(raw)):
+            own = units[first[k] : first[k + 1]]
+            words = [whole[s:e].decode() for s, e in zip(starts[first[k] : first[k + 1]], ends[first[k] : first[k + 1]])]
+            shingles = tx.window_hashes(own, SHINGLE)
+            tagged = tuple(words[: len(TAG)]) == TAG
+            must = [i for i, w in enumerate(words) if any(c.isdigit() for c in w) or w in TELLING or w in NAMING or tagged and i >= len(TAG)]
+            self.needed.append([shingles[max(0, i - SHINGLE + 1) : i + 1] for i in must])
+            self.barred.append(np.setdiff1d(telling, own))
             self.shingles.append(np.unique(shingles))
-            minima = np.array([tx.mix(shingles ^ s).min() for s in _seeds()], np.uint64)
-            self.keys.append(minima)
-            self.sizes.setdefault(len(units), []).append(k)
+        self._keys: dict[int, np.ndarray] = {}
+        self.least = CONTAINED * np.array([len(s) for s in self.shingles])
+        every = np.concatenate(self.shingles) if raw else np.empty(0, np.uint64)
+        holder = np.repeat(np.arange(len(raw)), [len(s) for s in self.shingles])
+        order = np.argsort(every, kind="stable")
+        self.every, self.holder = every[order], holder[order]
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[self.every >> np.uint64(44)] = True
+
+    def keys(self, k: int) -> np.ndarray:
+        if k not in self._keys:
+            self._keys[k] = np.array([tx.mix(self.shingles[k] ^ s).min() for s in _seeds()], np.uint64)
+        return self._keys[k]
+
+    def possible(self, shingles: np.ndarray) -> tuple[list[int], np.ndarray]:
+        """Templates of which a block holds enough shingles to contain them at all, and where their shingles are."""
+        at = np.flatnonzero(self.seen[shingles >> np.uint64(44)])
+        at = at[np.isin(shingles[at], self.every)]
+        held = np.isin(self.every, shingles[at])
+        count = np.bincount(self.holder[held], minlength=len(self.names))
+        chosen = np.flatnonzero((count > 0) & (count >= self.least - 1e-9))
+        return chosen.tolist(), at[np.isin(shingles[at], self.every[np.isin(self.holder, chosen)])]
 
 
 def _candidates(shingles: np.ndarray, templates: Templates) -> dict[int, np.ndarray]:
-    """For each template, the window starts (in words) whose signature agrees with its own in a band."""
-    widths = [size - SHINGLE + 1 for size in templates.sizes]
+    """For each possible template, the window starts (in words) whose signature agrees with its own in a band.
+
+    A window that agrees holds a shingle of the template, so only the surroundings of such shingles are looked at.
+    """
+    chosen, hits = templates.possible(shingles)
+    if not chosen:
+        return {}
+    reach = int(templates.size[chosen].max())
+    edge = np.zeros(len(shingles) + 1, np.int32)
+    np.add.at(edge, np.maximum(hits - reach, 0), 1)
+    np.add.at(edge, np.minimum(hits + reach + 1, len(shingles)), -1)
+    near = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
+    owners: dict[int, list[int]] = {}
+    for k in chosen:
+        owners.setdefault(int(templates.size[k]) - SHINGLE + 1, []).append(k)
     agree: dict[int, np.ndarray] = {}
     found: dict[int, np.ndarray] = {}
     for h, seed in enumerate(_seeds()):
-        minima = _sliding_minima(tx.mix(shingles ^ seed), widths)
-        for size, owners in templates.sizes.items():
-            own = minima[size - SHINGLE + 1]
-            for k in owners:
-                same = own == templates.keys[k][h]
+        minima = _sliding_minima(tx.mix(shingles[near] ^ seed), list(owners))
+        for width, own in owners.items():
+            for k in own:
+                same = minima[width] == templates.keys(k)[h]
                 agree[k] = same if h % ROWS == 0 else agree[k] & same
                 if h % ROWS == ROWS - 1:
                     found[k] = agree[k] if k not in found else found[k] | agree[k]
-    return {k: np.flatnonzero(v) for k, v in found.items()}
+    out = {}
+    for k, v in found.items():
+        width = int(templates.size[k]) - SHINGLE + 1
+        at = np.flatnonzero(v)
+        at = at[near[at + width - 1] - near[at] == width - 1]  # not over a gap
+        held = np.cumsum(np.concatenate([[0], np.isin(shingles[near], templates.shingles[k])]))
+        out[k] = near[at[held[at + width] - held[at] >= templates.least[k] - 1e-9]]
+    return out
+
+
+def _contained(units: np.ndarray, shingles: np.ndarray, start: int, k: int, templates: Templates) -> float:
+    """Share of the template's shingles in the window, or 0 if a distinguishing word is not in its place."""
+    size = int(templates.size[k])
+    inside = shingles[start : start + size - SHINGLE + 1]
+    share = float(np.isin(templates.shingles[k], inside).mean())
+    if share < CONTAINED or np.isin(units[start : start + size], templates.barred[k]).any():
+        return 0.0
+    return share if share == 1 or all(np.isin(x, inside).any() for x in templates.needed[k]) else 0.0
 
 
 def scan_block(data: np.ndarray, bounds: np.ndarray, templates: Templates) -> list[tuple[int, str, int, int, float]]:
@@ -115,35 +174,41 @@ def scan_block(data: np.ndarray, bounds: np.ndarray, templates: Templates) -> li
     shingles = tx.window_hashes(units, SHINGLE)
     if not len(shingles):
         return []
-    out = []
-    size_of = {k: size for size, owners in templates.sizes.items() for k in owners}
+    matched: list[tuple[int, float, int, int, int]] = []
     for k, at in _candidates(shingles, templates).items():
-        size, own = size_of[k], templates.shingles[k]
+        size = int(templates.size[k])
         doc = np.searchsorted(word_bounds, at, "right") - 1
         inside = at + size <= word_bounds[doc + 1]
-        matched: list[tuple[float, int, int]] = []
-        for start, d in zip(at[inside], doc[inside]):
-            share = np.isin(own, shingles[start : start + size - SHINGLE + 1]).mean()
-            if share >= CONTAINED:
-                matched.append((-float(share), int(start), int(d)))
-        taken: list[tuple[int, int]] = []
-        by_place: dict[int, list[int]] = {}
-        for share, start, d in sorted(matched):  # best first, then leftmost; overlapping windows go
-            near = [s for cell in (start // size - 1, start // size, start // size + 1) for s in by_place.get(cell, ())]
-            if all(abs(s - start) >= size for s in near):
-                by_place.setdefault(start // size, []).append(start)
-                taken.append((start, d))
-                out.append((d, templates.names[k], int(starts[start] - bounds[d]), int(ends[start + size - 1] - bounds[d]), -share))
+        for start, d in zip(at[inside].tolist(), doc[inside].tolist()):
+            if share := _contained(units, shingles, start, k, templates):
+                matched.append((-round(share * len(templates.shingles[k])), -share, start, k, d))
+    out = []
+    taken = np.zeros(len(units), bool)
+    for _, share, start, k, d in sorted(matched):  # most shingles first, then the larger share, then leftmost; overlapping windows go
+        stop = start + int(templates.size[k])
+        if not taken[start:stop].any():
+            taken[start:stop] = True
+            out.append((d, templates.names[k], int(starts[start] - bounds[d]), int(ends[stop - 1] - bounds[d]), -share))
     return out
 
 
-def license_matches(df: DataFrame, texts: dict[str, str] | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``df``: ``doc_id`` and its matches (template, first and end byte, containment)."""
-    chosen = dict(TEMPLATES if texts is None else texts)
+@lru_cache(maxsize=4)
+def _prepared(texts: tuple[tuple[str, str], ...]) -> Templates:
+    return Templates(dict(texts))
+
+
+def license_matches(df: DataFrame, texts: dict[str, str] | DataFrame | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each row of ``df``: ``doc_id`` and its matches (template, first and end byte, containment).
+
+    ``texts`` are the templates by name, or a table of them (``license, text``); it is a small parameter.
+    """
+    if isinstance(texts, DataFrame):
+        texts = {r.license: r.text for r in texts.select("license", "text").collect()}
+    chosen = tuple(sorted((licenses.templates() if texts is None else texts).items()))
     kind = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("contained", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        templates = Templates(chosen)
+        templates = _prepared(chosen)
         for part, data, bounds in tx.blocks(batches, "text"):
             rows: list[list[dict]] = [[] for _ in range(part.num_rows)]
             for d, name, start, end, share in sorted(scan_block(data, bounds, templates), key=lambda x: (x[0], x[2], x[3], x[1])):

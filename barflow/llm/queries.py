@@ -105,7 +105,7 @@ def op8_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every whole text."""
     found = license_scan.license_matches(table(spark, sf_dir, "documents"))
-    names = F.array_join(F.sort_array(F.array_distinct(F.transform("matches", lambda x: x["license"]))), ",")
+    names = F.array_join(F.sort_array(F.array_distinct(F.transform("matches", lambda x: F.substring_index(x["license"], "~", 1)))), ",")
     spans = F.transform("matches", lambda x: F.concat_ws(":", x["license"], x["start"].cast("string"), x["end"].cast("string")))
     return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), names.alias("licenses"), F.array_join(spans, ",").alias("spans"))
 

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from barflow.llm import bpe_automaton, external_shuffle, license_scan, phrase_index, pii, rules, secret_links, token_counts
+from barflow.llm import bpe_automaton, external_shuffle, license_scan, licenses, phrase_index, pii, rules, secret_links, token_counts
 from barflow.llm import text as tx
 
 FILES = "/opt/tokenizers"
@@ -345,6 +345,47 @@ def test_license_windows_match_brute_containment():
         assert (max((m[4] for m in found), default=0) == pytest.approx(best)) if best >= license_scan.CONTAINED else not found
 
 
+def scan_all(texts, templates):
+    raw = [t.encode() for t in texts]
+    found = [[] for _ in raw]
+    for d, name, *_ in license_scan.scan_block(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), templates):
+        found[d].append(name)
+    return found
+
+
+def test_licenses_of_all_versions():
+    templates = license_scan.Templates(licenses.templates())
+    gnu = "you can redistribute it and/or modify it under the terms of the GNU {} Public License as published by the Free Software Foundation"
+    later = ", either version {} of the License, or (at your option) any later version."
+    want = {
+        "This work is licensed under the GNU General Public License, version 2.": "gpl-2.0",
+        "work is licensed under the GNU General Public License, version 2. 3 more": "gpl-2.0",
+        "This work is licensed under the GNU General Public License, version 9.": "gpl",
+        "This program is free software; " + gnu.format("General") + ".": "gpl-header",
+        "This program is free software; " + gnu.format("General") + later.format(2): "gpl-2.0-or-later-header",
+        "This program is free software: " + gnu.format("General") + later.format(3): "gpl-3.0-or-later-header",
+        "This library is free software; " + gnu.format("Lesser General") + later.format("2.1"): "lgpl-2.1-or-later-header",
+        "This program is free software: " + gnu.format("Affero General") + later.format(3): "agpl-3.0-or-later-header",
+        "Licensed under the Mozilla Public License, Version 2.0": "mpl-2.0", "Licensed under the Mozilla Public License, Version 1.1": "mpl-1.1",
+        "Released under the ISC License.": "isc", "Distributed under the Eclipse Public License v2.0": "epl-2.0",
+        "This is free and unencumbered software released into the public domain.": "unlicense",
+        "Licensed under CC BY 4.0.": "cc-by-4.0", "Licensed under CC BY-SA 3.0.": "cc-by-sa-3.0", "Licensed under CC BY-NC-ND 4.0.": "cc-by-nc-nd-4.0",
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "cc-by-sa-4.0",
+        "This work is licensed under a Creative Commons Attribution 3.0 Unported License.": "cc-by-3.0",
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd-3-clause", "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2.0-or-later",
+    }
+    assert [[licenses.license_of(n) for n in x] for x in scan_all([f"words before {t}\nand after it" for t in want], templates)] == [[v] for v in want.values()]
+    assert scan_all(["the license of this program", "SPDX-License-Identifier: none", "version 2 of 3"], templates) == [[], [], []]
+    every = dict(sorted(licenses.templates().items()))
+    assert scan_all([f"lorem ipsum\n{t}\ndolor sit" for t in every.values()], templates) == [[n] for n in every]
+
+
+def test_licenses_from_a_table(spark, make_docs):
+    table = spark.createDataFrame([("own", "Use it as you like, says the house.")], "license string, text string")
+    got = license_scan.license_matches(make_docs([(1, "so: use it as you like, says the house!")]), table).collect()
+    assert [[m.license for m in r.matches] for r in got] == [["own"]]
+
+
 # --- personal data ---
 
 EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
