@@ -10,7 +10,7 @@ Weak parts say little alone and are reported only if a complementary part
 stands within ``SCOPE`` code points of them in the same document:
 
 * ``ident``    a user, login or client id assignment: needs a secret nearby
-* ``blob``     a 40-character base-64 word with upper, lower case and digits: needs an identifier or an endpoint nearby
+* ``blob``     a base-64 word of 40 characters or more (and its padding) with upper, lower case and digits: needs an identifier or an endpoint nearby
 * ``endpoint`` a URL of a service that takes credentials: needs a secret nearby
 
 A regular expression's matches and the gaps between them are taken from one text
@@ -41,11 +41,11 @@ ASSIGN_HINT = r"(?i:password|passwd|secret|token|api_?key)"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 # Patterns of the weak parts.
-IDENT = r"(?i:user(?:name)?|login|client_?id|account_?id|access_?key_?id)[\"']?\x20{0,4}[:=]\x20{0,4}[\"']?[A-Za-z0-9._@+-]{3,64}"
-IDENT_HINT = r"(?i:user|login|client_?id|account_?id|access_?key_?id)[a-zA-Z]{0,4}[\"']?\x20{0,4}[:=]"
-BLOB = r"(?<![A-Za-z0-9+/=])(?=[a-z0-9+/]{0,39}[A-Z])(?=[A-Z0-9+/]{0,39}[a-z])(?=[A-Za-z+/]{0,39}[0-9])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+IDENT = r"(?i:user(?:name)?|login|client_?id|account_?id|access_?key_?id)[\"']?\x20*[:=]\x20*[\"']?[A-Za-z0-9._@+-]{3,}"
+IDENT_HINT = r"(?i:user|login|client_?id|account_?id|access_?key_?id)[a-zA-Z]{0,4}[\"']?\x20*[:=]"
+BLOB = r"(?<![A-Za-z0-9+/=])(?=[a-z0-9+/]*+[A-Z])(?=[A-Z0-9+/]*+[a-z])(?=[A-Za-z+/]*+[0-9])[A-Za-z0-9+/]{40,}+={0,2}(?![A-Za-z0-9+/=])"
 BLOB_HINT = r"[A-Za-z0-9+/]{40}"
-ENDPOINT = r"(?:https?|ftp|jdbc:[a-z]{2,12}|redis|mongodb|postgres|postgresql|mysql|amqps?|s3)://[A-Za-z0-9._~:/?#@!&*+,;=%-]{3,}"
+ENDPOINT = r"(?:https?|ftps?|sftp|ssh|jdbc:[a-z0-9]{2,}(?::[a-z0-9]{2,})?|rediss?|mongodb(?:[+]srv)?|postgres|postgresql|mysql|mariadb|mssql|amqps?|mqtts?|ldaps?|smtps?|imaps?|s3)://[A-Za-z0-9._~:/?#@!&*+,;=%-]{3,}"
 
 BASE = ("assign", "access", "hex")
 SECRETS = ("assign", "hex", "blob")

@@ -162,6 +162,21 @@ def test_weak_parts_need_a_partner(make_docs):
     assert got == {1: ["access", "blob"], 2: [], 3: ["access"], 4: [], 5: ["endpoint", "assign"], 6: [], 7: ["ident", "assign"]}
 
 
+def test_weak_parts_of_any_length(make_docs):
+    word = "aB3+" * 30
+    near = " password=hunter22x"
+    parts = [("ident", "username" + " " * 9 + ":" + " " * 7 + "bob", near), ("ident", "client_id=" + "a1-" * 30, near), ("endpoint", "mongodb+srv://db.example.org/x", near), ("endpoint", "rediss://cache.example.org:6380", near)]
+    parts += [("blob", word[:n], " login=alice99") for n in (40, 41, 43, 88, 120)] + [("blob", word[:42] + "==", " login=alice99"), ("blob", word[:87] + "=", " login=alice99")]
+    parts += [("", word[:39], " login=alice99"), ("", "ab3" * 20, " login=alice99"), ("", word[:42] + "===", " login=alice99")]
+    rows = [(i, f"é {part}{after}") for i, (_, part, after) in enumerate(parts)]
+    got = {r.doc_id: r.spans.split(",") for r in secret_links.secret_report(make_docs(rows)).collect()}
+    for i, (kind, part, _) in enumerate(parts):
+        if kind:
+            assert f"{kind}:2:{2 + len(part)}" in got[i], part
+        else:
+            assert not [s for s in got[i] if s.startswith("blob")], part
+
+
 # --- BPE ---
 
 
