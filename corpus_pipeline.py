@@ -32,13 +32,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of linked documents (rows without an id stay; repeated rows become one)."""
+    """One row of each group of linked rows: one without an id if there is any, else the smallest id, then the smallest row key.
+
+    Rows are known by a hash of id and text, and equal ones by a hash of all
+    columns, so rows that share an id are judged by their own texts. Rows without
+    an id and without a word belong to no group and stay.
+    """
     ensure_importable(spark)
-    found = tx.written(parity_join.linked_components(docs), "pipeline-groups")
-    dropped = tx.written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "pipeline-gone")
-    kept = docs.join(dropped, docs["doc_id"] == dropped["gone"], "left_anti")
-    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    row, whole = tx.fresh(docs, "row"), tx.fresh(docs, "whole")
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind]
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", "text")).withColumn(whole, F.xxhash64(*plain))
+    found = parity_join.linked_components(keyed, doc_id=row)
+    groups = tx.written(found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("group"), (F.coalesce("n_shingles", F.lit(0)) > 0).alias("linkable")).distinct(), "pipeline-groups")
+    rows = keyed.select("doc_id", F.col(row).alias("key"), F.col(whole).alias("all")).join(groups, "key")
+    grouped = rows.where("linkable or doc_id is not null").groupBy("group").agg(F.min(F.struct("doc_id", "key", "all")).alias("best"))  # NULL is the smallest
+    alone = rows.where("not linkable and doc_id is null").select("key", "all").distinct()
+    chosen = tx.written(grouped.select("best.key", "best.all", F.lit(True).alias("single")).unionByName(alone.withColumn("single", F.lit(False))), "pipeline-chosen")
+    repeated = tx.written(rows.groupBy("key", "all").count().where("count > 1").join(chosen.where("single"), ["key", "all"], "left_semi").select("key", "all"), "pipeline-repeated")
+    same = lambda x: (keyed[row] == x["key"]) & (keyed[whole] == x["all"])
+    kept = keyed.join(chosen, same(chosen), "left_semi").join(repeated, same(repeated), "left_anti")
+    once = keyed.join(repeated, same(repeated), "left_semi").dropDuplicates([row, whole])  # only equal rows travel
+    return kept.unionByName(once).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

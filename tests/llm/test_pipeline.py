@@ -4,6 +4,7 @@ import hashlib
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -73,3 +74,15 @@ def test_stages_keep_columns_and_odd_rows(spark, make_docs, tmp_path):
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_near_duplicates_by_row(spark, make_docs, tmp_path):
+    words = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"]
+    near = lambda k: words[k] + " more"
+    rows = [(1, words[0]), (2, words[0]), (2, words[1]), (3, words[2]), (3, near(2)), (None, words[3]), (None, near(3)), (None, words[3]), (7, words[4]), (7, words[4]), (None, ""), (None, ""), (None, words[5])]
+    make_docs(rows).withColumn("x", F.monotonically_increasing_id()).write.parquet(f"{tmp_path}/docs")
+    for docs in (make_docs(rows), spark.read.parquet(f"{tmp_path}/docs")):
+        got = Counter((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect())
+        assert got[(1, words[0])] == 1 and got[(2, words[1])] == 1 and (2, words[0]) not in got  # an id's other text stays
+        assert got[(3, words[2])] + got[(3, near(2))] == 1 and got[(None, words[3])] + got[(None, near(3))] == 1
+        assert got[(7, words[4])] == 1 and got[(None, "")] == 2 and got[(None, words[5])] == 1 and sum(got.values()) == 8
