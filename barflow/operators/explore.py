@@ -40,6 +40,11 @@ def _is_day(bound) -> bool:
     return isinstance(bound, dt.date) and not isinstance(bound, dt.datetime)
 
 
+def is_empty(df: DataFrame) -> bool:
+    """Whether a frame, as after a filter, has no row; one row is looked for, nothing is counted."""
+    return df.isEmpty()
+
+
 def date_bounds(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str = "date") -> DataFrame:
     return df.groupBy(*keys).agg(F.min(order).alias("first_date"), F.max(order).alias("last_date"))
 

@@ -9,6 +9,7 @@ import pytest
 
 from barflow.functions.dates import future_dates
 from barflow.operators import ensemble as en
+from barflow.operators import explore
 from barflow.session import scratch_path
 from barflow.sources import io
 
@@ -59,3 +60,9 @@ def test_feature_columns_and_float_sequences(spark):
     s = sq.lookback_sequences(df, "close", 2, dtype="float")
     assert s.schema["x"].dataType.simpleString() == "array<float>"
     assert s.count() == 2
+
+
+def test_empty_result_after_a_date_filter(spark):
+    bars = spark.createDataFrame([("a", dt.date(2024, 1, 2)), ("a", dt.date(2024, 1, 3))], "symbol string, date date")
+    assert explore.is_empty(explore.date_range(bars, "2024-02-01", "2024-02-28"))
+    assert not explore.is_empty(explore.date_range(bars, "2024-01-03", "2024-02-28"))
