@@ -169,18 +169,18 @@ def block_codes(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, n, cls, sketch`` of every row, written; ``cls`` is the set's hash (NULL without shingles)."""
+    """``doc_id, text_hash, n, cls, sketch`` of every row, written; ``cls`` is the set's hash (NULL without shingles)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in tx.blocks(batches, "text"):
             h, own = shingle_sets(data, bounds)
             n = np.diff(own)
             yield pa.RecordBatch.from_arrays(
-                [part.column(part.schema.get_field_index("doc_id")), pa.array(n.astype(np.int64)), pa.array(set_hash(h, own), mask=n == 0), dense_sketches(h, own)],
-                ["doc_id", "n", "cls", "sketch"],
+                [*(part.column(part.schema.get_field_index(c)) for c in ("doc_id", "text_hash")), pa.array(n.astype(np.int64)), pa.array(set_hash(h, own), mask=n == 0), dense_sketches(h, own)],
+                ["doc_id", "text_hash", "n", "cls", "sketch"],
             )
 
-    return tx.written(docs.mapInArrow(run, "doc_id long, n long, cls long, sketch binary"), "jaccard-sets")
+    return tx.written(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_hash long, n long, cls long, sketch binary"), "jaccard-sets")
 
 
 def _packed(docs: DataFrame, buckets: int) -> DataFrame:
@@ -332,11 +332,17 @@ def _sketch_filter(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def _class_texts(need: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """``cls, text`` of one text (and its copies of the same id) for each needed class."""
+    holder = sets.join(need, "cls").groupBy("cls").agg(F.min_by("text_hash", F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("holder_hash"), F.min("doc_id").alias("holder"))
+    # by the text too: rows without an id would all meet each other
+    return docs.join(holder, docs["doc_id"].eqNullSafe(holder["holder"]) & (F.xxhash64(docs["text"]) == holder["holder_hash"])).select("cls", "text")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs of classes whose exact sets link, written."""
     need = tx.written(pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "cls"), "jaccard-need")
-    holder = sets.join(need, "cls").groupBy("cls").agg(F.min("doc_id").alias("holder"))
-    texts = docs.join(holder, docs["doc_id"].eqNullSafe(holder["holder"])).select("cls", "text")
+    texts = _class_texts(need, sets, docs)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, bounds in tx.blocks(batches, "text"):
@@ -344,7 +350,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
             cls = part.column(part.schema.get_field_index("cls"))
             offsets = pa.py_buffer((own * 8).astype(np.int32))
             shingles = pa.Array.from_buffers(pa.binary(), len(own) - 1, [None, offsets, pa.py_buffer(h.tobytes())])
-            right = pa.array(set_hash(h, own) == cls.to_numpy())  # of rows with the same id, the one that has this set
+            right = pa.array(set_hash(h, own) == cls.to_numpy())  # should two texts of one id share a hash
             yield pa.RecordBatch.from_arrays([cls.filter(right), shingles.filter(right)], ["cls", "shingles"])
 
     whole = tx.written(texts.mapInArrow(exact, "cls long, shingles binary").dropDuplicates(["cls"]), "jaccard-exact")

@@ -64,6 +64,12 @@ def test_empty_repeated_and_null_ids(make_docs):
     assert {(r.n_shingles, r.component_id) for r in got.collect() if r.doc_id is None} == {(2, 1), (0, None)}
 
 
+def test_rows_without_an_id_meet_their_own_class_only(make_docs):
+    docs = make_docs([(None, " ".join(f"w{i}" for i in range(k, k + 40))) for k in range(0, 800, 20)]).select("doc_id", "text")
+    sets = parity_join._sets(docs)
+    assert parity_join._class_texts(sets.select("cls"), sets, docs).count() == 40
+
+
 def test_sketch_distance_bounds_symmetric_difference():
     rng = np.random.default_rng(3)
     for _ in range(50):
