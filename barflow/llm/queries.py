@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow import ensure_importable
-from barflow.llm import bpe_automaton, external_shuffle, license_scan, parity_join, phrase_index, pii, rules, secret_links, suffix_dedup, token_counts
+from barflow.llm import (
+    angular_negatives,
+    bpe_automaton,
+    dimension_lloyd,
+    external_shuffle,
+    learned_partitions,
+    license_scan,
+    parity_join,
+    phrase_index,
+    pii,
+    rules,
+    secret_links,
+    suffix_dedup,
+    token_counts,
+)
 from barflow.llm import text as tx
 
 #: Folder of the public tokenizers' files.
@@ -114,3 +128,58 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document by anchor expansion."""
     return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_learned_partitions")
+def op11_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest rows of every hundredth embedding, by learned partitions of the whole table."""
+    return learned_partitions.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def _lloyd_sql(k: int = 8, rounds: int = 10) -> str:
+    """DuckDB: the same rounds, one after another, over the kept vectors as lists of integers."""
+    steps = ["""kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, sha256('3:' || vec_id) AS h
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+        f"c0 AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS cluster, v AS c FROM kept QUALIFY row_number() OVER (ORDER BY h) <= {k})"]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, any_value(v) AS v, min(struct_pack(d := d, cluster := cluster)) AS best FROM (
+    SELECT vec_id, v, cluster, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM kept CROSS JOIN c{r}) GROUP BY vec_id)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS MATERIALIZED (
+  SELECT cluster, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS c FROM (
+    SELECT best.cluster AS cluster, i, CAST(sum(v[i]) AS DOUBLE) AS s, count(*) AS n FROM a{r}, range(1, 65) t(i) GROUP BY 1, 2) GROUP BY cluster)""")
+            steps.append(f"c{r + 1} AS MATERIALIZED (SELECT c{r}.cluster, coalesce(s{r}.c, c{r}.c) AS c FROM c{r} LEFT JOIN s{r} ON s{r}.cluster = c{r}.cluster)")
+    return f"""WITH {", ".join(steps)}
+SELECT a.vec_id, a.best.cluster AS cluster, CAST(a.best.d AS BIGINT) AS distance, CAST(sum(a.best.d) OVER (PARTITION BY a.best.cluster) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.best.cluster"""
+
+
+@query("op12_dimension_lloyd", _lloyd_sql())
+def op12_dimension_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all embeddings after ten dimension-sharded rounds."""
+    return dimension_lloyd.report(table(spark, sf_dir, "embeddings"))
+
+
+NEGATIVES_SQL = """WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM kept a JOIN kept b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+  n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.positive_score <= 100 * n.score AND n.score <= p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) <= 5"""
+
+
+@query("op13_angular_negatives", NEGATIVES_SQL)
+def op13_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth embedding and its positives, by angular bounds over the whole table."""
+    return angular_negatives.mine(table(spark, sf_dir, "embeddings"))
