@@ -5,8 +5,9 @@ row, so the same rows each time). Spark tasks find each sampled row's nearest
 sampled rows, a graph. The graph's nodes are dealt to partitions of equal size
 and then exchanged, pair by pair of partitions, so that few edges are cut. A
 multinomial logistic classifier learns from each node in which partitions its
-neighbours lie. One fifth of the sample is held out: its nearest neighbours tell
-how much probability a query has to cover to meet ``TARGET`` of them.
+neighbours lie. One fifth of the sample's distinct vectors is held out: its
+nearest neighbours tell how much probability a query has to cover to meet
+``TARGET`` of them.
 
 Every row of the table is then indexed in the partition that the classifier
 gives the most probability. A query goes to its most probable partitions, in
@@ -153,6 +154,7 @@ def fit(rows: DataFrame, vector: str = "embedding", key: str = "rid", parts: int
     if not picked.num_rows:
         return None
     x = vc.matrix(picked[vector])
+    x = x[np.sort(np.unique(x, axis=0, return_index=True)[1])]  # many copies of one vector must not decide what is covered
     held, kept = x[::5], np.delete(x, np.s_[::5], axis=0)
     if len(kept) < 2 * parts:  # too few to learn from: every query looks everywhere
         return Router(np.zeros((x.shape[1] + 1, 1)), 1.0)
@@ -161,7 +163,7 @@ def fit(rows: DataFrame, vector: str = "embedding", key: str = "rid", parts: int
     shares = np.bincount(np.repeat(np.arange(len(kept)), near.shape[1]) * parts + part[near.ravel()], minlength=len(kept) * parts).reshape(-1, parts).astype(float)
     shares[np.arange(len(kept)), part] += 3
     found = Router(classifier(kept, shares / shares.sum(axis=1, keepdims=True)), 1.0)
-    cells = found.cell(kept)[nearest(held, kept, DEGREE)]
+    cells = found.cell(x)[nearest(held, x, DEGREE, np.arange(0, len(x), 5))]
     return Router(found.weights, float(np.quantile(np.take_along_axis(found.before(held), cells, 1), target, method="higher")))
 
 
