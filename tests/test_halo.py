@@ -56,12 +56,17 @@ def test_blocked_frames_equal_global(spark):
         assert np.allclose(a.dropna(), b.dropna(), rtol=0, atol=1e-9), c
 
 
-def test_halo_rejects_oversized_frame(spark):
+def test_frame_deeper_than_a_block_equals_global(spark):
     df = _panel(spark)
-    import pytest
-
-    with pytest.raises(ValueError):
-        halo.blocked(df, ["symbol"], "date", preceding=100, block_rows=64)
+    w = Window.partitionBy("symbol").orderBy("date").rowsBetween(-99, 0)
+    ref = {(r.symbol, r.date): (r.ma, r.n) for r in df.select("symbol", "date", F.avg("close").over(w).alias("ma"), F.count("close").over(w).alias("n")).collect()}
+    h = halo.blocked(df, ["symbol"], "date", preceding=99, block=30, block_rows=64)
+    bw = halo.block_window(["symbol"]).rowsBetween(-99, 0)
+    got = halo.core(h.withColumns({"ma": F.avg("close").over(bw), "n": F.count("close").over(bw)})).collect()
+    assert len(got) == len(ref)
+    for r in got:
+        ma, n = ref[r.symbol, r.date]
+        assert r.n == n and abs(r.ma - ma) < 1e-9
 
 
 def test_reindex_after_filter(spark):
