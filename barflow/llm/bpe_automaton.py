@@ -299,6 +299,20 @@ def load(path: str) -> Tokenizer:
     return Tokenizer(path)
 
 
+@lru_cache(maxsize=2)
+def arcs_of(path: str) -> pa.Array:
+    return pa.array(labels_of(path), pa.string())
+
+
+def _emitted(labels: pa.Array, flat: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """The labels of each list of ids, joined by spaces."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds - bounds[0], pa.int32()), labels.take(flat)), " ")
+
+
+#: Texts of a block that are decoded at once.
+DECODED_ROWS = 512
+
+
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of its whole texts (no special tokens added). No shuffle."""
     fields = [f for f in df.schema.fields if f.name != ids]
@@ -323,15 +337,33 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     schema = T.StructType([*fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = pa.array(labels_of(path), pa.string())
+        labels = arcs_of(path)
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for lo in range(0, batch.num_rows, DECODED_ROWS):
+                part = batch.slice(lo, DECODED_ROWS)
                 own = part.column(part.schema.get_field_index(ids))
                 own = own.fill_null([]) if own.null_count else own
-                bounds = own.offsets.to_numpy().astype(np.int64)
-                emitted = labels.take(own.flatten())
-                lists = pa.ListArray.from_arrays(pa.array(bounds - bounds[0], pa.int32()), emitted)
-                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in names], pc.binary_join(lists, " ")], [*names, text])
+                decoded = _emitted(labels, own.flatten(), own.offsets.to_numpy().astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in names], decoded], [*names, text])
+
+    return df.mapInArrow(run, schema)
+
+
+def encode_and_decode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` without its texts, with their token ids and the text decoded from these: one Python step, so one worker for a task."""
+    fields = [f for f in df.schema.fields if f.name not in (text, ids, decoded)]
+    names = [f.name for f in fields]
+    schema = T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer, labels = load(path), arcs_of(path)
+        for block, _, _ in tx.blocks(batches, text):
+            texts = [t or "" for t in block.column(block.schema.get_field_index(text)).to_pylist()]
+            flat, bounds = tokenizer.encode_all(texts)
+            for lo in range(0, len(texts), DECODED_ROWS):
+                part, own = block.slice(lo, DECODED_ROWS), bounds[lo : lo + DECODED_ROWS + 1]
+                found = pa.array(flat[own[0] : own[-1]], pa.int32())
+                lists = pa.ListArray.from_arrays(pa.array(own - own[0], pa.int32()), found)
+                yield pa.RecordBatch.from_arrays([*[part.column(part.schema.get_field_index(c)) for c in names], lists, _emitted(labels, found, own)], [*names, ids, decoded])
 
     return df.mapInArrow(run, schema)

@@ -89,9 +89,7 @@ def op5_secret_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_bpe_automaton")
 def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded by the tokenization automaton and decoded again."""
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
-    encoded = bpe_automaton.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path).drop("text")
-    return bpe_automaton.decode(encoded, path).select(
+    return bpe_automaton.encode_and_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), f"{TOKENIZERS}/word_bpe_49k.json").select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -205,6 +205,10 @@ def test_bpe_matches_library(make_docs, texts, library):
         assert list(r.ids) == ids, r.text[:80]
         assert r.decoded == library.decode(ids, skip_special_tokens=False)
     assert bpe_automaton.encode(clashing(make_docs([])), path).count() == 0
+    digest = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("doc_id", "kind", "ids", "decoded").cast("decimal(38,0)"))).first()
+    at_once = bpe_automaton.encode_and_decode(make_docs(rows).withColumns({"kind": F.lit(1), "ids": F.lit("x")}), path)
+    assert at_once.columns == ["doc_id", "lang", "source", "n_chars", "kind", "ids", "decoded"] and digest(at_once) == digest(frame)
+    assert bpe_automaton.encode_and_decode(make_docs([]), path).count() == 0
 
 
 def test_bpe_caches_do_not_change_results(library, monkeypatch):
