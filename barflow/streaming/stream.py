@@ -3,9 +3,13 @@
 * ``tick_bars``: event-time tumbling windows with a watermark; append mode
   emits a bar once the watermark passes its end, so state holds only open
   windows.
+* ``live_indicators`` / ``live_changes``: a streaming DataFrame of indicators (or
+  changes) from keyed state: a ring of a symbol's last bars, the bars that the
+  watermark has not passed yet, a timer and expiry (``live.py``). Any trigger and
+  sink; nothing that was stored is read again.
 * ``run_live``: indicators (or any row-frame rows) of a bar stream by
-  ``foreachBatch`` over the blocked batch windows; late bars correct the rows
-  they change, so the result does not depend on the batching.
+  ``foreachBatch`` over the blocked batch windows; bars late by any time correct
+  the rows they change. Its cost grows with the stored history.
 * ``price_alerts``: rows filtered to |change| >= threshold.
 * ``score_stream``: a fitted ``PipelineModel`` applied to a stream (stateless).
 * ``run_distinct``: distinct keys of any feed; ``dedupe_stream``: within a
@@ -22,11 +26,13 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow import ensure_importable
 from barflow.operators import halo
 from barflow.operators import indicators as ind
 from barflow.session import scratch_path
+from barflow.streaming import live
 
 
 def bar_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -131,6 +137,23 @@ def run_live(spark: SparkSession, bars: DataFrame, name: str, rows=indicator_row
     return _newest(spark.read.option("basePath", f"{root}/rows").parquet(f"{root}/rows"), ["symbol", "date"]).drop("batch")
 
 
+def live_indicators(bars: DataFrame, delay: str, idle: str | None = None, order: str = "date") -> DataFrame:
+    """T3: indicators of a bar stream from keyed state, as a streaming DataFrame (append mode).
+
+    The columns of ``indicator_rows`` for each bar, once the watermark (largest
+    ``order`` seen less ``delay``) has passed it. Bars may come in any order
+    within the delay; a bar repeated before that counts once (the largest close),
+    one later than the watermark is left out. A symbol without a bar for ``idle``
+    of event time is forgotten: its next bar starts a new series.
+    """
+    return live.rows(bars, live.indicators, live.INDICATORS, 49, delay, idle, order)
+
+
+def live_changes(bars: DataFrame, delay: str, idle: str | None = None, order: str = "date") -> DataFrame:
+    """T4: the change against the previous close from keyed state (one bar a symbol); feeds ``price_alerts``."""
+    return live.rows(bars, live.changes, live.CHANGES, 1, delay, idle, order)
+
+
 def price_alerts(changes: DataFrame, threshold_pct: float = 50.0) -> DataFrame:
     """T4: bars whose close moved at least ``threshold_pct`` % against the previous close."""
     return changes.where(F.abs(F.col("change_pct")) >= F.lit(threshold_pct)).select("symbol", "date", "close", "prev_close", "change_pct")
@@ -140,21 +163,37 @@ def run_distinct(spark: SparkSession, rows: DataFrame, name: str, keys: Sequence
     """T6: the first row of every key over the whole stream, however it is cut into batches.
 
     New keys of a batch are those not yet stored in its time buckets; the store
-    on disk is the state. Within a batch any one row of a key is kept.
+    on disk is the state. It is partitioned by batch and time bucket, so a batch
+    reads the keys of the buckets that it spans and no others, however long the
+    stream has run. Within a batch any one row of a key is kept.
     """
     root, keys = scratch_path(spark, f"{name}-distinct"), list(keys)
+    _finish(rows.writeStream.foreachBatch(lambda batch, number: _store_new(batch, number, root, keys, order))
+            .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")).trigger(availableNow=True).start())
+    return spark.read.schema(_store_schema(rows, order)).parquet(root).select(*rows.columns)
 
-    def step(batch: DataFrame, number: int) -> None:
-        new = batch.dropDuplicates(keys).withColumn("_tb", halo.bucket(batch, order))
-        if number:
-            kept = batch.sparkSession.read.schema(new.schema.add("batch", "long")).option("basePath", root).parquet(root).where(F.col("batch") < number)
-            kept = kept.select(*[F.col(c).alias(f"_k_{c}") for c in [*keys, "_tb"]])
-            same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*keys, "_tb"]])
-            new = new.join(kept, same, "left_anti")
-        new.write.mode("overwrite").parquet(f"{root}/batch={number}")
-
-    _finish(rows.writeStream.foreachBatch(step).option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")).trigger(availableNow=True).start())
-    return spark.read.option("basePath", root).parquet(root).select(*rows.columns)
+
+def _store_schema(rows: DataFrame, order: str) -> T.StructType:
+    return T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType()), T.StructField("_tb", T.LongType())])
+
+
+def stored_keys(spark: SparkSession, root: str, schema: T.StructType, keys: Sequence[str], number: int, low: int | None, high: int | None) -> DataFrame:
+    """Keys of earlier batches in the time buckets from ``low`` to ``high`` and without a time: both are partition filters."""
+    inside = F.col("_tb").isNull() if low is None else F.col("_tb").isNull() | F.col("_tb").between(low, high)
+    kept = spark.read.schema(schema).option("basePath", root).parquet(root).where((F.col("batch") < number) & inside)
+    return kept.select(*[F.col(c).alias(f"_k_{c}") for c in [*keys, "_tb"]])
+
+
+def _store_new(batch: DataFrame, number: int, root: str, keys: list[str], order: str) -> None:
+    """The step of ``run_distinct``: rows of new keys, below their batch and time bucket."""
+    spark = batch.sparkSession
+    new = batch.dropDuplicates(keys).withColumn("_tb", halo.bucket(batch, order))
+    if number:
+        span = new.agg(F.min("_tb"), F.max("_tb")).first()  # two numbers
+        kept = stored_keys(spark, root, _store_schema(batch, order), keys, number, span[0], span[1])
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in [*keys, "_tb"]])
+        new = new.join(kept, same, "left_anti")
+    new.write.mode("overwrite").partitionBy("_tb").parquet(f"{root}/batch={number}")
 
 
 def _finish(query) -> None:
