@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow import ensure_importable
+from barflow.operators import dickey_fuller as dfu
 from barflow.operators import gram as gm
 from barflow.operators import halo
 
@@ -165,7 +166,7 @@ def adf_lag0(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",
     """Dickey-Fuller test without augmentation lags (regression with constant).
 
     ``dy_t = a + b * y_{t-1}``; statistic ``b / se(b)`` from the SQL ``regr_*``
-    aggregates; critical values for T = number of regression rows.
+    aggregates; critical values and p-value for T = number of regression rows.
     """
     keys = list(keys)
     h = halo.blocked(_series(df, col, keys, order), keys, order, preceding=1, block=block)
@@ -190,6 +191,7 @@ def adf_lag0(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",
         crit["5%"].alias("crit_5"),
         crit["10%"].alias("crit_10"),
         (stat < crit["5%"]).alias("stationary_5"),
+        dfu.p_value(stat, F.col("n")).alias("p_value"),
     )
 
 
@@ -208,7 +210,7 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
     Gram sums are kept per "sample-start segment" (each of a key's first
     ``cap`` rows alone, the rest together), so every sample the search and the
     refit need is a suffix sum of segments. Output: ``keys, adf_stat, used_lag,
-    n_obs, crit_1, crit_5, crit_10, stationary_5, ic_best``.
+    n_obs, crit_1, crit_5, crit_10, stationary_5, ic_best, p_bracket, p_value``.
     """
     keys = list(keys)
     s = _series(df, col, keys, order)
@@ -287,6 +289,7 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
         F.when(F.col("adf_stat").isNull() | F.isnan("adf_stat"), F.lit(None)).when(F.col("adf_stat") < crit_v["1%"], F.lit("<1%"))
         .when(F.col("adf_stat") < crit_v["5%"], F.lit("1-5%")).when(F.col("adf_stat") < crit_v["10%"], F.lit("5-10%"))
         .otherwise(F.lit(">10%")).alias("p_bracket"),
+        dfu.p_value(F.col("adf_stat"), F.col("n_obs")).alias("p_value"),
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barflow.operators import tsa
+from barflow.operators import dickey_fuller, tsa
 from barflow.plans.q_features import ADJ, LIN, ORD, lin, ord_adj
 from barflow.plans.registry import part, r4, register, rounded
 
@@ -56,12 +56,23 @@ r AS (SELECT symbol, regr_slope(dy, ylag) AS beta, regr_sxx(dy, ylag) AS sxx, re
 t AS (SELECT *, beta / sqrt(((syy - sxy * sxy / sxx) / (n - 2)) / sxx) AS adf_stat FROM r)"""
 
 
+def _p_value_sql(stat: str, n: str, source: str) -> str:
+    """CTEs up to ``pv(symbol, p_value)``: the fixed surface as a table, its quantiles for each symbol's T, the piece that holds the statistic."""
+    values = ", ".join(f"({p}, {', '.join(f'CAST({c} AS DOUBLE)' for c in coef)})" for p, coef in dickey_fuller.SURFACE.items())
+    t = f"greatest(CAST({n} AS DOUBLE), {dickey_fuller.LEAST})"
+    return f"""surface(p, c0, c1, c2, c3) AS (VALUES {values}),
+q AS (SELECT symbol, {stat} AS s, ln(p / (1 - p)) AS z, c0 + c1 / {t} + c2 / pow({t}, 2) + c3 / pow({t}, 3) AS q FROM {source} CROSS JOIN surface),
+piece AS (SELECT *, lead(q) OVER w AS q1, lead(z) OVER w AS z1, row_number() OVER w AS k FROM q WINDOW w AS (PARTITION BY symbol ORDER BY z)),
+pv AS (SELECT symbol, 1 / (1 + exp(-(z + (z1 - z) * (s - q) / (q1 - q)))) AS p_value FROM piece WHERE z1 IS NOT NULL AND (s >= q OR k = 1)
+  QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY k DESC) = 1)"""
+
+
 @register(
     "adf_lag0",
-    sql=f"""WITH {_ADF0_CTE}
+    sql=f"""WITH {_ADF0_CTE}, {_p_value_sql("adf_stat", "n", "t")}
 SELECT symbol, n, {r4("adf_stat", "adf_stat")}, {r4(_crit_sql("1%"), "crit_1")}, {r4(_crit_sql("5%"), "crit_5")},
-       {r4(_crit_sql("10%"), "crit_10")}, adf_stat < {_crit_sql("5%")} AS stationary_5 FROM t""",
-    ops="A15 (no augmentation lags)",
+       {r4(_crit_sql("10%"), "crit_10")}, adf_stat < {_crit_sql("5%")} AS stationary_5, {r4("p_value", "p_value")} FROM t JOIN pv USING (symbol)""",
+    ops="A15 (no augmentation lags; p-value from the simulated surface)",
 )
 def q_adf_lag0(spark, sf):
     return rounded(tsa.adf_lag0(ord_adj(spark, sf)))

@@ -159,3 +159,45 @@ def test_pacf_matches_yule_walker_bruteforce(spark, sims):
         toeplitz = np.array([[r[abs(i - j)] for j in range(k)] for i in range(k)])
         phi = np.linalg.solve(toeplitz, r[1:k + 1])
         assert got[k] == pytest.approx(phi[-1], abs=1e-8)
+
+
+def test_dickey_fuller_surface_against_published_points():
+    """The simulated quantiles against MacKinnon (2010), and in order for every sample size."""
+    from barflow.operators import dickey_fuller as dfu
+
+    for n in (25, 50, 100, 250, 1000, 10**6):
+        crit = tsa.adf_critical(n)
+        for level, p in (("1%", 0.01), ("5%", 0.05), ("10%", 0.1)):
+            assert abs(dfu.quantile(p, n) - crit[level]) < 0.02, (n, level)
+    for n in [*range(1, 60), 100, 1000, 10**7]:
+        q = [dfu.quantile(p, n) for p in sorted(dfu.SURFACE)]
+        assert q == sorted(q)
+
+
+def test_dickey_fuller_p_values(spark):
+    from barflow.operators import dickey_fuller as dfu
+
+    rows = [(n, p, dfu.quantile(p, n)) for n in (5, 30, 400) for p in dfu.SURFACE] + [(50, None, None), (50, 0.0, -60.0), (50, 1.0, 40.0)]
+    got = spark.createDataFrame(rows, "n long, p double, s double").withColumn("got", dfu.p_value(F.col("s"), F.col("n"))).collect()
+    for r in got:
+        assert (r.got is None) if r.p is None else abs(r.got - r.p) < 1e-9 or r.p in (0.0, 1.0) and abs(r.got - r.p) < 1e-4 and 0 <= r.got <= 1
+    line = spark.range(-80, 30).selectExpr("id / 10 AS s", "60L AS n").withColumn("p", dfu.p_value(F.col("s"), F.col("n"))).orderBy("s").collect()
+    assert all(a.p < b.p for a, b in zip(line, line[1:]))
+
+
+def test_dickey_fuller_simulation_is_seeded_and_fits(spark):
+    from barflow.operators import dickey_fuller as dfu
+
+    sizes = {30: 40_000, 60: 40_000, 120: 40_000, 240: 30_000}
+    tables = [dfu.quantiles(dfu.simulate(spark, sizes, seed=5), (0.05, 0.5)).collect() for _ in range(2)]
+    assert sorted(tables[0]) == sorted(tables[1]) and len(tables[0]) == 8
+    for r in tables[0]:
+        assert abs(r.quantile - dfu.quantile(r.probability, r["size"])) < 0.05
+
+
+def test_p_values_of_walks_are_uniform(spark):
+    """Under a unit root p-values below x come in a share of x."""
+    rnd = np.random.default_rng(8)
+    walks = pd.DataFrame([(f"w{k}", i, v) for k in range(300) for i, v in enumerate(np.cumsum(rnd.standard_normal(60)))], columns=["symbol", "date", "close"])
+    p = tsa.adf_lag0(spark.createDataFrame(walks)).toPandas()["p_value"]
+    assert len(p) == 300 and abs((p < 0.1).mean() - 0.1) < 0.06 and abs((p < 0.5).mean() - 0.5) < 0.1
