@@ -7,7 +7,10 @@ rows, per symbol.
 
 ARMA is fitted by Hannan-Rissanen least squares (long autoregression ->
 residuals -> regression on lagged values and lagged residuals), not by maximum
-likelihood, so coefficients differ slightly from a likelihood optimiser's.
+likelihood, so coefficients differ slightly from a likelihood optimiser's;
+``refine`` adds Gauss-Newton steps on the model's own residuals. These residuals,
+which in-sample predictions and forecasts go on from, come from the recurrence
+``e_t = v_t - const - sum ar_i v_{t-i} - sum ma_j e_{t-j}`` (``recurrence.scan``).
 """
 
 from __future__ import annotations
@@ -19,11 +22,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow import ensure_importable
 from barflow.operators import dickey_fuller as dfu
 from barflow.operators import gram as gm
 from barflow.operators import halo
+from barflow.operators import recurrence as rec
 
 # MacKinnon (2010), Table 2, unit-root test with a constant
 # (N = 1): critical value = c0 + c1/T + c2/T^2 + c3/T^3.
@@ -296,9 +301,9 @@ def adf(df: DataFrame, col: str = "close", keys: Sequence[str] = ("symbol",), or
 # ----------------------------------------------------------------------------- ARMA (Hannan-Rissanen)
 
 
-def _lags(df: DataFrame, col: str, d: int, depth: int, keys, order, block) -> DataFrame:
+def _lags(df: DataFrame, col: str, d: int, depth: int, keys, order, block, block_rows: int = halo.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Core rows with ``_v0.._v{depth}`` (lags of the differenced series) and ``_y1`` (previous level)."""
-    h = halo.blocked(_series(df, col, keys, order), keys, order, preceding=depth + d, block=block)
+    h = halo.blocked(_series(df, col, keys, order), keys, order, preceding=max(depth + d, 1), block=block, block_rows=block_rows)
     w = halo.block_window(keys)
     cols = {f"_v{k}": _vlag(col, k, d, w) for k in range(depth + 1)}
     cols["_y1"] = F.lag(col, 1).over(w)
@@ -353,12 +358,14 @@ def _with_residual_lags(lagged: DataFrame, keys, m: int, q: int) -> DataFrame:
 
 
 def arma_fit(df: DataFrame, col: str = "close", order: tuple[int, int, int] = (6, 1, 6), keys=("symbol",),
-             date: str = "date", ar_long: int | None = None, block=None, keep_rows: bool = False):
+             date: str = "date", ar_long: int | None = None, block=None, wide_form: bool = False, refine: int = 0):
     """Hannan-Rissanen ARMA(p, q) on the d-times differenced series, per key.
 
-    Returns ``(coefs, rows)``: coefficients long form ``keys, term, coef`` plus
-    ``sigma2``, ``aic``, ``n``; ``rows`` (if ``keep_rows``) the lagged frame with
-    residual lags joined, used for in-sample prediction and forecasting.
+    Coefficients in long form ``keys, term, coef`` plus ``sigma2``, ``aic``, ``n``;
+    with ``wide_form`` one row per key (``const, ar_L1.., ma_L1..``), the form of a
+    model that ``arma_predict`` and ``arma_forecast`` take. Each of ``refine``
+    steps corrects the coefficients by a regression of the model's residuals on
+    their derivatives (two scans and one Gram pass).
     """
     p, d, q = order
     keys = list(keys)
@@ -369,13 +376,97 @@ def arma_fit(df: DataFrame, col: str = "close", order: tuple[int, int, int] = (6
     xs = [F.lit(1.0), *[F.col(f"_v{i}") for i in range(1, p + 1)], *[F.col(f"_e{j}") for j in range(1, q + 1)]]
     g2 = gm.gram(rows, keys, xs, F.col("_v0"))
     wide = _wide_coefs(g2, keys, len(names), names, "")
+    for _ in range(refine):
+        wide = _corrected(df, wide, col, order, keys, date, block)
     k = len(names)
     aic = F.col("_nfit") * (F.lit(math.log(2 * math.pi)) + F.log("_sigma2") + F.lit(1.0)) + F.lit(2.0 * (k + 1))
     wide = wide.withColumn("aic", aic)
     wide = wide.select(*[F.when(~F.isnan(c), F.col(c)).alias(c) if t == "double" and c not in keys else F.col(c) for c, t in wide.dtypes])
     stack = ", ".join(f"'{n.replace('_L', '.L')}', {n}" for n in names)
-    coefs = wide.selectExpr(*keys, f"stack({k}, {stack}) AS (term, coef)", "_sigma2 AS sigma2", "aic", "_nfit AS n")
-    return (coefs, rows, wide) if keep_rows else coefs
+    if wide_form:
+        return wide.withColumnsRenamed({"_sigma2": "sigma2", "_nfit": "n"})
+    return wide.selectExpr(*keys, f"stack({k}, {stack}) AS (term, coef)", "_sigma2 AS sigma2", "aic", "_nfit AS n")
+
+
+def arma_residuals(df: DataFrame, models: DataFrame, col: str = "close", order=(6, 1, 6), keys=("symbol",), date: str = "date",
+                   block=None, block_rows: int = halo.DEFAULT_BLOCK_ROWS, keep: bool = False) -> DataFrame:
+    """Residuals of one model per key (wide form): ``keys, date, col, residual`` with positions.
+
+    They start at the first row whose p lags are there; before it they are taken
+    as 0. ``keep`` keeps the lags, the coefficients and ``_u``, the part of the
+    residual without the moving average.
+    """
+    p, d, q = order
+    keys = list(keys)
+    lagged = _lags(df, col, d, p, keys, date, block, block_rows)
+    j = halo.join_null_safe(lagged, models.select(*keys, *_arma_names(p, q)), keys)
+    u = F.col("_v0") - F.col("const")
+    for i in range(1, p + 1):
+        u = u - F.col(f"ar_L{i}") * F.col(f"_v{i}")
+    j = j.withColumn("_u", u)
+    if not keep:
+        j = j.select(*keys, date, col, halo.IDX, halo.CNT, halo.BLK, "_v0", "_u", *[f"ma_L{i}" for i in range(1, q + 1)])
+    return rec.scan(j, {"residual": "_u"}, [f"ma_L{i}" for i in range(1, q + 1)], keys)
+
+
+def _corrected(df, wide, col, order, keys, date, block) -> DataFrame:
+    """One Gauss-Newton step: the model's residuals regressed on their derivatives, the solution added to the coefficients.
+
+    The derivatives obey the same recurrence: by the constant that of 1, by
+    ``ar_i`` that of the series (lagged), by ``ma_j`` that of the residuals. A
+    moving average that would not die out is shrunk first; a key whose system
+    can't be solved, or whose residuals would not get smaller, keeps its model.
+    """
+    p, d, q = order
+    names, ma = _arma_names(p, q), [f"ma_L{i}" for i in range(1, q + 1)]
+    schema = wide.schema
+
+    def shrunk(batches):
+        for pdf in batches:
+            if q and len(pdf):
+                pdf[ma] = [rec.shrink_to_invertible(r) for r in pdf[ma].to_numpy(float)]
+            yield pdf
+
+    ensure_importable(df.sparkSession)
+    from barflow.session import materialize
+
+    wide = materialize(wide.drop("aic").mapInPandas(shrunk, T.StructType([f for f in schema.fields if f.name != "aic"])), "arma-models")  # one row per key
+    e = arma_residuals(df, wide, col, order, keys, date, block, keep=True).withColumn("_one", F.when(F.col("_u").isNotNull(), 1.0))
+    e = e.withColumn("_w", F.when(F.col("_u").isNotNull(), F.col("_v0")))
+    e = rec.scan(e, {"_dc": "_one", "_dv": "_w", "_de": "residual"}, ma, keys)
+    e = materialize(e.select(*keys, date, halo.IDX, halo.CNT, "residual", "_dc", "_dv", "_de"), "arma-derivatives")
+    h = halo.with_halo(e, max(p, q, 1))
+    w = halo.block_window(keys)
+    xs = {"_x0": F.col("_dc"), **{f"_x{i}": F.lag("_dv", i).over(w) for i in range(1, p + 1)}, **{f"_x{p + i}": F.lag("_de", i).over(w) for i in range(1, q + 1)}}
+    k = len(xs)
+    g = gm.gram(halo.core(h.withColumns(xs)), keys, [F.col(f"_x{i}") for i in range(k)], F.col("residual"))
+    solved = g.select(*[F.col(c).alias(f"_k_{c}") for c in keys], "g", F.col("n").alias("_n"))
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
+    joined = wide.join(solved, same, "left").drop(*[f"_k_{c}" for c in keys])
+
+    def add(batches):
+        for pdf in batches:
+            rows = []
+            for _, r in pdf.iterrows():
+                new = {c: r[c] for c in [*keys, *names, "_sigma2", "_nfit"]}
+                if r["g"] is None:  # no residual: nothing to correct
+                    rows.append(new)
+                    continue
+                xtx, xty, yty = gm.unpack(r["g"], k)
+                n, now = int(r["_n"]), np.array([r[c] for c in names], float)
+                try:
+                    step = np.linalg.solve(xtx, xty)
+                except np.linalg.LinAlgError:
+                    step = np.full(k, np.nan)
+                left = yty - step @ xty
+                if np.isfinite(step).all() and n > k and 0 < left <= yty:
+                    after = now + step
+                    after[1 + p :] = rec.shrink_to_invertible(after[1 + p :])
+                    new |= dict(zip(names, after.tolist())) | {"_sigma2": left / n, "_nfit": n}
+                rows.append(new)
+            yield pd.DataFrame(rows, columns=[f.name for f in schema.fields if f.name != "aic"])
+
+    return joined.mapInPandas(add, T.StructType([f for f in schema.fields if f.name != "aic"]))
 
 
 def arma_order_grid(df: DataFrame, col: str = "close", p_values=range(1, 7), q_values=range(1, 7), d: int = 0,
@@ -418,25 +509,19 @@ def arma_order_grid(df: DataFrame, col: str = "close", p_values=range(1, 7), q_v
 
 
 def arma_predict(df: DataFrame, col: str = "close", order=(6, 1, 6), keys=("symbol",), date: str = "date",
-                 ar_long: int | None = None, start: int | None = None, end: int | None = None, block=None) -> DataFrame:
+                 ar_long: int | None = None, start: int | None = None, end: int | None = None, block=None,
+                 models: DataFrame | None = None, refine: int = 0, block_rows: int = halo.DEFAULT_BLOCK_ROWS) -> DataFrame:
     """In-sample one-step predictions (levels), ``keys, date, actual, prediction``.
 
-    Innovations are the stage-1 residuals; with d = 1 the predicted change is
-    added to the previous level. ``start``/``end`` select positions (0-based)
-    like a ``predict(start, end)`` call; default: every row that has a prediction.
+    ``models`` (wide form of ``arma_fit``, or a loaded table) or a fit on ``df``.
+    Innovations are the model's own residuals, so a prediction is the actual value
+    less its residual. ``start``/``end`` select positions (0-based) like a
+    ``predict(start, end)`` call; default: every row that has a prediction.
     """
-    p, d, q = order
-    keys = list(keys)
-    _, rows, wide = arma_fit(df, col, order, keys, date, ar_long, block, keep_rows=True)
-    j = halo.join_null_safe(rows, wide.drop("aic", "_sigma2", "_nfit"), keys)
-    pred = F.col("const")
-    for i in range(1, p + 1):
-        pred = pred + F.col(f"ar_L{i}") * F.col(f"_v{i}")
-    for jj in range(1, q + 1):
-        pred = pred + F.col(f"ma_L{jj}") * F.coalesce(f"_e{jj}", F.lit(0.0))  # no residual yet at a series' start
-    if d == 1:
-        pred = F.col("_y1") + pred
-    out = j.select(*keys, date, F.col(col).alias("actual"), pred.alias("prediction"), F.col(halo.IDX).alias("_pos"))
+    if models is None:
+        models = arma_fit(df, col, order, keys, date, ar_long, block, wide_form=True, refine=refine)
+    j = arma_residuals(df, models, col, order, keys, date, block, block_rows)
+    out = j.select(*keys, date, F.col(col).alias("actual"), (F.col(col) - F.col("residual")).alias("prediction"), F.col(halo.IDX).alias("_pos"))
     out = out.where(F.col("prediction").isNotNull() & ~F.isnan("prediction"))
     if start is not None:
         out = out.where(F.col("_pos") >= start)
@@ -447,17 +532,19 @@ def arma_predict(df: DataFrame, col: str = "close", order=(6, 1, 6), keys=("symb
 
 def arma_forecast(df: DataFrame, col: str = "close", order=(6, 1, 6), horizon: int = 30, keys=("symbol",),
                   date: str = "date", ar_long: int | None = None, skip_weekends: bool = False,
-                  block=None, round_digits: int | None = None) -> DataFrame:
+                  block=None, round_digits: int | None = None, models: DataFrame | None = None, refine: int = 0) -> DataFrame:
     """h-step forecasts per key: ``keys, step, date, forecast`` (levels).
 
     ``round_digits`` adds ``forecast_rounded`` (half-even, like Python's ``round``).
 
-    Only the last ``max(p, q)`` rows of each key (a bounded set) leave the
-    lag frame; the recursion runs per key in pandas.
+    ``models`` as in ``arma_predict``. Only the last ``max(p, q)`` rows of each
+    key (a bounded set) leave the frame of residuals; the recursion runs per key
+    in pandas.
     """
     p, d, q = order
     keys = list(keys)
-    _, rows, wide = arma_fit(df, col, order, keys, date, ar_long, block, keep_rows=True)
+    wide = arma_fit(df, col, order, keys, date, ar_long, block, wide_form=True, refine=refine) if models is None else models
+    rows = arma_residuals(df, wide, col, order, keys, date, block).withColumnRenamed("residual", "_e0")
     r = max(p, q, 2)  # two rows at least: their distance is the step of a timestamp series
     tail = rows.where(F.col(halo.IDX) >= F.col(halo.CNT) - r)
     packed = tail.groupBy(*keys).agg(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from barflow.operators import dickey_fuller, tsa
+from barflow.operators import dickey_fuller, models, tsa
 from barflow.plans.q_features import ADJ, LIN, ORD, lin, ord_adj
-from barflow.plans.registry import part, r4, register, rounded
+from barflow.plans.registry import QUERIES, part, r4, register, rounded
+from barflow.session import scratch_path
 
 NLAGS = 40
 
@@ -139,6 +140,59 @@ def q_arma_110_forecast(spark, sf):
     return rounded(tsa.arma_forecast(ord_adj(spark, sf), "close", (1, 1, 0), 30))
 
 
+_AR1MA1 = f"""WITH RECURSIVE {_AR1.removeprefix("WITH ")},
+s1 AS (SELECT l.symbol, b.date, l.v, l.v1, l.v - r.icept - r.slope * l.v1 AS e FROM (SELECT symbol, date, v, lag(v) OVER ({part()}) AS v1 FROM v) l
+  JOIN r USING (symbol) JOIN b USING (symbol, date)),
+s2 AS (SELECT symbol, date, v, v1, lag(e) OVER ({part()}) AS w FROM s1),
+n AS (SELECT symbol, avg(v) AS mv, avg(v1) AS mx, avg(w) AS mw, regr_sxx(v, v1) AS sxx, regr_sxx(v, w) AS sww, regr_sxy(v1, w) AS sxw,
+  regr_sxy(v, v1) AS sxv, regr_sxy(v, w) AS swv, CAST(count(*) AS BIGINT) AS n FROM s2 WHERE w IS NOT NULL GROUP BY symbol),
+k AS (SELECT *, (sxv * sww - swv * sxw) / (sxx * sww - sxw * sxw) AS ar, (swv * sxx - sxv * sxw) / (sxx * sww - sxw * sxw) AS ma FROM n),
+m AS (SELECT symbol, n, ar, ma, mv - ar * mx - ma * mw AS c FROM k)"""
+# residuals of the fitted model, one position after another
+_AR1MA1_E = f"""{_AR1MA1},
+p AS MATERIALIZED (SELECT symbol, date, close, v, lag(v) OVER ({part()}) AS v1, row_number() OVER ({part()}) - 1 AS pos FROM (
+  SELECT symbol, date, close, close - lag(close) OVER ({part()}) AS v FROM b)),
+e AS (SELECT p.symbol, p.date, p.close, p.v, p.pos, p.v - m.c - m.ar * p.v1 AS e FROM p JOIN m USING (symbol) WHERE pos = 2
+  UNION ALL SELECT p.symbol, p.date, p.close, p.v, p.pos, p.v - m.c - m.ar * p.v1 - m.ma * e.e FROM e JOIN p ON p.symbol = e.symbol AND p.pos = e.pos + 1 JOIN m ON m.symbol = e.symbol)"""
+
+
+@register(
+    "arma_111_fit",
+    sql=f"""{_AR1MA1}
+SELECT symbol, 'const' AS term, {r4("c", "coef")}, n FROM m UNION ALL SELECT symbol, 'ar.L1', {r4("ar", "coef")}, n FROM m
+UNION ALL SELECT symbol, 'ma.L1', {r4("ma", "coef")}, n FROM m""",
+    ops="M9 (order 1,1,1: normal equations)",
+)
+def q_arma_111_fit(spark, sf):
+    return rounded(tsa.arma_fit(ord_adj(spark, sf), "close", (1, 1, 1), ar_long=1).select("symbol", "term", "coef", "n"))
+
+
+@register("arma_111_insample", sql=f"""{_AR1MA1_E}
+SELECT symbol, date, {r4("close", "actual")}, {r4("close - e", "prediction")} FROM e""", ops="M10 (order 1,1,1: the model's own innovations)")
+def q_arma_111_insample(spark, sf):
+    return rounded(tsa.arma_predict(ord_adj(spark, sf), "close", (1, 1, 1), ar_long=1, block_rows=256))
+
+
+@register(
+    "arma_111_forecast",
+    sql=f"""{_AR1MA1_E},
+last AS (SELECT symbol, date, close, v, e FROM e QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY pos DESC) = 1),
+fc AS (SELECT l.symbol, 0 AS step, l.date, l.close AS y, l.v, l.e, m.c, m.ar, m.ma FROM last l JOIN m USING (symbol)
+  UNION ALL SELECT symbol, step + 1, CAST(date + 1 AS DATE), y + c + ar * v + ma * e, c + ar * v + ma * e, 0.0, c, ar, ma FROM fc WHERE step < 30)
+SELECT symbol, CAST(step AS INTEGER) AS step, date, {r4("y", "forecast")} FROM fc WHERE step > 0""",
+    ops="M11 F12 (order 1,1,1)",
+)
+def q_arma_111_forecast(spark, sf):
+    return rounded(tsa.arma_forecast(ord_adj(spark, sf), "close", (1, 1, 1), 30, ar_long=1))
+
+
+@register("arma_saved_forecast", sql=QUERIES["arma_110_forecast"].sql, ops="S8 M13 M11 (models saved by version, loaded, forecast)")
+def q_arma_saved_forecast(spark, sf):
+    bars, path = ord_adj(spark, sf), scratch_path(spark, "arma-models")
+    models.save_models(tsa.arma_fit(bars, "close", (1, 1, 0), wide_form=True), path)
+    return rounded(tsa.arma_forecast(bars, "close", (1, 1, 0), 30, models=models.load_models(spark, path)))
+
+
 @register("arma_order_grid", ops="A16 (p, q in 1..6, d = 0, AIC)")
 def q_arma_order_grid(spark, sf):
     return rounded(tsa.arma_order_grid(ord_adj(spark, sf), "close"))
