@@ -245,6 +245,45 @@ def q_boxplot_outliers_lin(spark, sf):
     return rounded(ex.box_outliers(src.lin_bars(spark, sf)))
 
 
+@register(
+    "boxplot_one_group",
+    sql=f"""WITH b AS ({src.LIN_BARS_SQL}),
+q AS (SELECT quantile_cont(close, 0.25) AS q1, quantile_cont(close, 0.5) AS median, quantile_cont(close, 0.75) AS q3 FROM b),
+j AS (SELECT b.close, q1, median, q3, q3 - q1 AS iqr, close >= q1 - 1.5 * (q3 - q1) AND close <= q3 + 1.5 * (q3 - q1) AS inside FROM b CROSS JOIN q)
+SELECT {r4("q1", "q1")}, {r4("median", "median")}, {r4("q3", "q3")}, {r4("iqr", "iqr")},
+       {r4("min(close) FILTER (WHERE inside)", "whisker_low")}, {r4("max(close) FILTER (WHERE inside)", "whisker_high")},
+       count(*) FILTER (WHERE NOT inside) AS n_outliers, count(*) AS n FROM j GROUP BY q1, median, q3, iqr""",
+    ops="A10 (one group of all rows, exact quartiles by histogram refinement)",
+)
+def q_boxplot_one_group(spark, sf):
+    return rounded(ex.box_stats(src.lin_bars(spark, sf), keys=(), by="all", bound=ex.selection.BOUND).drop("all"))
+
+
+WIDE_COLS = 30
+
+
+def _wide_sql(i: int) -> str:
+    """Column ``i`` of the wide table, the same text in both engines: a mix of two prices with its own gaps."""
+    mix = f"CAST(l_quantity AS DOUBLE) * {i} + CAST(l_extendedprice AS DOUBLE) / 1000 * {WIDE_COLS - i} + (l_partkey * {i + 1}) % 97"
+    return f"CASE WHEN l_orderkey % {i + 11} <> 0 THEN {mix} END AS x{i}"
+
+
+_WIDE_PAIRS = list(itertools.combinations(range(WIDE_COLS), 2))
+
+
+@register(
+    "corr_wide",
+    sql=f"""WITH w AS (SELECT {", ".join(map(_wide_sql, range(WIDE_COLS)))} FROM lineitem),
+c AS (SELECT [{", ".join(f"corr(x{a}, x{b})" for a, b in _WIDE_PAIRS)}] AS r FROM w),
+n AS (SELECT unnest([{", ".join(f"'x{a}'" for a, _ in _WIDE_PAIRS)}]) AS col_a, unnest([{", ".join(f"'x{b}'" for _, b in _WIDE_PAIRS)}]) AS col_b, unnest(r) AS corr FROM c)
+SELECT col_a, col_b, {r4("corr", "corr")} FROM n""",
+    ops="A9 (wide data: one matrix of sums a task)",
+)
+def q_corr_wide(spark, sf):
+    items = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(*map(_wide_sql, range(WIDE_COLS)))
+    return rounded(ex.corr_wide(items, items.columns))
+
+
 @register(
     "parse_dates",
     sql="""SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS iso, CAST(o_orderdate AS DATE) AS parsed,
