@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barflow.operators import halo
@@ -70,6 +70,35 @@ def sum_by_key(df: DataFrame, keys: Sequence[str] = ("symbol", "date"), col: str
     return df.groupBy(*keys).agg(F.sum(col).alias(f"sum_{col}"), F.count(F.lit(1)).alias("n_rows"))
 
 
+def _row_rules(cols: set[str]) -> dict[str, Column]:
+    """The rules that a row breaks by itself, for the columns there are."""
+    out = {}
+    if "close" in cols:
+        out["null_close"] = F.col("close").isNull()
+    if "volume" in cols:
+        out["null_volume"] = F.col("volume").isNull()
+        out["negative_volume"] = F.col("volume") < 0
+    if {"high", "low"} <= cols:
+        out["high_below_low"] = F.col("high") < F.col("low")
+    if {"high", "low", "close"} <= cols:
+        out["close_outside_range"] = (F.col("close") > F.col("high")) | (F.col("close") < F.col("low"))
+    if "close" in cols:
+        out["non_positive_close"] = F.col("close") <= 0
+    return out
+
+
+def observed_rules(df: DataFrame, name: str = "quality") -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows and broken rules while it is written: no scan of its own.
+
+    The counts are those of ``quality_rules`` over the whole table but for
+    duplicate keys, which need an exchange. ``observation.get`` has them after the
+    first action on the frame (a write, say).
+    """
+    seen = Observation(name)
+    rules = [F.count_if(c).alias(rule) for rule, c in _row_rules(set(df.columns)).items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *rules), seen
+
+
 def quality_rules(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str = "date") -> DataFrame:
     """Per key: rows, NULL prices, duplicate ``(key, order)`` rows and rule violations.
 
@@ -82,19 +111,6 @@ def quality_rules(df: DataFrame, keys: Sequence[str] = ("symbol",), order: str =
     dups = per_obs.groupBy(*keys).agg(
         F.sum(F.col("_c") - 1).alias("dup_key_rows"), F.count(F.lit(1)).alias("n_distinct_dates")
     )
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    if "close" in cols:
-        aggs.append(F.count_if(F.col("close").isNull()).alias("null_close"))
-    if "volume" in cols:
-        aggs.append(F.count_if(F.col("volume").isNull()).alias("null_volume"))
-        aggs.append(F.count_if(F.col("volume") < 0).alias("negative_volume"))
-    if {"high", "low"} <= cols:
-        aggs.append(F.count_if(F.col("high") < F.col("low")).alias("high_below_low"))
-    if {"high", "low", "close"} <= cols:
-        aggs.append(
-            F.count_if((F.col("close") > F.col("high")) | (F.col("close") < F.col("low"))).alias("close_outside_range")
-        )
-    if "close" in cols:
-        aggs.append(F.count_if(F.col("close") <= 0).alias("non_positive_close"))
+    aggs = [F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(rule) for rule, c in _row_rules(cols).items()]]
     rules = df.groupBy(*keys).agg(*aggs)
     return halo.join_null_safe(rules, dups, keys)  # rows with a NULL key are reported too
