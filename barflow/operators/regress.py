@@ -8,8 +8,10 @@ series leaks the future into training).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,7 +19,6 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark import StorageLevel
 
 from barflow.sources.schema import FEATURE_COLS
 
@@ -62,9 +63,38 @@ def _fit_key(lr: LinearRegression, m) -> tuple:
     return m[lr.regParam], m[lr.elasticNetParam], None if m[lr.elasticNetParam] == 0 else m[lr.maxIter]
 
 
+#: Fits that run side by side. Each is a small job; one alone leaves most task slots idle.
+CONCURRENT_FITS = 8
+
+
+def concurrently(spark, jobs: Sequence[Callable], most: int = CONCURRENT_FITS) -> list:
+    """Results of the jobs (functions without arguments that run Spark jobs), in order, ``most`` at a time.
+
+    Each job runs in a thread that inherits the caller's job properties and has a
+    scheduler pool of its own, so with ``spark.scheduler.mode=FAIR`` the jobs
+    share the slots evenly. The first error is raised once all have ended.
+    """
+    def pooled(number: int, job: Callable):
+        def run():
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"fit-{number % most}")
+            return job()
+
+        return inheritable_thread_target(spark)(run)
+
+    with ThreadPoolExecutor(max_workers=most) as threads:
+        return [f.result() for f in [threads.submit(pooled(i, job)) for i, job in enumerate(jobs)]]
+
+
+def _distinct_fits(lr: LinearRegression, grid) -> dict:
+    """One map for each distinct model of the grid."""
+    return {_fit_key(lr, m): m for m in grid}
+
+
 def _fit_each(lr: LinearRegression, rows: DataFrame, grid) -> dict:
-    """One fitted model for each distinct key of the grid, one after another (each fit is a distributed job)."""
-    return {key: lr.copy(m).fit(rows) for key, m in {_fit_key(lr, m): m for m in grid}.items()}
+    """One fitted model for each distinct key of the grid."""
+    maps = _distinct_fits(lr, grid)
+    fits = [lambda m=m: lr.copy(m).fit(rows) for m in maps.values()]
+    return dict(zip(maps, concurrently(rows.sparkSession, fits)))
 
 
 def _score_each(models: dict, rows: DataFrame, label: str, metric: str) -> dict:
@@ -99,9 +129,8 @@ def cross_validate(train: DataFrame, features: Sequence[str] = FEATURE_COLS, lab
     ``PipelineModel`` (assembler, scaler, best regression refitted on all rows)
     with the mean metric of every map in ``avgMetrics``. With ``fold_col`` (int
     fold ids, e.g. from ``split.time_folds``) the folds are those time blocks;
-    otherwise they are dealt by a seeded hash of the row. Fits run one after
-    another: Spark spreads each over the cluster, and threads that share one
-    session's job properties race.
+    otherwise they are dealt by a seeded hash of the row. The fits of all folds run
+    side by side over one persisted table (``concurrently``), then the scores.
     """
     prep, lr = _prepared(train, features, label)
     grid = param_grid(lr) if grid is None else grid(lr)
@@ -109,10 +138,11 @@ def cross_validate(train: DataFrame, features: Sequence[str] = FEATURE_COLS, lab
     cached = prep.transform(train).select("scaled_features", label, fold.alias("_fold")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         folds = sorted(r[0] for r in cached.select("_fold").distinct().collect())  # k numbers
-        scores = []
-        for f in folds:
-            models = _fit_each(lr, cached.where(F.col("_fold") != f), grid)
-            scores.append(_score_each(models, cached.where(F.col("_fold") == f), label, metric))
+        maps = _distinct_fits(lr, grid)
+        rest = {f: cached.where(F.col("_fold") != f) for f in folds}
+        fits = concurrently(train.sparkSession, [lambda m=m, f=f: lr.copy(m).fit(rest[f]) for f in folds for m in maps.values()])
+        by_fold = [dict(zip(maps, fits[i * len(maps) :])) for i in range(len(folds))]
+        scores = concurrently(train.sparkSession, [lambda f=f, own=own: _score_each(own, cached.where(F.col("_fold") == f), label, metric) for f, own in zip(folds, by_fold)])
         mean = [sum(s[_fit_key(lr, m)] for s in scores) / len(scores) for m in grid]
         larger = metric == "r2"
         best = (max if larger else min)(range(len(grid)), key=mean.__getitem__)

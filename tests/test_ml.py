@@ -66,3 +66,25 @@ def test_rank_deficient_systems_have_no_solution():
     beta, _, ssr = gm.ols_from_gram(x.T @ x, x.T @ y, float(y @ y), 30)
     want = np.linalg.lstsq(x - np.array([0, 1e5, 0]), y, rcond=None)[0]
     assert beta[1] == pytest.approx(want[1], rel=1e-4)
+
+
+def test_concurrent_fits_keep_order_pools_and_errors(spark):
+    sc = spark.sparkContext
+    sc.setLocalProperty("barflow.test", "outer")
+    try:
+        pools = rg.concurrently(spark, [lambda i=i: (i, sc.getLocalProperty("spark.scheduler.pool"), sc.getLocalProperty("barflow.test"), spark.range(i).count()) for i in range(6)], most=3)
+    finally:
+        sc.setLocalProperty("barflow.test", None)
+    assert pools == [(i, f"fit-{i % 3}", "outer", i) for i in range(6)]
+    assert sc.getLocalProperty("spark.scheduler.pool") is None  # the caller's own is untouched
+    with pytest.raises(ZeroDivisionError):
+        rg.concurrently(spark, [lambda: 1, lambda: 1 // 0])
+
+
+def test_repeated_cross_validations_are_equal(spark, data):
+    frame = spark.createDataFrame(data.head(300).assign(fold=lambda d: range(len(d))).assign(fold=lambda d: d["fold"] % 3))
+    metrics = []
+    for _ in range(3):
+        model, _, _ = rg.cross_validate(frame.coalesce(1), ["a", "b"], "y", grid=lambda lr: rg.param_grid(lr, [0.1, 1.0], [0.0, 0.5], [10]))
+        metrics.append(model.avgMetrics)
+    assert metrics[0] == metrics[1] == metrics[2]
