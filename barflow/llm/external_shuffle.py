@@ -2,14 +2,19 @@
 
 Pass one scatters the records uniformly into memory-sized buckets: a seeded
 hash of the id names the shard (the shard with the greatest hash wins, so one
-more shard only takes rows, see ``shard_of``), and a second seeded hash spreads
-a shard's rows over as many buckets as its bytes need. The scatter is one Spark
-exchange. Pass two takes each bucket alone, shuffles it by Fisher-Yates with a
+more shard only takes rows, see ``shard_of``), and a second seeded hash of id and
+text spreads a shard's rows over as many buckets as that shard's own bytes need
+(rows without an id share a shard). Copies of a row whose bytes together would
+fill half a bucket are told apart by their place in the input, and so spread like
+other rows. The scatter is one Spark exchange; finding such copies takes another
+one of digests. Pass two takes each bucket alone, shuffles it by Fisher-Yates with a
 seed of its own and writes it. A record's slot is its place in the bucket plus
 the rows of the shard's earlier buckets, from a small table of counts.
 
 Everything depends on the data and the seed alone, so a task that runs again
-writes the same rows. Defined results: NULL texts have zero bytes; rows with a
+writes the same rows. Places of copies are those in the input's partitions, so
+``df`` should read files (a scan numbers its rows alike when it runs again); what
+comes out of an exchange should be written first. Defined results: NULL texts have zero bytes; rows with a
 NULL id go to one shard like any id; repeated rows are kept, each with its own
 slot; an empty table gives an empty result; columns of ``df`` are carried along
 as they are, and one with the name of a new column is replaced.
@@ -57,21 +62,29 @@ def shuffle_into_shards(df: DataFrame, shards: int, seed: int = 0, doc_id: str =
     run of rows in shuffled order (``place`` from 0). Memory in a task is one
     bucket.
     """
-    total = df.agg(F.sum(record_size(text)).alias("n")).first()["n"] or 0
-    per_shard = max(1, -(-int(total) // (shards * bucket_bytes)))
     carried = df.drop("shard", "bucket", "place")
-    scattered = carried.withColumn("shard", shard_of(doc_id, shards, seed)).withColumn(
-        "bucket", F.pmod(F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text)), F.lit(per_shard)).cast("int")
-    )
+    number = tx.fresh(carried, "row")
+    shard = shard_of(doc_id, shards, seed)
+    held = df.groupBy(shard.alias("shard")).agg(F.sum(record_size(text)).alias("n")).collect()  # a row for each shard
+    buckets = [1] * shards
+    for r in held:
+        buckets[r["shard"]] = max(1, -(-int(r["n"]) // bucket_bytes))
+    row, many = tx.fresh(carried, "row_hash"), tx.fresh(carried, "many")
+    by_row = F.xxhash64(F.lit(seed + 1), F.col(doc_id), F.col(text))
+    copies = df.groupBy(by_row.alias(row)).agg(F.count(F.lit(1)).alias("n"), F.sum(record_size(text)).alias("bytes"))
+    copies = tx.written(copies.where((F.col("n") > 1) & (F.col("bytes") * 2 > bucket_bytes)).select(row, F.lit(True).alias(many)), "shards-copies")  # at most two for each bucket
+    of_shard = F.element_at(F.array(*map(F.lit, buckets)), F.col("shard") + 1)
+    scattered = carried.withColumns({"shard": shard, number: F.monotonically_increasing_id(), row: by_row}).join(copies, row, "left")
+    spread = F.when(F.col(many), F.xxhash64(F.col(row), F.col(number))).otherwise(F.col(row))
+    scattered = scattered.withColumn("bucket", F.pmod(spread, of_shard).cast("int")).drop(row, many)
     names = carried.columns
     schema = T.StructType([*carried.schema.fields, T.StructField("shard", T.IntegerType()), T.StructField("bucket", T.IntegerType()), T.StructField("place", T.LongType())])
 
     def permute(bucket: pa.Table) -> pa.Table:
         n = bucket.num_rows
-        key = pa.table({"id": bucket.column(doc_id), "text": bucket.column(text), "at": np.arange(n)})
-        start = key.sort_by([("id", "ascending"), ("text", "ascending")]).column("at").to_numpy()  # arrival order is not fixed
-        shard, number = bucket.column("shard")[0].as_py(), bucket.column("bucket")[0].as_py()
-        order = start[_fisher_yates(n, (seed & 0xFFFFFFFF, shard, number))]
+        key = pa.table({"id": bucket.column(doc_id), "text": bucket.column(text), "number": bucket.column(number), "at": np.arange(n)})
+        start = key.sort_by([("id", "ascending"), ("text", "ascending"), ("number", "ascending")]).column("at").to_numpy()  # arrival order is not fixed
+        order = start[_fisher_yates(n, (seed & 0xFFFFFFFF, bucket.column("shard")[0].as_py(), bucket.column("bucket")[0].as_py()))]
         out = bucket.select([*names, "shard", "bucket"]).take(pa.array(order))
         return out.append_column("place", pa.array(np.arange(n, dtype=np.int64)))
 

@@ -124,6 +124,20 @@ def test_shards_of_many_buckets(make_docs, texts):
     assert sorted(r.text or "" for r in placed.collect()) == sorted(t or "" for _, t in texts)
 
 
+def test_buckets_of_copies_and_of_rows_without_an_id(make_docs):
+    """One row makes a third of the table, rows without an id another third: no bucket is twice the mean."""
+    word = "some text of a row " * 4
+    rows = [(k, f"{word}{k}") for k in range(1500)] + [(7, word + "again!")] * 1500 + [(None, f"{word}{k}") for k in range(1500)]
+    placed = external_shuffle.shuffle_into_shards(make_docs(rows), 4, 5, bucket_bytes=8000)
+    sizes = [r.n for r in placed.groupBy("shard", "bucket").agg(F.sum(external_shuffle.record_size("text")).alias("n")).collect()]
+    assert len(sizes) > 40 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    assert Counter((r.doc_id, r.text) for r in placed.collect()) == Counter(rows)
+    slots = external_shuffle.with_slots(placed)
+    for s in range(4):
+        own = sorted(r.slot for r in slots.where(F.col("shard") == s).select("slot").collect())
+        assert own == list(range(len(own)))
+
+
 # --- secrets ---
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
