@@ -310,8 +310,12 @@ def _lags(df: DataFrame, col: str, d: int, depth: int, keys, order, block, block
     return halo.core(h.withColumns(cols))
 
 
-def _wide_coefs(g: DataFrame, keys, k: int, names: Sequence[str], prefix: str) -> DataFrame:
-    """Solve each key's system; one row per key with columns ``{prefix}{name}``, ``_sigma2``, ``_nfit``."""
+def _wide_coefs(g: DataFrame, keys, k: int, names: Sequence[str], prefix: str, q: int = 0) -> DataFrame:
+    """Solve each key's system; one row per key with columns ``{prefix}{name}``, ``_sigma2``, ``_nfit``.
+
+    The last ``q`` coefficients are a moving average; one whose residuals would
+    grow without end is shrunk (``recurrence.shrink_to_invertible``).
+    """
     schema = ", ".join(f"{c} {g.schema[c].dataType.simpleString()}" for c in keys)
     schema += ", " + ", ".join(f"{prefix}{n} double" for n in names) + ", _sigma2 double, _nfit long"
 
@@ -322,6 +326,7 @@ def _wide_coefs(g: DataFrame, keys, k: int, names: Sequence[str], prefix: str) -
                 xtx, xty, yty = gm.unpack(r["g"], k)
                 n = int(r["n"])
                 beta, _, ssr = gm.ols_from_gram(xtx, xty, yty, n)
+                beta = np.concatenate([beta[: k - q], rec.shrink_to_invertible(beta[k - q :])])
                 row = {c: r[c] for c in keys}
                 row.update({f"{prefix}{nm}": float(b) for nm, b in zip(names, beta)})
                 row["_sigma2"] = ssr / n if n else float("nan")
@@ -363,7 +368,8 @@ def arma_fit(df: DataFrame, col: str = "close", order: tuple[int, int, int] = (6
 
     Coefficients in long form ``keys, term, coef`` plus ``sigma2``, ``aic``, ``n``;
     with ``wide_form`` one row per key (``const, ar_L1.., ma_L1..``), the form of a
-    model that ``arma_predict`` and ``arma_forecast`` take. Each of ``refine``
+    model that ``arma_predict`` and ``arma_forecast`` take. A moving average that is
+    not invertible (possible in short series) is shrunk until it is. Each of ``refine``
     steps corrects the coefficients by a regression of the model's residuals on
     their derivatives (two scans and one Gram pass).
     """
@@ -375,7 +381,7 @@ def arma_fit(df: DataFrame, col: str = "close", order: tuple[int, int, int] = (6
     names = _arma_names(p, q)
     xs = [F.lit(1.0), *[F.col(f"_v{i}") for i in range(1, p + 1)], *[F.col(f"_e{j}") for j in range(1, q + 1)]]
     g2 = gm.gram(rows, keys, xs, F.col("_v0"))
-    wide = _wide_coefs(g2, keys, len(names), names, "")
+    wide = _wide_coefs(g2, keys, len(names), names, "", q)
     for _ in range(refine):
         wide = _corrected(df, wide, col, order, keys, date, block)
     k = len(names)
@@ -413,24 +419,17 @@ def _corrected(df, wide, col, order, keys, date, block) -> DataFrame:
     """One Gauss-Newton step: the model's residuals regressed on their derivatives, the solution added to the coefficients.
 
     The derivatives obey the same recurrence: by the constant that of 1, by
-    ``ar_i`` that of the series (lagged), by ``ma_j`` that of the residuals. A
-    moving average that would not die out is shrunk first; a key whose system
-    can't be solved, or whose residuals would not get smaller, keeps its model.
+    ``ar_i`` that of the series (lagged), by ``ma_j`` that of the residuals. A key
+    whose system can't be solved, or whose residuals would not get smaller, keeps
+    its model.
     """
     p, d, q = order
     names, ma = _arma_names(p, q), [f"ma_L{i}" for i in range(1, q + 1)]
     schema = wide.schema
-
-    def shrunk(batches):
-        for pdf in batches:
-            if q and len(pdf):
-                pdf[ma] = [rec.shrink_to_invertible(r) for r in pdf[ma].to_numpy(float)]
-            yield pdf
-
     ensure_importable(df.sparkSession)
     from barflow.session import materialize
 
-    wide = materialize(wide.drop("aic").mapInPandas(shrunk, T.StructType([f for f in schema.fields if f.name != "aic"])), "arma-models")  # one row per key
+    wide = materialize(wide.drop("aic"), "arma-models")  # one row per key
     e = arma_residuals(df, wide, col, order, keys, date, block, keep=True).withColumn("_one", F.when(F.col("_u").isNotNull(), 1.0))
     e = e.withColumn("_w", F.when(F.col("_u").isNotNull(), F.col("_v0")))
     e = rec.scan(e, {"_dc": "_one", "_dv": "_w", "_de": "residual"}, ma, keys)

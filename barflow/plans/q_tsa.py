@@ -147,7 +147,7 @@ s2 AS (SELECT symbol, date, v, v1, lag(e) OVER ({part()}) AS w FROM s1),
 n AS (SELECT symbol, avg(v) AS mv, avg(v1) AS mx, avg(w) AS mw, regr_sxx(v, v1) AS sxx, regr_sxx(v, w) AS sww, regr_sxy(v1, w) AS sxw,
   regr_sxy(v, v1) AS sxv, regr_sxy(v, w) AS swv, CAST(count(*) AS BIGINT) AS n FROM s2 WHERE w IS NOT NULL GROUP BY symbol),
 k AS (SELECT *, (sxv * sww - swv * sxw) / (sxx * sww - sxw * sxw) AS ar, (swv * sxx - sxv * sxw) / (sxx * sww - sxw * sxw) AS ma FROM n),
-m AS (SELECT symbol, n, ar, ma, mv - ar * mx - ma * mw AS c FROM k)"""
+m AS (SELECT symbol, n, ar, greatest(-0.98, least(0.98, ma)) AS ma, mv - ar * mx - ma * mw AS c FROM k)"""  # an invertible moving average
 # residuals of the fitted model, one position after another
 _AR1MA1_E = f"""{_AR1MA1},
 p AS MATERIALIZED (SELECT symbol, date, close, v, lag(v) OVER ({part()}) AS v1, row_number() OVER ({part()}) - 1 AS pos FROM (

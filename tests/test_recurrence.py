@@ -110,3 +110,13 @@ def test_models_by_version(spark):
     assert {(r.symbol, r.old, r.new) for r in models.compare_versions(spark, path, ("symbol",), "const", 1, 2).collect()} == {("a", 1.0, 5.0), ("b", 2.0, 10.0)}
     with pytest.raises(ValueError):
         models.load_models(spark, path, 9)
+
+
+def test_fits_are_invertible(spark):
+    """An over-differenced short series asks for a moving average beyond the unit circle; predictions stay near the series."""
+    x = np.random.default_rng(12).normal(size=60)
+    df = _frame(spark, {f"s{k}": x[k : k + 40] + 5 for k in range(20)})
+    fit = tsa.arma_fit(df, "close", (1, 1, 1), ar_long=1, wide_form=True)
+    assert all(abs(r["ma_L1"]) <= 0.98 + 1e-12 for r in fit.collect())
+    got = tsa.arma_predict(df, "close", (1, 1, 1), models=fit).toPandas()
+    assert len(got) == 20 * 38 and (got["prediction"] - 5).abs().max() < 50
