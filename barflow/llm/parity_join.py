@@ -10,8 +10,13 @@ Sketches. Every shingle flips one bit of a very wide bit sketch that is cut into
 K blocks; what is left is the parity of each bit. A block is known by the XOR of
 its flipped bits' codes. A pair within D differs in D blocks at most, so it
 agrees in the others (pigeonhole). Let ``s`` be the blocks of A that are not
-empty: the pair shares at least ``s - D`` of them, so A's D + 1 smallest block
-codes and B's meet in one at least (a prefix of any common order suffices).
+empty: the pair shares at least ``s - D`` of them, so A's D + 1 first block
+codes and B's meet in one at least, in any order that both keep. The order is
+rarest first: codes are counted over all classes, frequent ones (a line that many
+texts share) come last by the octave of their count, so texts that have little
+else in common do not meet. The counts decide the work only, never the links:
+tasks count whole packs of text and report the codes of ``SEEN`` classes or more,
+and the most frequent ``RANKED`` codes at most are given to the tasks.
 K depends on the size band of the smaller document, an octave; a document takes
 part in the band below its own too if a partner can be there. In small bands
 every shingle is a block. A document with D filled blocks or fewer (rare) also
@@ -61,6 +66,10 @@ PACK_BYTES = 12 << 20
 HOT = 256
 #: Classes in a tile of sketch comparisons.
 TILE = 2048
+#: Classes of one pack from which on a code's count is reported; codes that the common order may list (16 bytes each).
+SEEN, RANKED = 4, 1 << 19
+#: Classes from which on a code counts as frequent.
+FREQUENT = 32
 _LISTED = np.int64(-(1 << 63))  # in a bucket: the code also has a list elsewhere
 _SMALL = 64  # below, every shingle is a block of its own
 
@@ -119,10 +128,9 @@ def dense_sketches(h: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
 
 
-def block_codes(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The block codes that each document is looked up by: document index and code."""
+def _band_codes(h: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """All block codes of each document, for its own band and the one below: document indices, their bounds D and marks; then an index into those and a code for each filled block."""
     n = np.diff(bounds)
-    docs, codes = [], []
     band = np.floor(np.log2(np.maximum(n, 1))).astype(np.int64)
     lower = np.floor(np.log2(np.maximum(-(-3 * n // 4), 1))).astype(np.int64)
     for below in (0, 1):
@@ -155,36 +163,102 @@ def block_codes(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
             own_block = wide_own[order][head]
             doc.append(own_block)
             code.append(tx.mix(parity ^ tx.mix((slot[head] - first[own_block]).astype(np.uint64) + salt[own_block])))
-        doc, code = np.concatenate(doc), np.concatenate(code)
-        order = np.lexsort((code, doc))
+        yield chosen, bound, tx.mix(salt ^ _C[0]), np.concatenate(doc), np.concatenate(code)
+
+
+#: The common order: frequent codes, ascending, and the octave of each one's count.
+Order = tuple[np.ndarray, np.ndarray]
+
+
+def block_codes(h: np.ndarray, bounds: np.ndarray, frequent: Order | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The block codes that each document is looked up by, the rarest D + 1: document index and code."""
+    docs, codes = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for chosen, bound, mark, doc, code in _band_codes(h, bounds):
+        octave = np.zeros(len(code), np.uint8)
+        if frequent is not None and len(frequent[0]):
+            at = np.minimum(np.searchsorted(frequent[0], code), len(frequent[0]) - 1)
+            octave = np.where(frequent[0][at] == code, frequent[1][at], 0)
+        order = np.lexsort((code, octave, doc))
         doc, code = doc[order], code[order]
         begin = np.searchsorted(doc, np.arange(len(chosen) + 1))
         kept = np.arange(len(doc)) - begin[doc] <= bound[doc]
         thin = np.flatnonzero(np.diff(begin) <= bound)
         docs += [chosen[doc[kept]], chosen[thin]]
-        codes += [code[kept], tx.mix(salt[thin] ^ _C[0])]
-    if not docs:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        codes += [code[kept], mark[thin]]
     return np.concatenate(docs), np.concatenate(codes)
 
 
+def _counted(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of ``SEEN`` classes or more of a pack, and how many; ``held`` has (class, code) arrays."""
+    sets, codes = map(np.concatenate, zip(*held))
+    order = np.lexsort((sets, codes))
+    sets, codes = sets[order], codes[order]
+    once = np.concatenate([[True], (codes[1:] != codes[:-1]) | (sets[1:] != sets[:-1])])
+    codes, many = np.unique(codes[once], return_counts=True)
+    return codes[many >= SEEN], many[many >= SEEN]
+
+
 def _sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, n, cls, sketch`` of every row, written; ``cls`` is the set's hash (NULL without shingles)."""
+    """``doc_id, text_hash, n, cls, sketch, codes, counts`` of every row, written; ``cls`` is the set's hash (NULL without shingles).
+
+    Rows with ``codes`` are no documents: they hold a pack's frequent block codes and their counts (``_frequent`` adds them up).
+    """
+    columns = "doc_id long, text_hash long, n long, cls long, sketch binary, codes binary, counts binary"
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "text_hash", "n", "cls")] + [(c, pa.binary()) for c in ("sketch", "codes", "counts")])
+
+    def pack(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        codes, many = _counted(held)
+        if len(codes):
+            none = [pa.nulls(1, f.type) for f in schema][:5]
+            yield pa.RecordBatch.from_arrays([*none, pa.array([codes.tobytes()], pa.binary()), pa.array([many.astype(np.int64).tobytes()], pa.binary())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = 0
         for part, data, bounds in tx.blocks(batches, "text"):
             h, own = shingle_sets(data, bounds)
-            n = np.diff(own)
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(part.schema.get_field_index(c)) for c in ("doc_id", "text_hash")), pa.array(n.astype(np.int64)), pa.array(set_hash(h, own), mask=n == 0), dense_sketches(h, own)],
-                ["doc_id", "text_hash", "n", "cls", "sketch"],
-            )
+            n, sets = np.diff(own), set_hash(h, own)
+            for chosen, _, _, doc, code in _band_codes(h, own):
+                held.append((sets[chosen[doc]], code))
+            named = [part.column(part.schema.get_field_index(c)) for c in ("doc_id", "text_hash")]
+            yield pa.RecordBatch.from_arrays([*named, pa.array(n.astype(np.int64)), pa.array(sets, mask=n == 0), dense_sketches(h, own), pa.nulls(len(n), pa.binary()), pa.nulls(len(n), pa.binary())], schema=schema)
+            size += len(data)
+            if size >= PACK_BYTES and held:
+                yield from pack(held)
+                held, size = [], 0
+        if held:
+            yield from pack(held)
+
+    return tx.written(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, columns), "jaccard-sets")
 
-    return tx.written(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(run, "doc_id long, text_hash long, n long, cls long, sketch binary"), "jaccard-sets")
 
+def _frequent(sets: DataFrame) -> Order:
+    """The most frequent block codes over all packs (whole octaves of the count, ``RANKED`` codes at most) and their octaves."""
 
-def _packed(docs: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for codes, counts in zip(batch.column("codes"), batch.column("counts")):
+                own = [pa.array(np.frombuffer(x.as_buffer(), np.int64)) for x in (codes, counts)]
+                yield pa.RecordBatch.from_arrays(own, ["code", "many"])
+
+    listed = sets.where("codes is not null").select("codes", "counts").mapInArrow(run, "code long, many long")
+    totals = listed.groupBy("code").agg(F.sum("many").alias("many")).where(F.col("many") >= FREQUENT)
+    totals = tx.written(totals.select("code", F.floor(F.log2("many")).cast("int").alias("octave")), "jaccard-frequent")
+    least, held = 64, 0
+    for octave, codes in sorted(totals.groupBy("octave").count().collect(), reverse=True):
+        held += codes
+        if held > RANKED:
+            break
+        least = octave
+    chosen = totals.where(F.col("octave") >= least).toArrow()
+    codes, octaves = chosen.column("code").to_numpy().view(np.uint64), chosen.column("octave").to_numpy().astype(np.uint8)
+    order = np.argsort(codes)
+    return codes[order], octaves[order]
+
+
+def _packed(docs: DataFrame, buckets: int, frequent: Order) -> DataFrame:
     """Block codes of every row, packed: ``bucket, codes, sets`` (hot codes as lists in buckets below zero)."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # 9 bytes for each of at most RANKED codes
 
     def pack(codes: np.ndarray, sets: np.ndarray) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((sets, codes))
@@ -219,7 +293,7 @@ def _packed(docs: DataFrame, buckets: int) -> DataFrame:
         size = 0
         for _, data, bounds in tx.blocks(batches, "text"):
             h, own = shingle_sets(data, bounds)
-            doc, code = block_codes(h, own)
+            doc, code = block_codes(h, own, shared.value)
             if len(doc):
                 held.append((code, set_hash(h, own)[doc]))
             size += len(data)
@@ -454,11 +528,13 @@ def _tiled(members: DataFrame, classes: DataFrame) -> DataFrame:
 def linked_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document; the component is the smallest id reachable by links."""
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = _sets(docs)
+    counted = _sets(docs)
+    frequent = _frequent(counted)
+    sets = counted.where("codes is null").drop("codes", "counts")
     classes = tx.written(sets.where("cls is not null").groupBy("cls").agg(F.max("n").alias("n"), F.max("sketch").alias("sketch")), "jaccard-classes")
     shingles = classes.agg(F.sum("n")).first()[0] or 0
     buckets = max(32, -(-int(shingles) // (2 * BUCKET_CODES)))
-    shared = tx.written(_packed(docs, buckets).groupBy("bucket").applyInArrow(_meet(buckets), "code long, a long, b long"), "jaccard-shared")
+    shared = tx.written(_packed(docs, buckets, frequent).groupBy("bucket").applyInArrow(_meet(buckets), "code long, a long, b long"), "jaccard-shared")
     groups = _groups(shared)
     tx.release()
 

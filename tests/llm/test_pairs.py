@@ -66,10 +66,38 @@ def test_empty_repeated_and_null_ids(make_docs):
 
 def test_rows_without_an_id_meet_their_own_class_only(make_docs):
     docs = make_docs([(None, " ".join(f"w{i}" for i in range(k, k + 40))) for k in range(0, 800, 20)]).select("doc_id", "text")
-    sets = parity_join._sets(docs)
+    sets = parity_join._sets(docs).where("codes is null")
     assert parity_join._class_texts(sets.select("cls"), sets, docs).count() == 40
 
 
+def _meetings(docs):
+    """Pairs of classes that some block code brings together, counted with each code."""
+    sets = parity_join._sets(docs.select("doc_id", "text"))
+    shared = parity_join._packed(docs, 32, parity_join._frequent(sets)).groupBy("bucket").applyInArrow(parity_join._meet(32), "code long, a long, b long")
+    row = shared.where("b is null").groupBy("code").count().selectExpr("sum(count * (count - 1) / 2) pairs").first()
+    return shared.where("b is not null").count() + (row.pairs or 0)
+
+
+@pytest.mark.parametrize("length", [30, 150])
+def test_a_common_line_brings_no_texts_together(make_docs, length):
+    line = " ".join(f"footer{i}" for i in range(13))
+    own = lambda k: " ".join(f"d{k}w{i}" for i in range(length))
+    rows = [(k, f"{own(k)} {line}") for k in range(600)]
+    assert _meetings(make_docs(rows)) == 0  # with the codes in hash order: a share of all pairs
+    near = rows + [(1000 + k, f"{own(k)} other {line}") for k in range(0, 40, 2)]
+    got = got_components(parity_join.linked_components(make_docs(near)))
+    assert got == brute_components(near)
+    assert length == 30 or all(got[k][1] == k - 1000 for k in got if k >= 1000)
+
+
+def test_the_order_of_codes_decides_no_link(make_docs, texts, monkeypatch):
+    for seen, ranked, frequent in ((1, 1 << 19, 2), (2, 60, 2)):
+        monkeypatch.setattr(parity_join, "SEEN", seen)
+        monkeypatch.setattr(parity_join, "RANKED", ranked)
+        monkeypatch.setattr(parity_join, "FREQUENT", frequent)
+        assert got_components(parity_join.linked_components(make_docs(texts))) == brute_components(texts)
+
+
 def test_sketch_distance_bounds_symmetric_difference():
     rng = np.random.default_rng(3)
     for _ in range(50):
