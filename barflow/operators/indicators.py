@@ -26,8 +26,15 @@ from barflow.operators import halo
 FEATURE_OUT = ["price_range", "daily_change", "ma_10", "ma_50", "rsi", "upper_bb", "lower_bb", "stoch_osc"]
 
 
-def use_adjusted_close(bars: DataFrame) -> DataFrame:
-    """Replace ``close`` by ``adj_close`` (open/high/low stay unadjusted)."""
+def use_adjusted_close(bars: DataFrame, adjust_ohl: bool = False) -> DataFrame:
+    """Replace ``close`` by ``adj_close``.
+
+    Open, high and low stay as they are, or with ``adjust_ohl`` are scaled by the
+    same factor ``adj_close / close`` (NULL where the close is 0 or NULL).
+    """
+    if adjust_ohl:
+        factor = F.try_divide(F.col("adj_close"), F.col("close"))
+        bars = bars.withColumns({c: F.col(c) * factor for c in ("open", "high", "low")})
     return bars.drop("close").withColumnRenamed("adj_close", "close")
 
 

@@ -200,11 +200,18 @@ def q_first_rows(spark, sf):
     return rounded(ex.first_rows(b, 5))
 
 
-@register("kpi_report", ops="F11 A5 A6 (formatted dashboard KPIs)")
+def _kpi_report_sql() -> str:
+    money = lambda c: f"CASE WHEN {c} < 0 THEN '-' ELSE '' END || '$' || format('{{:,.2f}}', abs({c}))"
+    numbers = _kpi_sql(f"WHERE date >= DATE '{KPI_START}' AND date <= DATE '{KPI_END}'")
+    return f"""SELECT symbol, {", ".join(f"{money(c)} AS {c}" for c in ("mean_close", "max_high", "min_low"))},
+  format('{{:,}}', n_bars) AS n_bars, printf('%+.2f%%', change_pct) AS change_pct FROM ({numbers})"""
+
+
+@register("kpi_report", sql=_kpi_report_sql(), ops="F11 A5 A6 (formatted dashboard KPIs)")
 def q_kpi_report(spark, sf):
     from barflow.functions.formatting import money, percent, thousands
 
-    k = ex.price_summary(ind.use_adjusted_close(src.ord_bars(spark, sf)), KPI_START, KPI_END)
+    k = rounded(ex.price_summary(ind.use_adjusted_close(src.ord_bars(spark, sf)), KPI_START, KPI_END))  # decimal ties print alike in both engines
     return k.select(
         "symbol",
         money("mean_close").alias("mean_close"),

@@ -47,6 +47,17 @@ def q_use_adjusted_close(spark, sf):
     return rounded(ind.use_adjusted_close(src.ord_bars(spark, sf)))
 
 
+@register(
+    "use_adjusted_ohl",
+    sql=f"""WITH {ORD}
+SELECT symbol, date, {r4("open * (adj_close / nullif(close, 0))", "open")}, {r4("high * (adj_close / nullif(close, 0))", "high")},
+       {r4("low * (adj_close / nullif(close, 0))", "low")}, {r4("adj_close", "close")}, volume FROM bars""",
+    ops="P3 Q2 (open, high and low by the factor of the close)",
+)
+def q_use_adjusted_ohl(spark, sf):
+    return rounded(ind.use_adjusted_close(src.ord_bars(spark, sf), adjust_ohl=True))
+
+
 @register(
     "price_range_change",
     sql=f"""WITH {ORD}, {ADJ}

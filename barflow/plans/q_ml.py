@@ -231,3 +231,41 @@ def q_ridge_coefficients(spark, sf):
     train, _ = _train_test(spark, sf)
     pipe, _ = rg.lr_pipeline(["close"], "target", regParam=0.1, elasticNetParam=0.0)
     return rounded(rg.coefficients(pipe.fit(train), ["close"]))
+
+
+_NET = [(reg, l1) for reg in (0.1, 1000.0, 20000.0, 1000000.0) for l1 in (0.5, 1.0)]
+
+
+@register(
+    "elastic_net_slopes",
+    sql=f"""WITH {SPLIT_CTE},
+m AS (SELECT max(close) - min(close) AS span, corr(close, target) AS r, stddev_pop(close) AS sx, stddev_pop(target) AS sy FROM sp WHERE split = 'train'),
+g(reg_param, l1_share) AS (VALUES {", ".join(f"(CAST({reg} AS DOUBLE), CAST({l1} AS DOUBLE))" for reg, l1 in _NET)}),
+w AS (SELECT reg_param, l1_share, sign(r) * greatest(abs(r) - reg_param * l1_share / sy, 0) / (1 + reg_param * (1 - l1_share) / sy) * sy / sx AS slope FROM m, g)
+SELECT reg_param, l1_share, {r4("slope", "slope")} FROM w""",
+    ops="M5 (elastic net and lasso of one feature against the soft threshold)",
+)
+def q_elastic_net_slopes(spark, sf):
+    train, _ = _train_test(spark, sf)
+    span = train.agg(F.max("close") - F.min("close")).first()[0]  # the pipeline scales the feature to 0..1
+
+    def slope(reg, l1):
+        pipe, _ = rg.lr_pipeline(["close"], "target", regParam=reg, elasticNetParam=l1, tol=1e-12)
+        return float(pipe.fit(train).stages[-1].coefficients[0]) / span
+
+    return rounded(spark.createDataFrame([(reg, l1, slope(reg, l1)) for reg, l1 in _NET], "reg_param double, l1_share double, slope double"))
+
+
+@register(
+    "ridge_predict_saved",
+    sql=f"""WITH {SPLIT_CTE},
+m AS (SELECT avg(close) AS mx, avg(target) AS my, covar_pop(close, target) / var_pop(close) / (1 + 0.1 / stddev_pop(target)) AS beta FROM sp WHERE split = 'train')
+SELECT symbol, date, {r4("my + beta * (close - mx)", "prediction")} FROM sp, m WHERE split = 'test'""",
+    ops="M4 M13 S8 (fitted, saved, loaded again; predictions against the closed form)",
+)
+def q_ridge_predict_saved(spark, sf):
+    train, test = _train_test(spark, sf)
+    pipe, _ = rg.lr_pipeline(["close"], "target", regParam=0.1, elasticNetParam=0.0)
+    path = scratch_path(spark, "ridge-model")
+    rg.save_model(pipe.fit(train), path)
+    return rounded(rg.predictions(rg.load_pipeline(path), test, "target", "ridge", "test").select("symbol", "date", "prediction"))

@@ -10,20 +10,25 @@ from barflow.session import scratch_path
 NLAGS = 40
 
 
-def _acf_sql() -> str:
+def _acf_cte() -> str:
+    """CTEs up to ``a(symbol, n, lag, acf)``."""
     prods = ", ".join(f"z * lag(z, {k}) OVER ({part()}) AS p{k}" for k in range(1, NLAGS + 1))
     sums = ", ".join(f"sum(p{k}) AS s{k}" for k in range(1, NLAGS + 1))
     rows = " UNION ALL ".join(
         f"SELECT symbol, n, {k} AS lag, {'1.0' if k == 0 else f's{k} / s0'} AS acf FROM s" for k in range(NLAGS + 1)
     )
-    return f"""WITH {LIN},
+    return f"""{LIN},
 dd AS (SELECT symbol, date, close - lag(close) OVER ({part()}) AS v FROM b),
 d AS (SELECT * FROM dd WHERE v IS NOT NULL),
 m AS (SELECT symbol, avg(v) AS m, count(*) AS n FROM d GROUP BY symbol),
 z AS (SELECT d.symbol, d.date, d.v - m.m AS z, m.n FROM d JOIN m USING (symbol)),
 l AS (SELECT symbol, date, n, z * z AS p0, {prods} FROM z),
 s AS (SELECT symbol, max(n) AS n, sum(p0) AS s0, {sums} FROM l GROUP BY symbol),
-a AS ({rows}),
+a AS ({rows})"""
+
+
+def _acf_sql() -> str:
+    return f"""WITH {_acf_cte()},
 c AS (SELECT *, coalesce(sum(CASE WHEN lag >= 1 THEN acf * acf END) OVER (PARTITION BY symbol ORDER BY lag
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS prev_sq FROM a)
 SELECT symbol, CAST(lag AS INTEGER) AS lag, {r4("acf", "acf")},
@@ -39,7 +44,20 @@ def q_acf_40(spark, sf):
     return rounded(_acf_df(spark, sf))
 
 
-@register("pacf_40", ops="A14 (Durbin-Levinson on A13)")
+def _pacf_sql() -> str:
+    """Durbin-Levinson as a recursive CTE: ``phi`` holds the coefficients of order ``k``, ``p`` the last of them."""
+    within = "range(1, k + 1)"
+    return f"""WITH RECURSIVE {_acf_cte()},
+r AS (SELECT symbol, n, list(acf ORDER BY lag) FILTER (WHERE lag > 0) AS r FROM a GROUP BY symbol, n),
+dl AS (SELECT symbol, n, r, 1 AS k, r[1] AS p, [r[1]] AS phi FROM r
+  UNION ALL SELECT symbol, n, r, k + 1, pk, list_append(list_transform({within}, lambda j: phi[j] - pk * phi[k + 1 - j]), pk)
+  FROM (SELECT *, (r[k + 1] - list_sum(list_transform({within}, lambda j: phi[j] * r[k + 1 - j])))
+          / nullif(1 - list_sum(list_transform({within}, lambda j: phi[j] * r[j])), 0) AS pk FROM dl WHERE k < {NLAGS}))
+SELECT symbol, CAST(k AS INTEGER) AS lag, {r4("p", "pacf")}, {r4("1.96 / sqrt(n)", "conf_band")}, n FROM dl
+UNION ALL SELECT symbol, 0, 1.0, 0.0, n FROM r"""
+
+
+@register("pacf_40", sql=_pacf_sql(), ops="A14 (Durbin-Levinson on A13)")
 def q_pacf_40(spark, sf):
     return rounded(tsa.pacf(_acf_df(spark, sf)))
 
