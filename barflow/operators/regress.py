@@ -167,15 +167,15 @@ def best_params(cv_model, grid, lr: LinearRegression) -> dict:
 
 
 def grid_search(train: DataFrame, valid: DataFrame, features: Sequence[str] = FEATURE_COLS,
-                label: str = "target", metric: str = "rmse"):
-    """Fit every grid map on ``train``, pick by ``valid`` (honouring larger-is-better).
+                label: str = "target", metric: str = "rmse", grid=None):
+    """Fit every map of the grid (``grid``, a function of the regression, or the 27 maps) on ``train``, pick by ``valid`` (honouring larger-is-better).
 
     The assembler and scaler are fitted once, maps that give the same model are
     fitted once, and one aggregate scores all models. Returns ``(model, params)``
     with ``model`` a ``PipelineModel``.
     """
     prep, lr = _prepared(train, features, label)
-    grid = param_grid(lr)
+    grid = param_grid(lr) if grid is None else grid(lr)
     fit_rows = prep.transform(train).select("scaled_features", label).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         models = _fit_each(lr, fit_rows, grid)

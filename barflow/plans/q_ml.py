@@ -71,6 +71,36 @@ def q_grid_search_fit(spark, sf):
     return rounded(m.withColumns({k: F.lit(float(v)) for k, v in params.items()}))
 
 
+_GRID = [0.1, 1000.0, 20000.0]
+
+
+@register(
+    "ridge_grid_search",
+    sql=f"""WITH {SPLIT_CTE},
+tr AS (SELECT *, row_number() OVER ({part()}) - 1 AS i, count(*) OVER (PARTITION BY symbol) AS m FROM sp WHERE split = 'train'),
+inn AS (SELECT close, target, i < floor(0.8 * m) AS fitted FROM tr),
+g AS (SELECT avg(close) AS mx, avg(target) AS my, covar_pop(close, target) / var_pop(close) AS slope, stddev_pop(target) AS sy FROM inn WHERE fitted),
+fits AS (SELECT CAST(reg_param AS DOUBLE) AS reg_param, mx, my, slope / (1 + reg_param / sy) AS beta FROM g, (SELECT unnest({_GRID}) AS reg_param)),
+v AS (SELECT reg_param, any_value(mx) AS mx, any_value(my) AS my, any_value(beta) AS beta, sqrt(avg((target - my - beta * (close - mx)) ** 2)) AS valid_metric
+      FROM fits, inn WHERE NOT fitted GROUP BY reg_param ORDER BY valid_metric LIMIT 1),
+p AS (SELECT 'train' AS split, target, target - my - beta * (close - mx) AS e, reg_param, valid_metric FROM inn, v WHERE fitted
+      UNION ALL SELECT 'test', target, target - my - beta * (close - mx), reg_param, valid_metric FROM sp, v WHERE split = 'test')
+SELECT split, count(*) AS n, {r4("sqrt(avg(e * e))", "rmse")}, {r4("avg(abs(e))", "mae")}, {r4("1 - avg(e * e) / var_pop(target)", "r2")},
+       reg_param, {r4("any_value(valid_metric)", "valid_metric")} FROM p GROUP BY split, reg_param""",
+    ops="M8 (one-feature ridge grid, picked on a validation block)",
+)
+def q_ridge_grid_search(spark, sf):
+    train, test = _train_test(spark, sf)
+    inner = sp.chrono_split(train.drop("split", "_idx", "_n", "_blk"), 0.8, col="inner")
+    fit_rows = inner.where(F.col("inner") == "train").drop("inner", "_idx", "_n", "_blk")
+    valid = inner.where(F.col("inner") == "test").drop("inner", "_idx", "_n", "_blk")
+    grid_of = lambda lr: rg.param_grid(lr, _GRID, [0.0], [100])
+    model, params = rg.grid_search(fit_rows, valid, ["close"], "target", grid=grid_of)
+    preds = rg.predictions(model, fit_rows, "target", "ridge", "train").unionByName(rg.predictions(model, test, "target", "ridge", "test"))
+    m = mt.regression_metrics(preds, group=["split"]).drop("mse")
+    return rounded(m.withColumns({k: F.lit(float(params[k])) for k in ("reg_param", "valid_metric")}))
+
+
 def _seq_sets(spark, sf):
     b = ord_adj(spark, sf)
     seqs = sq.lookback_sequences(b, "close", SEQ_LOOK_BACK)

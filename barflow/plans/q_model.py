@@ -8,7 +8,7 @@ from barflow.functions.dates import future_dates
 from barflow.operators import indicators as ind, metrics as mt, scale as sc, sequences as sq, split as sp
 from barflow.plans.q_features import ADJ, LIN, ORD, features_sql, lin, ord_adj
 from barflow.plans.registry import part, r4, register, rounded
-from barflow.session import materialize
+from barflow.session import materialize, scratch_path
 from barflow.sources import bars as src
 
 SCALE_COLS = ["open", "high", "low", "close", "volume"]
@@ -99,12 +99,12 @@ def q_second_difference(spark, sf):
     return rounded(d.select("symbol", "date", "diff_2"))
 
 
-def _lookback_sql(drop_last: bool) -> str:
-    xs = ", ".join(r4(f"lag(close, {LOOK_BACK - i}) OVER ({part()})", f"x_{i + 1}") for i in range(LOOK_BACK))
+def _lookback_sql(drop_last: bool, kind: str = "DOUBLE") -> str:
+    xs = ", ".join(r4(f"lag(CAST(close AS {kind}), {LOOK_BACK - i}) OVER ({part()})", f"x_{i + 1}") for i in range(LOOK_BACK))
     last = f", lead(date) OVER ({part()}) AS nxt" if drop_last else ""
     cond = " AND nxt IS NOT NULL" if drop_last else ""
     return f"""WITH {LIN},
-l AS (SELECT symbol, date, {xs}, {r4("close", "y")}, row_number() OVER ({part()}) AS rn{last} FROM b)
+l AS (SELECT symbol, date, {xs}, {r4(f"CAST(close AS {kind})", "y")}, row_number() OVER ({part()}) AS rn{last} FROM b)
 SELECT symbol, date, {", ".join(f"x_{i + 1}" for i in range(LOOK_BACK))}, y FROM l WHERE rn > {LOOK_BACK}{cond}"""
 
 
@@ -157,6 +157,22 @@ def q_inverse_minmax(spark, sf):
     return rounded(back.select("symbol", "date", "close_restored"))
 
 
+@register("scale_and_save", sql=_minmax_sql(False), ops="S11 (train, test and scaler written and read again)")
+def q_scale_and_save(spark, sf):
+    m = model_table(spark, sf)
+    path = scratch_path(spark, "scaled-pair")
+    sc.scale_and_save(spark, m.where(F.col("split") == "train"), m.where(F.col("split") == "test"), SCALE_COLS, path)
+    both = spark.read.parquet(f"{path}/train").unionByName(spark.read.parquet(f"{path}/test"))
+    return rounded(both.select("symbol", "date", "split", *[f"{c}_scaled" for c in SCALE_COLS]))
+
+
+@register("lookback_float", sql=_lookback_sql(False, "FLOAT"), ops="F10 (single-precision sequences)")
+def q_lookback_float(spark, sf):
+    s = sq.lookback_sequences(lin(spark, sf), "close", LOOK_BACK, dtype="float")
+    s = sq.sequences_to_columns(s, LOOK_BACK)
+    return rounded(s.select(*[F.col(c).cast("double").alias(c) if kind == "float" else F.col(c) for c, kind in s.dtypes]))
+
+
 _NAIVE_CTE = f"""{SPLIT_CTE},
 p AS (SELECT symbol, date, split, target AS label, close AS prediction FROM sp)"""
 
