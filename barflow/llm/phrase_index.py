@@ -10,10 +10,16 @@ segments. The index is a Parquet table in the shared checkpoint folder.
 A query phrase is answered inside each segment: the rarest term's list is
 shifted by the term's offset to phrase starts, and the other terms' shifted
 lists are intersected with it, rarest first; starts that cross a document edge
-go. Proximity matches (all terms within a span, any order) start from the rarest
-term's positions in the same way. Test items come to the tasks in blocks of at
-most ``BLOCK_ITEM_BYTES``; each block is one pass over the index, so any number
-of items works in bounded memory.
+go. All windows of a chunk are answered in the same numpy calls. Proximity matches
+(all terms within a span, any order) start from the rarest term's positions.
+
+Test items are compiled by Spark tasks into a written table of blocks: distinct
+terms, the words of the items as term numbers (a window is a stretch of them, so
+overlapping windows take no room of their own) and the owners. A block is cut by
+the bytes of these arrays, at most ``BLOCK_ITEM_BYTES`` (a longer item is cut into
+overlapping pieces; only one word beyond the bound makes a block beyond it). The
+driver and the tasks hold one block of it at a time; each block is one pass over
+the index, so any number of items works in bounded memory.
 
 Defined results: NULL and empty texts have no words and match nothing; an item
 without words has no windows; repeated items match like one, repeated documents
@@ -35,8 +41,12 @@ from barflow.llm import text as tx
 
 #: Text bytes in a segment (one longer text is a segment of its own).
 SEGMENT_BYTES = 4 << 20
-#: Item text bytes that one pass over the index takes (the size bound of what is broadcast).
+#: Bytes of compiled items that one pass over the index takes (the size bound of what is broadcast).
 BLOCK_ITEM_BYTES = 8 << 20
+#: Words of an item that are compiled at once; a longer item is cut into pieces that share a window less a word.
+PIECE_WORDS = 1 << 16
+#: Windows, and positions of their rarest terms, that are intersected in one step.
+CHUNK_WINDOWS, CHUNK_POSITIONS = 1 << 14, 1 << 20
 #: Words in a window.
 WINDOW = 10
 
@@ -84,8 +94,12 @@ class Segment:
         n = len(bounds) - 1
         terms = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(row["term_bounds"]), pa.py_buffer(row["terms"])])
         at = pc.index_in(wanted, terms).fill_null(-1).to_numpy(zero_copy_only=False)
-        self.begin = np.where(at >= 0, bounds[at], 0)
+        self.begin = np.where(at >= 0, bounds[at], 0).astype(np.int64)
         self.count = np.where(at >= 0, bounds[at + 1] - bounds[at], 0) if n else np.zeros(len(wanted), np.int32)
+        number = np.full(n, -1, np.int32)
+        number[at[at >= 0]] = np.flatnonzero(at >= 0)
+        self.term_at = np.empty(len(self.postings), np.int32)
+        self.term_at[self.postings] = np.repeat(number, np.diff(bounds))
 
     def positions(self, term: int) -> np.ndarray:
         return self.postings[self.begin[term] : self.begin[term] + self.count[term]]
@@ -94,23 +108,41 @@ class Segment:
         return np.searchsorted(self.word_bounds, position, "right") - 1
 
 
-def _present(sorted_list: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = np.searchsorted(sorted_list, values)
-    at[at == len(sorted_list)] = 0
-    return sorted_list[at] == values
-
-
-def phrase_starts(segment: Segment, phrase: np.ndarray) -> np.ndarray:
-    """Positions where the term sequence stands, by intersecting offset-adjusted lists from the rarest term."""
-    order = np.argsort(segment.count[phrase], kind="stable")
-    starts = segment.positions(phrase[order[0]]) - np.int32(order[0])
-    for offset in order[1:]:
-        if len(starts) == 0:
-            return starts
-        starts = starts[_present(segment.positions(phrase[offset]), starts + np.int32(offset))]
-    starts = starts[starts >= 0]
-    row = segment.row_of(starts)
-    return starts[starts + len(phrase) <= segment.word_bounds[row + 1]]
+def _chunks(counts: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Stretches of the counts that add up to at most ``limit`` (or are one)."""
+    total = np.cumsum(counts)
+    lo = 0
+    while lo < len(counts):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + limit, "right")))
+        yield lo, hi
+        lo = hi
+
+
+def phrase_starts(segment: Segment, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the term sequences (rows of one width) stand: row number and position.
+
+    The rarest term's list is shifted to phrase starts and intersected with the other
+    terms' shifted lists, rarest first. A position is in a term's list if the term
+    stands there, so each intersection is one look-up for each start that is left.
+    """
+    width = phrases.shape[1]
+    order = np.argsort(segment.count[phrases], axis=1, kind="stable")
+    rarest = phrases[np.arange(len(phrases)), order[:, 0]]
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for lo, hi in _chunks(segment.count[rarest], CHUNK_POSITIONS):
+        n = segment.count[rarest[lo:hi]].astype(np.int64)
+        row = np.repeat(np.arange(lo, hi), n)
+        within = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        starts = segment.postings[segment.begin[rarest[row]] + within].astype(np.int64) - order[row, 0]
+        left = (starts >= 0) & (starts + width <= len(segment.term_at))
+        row, starts = row[left], starts[left]
+        for j in range(1, width):
+            offset = order[row, j]
+            left = segment.term_at[starts + offset] == phrases[row, offset]
+            row, starts = row[left], starts[left]
+        left = starts + width <= segment.word_bounds[segment.row_of(starts) + 1]
+        found.append((row[left], starts[left]))
+    return np.concatenate([r for r, _ in found]), np.concatenate([x for _, x in found])
 
 
 def proximity_starts(segment: Segment, terms: np.ndarray, span: int) -> np.ndarray:
@@ -138,110 +170,160 @@ def proximity_starts(segment: Segment, terms: np.ndarray, span: int) -> np.ndarr
     return first[inside]
 
 
-def _merged(starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unions of the ranges ``[start, start + width)``."""
-    starts = np.unique(starts)
-    head = np.flatnonzero(np.concatenate([[True], starts[1:] > starts[:-1] + width]))
-    return starts[head], starts[np.concatenate([head[1:] - 1, [len(starts) - 1]])] + width
+class Phrases:
+    """A bounded block of items: distinct terms, words as term numbers, and for each piece of an item its bounds, window width and id."""
+
+    def __init__(self, row):
+        self.terms = pa.Array.from_buffers(pa.binary(), len(row["term_bounds"]) // 4 - 1, [None, pa.py_buffer(bytes(row["term_bounds"])), pa.py_buffer(bytes(row["terms"]))])
+        self.codes, self.bounds, self.widths = (np.frombuffer(bytes(row[c]), np.int32) for c in ("codes", "bounds", "widths"))
+        self.items = pa.array(row["items"], pa.string())
+
+    def windows(self, held: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Windows whose terms are all held, in chunks of one width: the owner of each, and rows of term numbers."""
+        missing = np.concatenate([[0], np.cumsum(~held[self.codes])])
+        owner = np.repeat(np.arange(len(self.widths)), np.diff(self.bounds))
+        stop = np.arange(len(owner)) + self.widths[owner]
+        at = np.flatnonzero(stop <= self.bounds[owner + 1])
+        at = at[missing[stop[at]] == missing[at]]
+        for width in np.unique(self.widths[owner[at]]):
+            own = at[self.widths[owner[at]] == width]
+            for lo in range(0, len(own), CHUNK_WINDOWS):
+                part = own[lo : lo + CHUNK_WINDOWS]
+                yield owner[part], self.codes[part[:, None] + np.arange(width)]
+
+
+_BLOCK_SCHEMA = "block long, terms binary, term_bounds binary, codes binary, bounds binary, widths binary, items array<string>"
+
+
+class _Open:
+    """A block that is being filled."""
+
+    def __init__(self):
+        self.terms: dict[bytes, int] = {}
+        self.codes: list[np.ndarray] = []
+        self.widths: list[int] = []
+        self.items: list[str] = []
+        self.size = 0
+
+    def cost(self, item: str, words: list[bytes]) -> int:
+        return 4 * len(words) + sum(len(w) + 4 for w in set(words) if w not in self.terms) + len(item.encode()) + 12
+
+    def add(self, item: str, words: list[bytes], width: int) -> None:
+        self.size += self.cost(item, words)
+        self.codes.append(np.array([self.terms.setdefault(w, len(self.terms)) for w in words], np.int32))
+        self.widths.append(min(width, len(words)))
+        self.items.append(item)
+
+    def batch(self, number: int) -> pa.RecordBatch:
+        term_bounds = np.concatenate([[0], np.cumsum([len(t) for t in self.terms])])
+        bounds = np.concatenate([[0], np.cumsum([len(c) for c in self.codes])])
+        arrays = [b"".join(self.terms), *(np.asarray(x, np.int32).tobytes() for x in (term_bounds, np.concatenate(self.codes), bounds, self.widths))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([number], pa.int64()), *[pa.array([x], pa.binary()) for x in arrays], pa.array([self.items], pa.list_(pa.string()))],
+            ["block", "terms", "term_bounds", "codes", "bounds", "widths", "items"],
+        )
+
+
+def _pieces(words: list[bytes], width: int, limit: int) -> Iterator[list[bytes]]:
+    """The words in pieces of at most ``PIECE_WORDS`` words and about ``limit`` bytes that hold every window once."""
+    lo = 0
+    while lo < len(words):
+        hi, size = lo, 0
+        while hi < len(words) and hi - lo < PIECE_WORDS and (size <= limit // 2 or hi - lo < width):
+            size += len(words[hi]) + 8
+            hi += 1
+        yield words[lo:hi]
+        if hi == len(words):
+            return
+        lo = hi - width + 1
+
+
+def compile_items(items: DataFrame, item_id: str = "item_id", text: str = "text", width: int = WINDOW, limit: int = BLOCK_ITEM_BYTES) -> DataFrame:
+    """The items as a written table of blocks of at most ``limit`` bytes each, compiled by the tasks."""
+    chosen = items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("item_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    size = chosen.agg(F.sum(F.octet_length("text") + F.octet_length("item_id") + 64).alias("size")).first()["size"] or 0
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, number = _Open(), 0
+        for batch in batches:
+            for item, whole in zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist()):
+                for words in _pieces(item_words(whole), width, limit):
+                    if block.items and block.size + block.cost(item, words) > limit:
+                        yield block.batch(tx.task_number(number))
+                        block, number = _Open(), number + 1
+                    block.add(item, words, width)
+        if block.items:
+            yield block.batch(tx.task_number(number))
 
-class Phrases:
-    """A bounded block of phrases: distinct terms, phrases as rows of term numbers, and the items of each."""
-
-    def __init__(self, items: list[tuple[str, list[list[bytes]]]]):
-        terms: dict[bytes, int] = {}
-        owners: dict[tuple[int, ...], dict[str, None]] = {}
-        for item, phrases in items:
-            for phrase in phrases:
-                key = tuple(terms.setdefault(w, len(terms)) for w in phrase)
-                owners.setdefault(key, {})[item] = None
-        self.terms = pa.array(list(terms), pa.binary())
-        self.by_width: list[tuple[int, np.ndarray, list[list[str]]]] = []
-        for width in sorted({len(k) for k in owners}):
-            keys = [k for k in owners if len(k) == width]
-            self.by_width.append((width, np.array(keys, np.int64), [list(owners[k]) for k in keys]))
-
-
-def windows(words: list[bytes], width: int = WINDOW) -> list[list[bytes]]:
-    """All ``width``-word windows; fewer words (but not none) are one window."""
-    return [words[i : i + width] for i in range(max(1, len(words) - width + 1))] if words else []
-
-
-def item_blocks(items: DataFrame, item_id: str, text: str, limit: int) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks of bounded size, one block in the driver at a time."""
-    block: list[tuple[str, str]] = []
-    size = 0
-    for item, words in items.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")), text).distinct().toLocalIterator():
-        block.append((item, words or ""))
-        size += len(words or "") + 64
-        if size >= limit:
-            yield block
-            block, size = [], 0
-    if block:
-        yield block
+    return tx.written(chosen.distinct().repartition(1 + int(size // max(limit // 2, 1 << 16))).mapInArrow(run, _BLOCK_SCHEMA), "phrase-items")
 
 
 MATCHES = "segment long, row int, doc_id long, item_id string, start int, end int"
 
 
-def _search(index: DataFrame, block: Phrases, find, spread: int) -> DataFrame:
-    """Matches of a block of phrases: merged word ranges by document and item (positions count from the document's first word)."""
+def _ranges(segment: Segment, owner: np.ndarray, starts: np.ndarray, widths: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Unions of the matched ranges by owner and document: owner, row, start and end from the document's first word."""
+    order = np.lexsort((starts, owner))
+    owner, starts = owner[order], starts[order]
+    row = segment.row_of(starts)
+    head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (row[1:] != row[:-1]) | (starts[1:] > starts[:-1] + widths[owner[1:]])]))
+    last = np.concatenate([head[1:] - 1, [len(starts) - 1]])
+    owner, row = owner[head], row[head]
+    ends = np.minimum(starts[last] + widths[owner], segment.word_bounds[row + 1])
+    return owner, row, starts[head] - segment.word_bounds[row], ends - segment.word_bounds[row]
+
+
+def _search(index: DataFrame, block: dict, find, spread: int) -> DataFrame:
+    """Matches of a block of items: merged word ranges by document and item (positions count from the document's first word)."""
     shared = index.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = shared.value
+        wanted = Phrases(shared.value)
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_buffer() for c in ("word_bounds", "terms", "term_bounds", "postings", "posting_bounds")}
                 segment = Segment(row, wanted.terms)
-                hits: dict[tuple[str, int], list[np.ndarray]] = {}
-                for width, phrases, items in wanted.by_width:
-                    for k in np.flatnonzero((segment.count[phrases] > 0).all(axis=1)):
-                        starts = find(segment, phrases[k])
-                        if len(starts):
-                            for item in items[k]:
-                                hits.setdefault((item, width + spread), []).append(starts)
-                for (item, width), found in hits.items():
-                    starts = np.unique(np.concatenate(found))
-                    rows = segment.row_of(starts)
-                    cut = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-                    for r, own in zip(rows[cut], np.split(starts, cut[1:])):
-                        base = segment.word_bounds[r]
-                        lo, hi = _merged(own - base, width)
-                        hi = np.minimum(hi, segment.word_bounds[r + 1] - base)
-                        n = len(lo)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array([batch.column("segment")[i].as_py()] * n, pa.int64()), pa.array([int(r)] * n, pa.int32()),
-                                pa.array([batch.column("doc_ids")[i].values[int(r)].as_py()] * n, pa.int64()), pa.array([item] * n, pa.string()),
-                                pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
-                            ],
-                            ["segment", "row", "doc_id", "item_id", "start", "end"],
-                        )
+                hits = []
+                for owner, phrases in wanted.windows(segment.count > 0):
+                    which, starts = find(segment, phrases)
+                    if len(starts):
+                        hits.append((owner[which], starts))
+                if not hits:
+                    continue
+                owner, rows, lo, hi = _ranges(segment, np.concatenate([o for o, _ in hits]), np.concatenate([x for _, x in hits]), wanted.widths + spread)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(lo), batch.column("segment")[i].as_py(), np.int64)), pa.array(rows, pa.int32()),
+                        batch.column("doc_ids")[i].values.take(pa.array(rows)), wanted.items.take(pa.array(owner)), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
+                    ],
+                    ["segment", "row", "doc_id", "item_id", "start", "end"],
+                )
 
     return index.mapInArrow(run, MATCHES)
 
 
-def _all_blocks(index: DataFrame, items: DataFrame, item_id: str, text: str, phrases_of, find, spread: int, limit: int) -> DataFrame:
+def _all_blocks(index: DataFrame, items: DataFrame, item_id: str, text: str, width: int, find, spread: int, limit: int) -> DataFrame:
+    blocks = compile_items(items, item_id, text, width, limit)
     found = None
-    for block in item_blocks(items, item_id, text, limit):
-        part = _search(index, Phrases([(item, phrases_of(item_words(words))) for item, words in block]), find, spread)
+    for (number,) in blocks.select("block").sort("block").collect():  # a number for each block
+        part = _search(index, blocks.where(F.col("block") == number).first().asDict(), find, spread)
         found = part if found is None else found.unionByName(part)
     return index.sparkSession.createDataFrame([], MATCHES) if found is None else found
 
 
 def phrase_matches(index: DataFrame, items: DataFrame, item_id: str = "item_id", text: str = "text", width: int = WINDOW, limit: int = BLOCK_ITEM_BYTES) -> DataFrame:
     """Exact occurrences of the items' windows: merged word ranges ``[start, end)`` by document and item."""
-    return _all_blocks(index, items, item_id, text, lambda w: windows(w, width), phrase_starts, 0, limit)
+    return _all_blocks(index, items, item_id, text, width, phrase_starts, 0, limit)
 
 
 def proximity_matches(index: DataFrame, items: DataFrame, slop: int = 5, item_id: str = "item_id", text: str = "text", width: int = WINDOW, limit: int = BLOCK_ITEM_BYTES) -> DataFrame:
     """Stretches of a window's length plus ``slop`` that hold all its distinct words, in any order."""
 
-    def find(segment: Segment, phrase: np.ndarray) -> np.ndarray:
-        return proximity_starts(segment, phrase, len(phrase) + slop)
+    def find(segment: Segment, phrases: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = [proximity_starts(segment, phrase, len(phrase) + slop) for phrase in phrases]
+        return np.repeat(np.arange(len(found)), [len(x) for x in found]), np.concatenate([*found, np.empty(0, np.int64)]).astype(np.int64)
 
-    return _all_blocks(index, items, item_id, text, lambda w: windows(w, width), find, slop, limit)
+    return _all_blocks(index, items, item_id, text, width, find, slop, limit)
 
 
 def indexed_documents(index: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 import re
 import zlib
@@ -54,7 +55,7 @@ def brute_hits(rows, items):
     return out
 
 
-@pytest.mark.parametrize("limit", [1, 1 << 20])
+@pytest.mark.parametrize("limit", [700, 1 << 20])
 def test_contamination(spark, make_docs, texts, monkeypatch, limit):
     monkeypatch.setattr(phrase_index, "SEGMENT_BYTES", 3000)
     rows = texts + [(40, texts[40][1]), (None, texts[3][1])]
@@ -67,6 +68,38 @@ def test_contamination(spark, make_docs, texts, monkeypatch, limit):
     assert got == brute_hits(rows, items)
 
 
+def test_blocks_of_items_are_bounded(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(phrase_index, "CHUNK_WINDOWS", 7)
+    monkeypatch.setattr(phrase_index, "CHUNK_POSITIONS", 50)
+    rnd = random.Random(8)
+    words = [f"w{k}" for k in range(900)]
+    long = " ".join(rnd.choice(words) for _ in range(3000))
+    items = [(1, long), (2, "a " * 2000), (3, "b"), (4, None), (5, long)] + [(10 + k, " ".join(rnd.choice(words) for _ in range(30))) for k in range(40)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    limit = 16_000
+    blocks = phrase_index.compile_items(frame, limit=limit).collect()
+    assert len(blocks) > 2
+    for b in blocks:
+        assert len(pickle.dumps(b.asDict())) <= limit + 1000
+        assert sum(len(b[c]) for c in ("terms", "term_bounds", "codes", "bounds", "widths")) <= limit + 16
+    held = Counter()
+    for b in blocks:
+        block = phrase_index.Phrases(b.asDict())
+        for owner, phrases in block.windows(np.ones(len(block.terms), bool)):
+            for o, p in zip(owner, phrases):
+                held[(block.items[int(o)].as_py(), tuple(block.terms[int(t)].as_py().decode() for t in p))] += 1
+    want = Counter()
+    for i, t in items:
+        w = ITEM_WORD.findall(t or "")
+        want.update((str(i), tuple(w[k : k + 10])) for k in range(max(1, len(w) - 9) if w else 0))
+    assert held == want  # every window once, however its item was cut
+    rows = [(1, long[200:9000]), (2, "x " + "a " * 25 + "y b"), (3, " ".join(reversed(long.split()))), (4, long)]
+    index = phrase_index.build_index(make_docs(rows))
+    hits = phrase_index.hit_words(phrase_index.phrase_matches(index, frame, limit=limit))
+    joined = phrase_index.word_counts(index).join(hits, ["segment", "row"], "left")
+    assert Counter((r.doc_id, r.n_words, r.n_hit or 0, ",".join(r["items"] or [])) for r in joined.collect()) == brute_hits(rows, items)
+
+
 def test_contamination_of_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert phrase_index.contamination(make_docs([]), none).count() == 0
