@@ -15,9 +15,13 @@ consumed and dropped):
 * ``card``    digits joined by single spaces or hyphens, 13 to 19 of them, Luhn-valid
 * ``phone``   ``\+[0-9][\x20().0-9-]+[0-9]`` with 9 to 15 digits
 * ``login``   a URL whose authority carries user information (added)
-* ``account`` an identifier right after a cue word, in any ASCII case, and its
-  qualifier if there is one ("number", "no." ...): an IBAN that passes its length
-  and mod 97, or a value of 6 digits or more (added). What stands after "iban" in
+* ``account`` an identifier right after a cue word, in any ASCII case and not
+  inside a longer word, and its qualifier if there is one ("number", "no." ...): an
+  IBAN that passes its length and mod 97, or a value of 6 digits or more (added): a
+  run of letters and digits with further groups that begin with a digit, joined by
+  single hyphens or blanks. Once a value has 6 digits, a blank only goes on with groups
+  of at most 5 digits that blanks join already, so a number after a whole identifier
+  is not taken along. What stands after "iban" in
   the form of one must be valid
 
 Positions are code points, end exclusive. NULL and empty text have no spans;
@@ -44,6 +48,8 @@ SCHEMES = ("http://", "https://", "ftp://", "ssh://")
 CUES = ("iban", "ssn", "account", "acct", "passport")
 #: What may stand between a cue and its value: a plural, qualifiers, then signs and any run of blanks.
 AFTER_CUE = re.compile(r"s?(?:[\x20\t:#=._/-]*(?:numbers?|num|nos?|nr|id|code)(?![A-Za-z0-9]))*[\x20\t:#=.]+", re.ASCII | re.IGNORECASE)
+#: Digits of a group of an identifier that is printed in groups, at most.
+GROUP = 5
 # Lengths of the IBANs of each country (the registry of ISO 13616).
 IBAN_LENGTHS = {
     x[:2]: int(x[2:])
@@ -73,7 +79,7 @@ def _in_any_case(words: tuple[str, ...]) -> list[str]:
 @lru_cache(maxsize=1)
 def _anchors() -> ahocorasick.Automaton:
     found = ahocorasick.Automaton()
-    for text, kind in [("@", "@"), ("+", "+"), *((d, "0") for d in sorted(_DIGITS)), *((s, "scheme") for s in SCHEMES), *((c, "cue") for c in _in_any_case(CUES))]:
+    for text, kind in [("@", "@"), ("+", "+"), *((d, "0") for d in sorted(_DIGITS)), *((s, "scheme") for s in SCHEMES), *((c, len(c)) for c in _in_any_case(CUES))]:
         found.add_word(text, kind)
     found.make_automaton()
     return found
@@ -193,9 +199,16 @@ def _account(text: str, after: int) -> tuple[int, int] | None:
     end = _run(text, at, _ALNUM)
     if end == at:
         return None
-    while text[end : end + 1] in (" ", "-") and text[end : end + 1] and text[end + 1 : end + 2] in _DIGITS:
-        end = _run(text, end + 1, _ALNUM)
-    return (at, end) if sum(c in _DIGITS for c in text[at:end]) >= 6 else None
+    begin, before, digits = at, "", sum(c in _DIGITS for c in text[at:end])
+    while (joint := text[end : end + 1]) in ("-", " ") and text[end + 1 : end + 2] in _DIGITS:
+        group = _run(text, end + 1, _ALNUM)
+        if digits >= 6 and joint == " ":
+            short = end - begin <= GROUP and group - end - 1 <= GROUP and _run(text, end + 1, _DIGITS) == group
+            if before != " " or not short:
+                break
+        digits += sum(c in _DIGITS for c in text[end + 1 : group])
+        begin, before, end = end + 1, joint, group
+    return (at, end) if digits >= 6 else None
 
 
 def find_spans(text: str | None) -> list[tuple[str, int, int]]:
@@ -222,7 +235,7 @@ def find_spans(text: str | None) -> list[tuple[str, int, int]]:
             pluses.append(last)
         elif kind == "scheme":
             schemes.append(last + 1)
-        else:
+        elif last < kind or text[last - kind] not in _ALNUM:  # a cue, known by its length, that begins a word
             cues.append(last + 1)
     if begin >= 0:
         runs.append((begin, end))

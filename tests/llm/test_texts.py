@@ -509,6 +509,61 @@ def test_pii_accounts_are_checked():
 # --- helpers ---
 
 
+@pytest.mark.parametrize(("text", "value"), [("Taccount 1234567", None), ("bank_account: 1234567", "1234567"), ("account no: 12345678 20 people", "12345678"), ("ssn 123-45-6789 20 people", "123-45-6789"), ("acct 1234 5678 9012, x", "1234 5678 9012"), ("acct 1234 567890 x", "1234 567890"), ("account 12345678-01 5", "12345678-01"), ("acct AB 1234567 20", "AB 1234567"), ("acct 1234 5678 20th", "1234 5678")])
+def test_pii_account_boundaries(text, value):
+    assert [text[a:b] for k, a, b in pii.find_spans(text) if k == "account"] == ([value] if value else [])
+
+
+ALNUM = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def brute_added(text):
+    """Logins and accounts by patterns tried at every position, IBANs by trying every end."""
+    found = set()
+    for m in re.finditer(r"(?=(?:https?|ftp|ssh)://)", text):
+        if own := re.compile(r"(?:https?|ftp|ssh)://([^/?#\"'<> \t\r\n\v\f]+@[^@/?#\"'<> \t\r\n\v\f]+)(?:[/?#\"'<> \t\r\n\v\f]|\Z)").match(text, m.start()):
+            found.add(("login", *own.span(1)))
+    cue = re.compile(r"(?<![A-Za-z0-9])(?:iban|ssn|account|acct|passport)(?=" + pii.AFTER_CUE.pattern + ")", re.ASCII | re.IGNORECASE)
+    for m in cue.finditer(text):
+        at = pii.AFTER_CUE.match(text, m.end()).end()
+        if re.compile("[A-Za-z]{2}[0-9]{2}").match(text, at):
+            length, ends = pii.IBAN_LENGTHS.get(text[at : at + 2].upper()), []
+            for end in range(at + 15, min(len(text), at + 70) + 1):
+                plain = re.sub("[ -]", "", text[at:end]).upper()
+                whole = re.fullmatch("[A-Za-z0-9]+(?:[ -][A-Za-z0-9]+)*", text[at:end]) and not re.match("[A-Za-z0-9]", text[end : end + 1])
+                if whole and (len(plain) == length or not length and 15 <= len(plain) <= 34) and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                    ends.append(end)
+            if ends:
+                found.add(("account", at, ends[-1]))
+                continue
+            if m.group().lower() == "iban":
+                continue
+        groups = list(re.compile(r"(?:^|[ -](?=[0-9]))([A-Za-z0-9]+)").finditer(text[at:])) if text[at : at + 1] in ALNUM else []
+        own = ""
+        for g, past in zip(groups, [None, *groups]):
+            if past and g.start() != past.end():
+                break
+            whole = len(re.findall("[0-9]", own)) >= 6
+            if whole and g.group()[0] == " " and not re.search(r" [0-9A-Za-z]{1,5}$", own) or whole and re.match(" (?![0-9]{1,5}$)", g.group()):
+                break
+            own += g.group()
+        if len(re.findall("[0-9]", own)) >= 6:
+            found.add(("account", at, at + len(own)))
+    return found
+
+
+def test_pii_added_kinds_equal_patterns():
+    rnd = random.Random(12)
+    bits = ["account", "ACCT", "iban", "Ssn", "passport", "s", " ", " ", " ", ": ", "-", " number", " no.", "#", "=", "123456", "12", "4567", "1234567", "GB29 NWBK 6016 1331 9268 19", "GB29NWBK60161331926819", "GB28 NWBK 6016 1331 9268 19", "XX", "a", "é", "_", "\n", "http://", "ssh://", "user:pw@", "@", "host.org", "/", "20th", "ZZ82"]
+    hits = Counter()
+    for _ in range(30_000):
+        text = "".join(rnd.choice(bits) for _ in range(rnd.randint(2, 14)))
+        got = [x for x in pii.find_spans(text) if x[0] in ("login", "account")]
+        assert len(got) == len(set(got)) and set(got) == brute_added(text), text
+        hits.update(k for k, _, _ in got)
+    assert min(hits["login"], hits["account"]) > 300
+
+
 def test_words_and_hashes_across_blocks():
     import pyarrow as pa
 
