@@ -41,8 +41,7 @@ _DIGIT = np.isin(np.arange(256), np.arange(48, 58))
 
 
 def _per_document(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return sums[bounds[1:]] - sums[bounds[:-1]]
+    return np.diff(tx.counts_before(flags, bounds))
 
 
 def _distinct_per_document(doc: np.ndarray, code: np.ndarray, n: int) -> np.ndarray:
@@ -88,8 +87,7 @@ def count_block(data: np.ndarray, bounds: np.ndarray) -> dict[str, np.ndarray]:
     full = bounds[:-1] < bounds[1:]
     begin = np.sort(np.concatenate([bounds[:-1][full], feed + 1]))
     stop = np.sort(np.concatenate([bounds[1:][full], feed]))
-    seen = np.concatenate([[0], np.cumsum(visible, dtype=np.int64)])
-    worded = seen[stop] > seen[begin] if len(begin) else np.zeros(0, bool)
+    worded = tx.counts_before(visible, stop) > tx.counts_before(visible, begin)
     begin, stop = begin[worded], stop[worded]
     line_code, _ = tx.codes(data, begin, stop)
     line_doc = np.searchsorted(bounds, begin, "right") - 1

@@ -33,10 +33,10 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
+    """Powers of ``base`` from 0 to ``n - 1`` (``n`` at most ``BLOCK_BYTES + 1``), kept by the worker."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        steps = np.full(size, base & ((1 << 64) - 1), dtype=np.uint64)
+        steps = np.full(max(n, BLOCK_BYTES + 1), base & ((1 << 64) - 1), dtype=np.uint64)
         steps[0] = 1
         have = _powers[base] = np.cumprod(steps)
     return have[:n]
@@ -132,14 +132,39 @@ def codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.nd
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int32), coded.dictionary
 
 
+def _prefix_sums(data: np.ndarray) -> np.ndarray:
+    """Sums of ``(byte + 1) * base ** place`` before each place of at most ``BLOCK_BYTES`` bytes."""
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=sums[1:])
+    return sums
+
+
+def _long_hash(data: np.ndarray) -> int:
+    """The sum of a piece longer than a block, a block at a time."""
+    total = 0
+    for lo in range(0, len(data), BLOCK_BYTES):
+        total += int(_prefix_sums(data[lo : lo + BLOCK_BYTES])[-1]) * pow(_BASE, lo, 1 << 64)
+    return total % (1 << 64)
+
+
 def piece_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the pieces; equal bytes give equal hashes wherever they lie."""
-    if len(starts) == 0:
-        return np.empty(0, np.uint64)
-    n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, n), out=sums[1:])
-    h = (sums[ends] - sums[starts]) * _power(_INVERSE, n + 1)[starts]
+    """64-bit hashes of the pieces (in order, not overlapping); equal bytes give equal hashes wherever they lie.
+
+    Works through a stretch of at most ``BLOCK_BYTES`` at a time, so a very long text takes little more than its words do.
+    """
+    h = np.empty(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        begin = int(starts[lo])
+        hi = int(np.searchsorted(ends, begin + BLOCK_BYTES, "right"))
+        if hi <= lo:
+            h[lo] = _long_hash(data[begin : ends[lo]])
+            lo += 1
+            continue
+        sums = _prefix_sums(data[begin : ends[hi - 1]])
+        first = starts[lo:hi] - begin
+        h[lo:hi] = (sums[ends[lo:hi] - begin] - sums[first]) * _power(_INVERSE, len(sums))[first]
+        lo = hi
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -154,6 +179,18 @@ def window_hashes(units: np.ndarray, width: int) -> np.ndarray:
     return mix(h)
 
 
+def counts_before(flags: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """How many flags are set before each of the ascending places."""
+    out = np.zeros(len(places), np.int64)
+    total = 0
+    for lo in range(0, len(flags), BLOCK_BYTES):
+        sums = np.cumsum(flags[lo : lo + BLOCK_BYTES], dtype=np.int32)
+        i, j = np.searchsorted(places, [lo, lo + len(sums)], "right")
+        out[i:j] = total + sums[places[i:j] - lo - 1]
+        total += int(sums[-1])
+    return out
+
+
 def owners(bounds: np.ndarray) -> np.ndarray:
     """Document index of each unit, for bounds that count units."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))

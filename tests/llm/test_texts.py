@@ -581,3 +581,18 @@ def test_words_and_hashes_across_blocks():
         if limit == 1:
             first = hashes
         assert hashes == first
+
+
+@pytest.mark.parametrize("block", [1, 5, 64, 2 << 20])
+def test_hashes_and_counts_by_blocks(monkeypatch, block):
+    monkeypatch.setattr(tx, "BLOCK_BYTES", block)
+    monkeypatch.setattr(tx, "_powers", {})
+    rnd = random.Random(4)
+    text = " ".join("".join(rnd.choice("ab\n") for _ in range(rnd.choice([1, 3, 4, 5, 6, 70]))) for _ in range(60)).encode()
+    data = np.frombuffer(text, np.uint8)
+    starts, ends, _ = tx.words(data, np.array([0, len(data)]), tx.VISIBLE)
+    sums = [sum((c + 1) * pow(tx._BASE, k, 1 << 64) for k, c in enumerate(text[s:e])) + (e - s) * 0xD6E8FEB86659FD93 for s, e in zip(starts.tolist(), ends.tolist())]
+    assert tx.piece_hashes(data, starts, ends).tolist() == tx.mix(np.array([x % (1 << 64) for x in sums], np.uint64)).tolist()
+    places = np.sort(np.array([0, 0, len(data), len(data), *(rnd.randrange(len(data)) for _ in range(40))]))
+    assert tx.counts_before(data == 97, places).tolist() == [text[:p].count(b"a") for p in places]
+    assert tx.counts_before(np.zeros(0, bool), np.zeros(3, np.int64)).tolist() == [0, 0, 0]
