@@ -83,10 +83,12 @@ PASSED_SQL = f"date < (SELECT max(date) FROM b) - INTERVAL {OUT_OF_ORDER_DAYS} D
 
 def _live_feed(spark, sf):
     bars = ind.use_adjusted_close(src.ord_bars(spark, sf))
-    return st.bar_stream(spark, _near_order_feed(spark, bars, "ord-bars"), bars.schema, max_files_per_trigger=1)
+    path = _near_order_feed(spark, bars, "ord-bars")
+    st.close_feed(spark, path, bars.schema, OUT_OF_ORDER_DAYS)
+    return st.bar_stream(spark, path, bars.schema, max_files_per_trigger=1)
 
 
-@register("stream_indicators", sql=f"{INDICATORS_SQL} WHERE {PASSED_SQL}", ops="T3 (W1-W8 from keyed state, bars up to 30 days out of order)")
+@register("stream_indicators", sql=INDICATORS_SQL, ops="T3 (W1-W8 from keyed state, bars up to 30 days out of order)")
 def q_stream_indicators(spark, sf):
     return rounded(st.run_to_table(spark, st.live_indicators(_live_feed(spark, sf), f"{OUT_OF_ORDER_DAYS} days", "3650 days"), "stream-ind"))
 

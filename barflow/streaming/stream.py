@@ -43,6 +43,17 @@ def bar_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: in
     return r.parquet(path)
 
 
+def close_feed(spark: SparkSession, path: str, schema: T.StructType, delay_days: int, order: str = "date") -> None:
+    """The end of a feed folder: a row a day further ahead of the last bar than the delay, its other columns NULL.
+
+    It lets the watermark pass every bar before it and is never passed itself, so
+    keyed state gives the last ``delay_days`` out too and nothing for the row.
+    """
+    last = spark.read.schema(schema).parquet(path).agg(F.date_add(F.max(order), delay_days + 1).alias(order))
+    row = [F.col(order).cast(f.dataType) if f.name == order else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    last.select(*row).write.mode("append").parquet(path)
+
+
 def tick_bars(ticks: DataFrame, symbol: str = "symbol", ts: str = "ts", price: str = "price",
               interval: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     """T5: OHLCV bars per symbol and event-time window, late ticks dropped.

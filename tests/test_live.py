@@ -6,10 +6,12 @@ import random
 import numpy as np
 import pytest
 
+import __spark_entry__ as entry
 from barflow.operators import halo
 from barflow.session import scratch_path
 from barflow.streaming import live
 from barflow.streaming import stream as st
+from tests.conftest import SF_SMALL
 from tests.test_stream_io import _bars, _feed, _same
 
 DAY = dt.date(2020, 1, 1)
@@ -85,6 +87,27 @@ def test_late_bars_timers_and_expiry(spark):
     assert got == {("A", _day(0)): None, ("A", _day(2)): 10.0, ("A", _day(40)): 20.0, ("A", _day(41)): 30.0, ("A", _day(300)): None, ("B", _day(1)): None, ("B", _day(300)): None}
 
 
+def test_closed_feed_gives_every_bar(spark):
+    """Bars ahead of the watermark when the feed ends come out too, those of a symbol without a name as well; the closing row does not."""
+    rows = [(s, _day(i), c := 100.0 + i % 7, c + 2, c - 3) for s in ("A", None) for i in range(80)] + [("B", _day(79), 5.0, 5.0, 5.0)]
+    path = scratch_path(spark, "t-closed")
+    for part in (rows[:70] + rows[80:140], rows[70:80] + rows[140:]):
+        _bars(spark, part).coalesce(1).write.mode("append").parquet(path)
+    schema = _bars(spark, rows).schema
+    st.close_feed(spark, path, schema, 20)
+    got = st.run_to_table(spark, st.live_indicators(st.bar_stream(spark, path, schema, 1), "20 days"), "t-closed")
+    _same(got, st.indicator_rows(halo.index_rows(_bars(spark, rows))))
+
+
+@pytest.mark.parametrize("name", ["stream_indicators"])
+def test_registered_streams_leave_no_bar_out(spark, name):
+    """Their SQL and rows are those of the same query over a feed in any order."""
+    sql, fn = entry.oracle_sql(), entry.queries()
+    assert sql[name] == sql[f"{name}_any_order"]
+    rows = lambda n: sorted(map(str, fn[n](spark, SF_SMALL).select("symbol", "date").collect()))
+    assert rows(name) == rows(f"{name}_any_order")
+
+
 def test_alerts_from_any_trigger(spark):
     feed = _feed(spark, [_bars(spark, [("A", _day(i), c, c, c) for i, c in enumerate([10.0, 16.0, 15.0, 0.0, 4.0])]), _bars(spark, [("A", _day(90), 1.0, 1.0, 1.0)])], "t-trigger")
     alerts = st.price_alerts(st.live_changes(feed, "2 days"), 50.0)
