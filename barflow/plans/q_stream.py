@@ -77,8 +77,6 @@ SELECT symbol, date, {r4("close", "close")}, {r4("prev", "prev_close")},
        {r4("(close - prev) / nullif(prev, 0) * 100.0", "change_pct")}, {r4("ma_10", "ma_10")}, {r4("ma_50", "ma_50")},
        {r4("100 - 100 / (1 + ag / nullif(al, 0))", "rsi")}, {r4("ma_20 + 2 * sd_20", "upper_bb")},
        {r4("ma_20 - 2 * sd_20", "lower_bb")}, {r4("100 * (close - ll) / nullif(hh - ll, 0)", "stoch_osc")} FROM g"""
-#: Bars that the watermark has passed when the feed ends.
-PASSED_SQL = f"date < (SELECT max(date) FROM b) - INTERVAL {OUT_OF_ORDER_DAYS} DAY"
 
 
 def _live_feed(spark, sf):
@@ -105,7 +103,7 @@ SELECT symbol, date, {r4("close", "close")}, {r4("prev", "prev_close")}, {r4("ch
 FROM c WHERE abs(change_pct) >= {ALERT_PCT}"""
 
 
-@register("stream_alerts", sql=f"{ALERTS_SQL} AND {PASSED_SQL}", ops="T4 (keyed state: the last bar of each symbol)")
+@register("stream_alerts", sql=ALERTS_SQL, ops="T4 (keyed state: the last bar of each symbol)")
 def q_stream_alerts(spark, sf):
     alerts = st.price_alerts(st.live_changes(_live_feed(spark, sf), f"{OUT_OF_ORDER_DAYS} days"), ALERT_PCT)
     return rounded(st.run_to_table(spark, alerts, "stream-alerts"))

@@ -99,7 +99,7 @@ def test_closed_feed_gives_every_bar(spark):
     _same(got, st.indicator_rows(halo.index_rows(_bars(spark, rows))))
 
 
-@pytest.mark.parametrize("name", ["stream_indicators"])
+@pytest.mark.parametrize("name", ["stream_indicators", "stream_alerts"])
 def test_registered_streams_leave_no_bar_out(spark, name):
     """Their SQL and rows are those of the same query over a feed in any order."""
     sql, fn = entry.oracle_sql(), entry.queries()
