@@ -18,8 +18,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barflow.operators import halo
 
@@ -162,14 +163,47 @@ def technical_features(
     return out
 
 
+#: Frames of more rows are added up from whole parts: Spark reads every row of a sliding frame again for each row.
+DEEP_FRAME = 256
+
+
+def _deep_average(df: DataFrame, keys: Sequence[str], order: str, col: str, n: int, block: float | None) -> DataFrame:
+    """``ma_<n>`` of a deep frame, in a few additions a row.
+
+    With blocks of ``n`` rows, the frame of a row is its own block up to it and
+    the end of the block before it. Both are running sums (the second one
+    backwards), so nothing is subtracted: one value that is huge, infinite or NaN
+    shows in its own frames only.
+    """
+    h = halo.blocked(df, keys, order, preceding=n - 1, block=block, block_rows=n)
+    kind = df.select(F.avg(col).alias("a")).schema["a"].dataType
+    exact = isinstance(df.schema[col].dataType, T.DecimalType)
+    h = h.withColumn("_x", F.col(col) if exact else F.col(col).cast("double")).repartition(halo.BLK, *keys)  # the one exchange of all three windows
+    parts = Window.partitionBy(halo.BLK, *keys, halo.HOME)
+    ahead, back = (parts.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.col(halo.IDX).desc(), F.col(halo.IDX)))
+    h = h.withColumns({"_end_sum": F.sum("_x").over(ahead), "_end_count": F.count("_x").over(ahead)})
+    h = h.withColumns({"_own_sum": F.sum("_x").over(back), "_own_count": F.count("_x").over(back)})
+    first = F.col(halo.IDX) % n != n - 1  # the frame begins in the block before
+    w = halo.block_window(keys)
+    added = {c: F.coalesce(f"_own{c}", F.lit(0)) + F.when(first, F.coalesce(F.lag(f"_end{c}", n - 1).over(w), F.lit(0))).otherwise(F.lit(0)) for c in ("_sum", "_count")}
+    h = halo.core(h.withColumns(added))
+    h = h.withColumn(f"ma_{n}", F.try_divide("_sum", "_count").cast(kind))
+    return h.drop("_x", *[f"{p}{c}" for p in ("_end", "_own", "") for c in ("_sum", "_count")])
+
+
 def moving_averages(bars: DataFrame, windows: Sequence[int] = (10, 50), col: str = "close", keys=("symbol",),
                     order: str = "date", block: float | None = None) -> DataFrame:
     """``ma_<n>`` columns for each n (partial warm-up frames)."""
     keys = list(keys)
-    h = halo.blocked(bars, keys, order, preceding=max(windows) - 1, block=block)
-    s = _Spec(keys)
-    h = h.withColumns({f"ma_{n}": s.sma(col, n) for n in windows})
-    return halo.drop_helpers(halo.core(h))
+    flat, deep = [n for n in windows if n <= DEEP_FRAME], [n for n in windows if n > DEEP_FRAME]
+    out = bars
+    if flat:
+        h = halo.blocked(bars, keys, order, preceding=max(flat) - 1, block=block)
+        s = _Spec(keys)
+        out = halo.core(h.withColumns({f"ma_{n}": s.sma(col, n) for n in flat}))
+    for n in deep:
+        out = _deep_average(out, keys, order, col, n, block)
+    return halo.drop_helpers(out)
 
 
 def rsi(bars: DataFrame, n: int = 14, col: str = "close", keys=("symbol",), order: str = "date",

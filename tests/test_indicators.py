@@ -2,8 +2,11 @@
 
 import datetime as dt
 
+import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from barflow.operators import indicators as ind
 from barflow.operators import scale as sc
@@ -46,6 +49,28 @@ def test_partial_warmup_frames(spark):
     assert out["ma_2"].tolist() == [1.0, 1.5, 2.5, 3.5]
 
 
+@pytest.mark.parametrize("kind", ["double", "decimal(12,2)", "bigint"])
+def test_deep_frames_are_added_up_from_parts(spark, kind):
+    """Equal to the plain frame over block edges, and no frame of that depth slides (Spark would read all its rows again for each row)."""
+    n, rnd = 300, np.random.default_rng(5)
+    rows = [(s, i, float(rnd.integers(-500, 500))) for s, m in (("A", 1500), (None, 601), ("B", 299), ("C", 1)) for i in range(m)]
+    rows = [(s, i, None if i % 7 == 0 or 700 < i < 1100 else x) for s, i, x in rows]
+    df = spark.createDataFrame(rows, "symbol string, i long, x double").withColumn("x", F.col("x").cast(kind))
+    if kind == "double":  # odd values show in their own frames only
+        odd = {5: 1e300, 350: float("inf"), 1150: float("nan")}
+        df = df.withColumn("x", F.coalesce(*[F.when((F.col("symbol") == "A") & (F.col("i") == i), F.lit(v)) for i, v in odd.items()], "x"))
+    out = ind.moving_averages(df, (3, n), "x", order="i", block=128)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert f"RowFrame, -{n - 1}, currentrow" not in plan and "RowFrame, -2, currentrow" in plan
+    w = Window.partitionBy("symbol").orderBy("i")
+    want = df.withColumns({f"ma_{k}": F.avg("x").over(w.rowsBetween(1 - k, 0)) for k in (3, n)})
+    assert out.schema["ma_300"].dataType == want.schema["ma_300"].dataType and set(out.columns) == set(want.columns)
+    a, b = (sorted(f.select("symbol", "i", "ma_3", "ma_300").collect(), key=lambda r: (r[0] or "", r[1])) for f in (out, want))
+    assert len(a) == len(rows) and [x[:3] for x in a if x[2] == x[2]] == [x[:3] for x in b if x[2] == x[2]]
+    for x, y in zip(a, b):
+        assert (x[3] is None) == (y[3] is None) and (x[3] is None or float(x[3]) == pytest.approx(float(y[3]), rel=1e-12, abs=1e-9, nan_ok=True)), (x, y)
+
+
 def test_feature_build_one_window_exchange(spark):
     from tests.conftest import SF_SMALL
     from barflow.sources import bars as src
