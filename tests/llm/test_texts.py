@@ -157,6 +157,18 @@ def test_shards_of_many_buckets(make_docs, texts):
     assert sorted(r.text or "" for r in placed.collect()) == sorted(t or "" for _, t in texts)
 
 
+def test_neighbouring_buckets_share_a_file(spark, make_docs, texts):
+    """Not a file for each shard and task: many small files cost a chmod process each on a local disk, a name-node entry elsewhere."""
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # as many tasks as with much data
+    try:
+        placed = external_shuffle.shuffle_into_shards(make_docs(texts), 3, 9, bucket_bytes=2000)
+    finally:
+        spark.conf.unset(coalesce)
+    runs = placed.withColumn("file", F.input_file_name()).groupBy("shard", F.floor(F.col("bucket") / external_shuffle.RUN)).agg(F.count_distinct("file").alias("files"), F.count_distinct("bucket").alias("buckets")).collect()
+    assert max(r.buckets for r in runs) > 1 and all(r.files == 1 for r in runs)
+
+
 def test_buckets_of_copies_and_of_rows_without_an_id(make_docs):
     """One row makes a third of the table, rows without an id another third: no bucket is twice the mean."""
     word = "some text of a row " * 4
